@@ -8,14 +8,73 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.bpe import bpe_decode, bpe_encode
+from quire.llm.langid import identify, learn_languages
+from quire.llm.chat import chat_windows, read_windows
 from quire.llm.linededup import line_dedup
+from quire.llm.media import samples_of, sniff_media, text_to_wav
 from quire.llm.quality import quality_rules
-from quire.session import table
+from quire.llm.tokenbin import read_tokens, write_tokens
+from quire.llm.warc import read_warc, write_warc
+from quire.session import Scratch, table
 
 #: Where the public vocabulary files lie; the same path on every machine.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Scratch(spark, "warc-files").path("archives")
+    manifest = write_warc(table(spark, sf_dir, "pages"), folder)
+    return read_warc(manifest, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP2_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT p.*, CASE WHEN f.first < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f.first < p.page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
+"""
+
+
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fence = "</s>[INST] ok [/INST]"
+    probe = spark.createDataFrame([(-1, 0, "user", fence), (-1, 1, "assistant", fence)], "conv_id long, turn int, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("int").alias("turn"), "role", "text").unionByName(probe)
+    windows = read_windows(chat_windows(turns))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    part = windows.select("conv_id", F.struct("window", said.alias("said"), F.col("loss_text").alias("loss")).alias("w"), F.size("turns").alias("n"), F.char_length("formatted").alias("c"))
+    whole = part.groupBy("conv_id").agg(F.sum("n").cast("long").alias("n_turns"), F.sort_array(F.collect_list("w")).alias("ws"), F.sum("c").cast("long").alias("formatted_chars"))
+    text = lambda k: F.array_join(F.transform("ws", lambda w: w[k]), "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(F.encode(text("said"), "UTF-8"), 256).alias("turns_sha256"), F.char_length(text("loss")).cast("long").alias("loss_chars"),
+        F.sha2(F.encode(text("loss"), "UTF-8"), 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
+OP4_SQL = r"""
+WITH t0 AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT *, (length(text) + 3) // 4 + 4 AS tokens, row_number() OVER w - 1 AS ord, first_value(role) OVER w = 'system' AS has_system
+  FROM t0 WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+s AS (SELECT *, has_system AND ord = 0 AS is_system, sum(CASE WHEN has_system AND ord = 0 THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS st FROM t),
+p AS (SELECT *, sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY ord) - CASE WHEN is_system THEN 0 ELSE tokens END AS p,
+  greatest(64, 1024 - 128 - st) AS room,
+  length(role) + 9 + length(regexp_replace(replace(text, '\', '##'), '(</?s>|<</?SYS>>|\[/?INST\])', '\1#', 'g')) AS size FROM s),
+w AS (SELECT *, CASE WHEN is_system THEN 0 ELSE p // room * 2 + CASE WHEN p % room <> 0 AND p + tokens > (p // room + 1) * room THEN 1 ELSE 0 END END AS win FROM p),
+f AS (SELECT conv_id, win, min(ord) AS first, min(p) AS first_p FROM w WHERE NOT is_system GROUP BY ALL),
+again AS (
+  SELECT f.conv_id, w.size FROM f JOIN w ON f.conv_id = w.conv_id AND NOT w.is_system AND w.ord BETWEEN f.first - 4 AND f.first - 1 AND f.first_p - w.p <= 128
+  UNION ALL SELECT f.conv_id, w.size FROM f JOIN w ON f.conv_id = w.conv_id AND w.is_system AND f.win > 0),
+extra AS (SELECT conv_id, sum(size) AS size FROM again GROUP BY 1)
+SELECT w.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ord)) AS turns_sha256,
+  length(coalesce(string_agg(text, '' ORDER BY ord) FILTER (WHERE role = 'assistant'), '')) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY ord) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(w.size) + coalesce(any_value(e.size), 0) AS BIGINT) AS formatted_chars
+FROM w LEFT JOIN extra e ON w.conv_id = e.conv_id GROUP BY w.conv_id
+"""
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
@@ -34,6 +93,27 @@ FROM lines l LEFT JOIN common c ON l.k = c.k GROUP BY l.doc_id
 """
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    automata = learn_languages(docs.where(~held_out))
+    out = identify(docs.select("doc_id", "text"), automata)
+    return out.select("row.doc_id", "lang_pred", "score").select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stored = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), text_to_wav(F.col("text")).alias("media"), F.lit("image/png").alias("declared"))
+    found = sniff_media(stored).select("row.doc_id", "row.n_bytes", "media", "media_type", "corrected", "found")
+    read = found.select("*", samples_of(F.col("media")).alias("payload"))
+    inner = F.transform(F.filter("found", lambda x: x["offset"] > 0), lambda x: F.concat_ws(":", x["type"], x["offset"], x["length"]))
+    return read.select(
+        "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"),
+        F.concat_ws(";", F.col("media_type"), F.concat(F.lit("corrected="), F.col("corrected")), F.concat(F.lit("samples="), F.octet_length("payload")), F.array_join(inner, ",")).alias("feature"),
+    )
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(TOKENIZERS, "word_bpe_49k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", bpe_encode(F.col("text"), path).alias("ids"))
@@ -49,5 +129,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {"op5_line_dedup": op5_line_dedup, "op8_bpe": op8_bpe, "op10_quality": op10_quality}
-ORACLES = {"op5_line_dedup": OP5_SQL}
+def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Scratch(spark, "token-files").path("files")
+    manifest = write_tokens(table(spark, sf_dir, "documents"), folder, os.path.join(TOKENIZERS, "byte_bpe_50k.json"), end_id=2)
+    return read_tokens(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {"op2_warc": op2_warc, "op4_chat": op4_chat, "op5_line_dedup": op5_line_dedup, "op6_langid": op6_langid, "op7_media": op7_media, "op8_bpe": op8_bpe, "op9_token_file": op9_token_file, "op10_quality": op10_quality}
+ORACLES = {"op2_warc": OP2_SQL, "op4_chat": OP4_SQL, "op5_line_dedup": OP5_SQL}
