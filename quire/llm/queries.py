@@ -12,6 +12,7 @@ from quire.llm.langid import identify, learn_languages
 from quire.llm.chat import chat_windows, read_windows
 from quire.llm.linededup import line_dedup
 from quire.llm.media import samples_of, sniff_media, text_to_wav
+from quire.llm.minhash import minhash_groups
 from quire.llm.quality import quality_rules
 from quire.llm.tokenbin import read_tokens, write_tokens
 from quire.llm.warc import read_warc, write_warc
@@ -21,6 +22,25 @@ from quire.session import Scratch, table
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+OP1_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+  ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+c(doc_id, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT c.doc_id, e.b FROM c JOIN e ON c.r = e.a),
+m AS (SELECT doc_id, min(r) AS component_id FROM c GROUP BY 1)
+SELECT m.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept FROM m LEFT JOIN n ON m.doc_id = n.doc_id
+"""
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = Scratch(spark, "warc-files").path("archives")
     manifest = write_warc(table(spark, sf_dir, "pages"), folder)
@@ -135,5 +155,5 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {"op2_warc": op2_warc, "op4_chat": op4_chat, "op5_line_dedup": op5_line_dedup, "op6_langid": op6_langid, "op7_media": op7_media, "op8_bpe": op8_bpe, "op9_token_file": op9_token_file, "op10_quality": op10_quality}
-ORACLES = {"op2_warc": OP2_SQL, "op4_chat": OP4_SQL, "op5_line_dedup": OP5_SQL}
+QUERIES = {"op1_minhash": op1_minhash, "op2_warc": op2_warc, "op4_chat": op4_chat, "op5_line_dedup": op5_line_dedup, "op6_langid": op6_langid, "op7_media": op7_media, "op8_bpe": op8_bpe, "op9_token_file": op9_token_file, "op10_quality": op10_quality}
+ORACLES = {"op1_minhash": OP1_SQL, "op2_warc": OP2_SQL, "op4_chat": OP4_SQL, "op5_line_dedup": OP5_SQL}
