@@ -13,6 +13,7 @@ from quire.llm.chat import chat_windows, read_windows
 from quire.llm.linededup import line_dedup
 from quire.llm.media import samples_of, sniff_media, text_to_wav
 from quire.llm.minhash import minhash_groups
+from quire.llm.mixing import DOMAIN, mix_to_weights
 from quire.llm.quality import quality_rules
 from quire.llm.tokenbin import read_tokens, write_tokens
 from quire.llm.warc import read_warc, write_warc
@@ -56,6 +57,12 @@ FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >=
 """
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").selectExpr("doc_id", f"{DOMAIN} AS domain")
+    out = mix_to_weights(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, {"clean": 0.95, "low": 0.05, "toxic": 0.0}, anchor="clean")
+    return out.select("row.doc_id", "tokens", *[F.coalesce(F.col("posteriors")[d], F.lit(0.0)).alias(f"p_{d}") for d in ("clean", "low", "toxic")], "rate", "copies")
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     fence = "</s>[INST] ok [/INST]"
     probe = spark.createDataFrame([(-1, 0, "user", fence), (-1, 1, "assistant", fence)], "conv_id long, turn int, role string, text string")
@@ -155,5 +162,5 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_warc": op2_warc, "op4_chat": op4_chat, "op5_line_dedup": op5_line_dedup, "op6_langid": op6_langid, "op7_media": op7_media, "op8_bpe": op8_bpe, "op9_token_file": op9_token_file, "op10_quality": op10_quality}
+QUERIES = {"op1_minhash": op1_minhash, "op2_warc": op2_warc, "op3_mixing": op3_mixing, "op4_chat": op4_chat, "op5_line_dedup": op5_line_dedup, "op6_langid": op6_langid, "op7_media": op7_media, "op8_bpe": op8_bpe, "op9_token_file": op9_token_file, "op10_quality": op10_quality}
 ORACLES = {"op1_minhash": OP1_SQL, "op2_warc": OP2_SQL, "op4_chat": OP4_SQL, "op5_line_dedup": OP5_SQL}
