@@ -41,7 +41,7 @@ from quire.session import Scratch
 MAX_BROADCAST = 20_000
 SALTS = 64
 #: Rates and the least values their thresholds may take (per 1,000 words, or lines).
-FLOORS = {"symbol_rate": 100, "dup_line_rate": 300, "repeat_rate": 300}
+FLOORS = {"symbol_rate": 100, "dup_line_rate": 500, "repeat_rate": 300}
 SPREAD = 3
 _SYMBOLS = "#*$%&|<>"
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_text_lines")
