@@ -42,9 +42,10 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("id", "text_hash", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), F.col("key")).alias("h2")),
         "lines",
     )
-    common = lines.groupBy("h1", "h2").agg(F.count_distinct(F.struct("id")).alias("n_docs")).where(F.col("n_docs") >= min_docs)
+    common = lines.groupBy("h1", "h2").agg(F.count_distinct(F.struct("id")).alias("n_docs")).where(F.col("n_docs") >= min_docs).select("h1", "h2")
+    common = scratch.keep(common, "common")  # so that both sides of the join are scans, which a hot line can't hold up
     dropped = (
-        lines.join(common.select("h1", "h2"), ["h1", "h2"], "left_semi")
+        lines.join(common, ["h1", "h2"], "left_semi")
         .groupBy("id", "text_hash")
         .agg(F.collect_list("pos").alias("drop_pos"))
     )
