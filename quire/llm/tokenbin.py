@@ -37,7 +37,7 @@ from quire.session import Scratch
 MAGIC = b"S8BTOK01"
 BLOCK = 1 << 14
 #: Entries of a Python worker's word table; longer words aren't kept.
-MEMO, KEEP = 400_000, 40
+MEMO, KEEP = 700_000, 40
 #: Code points of text between two runs of the library.
 TOGETHER = 2_000_000
 NULL_ID = -(1 << 63)
@@ -66,9 +66,26 @@ class ByteBpe:
         self.library.no_truncation()
         self.library.no_padding()
         self.memo: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        #: bytes of each token: a character of a byte-level token is a byte, a special token stands for its own text
+        special = {i: len(t.content.encode("utf-8")) for i, t in self.library.get_added_tokens_decoder().items()}
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+        for token, i in vocab.items():
+            self.sizes[i] = special.get(i, len(token))
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece. Pieces that start with a space and hold more go to the library as one text,
+        whose ids are dealt out by the bytes that tokens and pieces have."""
+        joined = [p for p in pieces if p[0].isspace() and not p[-1].isspace()]
+        alone = [p for p in pieces if not (p[0].isspace() and not p[-1].isspace())]
+        found = {p: struct.pack(f"<{len(e.ids)}I", *e.ids) for p, e in zip(alone, self.library.encode_batch_fast(alone, add_special_tokens=False), strict=True)}
+        for lo in range(0, len(joined), 20_000):
+            part = joined[lo : lo + 20_000]
+            ids = np.array(self.library.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+            ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(p.encode("utf-8", "surrogatepass")) for p in part])) + 1
+            blob, ends = ids.astype("<u4").tobytes(), (ends * 4).tolist()
+            found.update(zip(part, [blob[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+        return [found[p] for p in pieces]
 
     def encode_all(self, texts: list[str | None]) -> Iterator[bytes]:
         held: list[list[str]] = []
@@ -80,12 +97,14 @@ class ByteBpe:
             if chars > TOGETHER or i == len(texts) - 1:
                 if len(self.memo) >= MEMO:
                     self.memo.clear()
-                new = list(set().union(*held).difference(self.memo))
-                ids = dict(zip(new, self._encode(new), strict=True))
                 memo = self.memo
-                memo.update((k, v) for k, v in ids.items() if len(k) <= KEEP)
+                new = list(set().union(*held).difference(memo))
+                memo.update(zip(new, self._encode(new), strict=True))
                 for parts in held:
-                    yield b"".join([memo[p] if p in memo else ids[p] for p in parts])
+                    yield b"".join([memo[p] for p in parts])
+                for p in new:
+                    if len(p) > KEEP:
+                        del memo[p]
                 held, chars = [], 0
 
 
