@@ -129,10 +129,9 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    stored = docs.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), text_to_wav(F.col("text")).alias("media"), F.lit("image/png").alias("declared"))
-    found = sniff_media(stored).select("row.doc_id", "row.n_bytes", "media", "media_type", "corrected", "found")
-    read = found.select("*", samples_of(F.col("media")).alias("payload"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), text_to_wav(F.col("text")).alias("media"))
+    stored = Scratch(spark, "media").keep(docs, "media").withColumn("declared", F.lit("image/png"))
+    read = sniff_media(stored.withColumn("payload", samples_of(F.col("media")))).select("row.doc_id", "row.n_bytes", "row.payload", "media", "media_type", "corrected", "found")
     inner = F.transform(F.filter("found", lambda x: x["offset"] > 0), lambda x: F.concat_ws(":", x["type"], x["offset"], x["length"]))
     return read.select(
         "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
