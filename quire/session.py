@@ -30,6 +30,21 @@ def shared_root(spark: SparkSession) -> str:
     return own.rstrip("/")
 
 
+#: Rows that Spark hands to a Python worker at a time.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession | None = None) -> None:
+    """Lower the session's Arrow batch to ``BATCH_ROWS`` rows, so that whole texts fit a worker's memory.
+
+    A smaller setting of the session stays.
+    """
+    spark = spark or SparkSession.active()
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 class Scratch:
     """Written tables in the shared folder: they cut lineage and survive lost executors."""
 
