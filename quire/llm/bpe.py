@@ -28,8 +28,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.session import bounded_batches
+
 #: Entries of a Python worker's table of words.
-MEMO = 500_000
+MEMO = 350_000
 #: Bytes of a word that shares its steps with others, words that do at a time, code points of text between two such runs.
 SHORT, LANES, TOGETHER = 64, 8192, 2_000_000
 #: str.split() also splits at these, \s of the pattern doesn't.
@@ -266,6 +268,7 @@ def bpe_encode(text: Column, path: str) -> Column:
         for s in parts:
             yield pd.Series(bpe.encode_all(s.tolist()), dtype=object)
 
+    bounded_batches()
     return encode(text)
 
 
@@ -278,4 +281,5 @@ def bpe_decode(ids: Column, path: str) -> Column:
         for s in parts:
             yield pd.Series([None if b is None else bpe.decode(b) for b in s], dtype=object)
 
+    bounded_batches()
     return decode(ids)

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm.components import connected_components
-from quire.session import Scratch
+from quire.session import Scratch, bounded_batches
 
 BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
@@ -185,6 +185,7 @@ def _all_shingles(text: Column, k: int) -> Column:
 def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 85, miss: float = 1e-6) -> DataFrame:
     """Columns: the id column, n_shingles, component_id, kept."""
     scratch = Scratch(docs.sparkSession, "minhash")
+    bounded_batches(docs.sparkSession)
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     sketched = scratch.keep(texts.select("id", _sketch(F.col("text"), k).alias("m")).select("id", "m.*"), "sketches")
     sets = sketched.where("n > 0 and id is not null")

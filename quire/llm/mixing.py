@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.llm.text import carried
-from quire.session import Scratch
+from quire.session import Scratch, bounded_batches
 
 _EDGE = ".,;:!?\"'()[]|"
 _FORMS = 14
@@ -169,6 +169,7 @@ def mix_to_weights(
     rounding: str = "hash", max_labelled: int = 20_000, max_words: int = 400, tolerance: float = 1e-4, max_steps: int = 25,
 ) -> DataFrame:
     """Columns: row, tokens, posteriors (map of domain to probability), rate, copies (whole number)."""
+    bounded_batches(docs.sparkSession)
     model = learn_domains(docs, labelled, id_col, text_col, max_labelled, max_words)
     if model is None:
         out = carried(docs, tokens=F.size(F.split(F.coalesce(docs[text_col], F.lit("")), r"\s+")).cast("long"))

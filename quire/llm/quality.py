@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from quire.llm.text import carried
-from quire.session import Scratch
+from quire.session import Scratch, bounded_batches
 
 MAX_BROADCAST = 20_000
 SALTS = 64
@@ -129,6 +129,7 @@ def quality_rules(
 ) -> DataFrame:
     """Columns: row, the measures, the rates, their limits, base_failed, kept."""
     scratch = Scratch(docs.sparkSession, "quality")
+    bounded_batches(docs.sparkSession)
     m = carried(docs, lang=docs[lang_col], source=docs[source_col], m=_measure(docs[text_col])).select("row", "lang", "source", "m.*")
     rate = lambda k, of: F.when(F.col(of) > 0, F.expr(f"1000 * {k} div {of}")).otherwise(F.lit(0)).cast("long")
     m = m.withColumns({"symbol_rate": rate("n_symbols", "n_words"), "dup_line_rate": rate("n_dup_lines", "n_text_lines"), "repeat_rate": rate("n_repeat_words", "n_words")})

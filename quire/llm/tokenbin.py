@@ -32,7 +32,7 @@ from tokenizers import Tokenizer
 
 from quire.llm.files import commit_file, open_input
 from quire.llm.simple8b import decode_block, encode_block
-from quire.session import Scratch
+from quire.session import Scratch, bounded_batches
 
 MAGIC = b"S8BTOK01"
 BLOCK = 1 << 14
@@ -212,6 +212,7 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 def write_tokens(docs: DataFrame, folder: str, path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files; the manifest, with each file's first global position (``base``)."""
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("id"), docs[text_col].alias("text"), F.xxhash64(docs[text_col]).alias("tie"))
     ordered = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
     written = Scratch(docs.sparkSession, "tokens").keep(ordered.mapInPandas(_writer(folder, path, end_id), "part int, name string, n_docs long, n_ids long"), "manifest")

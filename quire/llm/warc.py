@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.files import commit_file, open_input
-from quire.session import Scratch
+from quire.session import Scratch, bounded_batches
 
 SAMPLE = 20_000
 #: All records carry one date, so that the bytes depend on the pages alone.
@@ -121,6 +121,7 @@ def _range_of(key: Column, bounds: list[int]) -> Column:
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 100, roll_bytes: int = 16 << 20, range_rows: int = 8_000) -> DataFrame:
     """Write the archives; the manifest (name, n_records, n_bytes, sha256) as a written table."""
     spark = pages.sparkSession
+    bounded_batches(spark)
     html = F.coalesce(pages[html_col], F.lit(""))
     base = pages.select(pages[id_col].cast("long").alias("id"), pages[url_col].alias("url"), html.alias("html"), F.sha2(F.encode(html, "UTF-8"), 256).alias("digest"))
     count = base.count()
