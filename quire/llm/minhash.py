@@ -12,9 +12,11 @@
    are confirmed on the full sets.
 5. The rest. Where a bucket still holds several components, every node's shingles that no other such
    node has are counted. They bound its overlap with any partner, exactly: nodes that cannot reach the
-   threshold with anyone leave, and members outside the bucket's largest component meet the members
-   of other components wherever both bounds allow a link. These pairs are verified like the others,
-   so no pair that shares a bucket goes unexamined.
+   threshold with anyone leave. The others are marked against their hub: which of its shingles they
+   have (bits), and how many shared ones besides. Of two nodes with one hub, the common bits and the lesser
+   number besides bound the overlap, exactly and closely, as copies of one text differ in small edits.
+   Members outside a hub's largest component meet those of other components where this bound allows a link.
+   These pairs are verified like the others, so no pair that shares a bucket goes unexamined.
 6. Components of all links.
 
 * null or empty text, or white space only: n_shingles 0, linked with nothing, its own component.
@@ -173,6 +175,24 @@ def _linked(k: int, percent: int):
     return linked
 
 
+def _in_pivot(k: int):
+    """Which of the pivot's shingles (second text) the first text has, as bits, and how many."""
+
+    @F.pandas_udf(T.StructType([T.StructField("inside", T.LongType()), T.StructField("bits", T.ArrayType(T.LongType()))]))
+    def marked(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        last, kept = None, np.empty(0, np.uint64)
+        out = []
+        for x, y in zip(a, b, strict=True):
+            if y != last:  # rows come sorted by pivot
+                last, kept = y, shingle_hashes(y, k)
+            has = np.isin(kept, shingle_hashes(x, k), assume_unique=True)
+            raw = np.packbits(has).tobytes()
+            out.append((int(has.sum()), np.frombuffer(raw.ljust(-(-len(raw) // 8) * 8, b"\0"), dtype=np.int64)))
+        return pd.DataFrame(out, columns=["inside", "bits"])
+
+    return marked
+
+
 def _all_shingles(text: Column, k: int) -> Column:
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -220,15 +240,21 @@ def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sized = nodes.groupBy("node").agg(F.max("n").alias("n"))
     bound = in_rest.join(sized, "node").join(own, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("common"))
     bound = scratch.keep(bound.where(100 * F.col("common") >= percent * F.col("n")), "bounds")
-    able = scratch.keep(rest.join(bound, "node"), "able")
-    counts = able.groupBy("bucket", "component").agg(F.count("*").alias("c"))
-    most = counts.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").select("bucket", F.col("m.component").alias("largest"))
-    most = scratch.keep(most, "largest")
-    outside = scratch.keep(able.join(most, "bucket").where("component <> largest").drop("largest"), "outside")
-    x, y = outside.alias("x"), able.join(most, "bucket").alias("y")
-    may = (100 + percent) * F.least("x.common", "y.common") >= percent * (F.col("x.n") + F.col("y.n"))
+    marks = rest.join(bound, "node", "left_semi").join(hubs, "bucket").select("node", "component", "hub").distinct()
+    marks = scratch.keep(marks, "marks")
+    pivots = texts.join(marks.select("hub").distinct(), texts["id"] == F.col("hub"), "left_semi").groupBy("id").agg(F.min("text").alias("tb")).withColumnRenamed("id", "hub")
+    seen = marks.join(texts.select(F.col("id").alias("node"), F.col("text").alias("ta")), "node").join(pivots, "hub").sortWithinPartitions("hub")
+    seen = seen.select("node", "component", "hub", _in_pivot(k)("ta", "tb").alias("m")).join(bound, "node")
+    seen = scratch.keep(seen.select("node", "component", "hub", "n", "m.bits", (F.col("common") - F.col("m.inside")).alias("extra")), "seen")
+    counts = seen.groupBy("hub", "component").agg(F.count("*").alias("c"))
+    most = counts.groupBy("hub").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").select("hub", F.col("m.component").alias("largest"))
+    mixed = scratch.keep(seen.join(most, "hub"), "mixed")
+    outside = scratch.keep(mixed.where("component <> largest"), "outside")
+    x, y = outside.alias("x"), mixed.alias("y")
+    shared = F.aggregate(F.zip_with("x.bits", "y.bits", lambda u, v: F.bit_count(u.bitwiseAND(v))), F.lit(0), lambda t, c: t + c)
+    may = (100 + percent) * (shared + F.least("x.extra", "y.extra")) >= percent * (F.col("x.n") + F.col("y.n"))
     once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))
-    more = x.join(y, F.col("x.bucket") == F.col("y.bucket")).where((F.col("x.component") != F.col("y.component")) & may & once)
+    more = x.join(y, F.col("x.hub") == F.col("y.hub")).where((F.col("x.component") != F.col("y.component")) & once & may)
     more = more.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
     links = links.unionByName(_verified(scratch, more, nodes, texts, k, percent, miss))
 
