@@ -17,7 +17,7 @@
 * No labelled rows: no domains, every rate is 1. A domain without weight has target 0.
 * A domain without expected tokens is left out of the fit. Empty table: no rows. Extra columns travel in ``row``.
 
-Scale: one scan for the posteriors, kept as a light table (no texts) for the iterations. The sample is
+Scale: one scan for the posteriors, written beside the carried columns; an iteration reads tokens and posteriors alone. The sample is
 broadcast, at most ``max_labelled`` rows; the driver sees its flags, K sums an iteration, and nothing of other documents.
 """
 
@@ -42,18 +42,17 @@ def _words(text: str) -> set[str]:
     return {w.strip(_EDGE) for w in set(text.lower().split())} - {""}
 
 
-def _forms(text: str) -> list[int]:
+def _forms(text: str, words: list[str]) -> list[int]:
     """Flags of form, by position."""
-    words = text.split()
     n = len(words)
     if not n:
         return []
-    upper = sum(1 for w in words if w.isupper() and len(w) > 1) / n
+    upper = sum(map(str.isupper, words)) / n
     bars, bangs = text.count("|") / n, text.count("!") / n
     distinct = len(set(words)) / min(n, 400)
     lines = text.split("\n")
     same = 1 - len(set(lines)) / len(lines)
-    values = [upper > 0.05, upper > 0.2, upper > 0.5, bars > 0.02, bars > 0.1, bangs > 0.02, bangs > 0.1, bangs > 0.5, distinct < 0.15, distinct < 0.3, distinct < 0.5, same > 0.1, same > 0.3, n < 50]
+    values = [upper > 0.1, upper > 0.2, upper > 0.5, bars > 0.02, bars > 0.1, bangs > 0.02, bangs > 0.1, bangs > 0.5, distinct < 0.15, distinct < 0.3, distinct < 0.5, same > 0.1, same > 0.3, n < 50]
     return [i for i, v in enumerate(values) if v]
 
 
@@ -64,10 +63,12 @@ def _word_set(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def _flags(known: dict[str, int]):
+    names = known.keys()
+
     def of(text: str | None) -> list[int]:
         if not text:
             return []
-        return [*_forms(text), *(known[w] + _FORMS for w in _words(text) & known.keys())]
+        return [*_forms(text, text.split()), *(known[w] + _FORMS for w in _words(text) & names)]
 
     return of
 
@@ -166,20 +167,24 @@ def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float],
 
 def mix_to_weights(
     docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str, id_col: str = "doc_id", text_col: str = "text",
-    rounding: str = "hash", max_labelled: int = 20_000, max_words: int = 400, tolerance: float = 1e-4, max_steps: int = 25,
+    carry: list[str] | None = None, rounding: str = "hash", max_labelled: int = 20_000, max_words: int = 400, tolerance: float = 1e-4, max_steps: int = 25,
 ) -> DataFrame:
-    """Columns: row, tokens, posteriors (map of domain to probability), rate, copies (whole number)."""
+    """Columns: row, tokens, posteriors (map of domain to probability), rate, copies (whole number).
+
+    ``carry`` names the columns of ``row``; all if it is None.
+    """
+    docs = docs if carry is None else docs.select(*{*carry, id_col, text_col})
+    kept = docs.columns if carry is None else carry
     bounded_batches(docs.sparkSession)
     model = learn_domains(docs, labelled, id_col, text_col, max_labelled, max_words)
     if model is None:
-        out = carried(docs, tokens=F.size(F.split(F.coalesce(docs[text_col], F.lit("")), r"\s+")).cast("long"))
+        out = carried(docs, kept, tokens=F.size(F.split(F.coalesce(docs[text_col], F.lit("")), r"\s+")).cast("long"))
         return out.select("row", "tokens", F.create_map().cast("map<string,double>").alias("posteriors"), F.lit(1.0).alias("rate"), F.lit(1).cast("long").alias("copies"))
     domains = model[0]
-    scored = carried(docs, id=docs[id_col], m=_posteriors(docs[text_col], model)).select("row", "id", "m.tokens", "m.p")
+    scored = carried(docs, kept, id=docs[id_col], m=_posteriors(docs[text_col], model)).select("row", "id", "m.tokens", "m.p")
     scratch = Scratch(docs.sparkSession, "mixing")
-    light = scratch.keep(scored.select("tokens", "p"), "posteriors")
-    steps, _, _ = fit_rates(light, domains, weights, anchor, tolerance, max_steps)
-    scratch.drop(light)
+    scored = scratch.keep(scored, "posteriors")
+    steps, _, _ = fit_rates(scored.select("tokens", "p"), domains, weights, anchor, tolerance, max_steps)
     draw = F.pmod(F.xxhash64(F.lit(11), F.col("id")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     copies = F.floor(F.col("rate") + (F.lit(0.5) if rounding == "nearest" else draw))
     named = F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), F.col("p"))

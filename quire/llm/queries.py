@@ -59,7 +59,7 @@ FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >=
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").selectExpr("doc_id", f"{DOMAIN} AS domain")
-    out = mix_to_weights(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, {"clean": 0.95, "low": 0.05, "toxic": 0.0}, anchor="clean")
+    out = mix_to_weights(table(spark, sf_dir, "documents").select("doc_id", "text"), labels, {"clean": 0.95, "low": 0.05, "toxic": 0.0}, anchor="clean", carry=["doc_id"])
     return out.select("row.doc_id", "tokens", *[F.coalesce(F.col("posteriors")[d], F.lit(0.0)).alias(f"p_{d}") for d in ("clean", "low", "toxic")], "rate", "copies")
 
 

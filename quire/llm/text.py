@@ -15,6 +15,6 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def carried(df, **own: Column):
-    """``row`` (all columns of ``df``) beside the columns in ``own``."""
-    return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *[c.alias(k) for k, c in own.items()])
+def carried(df, kept: list[str] | None = None, **own: Column):
+    """``row`` (the columns ``kept`` of ``df``, all by default) beside the columns in ``own``."""
+    return df.select(F.struct(*[df[c] for c in (df.columns if kept is None else kept)]).alias("row"), *[c.alias(k) for k, c in own.items()])
