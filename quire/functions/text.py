@@ -264,3 +264,46 @@ def fix_equation_html(text: Column) -> Column:
     """One block of display maths, or an empty text if there is none."""
     t = F.regexp_replace(F.regexp_replace(text, r"</?p[^>]*>", ""), r"<math[^>]*>", '<math display="block">')
     return F.when(text.contains("<math"), F.regexp_replace(F.replace(t, F.lit("<br>"), F.lit("")), r"^(\\n|\s)+|(\\n|\s)+$", "")).otherwise("")
+
+
+#: Fixed ranges of Arabic-script letters that make words (no tatweel, no joiner).
+ARABIC_LETTERS = "ء-غف-يً-ٰٕٱ-ۓەۥ-ۦۮ-ۯۺ-ۿ"
+TATWEEL = "ـ"
+
+
+def tokens(text: Column) -> Column:
+    """Arabic-script words; a joiner ends a word, a tatweel is left out."""
+    return F.regexp_extract_all(F.replace(normalize_fa(text), F.lit(TATWEEL), F.lit("")), F.lit(f"([{ARABIC_LETTERS}]+)"))
+
+
+def joined_tokens(text: Column) -> Column:
+    """The same with joiners read through."""
+    return F.regexp_extract_all(F.translate(normalize_fa(text), TATWEEL + ZWNJ, ""), F.lit(f"([{ARABIC_LETTERS}]+)"))
+
+
+def word_forms(text: Column) -> Column:
+    """Both readings, each word once."""
+    return F.array_union(tokens(text), joined_tokens(text))
+
+
+def format_span(text: Column, formats: Column, url: Column, superscript: Column) -> Column:
+    """A span's html: newlines out, escaped, superscript, link, and the first format that applies."""
+    t = F.regexp_replace(text, r"^[\r\n]+", "")
+    t = F.when(t.rlike(r"[\r\n]$"), F.concat(F.regexp_replace(t, r"[\r\n]+$", ""), F.when(F.regexp_replace(t, r"[\r\n]+$", "").endswith("-"), F.lit("")).otherwise(F.lit(" ")))).otherwise(t)
+    t = F.replace(t, F.lit("-\n"), F.lit(""))
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        t = F.replace(t, F.lit(char), F.lit(entity))
+    raised = F.when(t.rlike(r"^[0-9\W]+"), F.regexp_replace(t, r"^([0-9\W]+)(.*)", "<sup>$1</sup>$2")).otherwise(F.concat(F.lit("<sup>"), t, F.lit("</sup>")))
+    t = F.when(superscript, raised).otherwise(t)
+    t = F.when(url.isNotNull(), F.concat(F.lit("<a href='"), url, F.lit("'>"), t, F.lit("</a>"))).otherwise(t)
+    tags = {"italic": "i", "bold": "b", "highlight": "mark", "subscript": "sub", "superscript": "sup", "underline": "u", "small": "small", "code": "code"}
+    out = t
+    for name, tag in reversed(tags.items()):
+        out = F.when(F.array_contains(formats, name), F.concat(F.lit(f"<{tag}>"), t, F.lit(f"</{tag}>"))).otherwise(out)
+    return out
+
+
+def clean_table_html(text: Column) -> Column:
+    """Empty unless it has a table with a cell; attributes other than spans go."""
+    bare = F.regexp_replace(text, r"<(table|tbody|thead|tr)\b[^>]*>", "<$1>")
+    return F.when(text.rlike(r"(?i)<table\b") & text.rlike(r"(?i)<t[dh]\b"), F.btrim(bare)).otherwise("")
