@@ -60,9 +60,9 @@ def line_self_overlap(lines: DataFrame, least_area: float = 0.1, most: int = 2,
 
 
 def choose_text_source(pages: DataFrame) -> DataFrame:
-    """``source``: pdftext for pages with lines whose text, coverage and overlaps are all good, else surya."""
+    """``source``: embedded for pages with lines whose text, coverage and overlaps are all good, else ocr."""
     good = (F.coalesce("n_lines", F.lit(0)) > 0) & ~F.coalesce("bad_text", F.lit(False)) & F.coalesce("coverage_ok", F.lit(True)) & F.coalesce("overlap_ok", F.lit(True))
-    return pages.withColumn("source", F.when(good, "pdftext").otherwise("surya"))
+    return pages.withColumn("source", F.when(good, "embedded").otherwise("ocr"))
 
 
 def refs_to_blocks(refs: DataFrame, blocks: DataFrame) -> DataFrame:

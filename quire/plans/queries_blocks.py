@@ -317,7 +317,7 @@ def _j4(s, d):
 @_query(
     "j5_choose_text_source",
     """, g AS (SELECT doc_id, page_id, count(*) AS n, max(length(text)) % 5 = 0 AS bad, min(length(text)) % 3 > 0 AS cov FROM lines_boxed GROUP BY ALL)
-SELECT doc_id, page_id, CASE WHEN n > 0 AND NOT bad AND cov THEN 'pdftext' ELSE 'surya' END AS source FROM g""",
+SELECT doc_id, page_id, CASE WHEN n > 0 AND NOT bad AND cov THEN 'embedded' ELSE 'ocr' END AS source FROM g""",
     "lines_boxed",
 )
 def _j5(s, d):
