@@ -37,9 +37,9 @@ from quire.session import Scratch, bounded_batches
 MAGIC = b"S8BTOK01"
 BLOCK = 1 << 14
 #: Entries of a Python worker's word table; longer words aren't kept.
-MEMO, KEEP = 700_000, 40
+MEMO, KEEP = 400_000, 40
 #: Code points of text between two runs of the library.
-TOGETHER = 2_000_000
+TOGETHER = 1_000_000
 NULL_ID = -(1 << 63)
 _ODD = re.compile("[\x1c-\x1f]")
 _CHUNK = re.compile(r"\s*\S+|\s+")
