@@ -24,8 +24,14 @@ def encode_block(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     width = np.where((width > 60) & (ids < _ESCAPE), 60, width)
     at = np.arange(n)
     choice = np.zeros(n, dtype=np.int64)
+    most, by_width = int(width.max()), np.cumsum(np.bincount(width, minlength=62))
     for s in range(15, 0, -1):  # few wide ids first, so that the most ids win
         count, bits = SELECTORS[s]
+        if bits >= most:
+            choice[:] = s
+            continue
+        if by_width[bits] < count and width[-1] > bits:
+            continue  # too few narrow ids for a word
         wide = np.where(width > bits, at, n)
         run = np.minimum.accumulate(wide[::-1])[::-1] - at
         choice[run >= np.minimum(count, n - at)] = s
