@@ -3,9 +3,9 @@ from quire.llm.linededup import line_dedup
 
 def test_awkward_rows(documents):
     common = "  Shared LINE\t"
-    rows = [(i, f"own {i}\n{common}\n\n{common}\nend") for i in range(10)] + [(20, None), (21, ""), (22, "\n\n"), (None, "shared line\nalone"), (30, "only"), (30, "only"), (40, "x\n" * 5000 + "SHARED line")]
+    rows = [(i, f"own {i}\n{common}\n\n{common}\nend {i}") for i in range(10)] + [(20, None), (21, ""), (22, "\n\n"), (None, "shared line\nalone"), (30, "only"), (30, "only"), (40, "x\n" * 5000 + "SHARED line")]
     got = {(r.row.doc_id, r.row.text): r for r in line_dedup(documents(rows, extra=True)).collect()}
-    assert got[(3, rows[3][1])].kept_text == "own 3\n\nend" and got[(3, rows[3][1])].n_lines == 5 and got[(3, rows[3][1])].n_dropped == 2
+    assert got[(3, rows[3][1])].kept_text == "own 3\n\nend 3" and got[(3, rows[3][1])].n_lines == 5 and got[(3, rows[3][1])].n_dropped == 2
     assert (got[(20, None)].n_lines, got[(20, None)].kept_text) == (1, "")
     assert got[(22, "\n\n")].kept_text == "\n\n"
     assert got[(None, "shared line\nalone")].kept_text == "alone"
