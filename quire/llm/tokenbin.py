@@ -37,7 +37,7 @@ from quire.session import Scratch, bounded_batches
 MAGIC = b"S8BTOK01"
 BLOCK = 1 << 14
 #: Entries of a Python worker's word table; longer words aren't kept.
-MEMO, KEEP = 400_000, 40
+MEMO, KEEP = 500_000, 40
 #: Code points of text between two runs of the library.
 TOGETHER = 1_000_000
 NULL_ID = -(1 << 63)
