@@ -2,17 +2,20 @@
 
 1. Each text is measured (one vectorised helper, whole texts): words, word characters, symbols,
    lines that repeat an earlier one, words inside repeated 3-word windows.
-2. Rates of these (integers, per 1,000) go into sketches, one for each language, source and rate.
+2. Rates of these (integers, per 1,000) go into sketches, one for each language, source and rate;
+   documents that fail the fixed base rule are out anyway and have no say.
    A sketch is a table of (bin, count) with 64 bins an octave, so it errs by 1/64 at most; two
    sketches merge by adding counts, in any order, with the same result. Counts of (language,
    source) merge into those of the language and of all documents.
-3. The threshold of a rate is q75 + SPREAD * (q75 - q25) of its group, never under the rate's floor.
-   A group of fewer than ``min_group`` documents takes its language's sketch, and a language of
-   fewer that of all documents.
+3. The threshold of a rate is drawn from its group's distribution: MARGIN times its TAIL quantile, at
+   least 1/TIGHTEST of the rate's fixed value, at most that value. Only the bulk can lift it above:
+   to q50 + SPREAD * (q50 - q25), if that is more. A language's threshold never exceeds that of all
+   documents, a source's never that of its language. A group of fewer than ``min_group`` documents
+   takes its language's threshold, and a language of fewer that of all documents.
 4. Thresholds are joined back to the documents: over a threshold, or failing the fixed base rule, is out.
 
-Quartiles stay put while under a quarter of a group is junk, so junk does not raise its own limit,
-and the floors keep a uniform group from losing clean documents.
+The lower quartiles stay put while under half of a group is junk, and junk in the tail only brings the
+fixed value back, so a source full of junk can't raise its own threshold above that of its language.
 
 * null or empty text: no words, so the base rule fails. null language or source: groups of their own.
 * Ties: a value equal to the threshold stays. Repeated rows each count and return. Empty table: no rows.
@@ -40,9 +43,11 @@ from quire.session import Scratch, bounded_batches
 
 MAX_BROADCAST = 20_000
 SALTS = 64
-#: Rates and the least values their thresholds may take (per 1,000 words, or lines).
+#: Rates and the fixed values of their thresholds (per 1,000 words, or lines): no tail lifts one above it, only a bulk beyond it.
 FLOORS = {"symbol_rate": 100, "dup_line_rate": 500, "repeat_rate": 300}
 SPREAD = 3
+#: Percent of a group below its tail, how far above the tail a threshold lies, and the part of the fixed value it may shrink to.
+TAIL, MARGIN, TIGHTEST = 99, 2, 4
 _SYMBOLS = "#*$%&|<>"
 _MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_text_lines")
 
@@ -94,9 +99,10 @@ BIN_FLOOR = "if(b < 128, cast(b as bigint), shiftleft(cast(b % 64 + 64 as bigint
 
 
 def rate_sketches(measured: DataFrame) -> DataFrame:
-    """(lang, source, rate, b, n): the sketches of all groups, as tables of bins."""
+    """(lang, source, rate, b, n): the sketches of all groups, as tables of bins; ``n`` counts what passes the base rule."""
     rates = F.create_map(*[x for k in FLOORS for x in (F.lit(k), F.col(k))])
-    return measured.select("lang", "source", F.explode(rates).alias("rate", "value")).groupBy("lang", "source", "rate", F.expr(SKETCH_BIN).alias("b")).agg(F.count("*").alias("n"))
+    exploded = measured.select("lang", "source", "base_failed", F.explode(rates).alias("rate", "value"))
+    return exploded.groupBy("lang", "source", "rate", F.expr(SKETCH_BIN).alias("b")).agg(F.count_if(~F.col("base_failed")).alias("n"))
 
 
 def _limits(sketch: DataFrame, keys: list[str], name: str) -> DataFrame:
@@ -107,21 +113,24 @@ def _limits(sketch: DataFrame, keys: list[str], name: str) -> DataFrame:
     value = F.expr(BIN_FLOOR)
     q = run.groupBy(*keys, "rate").agg(
         F.max("docs").alias(f"{name}_docs"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("docs"), value)).alias("q25"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("docs") * 3, value)).alias("q75"),
+        *[F.min(F.when(F.col("upto") * 100 >= F.col("docs") * percent, value)).alias(f"q{percent}") for percent in (25, 50, TAIL)],
     )
-    return q.select(*keys, "rate", f"{name}_docs", (F.col("q75") + SPREAD * (F.col("q75") - F.col("q25"))).alias(f"{name}_limit"))
+    fixed = F.create_map(*[F.lit(x) for kv in FLOORS.items() for x in kv])[F.col("rate")].cast("long")
+    tail = F.least(fixed, F.col(f"q{TAIL}") * MARGIN)
+    limit = F.greatest(F.floor(fixed / TIGHTEST), tail, F.col("q50") + SPREAD * (F.col("q50") - F.col("q25")))
+    return q.select(*keys, "rate", f"{name}_docs", limit.alias(f"{name}_limit"))
 
 
 def rate_thresholds(sketch: DataFrame, min_group: int) -> DataFrame:
-    """(lang, source, a limit for each rate)."""
+    """(lang, source, a limit for each rate): no group's is above that of the group it is part of."""
     own, of_lang, of_all = _limits(sketch, ["lang", "source"], "own"), _limits(sketch, ["lang"], "lang"), _limits(sketch, [], "all")
+    within = lambda name, parent: F.when(F.col(f"{name}_docs") >= min_group, F.least(f"{name}_limit", parent)).otherwise(parent)
     joined = (
         own.alias("o").join(of_lang.alias("l"), F.col("o.lang").eqNullSafe(F.col("l.lang")) & (F.col("o.rate") == F.col("l.rate")))
         .join(of_all.alias("a"), F.col("o.rate") == F.col("a.rate"))
-        .select("o.lang", "o.source", "o.rate", F.when(F.col("own_docs") >= min_group, F.col("own_limit")).when(F.col("lang_docs") >= min_group, F.col("lang_limit")).otherwise(F.col("all_limit")).alias("limit"))
+        .select("o.lang", "o.source", "o.rate", within("own", within("lang", F.col("all_limit"))).alias("limit"))
     )
-    return joined.groupBy("lang", "source").agg(*[F.greatest(F.lit(floor), F.max(F.when(F.col("rate") == k, F.col("limit")))).alias(f"max_{k}") for k, floor in FLOORS.items()])
+    return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("rate") == k, F.col("limit"))).alias(f"max_{k}") for k in FLOORS])
 
 
 def quality_rules(
@@ -133,6 +142,8 @@ def quality_rules(
     m = carried(docs, lang=docs[lang_col], source=docs[source_col], m=_measure(docs[text_col])).select("row", "lang", "source", "m.*")
     rate = lambda k, of: F.when(F.col(of) > 0, F.expr(f"1000 * {k} div {of}")).otherwise(F.lit(0)).cast("long")
     m = m.withColumns({"symbol_rate": rate("n_symbols", "n_words"), "dup_line_rate": rate("n_dup_lines", "n_text_lines"), "repeat_rate": rate("n_repeat_words", "n_words")})
+    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
+    m = m.withColumn("base_failed", base)
     limits = scratch.keep(rate_thresholds(rate_sketches(m), min_group), "limits")
     m = m.withColumn("salt", F.pmod(F.xxhash64("n_words", "word_chars", "n_symbols"), F.lit(SALTS)).cast("int"))
     at = m["lang"].eqNullSafe(limits["lang"]) & m["source"].eqNullSafe(limits["source"])
@@ -141,8 +152,7 @@ def quality_rules(
     else:
         salted = limits.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = m.join(salted, m["lang"].eqNullSafe(salted["lang"]) & m["source"].eqNullSafe(salted["source"]) & (m["salt"] == salted["salt"]), "left")
-    base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
     over = F.lit(False)
     for k in FLOORS:
         over = over | (F.col(k) > F.col(f"max_{k}"))
-    return joined.select("row", *_MEASURES, *FLOORS, *[f"max_{k}" for k in FLOORS], base.alias("base_failed"), (~base & ~over).alias("kept"))
+    return joined.select("row", *_MEASURES, *FLOORS, *[f"max_{k}" for k in FLOORS], "base_failed", (~F.col("base_failed") & ~over).alias("kept"))

@@ -54,3 +54,23 @@ def test_the_join_beyond_the_broadcast_gives_the_same(spark, documents, monkeypa
     small = key(quality_rules(df))
     monkeypatch.setattr("quire.llm.quality.MAX_BROADCAST", 0)
     assert key(quality_rules(df)) == small
+
+
+def _text(seed, lines=20, repeated=0, symbols=0):
+    """Lines of 5 words of their own; the last ``repeated`` ones are copies of the first."""
+    own = [" ".join(f"w{seed}x{i}y{j}" for j in range(5)) for i in range(lines - repeated)]
+    return "\n".join(own + own[:1] * repeated + ["#" * symbols] * (symbols > 0))
+
+
+def test_thresholds_follow_the_group_and_junk_raises_none(spark):
+    rows = [(i, _text(i), "en", "strict", 0) for i in range(300)]
+    rows += [(1000 + i, _text(i, repeated=i % 5), "en", "loose", 0) for i in range(300)]
+    rows += [(2000 + i, _text(i, symbols=300 * (i % 5 < 2)), "en", "junk", 0) for i in range(300)]
+    rows += [(3000, _text("p", repeated=4), "en", "strict", 0), (3001, _text("p", repeated=4), "en", "loose", 0), (3002, _text("p", repeated=4), "en", "few", 0)]
+    out = {r.row.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")).collect()}
+    assert out[3000].dup_line_rate == out[3001].dup_line_rate == 200 and not out[3000].base_failed
+    assert (out[3000].kept, out[3001].kept, out[3002].kept) == (False, True, True)
+    assert out[3000].max_dup_line_rate < out[3001].max_dup_line_rate < 500
+    assert all(out[i].kept for i in range(300)) and all(out[1000 + i].kept for i in range(300))
+    assert [out[2000 + i].kept for i in range(300)] == [i % 5 >= 2 for i in range(300)]
+    assert out[2000].max_symbol_rate <= out[3002].max_symbol_rate == 100 and out[0].max_symbol_rate < 100
