@@ -49,3 +49,10 @@ def test_stages_on_an_empty_table(spark):
     for _, stage in cp.STAGES:
         docs_out = stage(spark, docs, SF)
         assert docs_out.count() == 0
+
+
+def test_lines_keep_every_row(spark, documents):
+    copies = [(i, "a clean text\nof two lines") for i in range(12)]
+    docs = documents([*copies, (20, "a clean text\nand one of its own"), (21, ""), (22, None)])
+    got = {r.doc_id: (r.text, r.n_chars) for r in cp.stage_lines(spark, docs, SF).collect()}
+    assert got == {**{i: ("", 0) for i, _ in copies}, 20: ("and one of its own", 18), 21: ("", 0), 22: ("", 0)}
