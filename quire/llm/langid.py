@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from quire.llm.text import carried
 from quire.session import bounded_batches
 
-#: Code points of a block; classes of code points (0 separates, the last holds letters unknown to all samples).
+#: Code points of a block; columns of the table of steps (0 separates, the last is for letters unknown to all samples). Further letters are looked up.
 BLOCK, CLASSES = 1024, 64
 #: Labels that can be languages.
 MAX_LANGS = 1000
@@ -95,9 +95,11 @@ def _automaton(key, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 class CrossParser:
-    """The automata of all languages as one table of steps.
+    """The automata of all languages as one table of steps, and a sorted list of edges.
 
-    A cell holds the next state and, in its lowest bit, whether this code point starts a phrase.
+    A cell holds the next state and, in its lowest bit, whether this code point starts a phrase. The
+    letters with most edges have a column; classes from ``CLASSES`` on are the other letters of
+    the samples, whose edges are found by (state, letter). Every edge is in one or the other.
     """
 
     def __init__(self, automata: list[tuple[str, int, bytes]]):
@@ -105,23 +107,45 @@ class CrossParser:
         self.langs = [a[0] for a in automata]
         edges = [np.frombuffer(a[2], dtype="<i4").reshape(-1, 3) for a in automata]
         seen, counts = np.unique(np.concatenate([e[:, 1] for e in edges]), return_counts=True)
-        common = seen[np.lexsort((seen, -counts))]
-        common = common[common != 0][: CLASSES - 2]
-        self.classes = np.full(sys.maxunicode + 1, CLASSES - 1, dtype=np.uint8)
+        letters = seen[np.lexsort((seen, -counts))]
+        letters = letters[letters != 0]
+        common, rare = letters[: CLASSES - 2], letters[CLASSES - 2 :]
+        self.rare = len(rare)
+        self.classes = np.full(sys.maxunicode + 1, CLASSES - 1, dtype=np.min_scalar_type(CLASSES - 1 + len(rare)))
         self.classes[0] = 0
         self.classes[common] = np.arange(1, len(common) + 1)
+        self.classes[rare] = np.arange(CLASSES, CLASSES + len(rare))
         bases = np.cumsum([0, *(a[1] + 1 for a in automata)])  # the last state of each has no transition
-        self.start = (bases[1:] - 1).tolist()
+        self.first, self.start = bases[:-1], (bases[1:] - 1).tolist()
         self.step = np.empty(int(bases[-1]) * CLASSES, dtype=np.int32)
+        keys, to = [], []
         for base, (_, states, _), e in zip(bases.tolist(), automata, edges, strict=False):
-            kind = self.classes[e[:, 1]]
-            known = kind != CLASSES - 1
+            kind = self.classes[e[:, 1]].astype(np.int64)
+            near = kind < CLASSES
             first = np.full(CLASSES, (base + states) * 2 + 1, dtype=np.int32)  # an unknown code point is a phrase by itself
-            mine = (e[:, 0] == 0) & known
+            mine = (e[:, 0] == 0) & near
             first[kind[mine]] = (base + e[mine, 2]) * 2 + 1
             step = self.step[base * CLASSES : (base + states + 1) * CLASSES].reshape(states + 1, CLASSES)
             step[:] = first
-            step[e[known, 0], kind[known]] = (base + e[known, 2]) * 2
+            step[e[near, 0], kind[near]] = (base + e[near, 2]) * 2
+            keys.append((base + e[~near, 0].astype(np.int64)) * self.rare + kind[~near] - CLASSES)
+            to.append((base + e[~near, 2]) * 2)
+        self.keys, self.to = np.concatenate(keys), np.concatenate(to)
+        order = np.argsort(self.keys)
+        self.keys, self.to = self.keys[order], self.to[order]
+
+    def _look(self, key: np.ndarray) -> np.ndarray:
+        """Cells of the edges of these keys, -1 where there is none."""
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.to[at], -1)
+
+    def _rare_steps(self, state: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Cells for letters without a column: from the state, else from the start, else as unknown."""
+        letter = kind.astype(np.int64) - CLASSES
+        on = self._look(state.astype(np.int64) * self.rare + letter)
+        anew = self._look(self.first[:, None] * self.rare + letter)
+        alone = np.array(self.start)[:, None] * 2
+        return np.where(on >= 0, on, np.where(anew >= 0, anew, alone) + 1)
 
     def phrases(self, blocks: list[np.ndarray]) -> np.ndarray:
         """Phrases of each block in each language."""
@@ -132,7 +156,7 @@ class CrossParser:
             part = order[lo : lo + LANES]
             width = len(blocks[part[0]])
             lengths = np.array([len(blocks[i]) for i in part])
-            grid = np.zeros((width, len(part)), dtype=np.uint8)
+            grid = np.zeros((width, len(part)), dtype=self.classes.dtype)
             for lane, i in enumerate(part):
                 grid[: lengths[lane], lane] = blocks[i]
             upto = np.searchsorted(-lengths, -np.arange(1, width + 1), side="right")  # lanes that reach each column
@@ -140,7 +164,11 @@ class CrossParser:
             count = np.zeros((k, len(part)), dtype=np.int32)
             for column in range(width):
                 n = upto[column]
-                cell = self.step[state[:, :n] + grid[column, :n]]
+                kind = grid[column, :n]
+                far = np.flatnonzero(kind >= CLASSES) if self.rare else ()
+                cell = self.step[state[:, :n] + (np.minimum(kind, CLASSES - 1) if len(far) else kind)]
+                if len(far):
+                    cell[:, far] = self._rare_steps(state[:, far] // CLASSES, kind[far])
                 count[:, :n] += cell & 1
                 state[:, :n] = (cell >> 1) * CLASSES
             out[part] = count.T

@@ -49,3 +49,21 @@ def test_awkward_rows(spark, documents):
     assert got[(4, "le chien")][0] == "fr" and got[(5, "the dog t")][0] == "en" and got[(None, "ЖЖЖ")][0] == "en"
     assert {r.lang_pred for r in identify(documents(rows), []).collect()} == {"und"}
     assert identify(documents([]), known).count() == 0
+
+
+def test_letters_beyond_the_table_keep_their_edges():
+    r = np.random.default_rng(5)
+    samples = {"a": r.integers(97, 123, 600).tolist(), "b": r.integers(0x4E00, 0x4E00 + 400, 900).tolist() * 2, "c": r.integers(0x4E00 + 200, 0x4E00 + 600, 900).tolist() * 2}
+    automata = []
+    for lang, s in samples.items():
+        go = suffix_automaton(s)
+        edges = np.array([(i, c, t) for i, to in enumerate(go) for c, t in sorted(to.items())], dtype="<i4")
+        automata.append((lang, len(go), edges.tobytes()))
+    parser = CrossParser(automata)
+    for lang in samples:
+        for _ in range(10):
+            at = r.integers(0, 500)
+            text = np.array([*samples[lang][at : at + 40], *r.integers(97, 123, 3), *r.integers(0x4E00, 0x4E00 + 700, 20), *samples[lang][:30]])
+            got = parser.phrases([parser.classes[text], parser.classes[text[:50]]]).tolist()
+            assert got == [[_phrases(samples[x], t) for x in samples] for t in (text.tolist(), text[:50].tolist())]
+    assert [parser.predict(["".join(map(chr, samples[x][100:300]))])[0][0] for x in samples] == ["a", "b", "c"]
