@@ -1,6 +1,6 @@
 """Language identification by cross-parsing entropy.
 
-Learning: a bounded sample of labelled texts per language (``sample_chars`` code points, chosen by
+Learning: a bounded sample of distinct labelled texts per language (``sample_chars`` code points, chosen by
 hash) is folded to letters and single separators, and a suffix automaton of it is built, one Spark
 task per language. Predicting: each whole text is folded and cut into blocks of ``BLOCK`` code points; a
 block is parsed greedily into the longest phrases that occur in the sample, by walking the automaton
@@ -14,8 +14,9 @@ score = 1 - fewest / second fewest phrases (0 to 1; 1 when one language is known
 * Very long texts are many blocks, parsed side by side in bounded groups. Extra columns travel in ``row``.
 
 Scale: what is gathered is bounded by the number of languages times ``sample_chars``; scoring is a
-scan without a shuffle. The share of labelled rows to read is set from one count per language; of more
-than ``MAX_LANGS`` labels it refuses to learn.
+scan without a shuffle. Which hashes to read is set from a histogram per language over its distinct texts,
+64 bins an octave of the hash, so what is read exceeds the aim by a few hundredths or by the least bin. Of more than
+``MAX_LANGS`` labels it refuses to learn, and so it does if a labelled language has no sample.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from quire.llm.text import carried
 from quire.session import bounded_batches
@@ -37,6 +39,9 @@ from quire.session import bounded_batches
 BLOCK, CLASSES = 1024, 64
 #: Labels that can be languages.
 MAX_LANGS = 1000
+#: Code points read for each one of the bound; bin of the hash ``order`` (63 bits): itself under 128, then its upper 7 bits.
+FILL = 4
+HASH_BIN = "cast(greatest(0, length(bin(order)) - 7) * 64 + shiftrightunsigned(order, greatest(0, length(bin(order)) - 7)) as int)"
 #: Blocks parsed side by side.
 LANES = 4096
 
@@ -202,20 +207,26 @@ _parsers: dict[bytes, CrossParser] = {}
 def learn_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_chars: int = 50_000) -> list[tuple[str, int, bytes]]:
     """The automata (language, states, edges), each of at most ``sample_chars`` code points.
 
-    Texts enter by the order of a hash of the text, never by id; a share of them is read that is
-    expected to hold four times the bound.
+    The distinct texts of least hash enter that hold ``FILL`` times the bound (a sample is folded, so it
+    shrinks), or all there are; never by id. A text counts once however often it is copied.
     """
     rows = labelled.select(labelled[text_col].alias("text"), labelled[lang_col].alias("lang")).where(F.col("lang").isNotNull() & (F.length(F.coalesce(F.col("text"), F.lit(""))) > 0))
-    rows = rows.withColumn("order", F.xxhash64(F.lit(7), F.col("text")))
-    sizes = rows.groupBy("lang").agg(F.sum(F.length("text")).alias("chars"))
-    known = sizes.select("lang", F.least(F.lit(1.0), F.lit(4.0 * sample_chars) / F.col("chars")).alias("share")).limit(MAX_LANGS + 1).collect()
+    rows = rows.select("lang", F.substring("text", 1, sample_chars).alias("text"), F.shiftrightunsigned(F.xxhash64(F.lit(7), F.col("text")), 1).alias("order"))
+    rows = rows.withColumn("b", F.expr(HASH_BIN))
+    texts = rows.groupBy("lang", "b", "order").agg(F.max(F.length("text")).alias("chars"))
+    bins = texts.groupBy("lang", "b").agg(F.sum("chars").alias("chars"))
+    w = Window.partitionBy("lang").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("chars").over(w), F.lit(0))
+    cuts = bins.select("lang", "b", before.alias("before")).where(F.col("before") < FILL * sample_chars).groupBy("lang").agg(F.max("b").alias("cut"))
+    known = cuts.limit(MAX_LANGS + 1).collect()
     if len(known) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} labels: these are no languages")
-    share = F.broadcast(labelled.sparkSession.createDataFrame(known, "lang string, share double"))  # MAX_LANGS rows at most
-    part = rows.join(share, "lang").where(F.pmod(F.col("order"), F.lit(1 << 40)) < F.col("share") * F.lit(float(1 << 40)))
-    part = part.select("lang", F.substring("text", 1, sample_chars).alias("text"), "order", F.lit(sample_chars).alias("bound"))
-    built = part.groupBy("lang").applyInPandas(_automaton, "lang string, states int, edges binary")
-    return [(r.lang, r.states, bytes(r.edges)) for r in built.collect()]
+    cut = F.broadcast(labelled.sparkSession.createDataFrame(known, "lang string, cut int"))  # MAX_LANGS rows at most
+    part = rows.join(cut, "lang").where(F.col("b") <= F.col("cut")).groupBy("lang", "order").agg(F.max("text").alias("text"))
+    built = part.withColumn("bound", F.lit(sample_chars)).groupBy("lang").applyInPandas(_automaton, "lang string, states int, edges binary").collect()
+    if lost := {r.lang for r in known} - {r.lang for r in built}:
+        raise ValueError(f"no sample of {sorted(lost)}")
+    return [(r.lang, r.states, bytes(r.edges)) for r in built]
 
 
 def identify(docs: DataFrame, automata: list[tuple[str, int, bytes]], text_col: str = "text") -> DataFrame:

@@ -67,3 +67,15 @@ def test_letters_beyond_the_table_keep_their_edges():
             got = parser.phrases([parser.classes[text], parser.classes[text[:50]]]).tolist()
             assert got == [[_phrases(samples[x], t) for x in samples] for t in (text.tolist(), text[:50].tolist())]
     assert [parser.predict(["".join(map(chr, samples[x][100:300]))])[0][0] for x in samples] == ["a", "b", "c"]
+
+
+def test_every_labelled_language_has_a_sample(spark):
+    r = np.random.default_rng(7)
+    word = lambda low: "".join(map(chr, r.integers(97 + low, 97 + low + 5, 5)))
+    long = {lang: [" ".join(word(low) for _ in range(2000)) for _ in range(2)] for lang, low in (("a", 0), ("b", 4), ("c", 8), ("d", 12), ("e", 16), ("f", 20))}
+    copied, others = "qq " * 60, [" ".join(word(21) for _ in range(20)) for _ in range(2)]
+    rows = [(t, lang) for lang, texts in long.items() for t in texts] + [(copied, "copies")] * 3000 + [(t, "copies") for t in others]
+    found = learn_languages(spark.createDataFrame(rows, "text string, lang string").repartition(4), sample_chars=500)
+    assert [x[0] for x in sorted(found)] == ["a", "b", "c", "copies", "d", "e", "f"]
+    letters = {chr(c) for lang, _, e in found if lang == "copies" for c in np.frombuffer(e, dtype="<i4").reshape(-1, 3)[:, 1] if c}
+    assert letters == set(copied + " ".join(others)) - {" "}
