@@ -16,8 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``, shared by driver and executors.
 
-    Where the session leaves it unset (tests in local mode) a temporary folder is made once
-    per context; on a cluster the setting must name a shared folder.
+    Where a local session leaves it unset (as tests may) a temporary folder is made once per context;
+    on a cluster that is an error, as executors can't see each other's folders.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
@@ -25,24 +25,30 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     own = context.getCheckpointDir()
     if not own:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-quire-"))
         own = context.getCheckpointDir()
     return own.rstrip("/")
 
 
-#: Rows that Spark hands to a Python worker at a time.
-BATCH_ROWS = 1000
+#: Rows, and bytes, that Spark hands to a Python worker at a time.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
 def bounded_batches(spark: SparkSession | None = None) -> None:
-    """Lower the session's Arrow batch to ``BATCH_ROWS`` rows, so that whole texts fit a worker's memory.
+    """Lower the session's Arrow batch to ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes, so that whole texts fit a worker's memory.
 
-    A smaller setting of the session stays.
+    A smaller setting of the session stays. The lowered one holds for the session's later queries too:
+    Spark reads it when a query runs, not when it is declared.
     """
     spark = spark or SparkSession.active()
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
-        spark.conf.set(key, BATCH_ROWS)
+    key = "spark.sql.execution.arrow.max%sPerBatch"
+    if not 0 < int(spark.conf.get(key % "Records")) <= BATCH_ROWS:
+        spark.conf.set(key % "Records", BATCH_ROWS)
+    bytes_now = spark.conf.get(key % "Bytes", None)
+    if bytes_now is None or not bytes_now.isdigit() or int(bytes_now) > BATCH_BYTES:
+        spark.conf.set(key % "Bytes", BATCH_BYTES)
 
 
 class Scratch:
