@@ -14,27 +14,36 @@ _COUNT = np.array([n for n, _ in SELECTORS])
 _ESCAPE = np.uint64(1 << 60)
 
 
+def _choices(width: np.ndarray) -> np.ndarray:
+    """For each position the selector whose word would hold the most ids from there; 0 for an escape.
+
+    A selector fits where the widest of its next ids does; the widest of a run comes from those of shorter runs.
+    """
+    n = len(width)
+    choice = np.where(width > 60, 0, 15).astype(np.uint8)
+    least = int(width.min())
+    widest, held = width, 1
+    for s in range(14, 0, -1):  # from few wide ids to many narrow ones
+        count, bits = SELECTORS[s]
+        if bits < least:
+            break  # no id is so narrow
+        while held < min(count, n):  # ids behind the end take no room
+            step = min(held, count - held)
+            widest = np.maximum(widest, np.append(widest[step:], np.zeros(min(step, n), np.uint8)))
+            held += step
+        choice[widest <= bits] = s
+    return choice
+
+
 def encode_block(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words and escapes (unsigned 64-bit) of a block's ids."""
     n = len(ids)
     if not n:
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    width = np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
     ids = ids.astype(np.uint64)
-    width = np.where(ids >= _ESCAPE, 61, np.frexp(ids.astype(np.float64))[1])
-    width = np.where((width > 60) & (ids < _ESCAPE), 60, width)
-    at = np.arange(n)
-    choice = np.zeros(n, dtype=np.int64)
-    most, by_width = int(width.max()), np.cumsum(np.bincount(width, minlength=62))
-    for s in range(15, 0, -1):  # few wide ids first, so that the most ids win
-        count, bits = SELECTORS[s]
-        if bits >= most:
-            choice[:] = s
-            continue
-        if by_width[bits] < count and width[-1] > bits:
-            continue  # too few narrow ids for a word
-        wide = np.where(width > bits, at, n)
-        run = np.minimum.accumulate(wide[::-1])[::-1] - at
-        choice[run >= np.minimum(count, n - at)] = s
+    width[(width > 60) & (ids < _ESCAPE)] = 60
+    choice = _choices(width)
     step = _COUNT[choice].tolist()
     starts, i = [], 0
     while i < n:
@@ -47,12 +56,11 @@ def encode_block(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for s in np.unique(chosen):
         count, bits = SELECTORS[s]
         rows = np.flatnonzero(chosen == s)
-        head = np.uint64(int(s) << 60)
+        word = np.full(len(rows), np.uint64(int(s) << 60))
         if bits:
-            shifts = (np.arange(count) * bits).astype(np.uint64)
-            words[rows] = head | np.bitwise_or.reduce(padded[start[rows][:, None] + np.arange(count)] << shifts, axis=1)
-        else:
-            words[rows] = head
+            for k in range(count):
+                word |= padded[start[rows] + k] << np.uint64(k * bits)
+        words[rows] = word
     return words, ids[start[chosen == 0]]
 
 

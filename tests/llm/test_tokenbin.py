@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 from oracle import SF
 from quire.llm.queries import TOKENIZERS, op9_token_file
 from quire.llm.simple8b import decode_block, encode_block
-from quire.llm.tokenbin import read_tokens, write_tokens
+from quire.llm.tokenbin import ByteBpe, read_tokens, word_borders, write_tokens
 from quire.session import Scratch
 
 PATH = os.path.join(TOKENIZERS, "byte_bpe_50k.json")
@@ -49,3 +49,42 @@ def test_awkward_rows(spark, documents, rows):
     got = sorted((r.start, r.doc_id, r.n_tokens, bytes(r.ids)) for r in out.collect())
     want = _brute(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0)))
     assert [(d, s, n, zlib.crc32(b)) for s, d, n, b in got] == want
+
+
+def test_rolled_files(spark, documents):
+    """Files are closed at documents' ends; a document longer than a file and empty ones keep their places."""
+    rows = [(i, f"document {i} " * (i % 7) + "tail") for i in range(60)] + [(60, "long words here, " * 9000), (61, None), (62, ""), (63, "end")]
+    for roll in ({"roll_ids": 100}, {"roll_docs": 5}, {"roll_ids": 1}):
+        folder = Scratch(spark, "t").path("files")
+        manifest = write_tokens(documents(rows), folder, PATH, 2, **roll)
+        files = manifest.collect()
+        assert len(files) > 5 and max(f.seq for f in files) >= 1 and len({f.name for f in files}) == len(files)
+        assert sum(f.n_docs for f in files) == len(rows)
+        got = sorted((r.doc_id, r.start, r.n_tokens, zlib.crc32(bytes(r.ids))) for r in read_tokens(manifest, folder).collect())
+        assert got == _brute(rows)
+
+
+LETTERS = ["a", "B", "é", "ß", "×", "÷", "7", "٣", "日", "ж", " ", "  ", "\n", "\t", "\u00a0", "\u2003", "\u3000", "\u0085", "\x1c", "'", "'s", "'LL", ",", "—", "…", "<|endoftext|>", "<|endof", "text|>", "🙂", "e\u0301", "_", "."]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_words_against_the_library(seed):
+    r = np.random.default_rng(seed)
+    texts = ["".join(r.choice(LETTERS, int(r.integers(0, 60)))) for _ in range(80)]
+    bpe = ByteBpe(PATH)
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    ends = np.cumsum([len(t.encode()) for t in texts])
+    parts, stops, n = [], [], 0
+    for ids, s in bpe.encode_all(data, ends):
+        parts.append(ids)
+        stops += (s + n).tolist()
+        n += len(ids)
+    ids = np.concatenate(parts).tolist()
+    assert [ids[a:b] for a, b in zip([0, *stops], stops, strict=False)] == [bpe.library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_borders():
+    text = "ab cd, 12x\u00a0 é. é ×. don't"
+    at = np.flatnonzero(word_borders(np.frombuffer(text.encode(), np.uint8)))
+    raw = text.encode()
+    assert [raw[a:b].decode() for a, b in zip(at, [*at[1:], len(raw)], strict=True)] == ["ab", " cd", ",", " 12", "x\u00a0 é", ".", " é", " ×.", " don", "'t"]
