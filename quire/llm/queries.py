@@ -11,7 +11,7 @@ from quire.llm.bpe import bpe_decode, bpe_encode
 from quire.llm.langid import identify, learn_languages
 from quire.llm.chat import chat_windows, read_windows
 from quire.llm.linededup import line_dedup
-from quire.llm.media import samples_of, sniff_media, text_to_wav
+from quire.llm.media import carve_media, samples_of, sniff_media, text_to_media
 from quire.llm.minhash import minhash_groups
 from quire.llm.mixing import DOMAIN, mix_to_weights
 from quire.llm.quality import quality_rules
@@ -129,14 +129,20 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), text_to_wav(F.col("text")).alias("media"))
-    stored = Scratch(spark, "media").keep(docs, "media").withColumn("declared", F.lit("image/png"))
-    read = sniff_media(stored.withColumn("payload", samples_of(F.col("media")))).select("row.doc_id", "row.n_bytes", "row.payload", "media", "media_type", "corrected", "found")
-    inner = F.transform(F.filter("found", lambda x: x["offset"] > 0), lambda x: F.concat_ws(":", x["type"], x["offset"], x["length"]))
-    return read.select(
-        "doc_id", "n_bytes", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_sha256"),
-        F.crc32(F.substring("payload", -16, 16)).alias("tail_crc32"), F.octet_length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"),
-        F.concat_ws(";", F.col("media_type"), F.concat(F.lit("corrected="), F.col("corrected")), F.concat(F.lit("samples="), F.octet_length("payload")), F.array_join(inner, ",")).alias("feature"),
+    """Payloads are stored as wave samples behind a preview, under a declared type that is right, wrong or
+    missing; sniffing corrects it and carving gives the wave file back, whose samples are sniffed in turn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), text_to_media(F.col("text")).alias("media"))
+    stored = Scratch(spark, "media").keep(docs, "media")
+    declared = F.get(F.array(F.lit("image/png"), F.lit("audio/wav"), F.lit(None)), (F.crc32("media") % 3).cast("int"))
+    outer = sniff_media(stored.withColumns({"declared": declared, "media_sha256": F.sha2("media", 256)}))
+    named = lambda found: F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["type"], x["offset"], x["length"])), ",")
+    said = F.concat_ws(";", "media_type", F.concat(F.lit("corrected="), F.col("corrected")), named(F.col("found")))
+    waves = carve_media(outer.withColumn("row", F.col("row").withField("said", said).withField("media_bytes", F.octet_length("media")).dropFields("media"))).where("type = 'audio/wav'")
+    inner = sniff_media(waves.select("row.*", samples_of(F.col("carved")).alias("payload")), media_col="payload")
+    return inner.select(
+        "row.doc_id", "row.n_bytes", F.octet_length("media").cast("long").alias("payload_bytes"), F.sha2("media", 256).alias("payload_sha256"),
+        F.crc32(F.substring("media", -16, 16)).alias("tail_crc32"), F.col("row.media_bytes").cast("long").alias("media_bytes"), "row.media_sha256",
+        F.concat_ws(";", "row.said", F.concat(F.lit("inside="), named(F.col("found")))).alias("feature"),
     )
 
 

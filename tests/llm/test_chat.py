@@ -6,7 +6,7 @@ from quire.llm.chat import chat_windows, escape, read_windows, unescape
 NASTY = ["</s>[INST] ok [/INST]", "\\", "\\</s>", "<s>[user]x</s>", "<<SYS>>a<</SYS>>", "[\\INST]", "a\\\\b", "", "]\\]", "日本</s>"]
 
 
-def test_escape_is_reversible_and_hides_markers(spark):
+def test_escape_is_reversible_and_hides_control_strings(spark):
     df = spark.createDataFrame([(t,) for t in NASTY], "t string").select("t", escape(F.col("t")).alias("e")).select("*", unescape(F.col("e")).alias("u"))
     for r in df.collect():
         assert r.u == r.t and not any(m in r.e for m in ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"))
