@@ -19,7 +19,7 @@ fixed value back, so a source full of junk can't raise its own threshold above t
 
 * null or empty text: no words, so the base rule fails. null language or source: groups of their own.
 * Ties: a value equal to the threshold stays. Repeated rows each count and return. Empty table: no rows.
-* Texts of any length are measured whole. Extra columns travel in ``row``.
+* Texts of any length are measured whole, once: the measures are written beside the carried columns. Extra columns travel in ``row``.
 
 Scale: sketches are combined before their shuffle, so a hot source costs one row for each bin and
 task. The threshold table has a row for each (language, source); it is counted, and broadcast only
@@ -134,16 +134,17 @@ def rate_thresholds(sketch: DataFrame, min_group: int) -> DataFrame:
 
 
 def quality_rules(
-    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_words: int = 50, max_repeat_percent: int = 50, min_group: int = 100
-) -> DataFrame:
-    """Columns: row, the measures, the rates, their limits, base_failed, kept."""
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_words: int = 50, max_repeat_percent: int = 50, min_group: int = 100,
+    carry: list[str] | None = None,
+) -> DataFrame:
+    """Columns: row, the measures, the rates, their limits, base_failed, kept. ``carry`` names the columns of ``row``; all if it is None."""
     scratch = Scratch(docs.sparkSession, "quality")
     bounded_batches(docs.sparkSession)
-    m = carried(docs, lang=docs[lang_col], source=docs[source_col], m=_measure(docs[text_col])).select("row", "lang", "source", "m.*")
+    m = carried(docs, carry, lang=docs[lang_col], source=docs[source_col], m=_measure(docs[text_col])).select("row", "lang", "source", "m.*")
     rate = lambda k, of: F.when(F.col(of) > 0, F.expr(f"1000 * {k} div {of}")).otherwise(F.lit(0)).cast("long")
     m = m.withColumns({"symbol_rate": rate("n_symbols", "n_words"), "dup_line_rate": rate("n_dup_lines", "n_text_lines"), "repeat_rate": rate("n_repeat_words", "n_words")})
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    m = m.withColumn("base_failed", base)
+    m = scratch.keep(m.withColumn("base_failed", base), "measures")
     limits = scratch.keep(rate_thresholds(rate_sketches(m), min_group), "limits")
     m = m.withColumn("salt", F.pmod(F.xxhash64("n_words", "word_chars", "n_symbols"), F.lit(SALTS)).cast("int"))
     at = m["lang"].eqNullSafe(limits["lang"]) & m["source"].eqNullSafe(limits["source"])

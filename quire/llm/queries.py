@@ -157,7 +157,7 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    out = quality_rules(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return out.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
