@@ -4,20 +4,21 @@ A turn is written ``<s>[role]text</s>``. Inside texts and roles a backslash is d
 string gets a backslash after its first character (so does ``]`` in a role), so no text can end a
 turn, and taking the character behind each backslash gives the text back.
 
-Windows: with P the tokens of the turns before a turn and ``room`` what ``budget`` leaves after the system turn
-and the history, a turn belongs to window P div room; a turn that would run over its window's end
-stands alone in a window between the two. So every window is a span of whole turns that fits the
-budget, unless a single turn doesn't. Each window starts with the system turn (the first turn, if its role is ``system``) and
-as much of the last ``history_turns`` turns as ``history`` tokens hold; these are repeated, so the loss
-mask leaves them out. It covers the texts of new assistant turns, each once over all windows.
-
-* null text or role: empty. Tokens of a turn are estimated at 4, and 1 for every 4 code points.
+Windows: ``room`` is what ``budget`` leaves after the system turn and the history. Turns fill a window in order; one
+that would run over its room starts the next, as does every 64th turn. So every window is a span of whole
+turns that fits the budget, unless a single turn, or the system turn, doesn't. Each window starts with the system turn
+(the first turn, if its role is ``system``) and as much of the last ``history_turns`` turns as ``history`` tokens hold; these
+are repeated, so the loss mask leaves them out. It covers the texts of new assistant turns, each once over all windows.
+
+* null text or role: empty. ``tokens_col`` gives the tokens of turns; without it they are estimated at 4, and 1 for every 4 code points.
 * Order is (turn, role, text), nulls first; repeated rows are turns of their own. null conversation: one of its own.
-* A very long turn is a window by itself, never cut. Empty table: no rows. Extra columns aren't carried.
+* A very long turn is a window by itself, never cut. A system turn that leaves less than ``LEAST`` tokens leaves those, over
+  the budget. Empty table: no rows. Extra columns aren't carried.
 
-Scale: token sums are combined by blocks of 64 turns, summed over blocks, then within a block, so a
-conversation with a third of all rows spreads by its blocks and windows; history is fetched by an equi-join on
-(conversation, ordinal).
+Scale: token sums are combined by blocks of 64 turns, summed over blocks, then within a block; windows are filled within
+64 turns; so a conversation with a third of all rows spreads by its blocks and windows. One row a conversation (its system turn)
+and one row a block are written before they meet, so that adaptive execution splits a hot conversation; history is
+fetched by an equi-join on (conversation, ordinal).
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from quire.session import Scratch
 
 CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 _BLOCK = 64
+#: Tokens that are left for new turns whatever the system turn takes.
+LEAST = 64
 _LEAD = r"(<(?=/?s>|<SYS>>|</SYS>>)|\[(?=/?INST\]))"
 
 
@@ -45,22 +48,37 @@ def _tokens(text: Column) -> Column:
     return (F.floor((F.char_length(text) + 3) / 4) + 4).cast("long")
 
 
+def _windows(tokens: Column, room: Column) -> Column:
+    """Ordinal at which the window of the last of some turns starts; ``tokens``: (ord, tokens) of up to 64 turns in order."""
+    start = F.struct(F.get(tokens, F.lit(0))["ord"].alias("first"), F.lit(0).cast("long").alias("used"))
+
+    def put(acc: Column, turn: Column) -> Column:
+        fits = (acc["used"] == 0) | (acc["used"] + turn["tokens"] <= room)
+        return F.struct(F.when(fits, acc["first"]).otherwise(turn["ord"]).alias("first"), F.when(fits, acc["used"] + turn["tokens"]).otherwise(turn["tokens"]).alias("used"))
+
+    return F.aggregate(tokens, start, put)["first"]
+
+
 def chat_windows(
-    turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", budget: int = 1024, history: int = 128, history_turns: int = 4
-) -> DataFrame:
-    """Columns: conv_id, window, formatted, loss_spans (start from 0 and length, in code points), n_repeated, n_turns."""
+    turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", budget: int = 1024, history: int = 128, history_turns: int = 4,
+    tokens_col: str | None = None,
+) -> DataFrame:
+    """Columns: conv_id, window, formatted, loss_spans (start from 0 and length, in code points), n_repeated, n_turns, tokens (of all its turns)."""
     scratch = Scratch(turns.sparkSession, "chat")
     empty = F.lit("")
+    tokens = _tokens(F.coalesce(turns[text_col], empty)) if tokens_col is None else F.coalesce(turns[tokens_col].cast("long"), F.lit(0))
     rows = turns.select(
-        turns[conv_col].alias("conv"), turns[turn_col].cast("long").alias("turn"), F.coalesce(turns[role_col], empty).alias("role"), F.coalesce(turns[text_col], empty).alias("text"),
-    ).select("*", F.coalesce(F.floor(F.col("turn") / _BLOCK), F.lit(-(1 << 57))).alias("block"), _tokens(F.col("text")).alias("tokens"))
+        turns[conv_col].alias("conv"), turns[turn_col].cast("long").alias("turn"), F.coalesce(turns[role_col], empty).alias("role"), F.coalesce(turns[text_col], empty).alias("text"), tokens.alias("tokens"),
+    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / _BLOCK), F.lit(-(1 << 57))))
 
-    order = ["turn", "role", "text"]
-    lead = rows.groupBy("conv").agg(F.min(F.struct(*order)).alias("f")).select("conv", (F.col("f.role") == "system").alias("has_system"), F.col("f.text").alias("system_text"))
+    order = ["turn", "role", "text", "tokens"]
+    lead = rows.groupBy("conv").agg(F.min(F.struct(*order)).alias("f")).select("conv", (F.col("f.role") == "system").alias("has_system"), F.when(F.col("f.role") == "system", F.col("f.tokens")).otherwise(0).alias("s_tokens"))
+    lead = scratch.keep(lead, "lead")
     sums = rows.groupBy("conv", "block").agg(F.count("*").alias("n"), F.sum("tokens").alias("t"))
     earlier = W.partitionBy("conv").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     base = sums.select("conv", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"), F.coalesce(F.sum("t").over(earlier), F.lit(0)).alias("t0"))
-    base = base.alias("b").join(lead.alias("l"), F.col("b.conv").eqNullSafe(F.col("l.conv"))).select("b.*", "has_system", F.when(F.col("has_system"), _tokens(F.col("system_text"))).otherwise(0).alias("s_tokens"))
+    base = scratch.keep(base, "blocks")
+    base = scratch.keep(base.alias("b").join(lead.alias("l"), F.col("b.conv").eqNullSafe(F.col("l.conv"))).select("b.*", "has_system", "s_tokens"), "blocks")
     inside = W.partitionBy("conv", "block").orderBy(*order)
     placed = (
         rows.alias("r").join(base.alias("b"), F.col("r.conv").eqNullSafe(F.col("b.conv")) & (F.col("r.block") == F.col("b.block")))
@@ -71,31 +89,35 @@ def chat_windows(
             (F.col("t0") + F.sum("tokens").over(inside.rowsBetween(W.unboundedPreceding, 0)) - F.col("tokens") - F.col("s_tokens")).alias("p"),
         )
     )
-    room = F.greatest(F.lit(64), F.lit(budget - history) - F.col("s_tokens"))
     is_system = F.col("has_system") & (F.col("ord") == 0)
-    over = (F.col("p") % F.col("room") != 0) & (F.col("p") + F.col("tokens") > (F.expr("p div room") + 1) * F.col("room"))
-    placed = placed.withColumn("room", room).select("conv", "ord", "role", "text", "p", is_system.alias("is_system"), "has_system", F.when(is_system, 0).otherwise(F.expr("p div room") * 2 + F.when(over, 1).otherwise(0)).alias("window"))
+    room = F.greatest(F.lit(LEAST), F.lit(budget - history) - F.col("s_tokens"))
+    segment = W.partitionBy("conv", F.floor(F.col("ord") / _BLOCK)).orderBy("ord").rowsBetween(W.unboundedPreceding, 0)
+    upto_here = F.collect_list(F.struct("ord", F.when(is_system, 0).otherwise(F.col("tokens")).cast("long").alias("tokens"))).over(segment)
+    placed = placed.withColumns({"is_system": is_system, "room": room, "upto": upto_here})
+    placed = placed.select("conv", "ord", "role", "text", "tokens", "p", "is_system", "has_system", _windows(F.col("upto"), F.col("room")).alias("window"))
     placed = scratch.keep(placed, "turns")
 
     spans = placed.where(~F.col("is_system")).groupBy("conv", "window").agg(F.min("ord").alias("first"), F.min("p").alias("first_p"), F.first("has_system").alias("has_system"))
+    spans = scratch.keep(spans, "windows")
     back = spans.select("*", F.explode(F.sequence(F.lit(1), F.lit(history_turns))).alias("k")).select("*", (F.col("first") - F.col("k")).alias("at"))
     said = back.alias("w").join(placed.where(~F.col("is_system")).alias("t"), F.col("w.conv").eqNullSafe(F.col("t.conv")) & (F.col("w.at") == F.col("t.ord"))).where(F.col("first_p") - F.col("t.p") <= history)
-    repeated = said.select("w.conv", "w.window", "t.ord", "t.role", "t.text", F.lit(True).alias("repeated"))
+    turn_of = ("t.ord", "t.role", "t.text", "t.tokens", F.lit(True).alias("repeated"))
+    repeated = said.select("w.conv", "w.window", *turn_of)
     system = spans.where("has_system and window > 0").alias("w").join(placed.where("is_system").alias("t"), F.col("w.conv").eqNullSafe(F.col("t.conv")))
-    system = system.select("w.conv", "w.window", "t.ord", "t.role", "t.text", F.lit(True).alias("repeated"))
-    new = placed.select("conv", "window", "ord", "role", "text", F.lit(False).alias("repeated"))
+    system = system.select("w.conv", "w.window", *turn_of)
+    new = placed.select("conv", "window", "ord", "role", "text", "tokens", F.lit(False).alias("repeated"))
 
     head = F.concat(F.lit("<s>["), F.replace(escape(F.col("role")), F.lit("]"), F.lit("\\]")), F.lit("]"))
-    written = new.unionByName(repeated).unionByName(system).select("conv", "window", "ord", "role", "repeated", head.alias("head"), escape(F.col("text")).alias("body"))
+    written = new.unionByName(repeated).unionByName(system).select("conv", "window", "ord", "role", "tokens", "repeated", head.alias("head"), escape(F.col("text")).alias("body"))
     upto = W.partitionBy("conv", "window").orderBy("ord").rowsBetween(W.unboundedPreceding, -1)
     size = F.char_length("head") + F.char_length("body") + 4
     placed_text = written.withColumn("start", F.coalesce(F.sum(size).over(upto), F.lit(0)) + F.char_length("head"))
-    turn = F.struct("ord", F.concat("head", "body", F.lit("</s>")).alias("s"), "start", F.char_length("body").cast("long").alias("length"), ((F.col("role") == "assistant") & ~F.col("repeated")).alias("loss"), "repeated")
+    turn = F.struct("ord", "tokens", F.concat("head", "body", F.lit("</s>")).alias("s"), "start", F.char_length("body").cast("long").alias("length"), ((F.col("role") == "assistant") & ~F.col("repeated")).alias("loss"), "repeated")
     grouped = placed_text.groupBy("conv", "window").agg(F.sort_array(F.collect_list(turn)).alias("ts"))
     return grouped.select(
         F.col("conv").alias("conv_id"), "window", F.array_join(F.transform("ts", lambda t: t["s"]), "").alias("formatted"),
         F.transform(F.filter("ts", lambda t: t["loss"]), lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length"))).alias("loss_spans"),
-        F.size(F.filter("ts", lambda t: t["repeated"])).alias("n_repeated"), F.size("ts").alias("n_turns"),
+        F.size(F.filter("ts", lambda t: t["repeated"])).alias("n_repeated"), F.size("ts").alias("n_turns"), F.aggregate("ts", F.lit(0).cast("long"), lambda n, t: n + t["tokens"]).alias("tokens"),
     )
 
 

@@ -79,26 +79,30 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP4_SQL = r"""
-WITH t0 AS (
+WITH RECURSIVE t0 AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 t AS (SELECT *, (length(text) + 3) // 4 + 4 AS tokens, row_number() OVER w - 1 AS ord, first_value(role) OVER w = 'system' AS has_system
   FROM t0 WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
 s AS (SELECT *, has_system AND ord = 0 AS is_system, sum(CASE WHEN has_system AND ord = 0 THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id) AS st FROM t),
-p AS (SELECT *, sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY ord) - CASE WHEN is_system THEN 0 ELSE tokens END AS p,
+p AS (SELECT *, CASE WHEN is_system THEN 0 ELSE tokens END AS new, sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY ord) - CASE WHEN is_system THEN 0 ELSE tokens END AS p,
   greatest(64, 1024 - 128 - st) AS room,
   length(role) + 9 + length(regexp_replace(replace(text, '\', '##'), '(</?s>|<</?SYS>>|\[/?INST\])', '\1#', 'g')) AS size FROM s),
-w AS (SELECT *, CASE WHEN is_system THEN 0 ELSE p // room * 2 + CASE WHEN p % room <> 0 AND p + tokens > (p // room + 1) * room THEN 1 ELSE 0 END END AS win FROM p),
+g(conv_id, ord, win, used) AS (SELECT conv_id, ord, ord, new FROM p WHERE ord = 0
+  UNION ALL SELECT p.conv_id, p.ord, CASE WHEN p.ord % 64 <> 0 AND (g.used = 0 OR g.used + p.new <= p.room) THEN g.win ELSE p.ord END,
+    CASE WHEN p.ord % 64 <> 0 AND (g.used = 0 OR g.used + p.new <= p.room) THEN g.used + p.new ELSE p.new END
+  FROM g JOIN p ON p.conv_id IS NOT DISTINCT FROM g.conv_id AND p.ord = g.ord + 1),
+w AS (SELECT p.*, g.win FROM p JOIN g ON p.conv_id IS NOT DISTINCT FROM g.conv_id AND p.ord = g.ord),
 f AS (SELECT conv_id, win, min(ord) AS first, min(p) AS first_p FROM w WHERE NOT is_system GROUP BY ALL),
 again AS (
-  SELECT f.conv_id, w.size FROM f JOIN w ON f.conv_id = w.conv_id AND NOT w.is_system AND w.ord BETWEEN f.first - 4 AND f.first - 1 AND f.first_p - w.p <= 128
-  UNION ALL SELECT f.conv_id, w.size FROM f JOIN w ON f.conv_id = w.conv_id AND w.is_system AND f.win > 0),
+  SELECT f.conv_id, w.size FROM f JOIN w ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND NOT w.is_system AND w.ord BETWEEN f.first - 4 AND f.first - 1 AND f.first_p - w.p <= 128
+  UNION ALL SELECT f.conv_id, w.size FROM f JOIN w ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND w.is_system AND f.win > 0),
 extra AS (SELECT conv_id, sum(size) AS size FROM again GROUP BY 1)
 SELECT w.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY ord)) AS turns_sha256,
   length(coalesce(string_agg(text, '' ORDER BY ord) FILTER (WHERE role = 'assistant'), '')) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY ord) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(w.size) + coalesce(any_value(e.size), 0) AS BIGINT) AS formatted_chars
-FROM w LEFT JOIN extra e ON w.conv_id = e.conv_id GROUP BY w.conv_id
+FROM w LEFT JOIN extra e ON w.conv_id IS NOT DISTINCT FROM e.conv_id GROUP BY w.conv_id
 """
 
 

@@ -30,6 +30,7 @@ def test_awkward_conversations(spark, budget, history):
         assert "".join(said[conv][1]) == "".join(t for role, t in mine if role == "assistant")
     for r in windows.collect():
         assert r.n_turns > r.n_repeated or r.window == 0
+        assert r.tokens <= budget or r.n_turns - r.n_repeated == 1  # whole turns that fit, or one that doesn't
         if r.conv_id == 1:
             assert r.formatted.startswith("<s>[system]be kind</s>")
 
@@ -37,3 +38,25 @@ def test_awkward_conversations(spark, budget, history):
 def test_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
     assert chat_windows(df).count() == 0
+
+
+def _filled(sizes, room):
+    """Windows of turns of these sizes, filled in order; none crosses a 64th turn."""
+    starts, used = [], 0
+    for i, n in enumerate(sizes):
+        if i % 64 == 0 or (used and used + n > room):
+            starts.append(i)
+            used = 0
+        used += n
+    return starts
+
+
+def test_windows_are_filled(spark):
+    """No system turn, no history: each window takes turns until the next would not fit; tokens come from a column."""
+    sizes = {c: [(i * 37 + c * 11) % 90 for i in range(n)] for c, n in ((1, 200), (2, 63), (3, 1), (4, 65))}
+    rows = [(c, i, ("user", "assistant")[i % 2], f"t{i}", n) for c, ns in sizes.items() for i, n in enumerate(ns)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, n int")
+    out = chat_windows(df, budget=150, history=20, tokens_col="n").collect()
+    for c, ns in sizes.items():
+        assert sorted(r.window for r in out if r.conv_id == c) == _filled(ns, 130)
+    assert all(r.tokens <= 150 for r in out)
