@@ -2,9 +2,9 @@
 
 Writing: payload digests are computed by Spark; of pages with equal payloads of at least
 ``min_revisit`` bytes the one with the smallest id is the response, others revisit it. Pages are
-dealt to key ranges whose bounds are quantiles of a sample chosen by a hash of the id, so the same
-table gives the same ranges, files and bytes whatever the cluster. Each range is sorted by id (ties by
-URL and digest) and written in order; a file is closed once its compressed size reaches ``roll_bytes``.
+dealt to ranges of (id, hash of id and digest) whose bounds are quantiles of a sample chosen by a hash of the
+row, so the same table gives the same ranges, files and bytes whatever the cluster, and rows of one id, or
+without any, spread by their digests. Each range is sorted by id, that hash, digest and URL and written in order; a file is closed once its compressed size reaches ``roll_bytes``.
 Headers (lengths, digests, record ids, types, dates) are generated anew. Each record is one gzip
 member. Files are committed by renaming, then listed in a manifest, itself a written table.
 
@@ -17,21 +17,21 @@ Reading: files are taken from the manifest, streamed record by record, and diges
 * A very long payload is one record; a task holds one Arrow batch and one compressed record.
 
 Scale: pages are shuffled once, to their key range. What a revisit refers to is found on (id, digest)
-rows alone, by an aggregation combined before its shuffle and an equi-join that adaptive execution splits at hot digests; these
-rows then travel to the same key range and sort right before their page. The driver sees only the
-sample of ids (``SAMPLE`` at most, in expectation half of it).
+rows alone, by an aggregation combined before its shuffle, written, and an equi-join of written tables that adaptive
+execution splits at hot digests; these rows then travel to the same key range and sort right before their page. The driver
+sees only the sample of keys (``SAMPLE`` at most, in expectation half of it); rows that are alike in id, URL and text stay together.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.llm.files import commit_file, open_input
@@ -106,16 +106,23 @@ def _writer(folder: str, roll_bytes: int):
     return write
 
 
-def _range_of(key: Column, bounds: list[int]) -> Column:
-    """Number of sorted bounds at or under the key (null: none), searched in two levels."""
-    if not bounds:
-        return F.lit(0)
-    step = max(1, math.isqrt(len(bounds)))
-    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
-    under = lambda some: F.size(F.filter(some, lambda b: b <= key))
-    group = under(F.array(*[F.lit(g[0]).cast("long") for g in groups]))
-    inner = F.get(F.array(*[F.array(*[F.lit(b).cast("long") for b in g]) for g in groups]), group - 1)
-    return F.when(group > 0, (group - 1) * step + under(inner)).otherwise(F.lit(0))
+def _range_of(bounds: list[tuple[int | None, int]]):
+    """Number of sorted bounds at or under (id, tie); a null id is under all others."""
+    n = len(bounds)
+    some = np.array([i is not None for i, _ in bounds], dtype=np.int8)
+    ids = np.array([i or 0 for i, _ in bounds], dtype=np.int64)
+    ties = np.array([t for _, t in bounds], dtype=np.int64)
+
+    @F.pandas_udf("int")
+    def find(there: pd.Series, page: pd.Series, tie: pd.Series) -> pd.Series:
+        """Bounds and rows in one order; among equals bounds come first."""
+        kind = np.concatenate([np.zeros(n, np.int8), np.ones(len(page), np.int8)])
+        order = np.lexsort((kind, np.concatenate([ties, tie.to_numpy(np.int64)]), np.concatenate([ids, page.to_numpy(np.int64)]), np.concatenate([some, there.to_numpy(np.int8)])))
+        out = np.empty(len(order), dtype=np.int32)
+        out[order] = np.cumsum(order < n)
+        return pd.Series(out[n:])
+
+    return find
 
 
 def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 100, roll_bytes: int = 16 << 20, range_rows: int = 8_000) -> DataFrame:
@@ -126,23 +133,27 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     base = pages.select(pages[id_col].cast("long").alias("id"), pages[url_col].alias("url"), html.alias("html"), F.sha2(F.encode(html, "UTF-8"), 256).alias("digest"))
     count = base.count()
     rate = max(1, 2 * count // SAMPLE)
-    sample = base.where(F.col("id").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(rate)) == 0)).select("id").distinct().orderBy("id").limit(SAMPLE)
-    ids = [r.id for r in sample.collect()]
-    ranges = max(1, min(len(ids), -(-count // range_rows)))
-    bounds = [ids[len(ids) * k // ranges] for k in range(1, ranges)]
-    key_range = _range_of(F.col("id"), bounds).alias("range")
+    tie = F.xxhash64("id", "digest")
+    sample = base.where(F.pmod(F.xxhash64("id", "digest", "url"), F.lit(rate)) == 0).select("id", tie.alias("tie")).orderBy("id", "tie").limit(SAMPLE)
+    keys = [(r.id, r.tie) for r in sample.collect()]
+    wanted = max(1, min(len(keys), -(-count // range_rows)))
+    bounds = list(dict.fromkeys(keys[len(keys) * k // wanted] for k in range(1, wanted)))
+    ranges = len(bounds) + 1
+    key_range = _range_of(bounds)(F.col("id").isNotNull(), F.coalesce("id", F.lit(0)), tie).alias("range")
 
     light = base.where((F.octet_length("html") >= min_revisit) & F.col("id").isNotNull()).select("id", "digest")
+    scratch = Scratch(spark, "warc")
     first = light.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where(F.col("first") < F.col("last")).select("digest", "first")
+    first = scratch.keep(first, "first")
     revisits = light.join(first, "digest").where(F.col("id") > F.col("first"))
     null = F.lit(None).cast("string")
     marks = revisits.select(key_range, "id", null.alias("url"), null.alias("html"), "digest", "first")
     rows = base.select(key_range, "id", "url", "html", "digest", F.lit(None).cast("long").alias("first")).unionByName(marks)
     # a mark has no html, so it sorts right before the pages it speaks of
-    order = ["range", "id", "digest", F.col("html").isNotNull(), "url"]
+    order = ["range", "id", tie, "digest", F.col("html").isNotNull(), "url"]
     placed = rows.repartitionById(ranges, F.col("range")).sortWithinPartitions(*order)
     placed = placed.select("range", F.col("id").cast("string").alias("id"), "url", "html", "digest", F.col("first").cast("string").alias("first"))
-    return Scratch(spark, "warc").keep(placed.mapInPandas(_writer(folder, roll_bytes), "name string, n_records long, n_bytes long, sha256 string"), "manifest")
+    return scratch.keep(placed.mapInPandas(_writer(folder, roll_bytes), "name string, n_records long, n_bytes long, sha256 string"), "manifest")
 
 
 class _Members:
