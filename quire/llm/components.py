@@ -13,15 +13,18 @@ from pyspark.sql import functions as F
 from quire.session import Scratch
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Edges (u, v) with u > v; links every neighbour (large: greater, small: smaller) to the least one."""
+def _star(edges: DataFrame, large: bool, scratch: Scratch) -> DataFrame:
+    """Edges (u, v) with u > v; links every neighbour (large: greater, small: smaller) to the least one.
+
+    The least neighbours are written before they are joined, so that a hot node is split.
+    """
+    near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
+    least = near.groupBy("u").agg(F.min("v").alias("m"))
+    least = scratch.keep(least.select("u", F.least("u", "m").alias("m")) if large else least, "least")
     if large:
-        near = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        return near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+        return scratch.keep(near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
     moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    return scratch.keep(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
 
 
 def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -33,8 +36,9 @@ def connected_components(links: DataFrame, scratch: Scratch) -> DataFrame:
     edges = scratch.keep(edges, "edges")
     state = None
     while True:
-        nxt = scratch.keep(_star(_star(edges, True), False), "edges")
-        scratch.drop(edges)
+        middle = _star(edges, True, scratch)
+        nxt = _star(middle, False, scratch)
+        scratch.drop(edges, middle)
         edges = nxt
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:

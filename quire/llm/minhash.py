@@ -25,9 +25,12 @@
 * Very long texts are sketched whole, in slices of bounded memory. Empty table: no rows.
 * Extra columns aren't carried; join the result by id.
 
-Scale: what is shuffled is light (ids and 64-bit keys), but for signatures and texts of candidate pairs.
-Keys that can be hot (a popular bucket, hub or set) are in plain equi-joins between scanned tables,
-which adaptive execution splits, or in aggregations combined before their shuffle. Intermediate
+Scale: what is shuffled is light (ids and 64-bit keys), but for the texts of nodes that share a bucket, which
+leave the input by one join and are written, and for signatures and texts of candidate pairs.
+Keys that can be hot (a popular bucket, hub or set) are in plain equi-joins between written tables, whose
+aggregated side is written first, so that adaptive execution splits them, or in aggregations combined before
+their shuffle. Step 5 pairs nodes of different components under one hub: its rows grow with the product of their
+numbers where bounds don't part them, which takes many texts just under the threshold. Intermediate
 tables are written to the shared folder, so a lost executor costs a stage.
 """
 
@@ -217,11 +220,12 @@ def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     width = 4 * ROWS
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda j: F.xxhash64(j, F.substr(F.col("sig"), j * width + 1, F.lit(width))))
     banded = nodes.select("node", F.explode(keys).alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = scratch.keep(banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "shared")
     members = scratch.keep(banded.join(shared, "bucket"), "members")
     company = scratch.keep(members.groupBy("node").agg(F.sum("size").alias("company")), "company")
     hubs = members.join(company, "node").groupBy("bucket").agg(F.min(F.struct(-F.col("company"), F.col("node"))).alias("h")).select("bucket", F.col("h.node").alias("hub"))
     hubs = scratch.keep(hubs, "hubs")
+    texts = scratch.keep(texts.join(company.select(F.col("node").alias("id")), "id", "left_semi"), "texts")  # of candidates, read by all that follows
     pairs = members.join(hubs, "bucket").where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     links = _verified(scratch, pairs, nodes, texts, k, percent, miss)
 
@@ -230,6 +234,7 @@ def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     placed = members.join(first, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     placed = scratch.keep(placed, "placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket")
+    mixed = scratch.keep(mixed, "mixed-buckets")
     rest = scratch.keep(placed.join(mixed, "bucket", "left_semi"), "rest")
     in_rest = scratch.keep(rest.select("node").distinct(), "rest-nodes")
     own = (
@@ -243,11 +248,13 @@ def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = rest.join(bound, "node", "left_semi").join(hubs, "bucket").select("node", "component", "hub").distinct()
     marks = scratch.keep(marks, "marks")
     pivots = texts.join(marks.select("hub").distinct(), texts["id"] == F.col("hub"), "left_semi").groupBy("id").agg(F.min("text").alias("tb")).withColumnRenamed("id", "hub")
+    pivots = scratch.keep(pivots, "pivots")
     seen = marks.join(texts.select(F.col("id").alias("node"), F.col("text").alias("ta")), "node").join(pivots, "hub").sortWithinPartitions("hub")
     seen = seen.select("node", "component", "hub", _in_pivot(k)("ta", "tb").alias("m")).join(bound, "node")
     seen = scratch.keep(seen.select("node", "component", "hub", "n", "m.bits", (F.col("common") - F.col("m.inside")).alias("extra")), "seen")
     counts = seen.groupBy("hub", "component").agg(F.count("*").alias("c"))
     most = counts.groupBy("hub").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").select("hub", F.col("m.component").alias("largest"))
+    most = scratch.keep(most, "largest")
     mixed = scratch.keep(seen.join(most, "hub"), "mixed")
     outside = scratch.keep(mixed.where("component <> largest"), "outside")
     x, y = outside.alias("x"), mixed.alias("y")
