@@ -8,21 +8,26 @@
    keeps its own; so no anchor document has to go to meet a share.
 3. Rates. Nonnegative rates r minimise sum_k (sum_d r_d n_d p_dk - t_k)^2 / T_k by projected gradient,
    from r = 1, in the metric of document lengths (a rate moves by its document's posteriors alone).
-   The steps so far are K numbers each, so a rate is a fold over them and no state is kept;
-   an iteration is one aggregation of K sums. It stops at ``tolerance`` or ``max_steps``.
+   The steps so far are K numbers each, so a rate is a fold over them and no state is kept. Posteriors are rounded
+   to 1/1000 and documents of equal ones added up, so an iteration is one aggregation of K sums over that table.
+   It stops within ``tolerance`` of the targets, or where totals no longer move by that (the least squares, where
+   posteriors overlap too much for the targets), or at ``max_steps`` with a warning that names the totals reached.
 4. Copies. ``rounding="hash"``: the whole part of the rate, and one more with the probability of its fraction,
-   drawn from a hash of the id, so totals hold in expectation. ``"nearest"``: the nearest integer.
+   drawn from a hash of the id, so totals hold in expectation. ``"nearest"``: the nearest integer. ``"anchor"``: the
+   nearest integer for documents whose likeliest domain is the anchor, by hash for the others.
 
 * null or empty text: 0 tokens, the domain prior as posteriors. Ids may repeat: each row gets its own rate, the same draw.
+* Ties: of equally telling words the first in order counts; of equally likely domains the first by name.
 * No labelled rows: no domains, every rate is 1. A domain without weight has target 0.
 * A domain without expected tokens is left out of the fit. Empty table: no rows. Extra columns travel in ``row``.
 
-Scale: one scan for the posteriors, written beside the carried columns; an iteration reads tokens and posteriors alone. The sample is
+Scale: one scan for the posteriors, written beside the carried columns; an iteration reads the distinct posteriors alone. The sample is
 broadcast, at most ``max_labelled`` rows; the driver sees its flags, K sums an iteration, and nothing of other documents.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -130,7 +135,7 @@ def _posteriors(text: Column, model: tuple[list[str], dict[str, int], np.ndarray
             for t in s:
                 z = weights[of(t)].sum(axis=0, dtype=np.float64) + weights[-1]
                 p = np.exp(z - z.max())
-                out.append((len((t or "").split()), (p / p.sum()).round(6)))
+                out.append((len((t or "").split()), (p / p.sum()).round(3)))
             yield pd.DataFrame(out, columns=["tokens", "p"])
 
     return score(text)
@@ -155,13 +160,18 @@ def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float],
     unit = have[at] / share[at] if share[at] > 0 else sum(have)
     targets = [s * unit for s in share]
     steps: list[list[float]] = []
-    now = have
-    for _ in range(max_steps):
+    now, before = have, None
+    while True:
         gap = [(n - t) / h if h > 0 else 0.0 for n, t, h in zip(now, targets, have, strict=True)]
-        if max(map(abs, gap), default=0.0) < tolerance:
+        settled = before is not None and all(abs(n - b) <= tolerance * h for n, b, h in zip(now, before, have, strict=True))
+        if settled or max(map(abs, gap), default=0.0) < tolerance:
+            break
+        if len(steps) == max_steps:
+            told = ", ".join(f"{d} {n:.0f} of {t:.0f}" for d, n, t in zip(domains, now, targets, strict=True))
+            warnings.warn(f"rates haven't converged after {max_steps} steps; tokens reached: {told}", stacklevel=2)
             break
         steps.append(gap)
-        now = [float(x or 0) for x in scored.agg(*sums(_rate(steps))).first()]
+        before, now = now, [float(x or 0) for x in scored.agg(*sums(_rate(steps))).first()]
     return steps, targets, now
 
 
@@ -184,11 +194,13 @@ def mix_to_weights(
     scored = carried(docs, kept, id=docs[id_col], m=_posteriors(docs[text_col], model)).select("row", "id", "m.tokens", "m.p")
     scratch = Scratch(docs.sparkSession, "mixing")
     scored = scratch.keep(scored, "posteriors")
-    steps, _, _ = fit_rates(scored.select("tokens", "p"), domains, weights, anchor, tolerance, max_steps)
+    alike = scratch.keep(scored.groupBy("p").agg(F.sum("tokens").alias("tokens")), "posteriors-tokens")
+    steps, _, _ = fit_rates(alike, domains, weights, anchor, tolerance, max_steps)
     draw = F.pmod(F.xxhash64(F.lit(11), F.col("id")), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    copies = F.floor(F.col("rate") + (F.lit(0.5) if rounding == "nearest" else draw))
+    likeliest = F.array_position("p", F.array_max("p")) - 1 == F.lit(domains.index(anchor) if anchor in domains else -1)
+    copies = F.floor(F.col("rate") + {"nearest": F.lit(0.5), "hash": draw, "anchor": F.when(likeliest, 0.5).otherwise(draw)}[rounding])
     named = F.map_from_arrays(F.array(*[F.lit(d) for d in domains]), F.col("p"))
-    return scored.select("row", "id", "tokens", named.alias("posteriors"), _rate(steps).alias("rate")).select("row", "tokens", "posteriors", "rate", copies.cast("long").alias("copies"))
+    return scored.select("row", "id", "tokens", "p", named.alias("posteriors"), _rate(steps).alias("rate")).select("row", "tokens", "posteriors", "rate", copies.cast("long").alias("copies"))
 
 
 #: Domains of the ``labels`` table.
