@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
 from functools import reduce
 
 import pandas as pd
@@ -60,12 +61,15 @@ def escape_markdown(text: Column, where: str = "text") -> Column:
     return F.replace(text, F.lit("$"), F.lit("\\$"))
 
 
-def merge_consecutive_tags(html_text: Column, tag: str, passes: int = 3) -> Column:
-    """``</b> <b>`` goes; a gap of white space leaves one space."""
-    out = html_text
-    for _ in range(passes):
-        out = F.regexp_replace(F.regexp_replace(out, f"</{tag}><{tag}>", ""), rf"</{tag}>\s+<{tag}>", " ")
-    return out
+def merge_consecutive_tags(html_text: Column, tag: str) -> Column:
+    """``</b> <b>`` goes; a gap of white space leaves one space; nested pairs as well.
+
+    A pass takes the innermost pairs, so there are as many passes as a run of end tags before a start tag is long.
+    """
+    once = lambda t: F.regexp_replace(F.regexp_replace(t, f"</{tag}><{tag}>", ""), rf"</{tag}>\s+<{tag}>", " ")
+    runs = F.transform(F.regexp_extract_all(html_text, F.lit(rf"((?:</{tag}>\s*)+)<{tag}>")), lambda r: F.size(F.split(r, f"</{tag}>")) - 1)
+    passes = F.coalesce(F.array_max(runs), F.lit(0))
+    return F.when(passes > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(passes, F.lit(1))), html_text, lambda t, _: once(t))).otherwise(html_text)
 
 
 def unwrap_math(text: Column) -> Column:
@@ -115,16 +119,27 @@ def is_list_start(text: Column) -> Column:
     return text.rlike(rf"^\s*(?:[{BULLETS}]|\(?\d{{1,3}}[.)]|\(?[a-zA-Z][.)]|\(?[ivxlcIVXLC]{{1,5}}[.)])\s")
 
 
+def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value computed once, however often ``f`` names it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def detect_bad_text(text: Column) -> Column:
     """Too many spaces, newlines or invalid characters, or too few letters and digits."""
-    t = F.regexp_replace(text, r"(?:[.·•…_\-]\s*){3,}", " ")
-    spaces, solid = _count(t, r"\s+"), F.char_length(_without(t, r"\s+"))
-    newlines, rest = _count(t, r"\n+"), F.char_length(_without(t, r"\n+"))
-    packed = F.translate(t, " \n", "")
-    alnum = F.char_length(packed) - F.char_length(_without(packed, r"[\p{L}\p{N}]"))
-    ratio = F.when(F.char_length(packed) == 0, 1.0).otherwise(alnum / F.char_length(packed))
-    invalid = F.char_length(t) - F.char_length(F.replace(t, F.lit("\ufffd"), F.lit("")))
-    bad = (spaces / (spaces + solid) > 0.7) | (newlines / (newlines + rest) > 0.6) | (ratio < 0.3) | (invalid > F.greatest(F.lit(6.0), F.char_length(t) * 0.03))
+    runs = lambda c, mark: F.char_length(c) - F.char_length(F.replace(c, F.lit(mark), F.lit("")))
+
+    def judge(x: Column) -> Column:
+        t, spaced, lined, packed = x["t"], x["spaced"], x["lined"], x["packed"]
+        spaces, newlines = runs(spaced, " "), runs(lined, "\n")
+        ratio = F.when(F.char_length(packed) == 0, 1.0).otherwise((F.char_length(packed) - x["odd"]) / F.char_length(packed))
+        return (spaces / F.char_length(spaced) > 0.7) | (newlines / F.char_length(lined) > 0.6) | (ratio < 0.3) | (runs(t, "\ufffd") > F.greatest(F.lit(6.0), F.char_length(t) * 0.03))
+
+    def parts(t: Column) -> Column:
+        packed = F.translate(t, " \n", "")
+        lined = F.when(t.contains("\n"), F.regexp_replace(t, r"\n+", "\n")).otherwise(t)
+        return _bind(F.struct(t.alias("t"), F.regexp_replace(t, r"\s+", " ").alias("spaced"), lined.alias("lined"), packed.alias("packed"), F.char_length(_without(packed, r"[\p{L}\p{N}]+")).alias("odd")), judge)
+
+    bad = _bind(F.regexp_replace(text, r"(?:[.·•…_\-]\s*){3,}", " "), parts)
     return F.when(F.char_length(text) == 0, True).otherwise(bad)
 
 
@@ -220,6 +235,25 @@ def ordinal_to_int(text: Column) -> Column:
     return F.element_at(known, compact(text))
 
 
+def unit_marker(title: Column, most: int = 8) -> Column:
+    """(word, index) that a contents row declares, or nulls: a word and an ordinal, a word and a numeral, or a leading index.
+
+    Read on the compact title; of several ordinals the earliest counts, then the longest.
+    """
+
+    def read(t: Column) -> Column:
+        places = F.array(*[F.struct(F.instr(t, F.lit(w)).alias("at"), F.lit(-len(w)).alias("size"), F.lit(n).alias("n")) for w, n in ordinals().items()])
+        first = F.array_min(F.filter(places, lambda x: (x["at"] > 1) & (x["at"] <= most + 1)))
+        numeral, leading = rf"^([^0-9]{{1,{most}}})([0-9]{{1,2}})(?![0-9])", r"^([0-9]{1,2})(?![0-9])"
+        return (
+            F.when(first.isNotNull(), F.struct(F.left(t, first["at"] - 1).alias("word"), first["n"].cast("int").alias("index")))
+            .when(t.rlike(numeral), F.struct(F.regexp_extract(t, numeral, 1).alias("word"), F.regexp_extract(t, numeral, 2).cast("int").alias("index")))
+            .when(t.rlike(leading), F.struct(F.lit("").alias("word"), F.regexp_extract(t, leading, 1).cast("int").alias("index")))
+        )
+
+    return _bind(compact(title), read)
+
+
 def id_slug(text: Column) -> Column:
     return F.lower(F.btrim(F.regexp_replace(normalize_fa(F.coalesce(text, F.lit(""))), r"\s+", " ")))
 
@@ -266,8 +300,18 @@ def fix_equation_html(text: Column) -> Column:
     return F.when(text.contains("<math"), F.regexp_replace(F.replace(t, F.lit("<br>"), F.lit("")), r"^(\\n|\s)+|(\\n|\s)+$", "")).otherwise("")
 
 
-#: Fixed ranges of Arabic-script letters that make words (no tatweel, no joiner).
-ARABIC_LETTERS = "ء-غف-يً-ٰٕٱ-ۓەۥ-ۦۮ-ۯۺ-ۿ"
+#: Fixed ranges of Arabic-script letters and marks that make words (no tatweel, no joiner), as pattern text.
+ARABIC_LETTERS = (
+    r"\u0621-\u063a"  # hamza to ghain
+    r"\u0641-\u064a"  # feh to yeh
+    r"\u064b-\u0655"  # vowel marks
+    r"\u0670"  # superscript alef
+    r"\u0671-\u06d3"  # further letters
+    r"\u06d5"  # ae
+    r"\u06e5-\u06e6"  # small waw and yeh
+    r"\u06ee-\u06ef"
+    r"\u06fa-\u06ff"
+)
 TATWEEL = "ـ"
 
 
@@ -307,3 +351,57 @@ def clean_table_html(text: Column) -> Column:
     """Empty unless it has a table with a cell; attributes other than spans go."""
     bare = F.regexp_replace(text, r"<(table|tbody|thead|tr)\b[^>]*>", "<$1>")
     return F.when(text.rlike(r"(?i)<table\b") & text.rlike(r"(?i)<t[dh]\b"), F.btrim(bare)).otherwise("")
+
+
+# Fixed folds of the benchmark's checker.
+FANCY = "\u2018\u2019\u201a\u201c\u201d\u201e\uff3f\u2013\u2014\u2011\u2012\u2212\u00b5"
+PLAIN = "'''" + '"""' + "_-----\u03bc"
+
+
+@F.pandas_udf(T.StringType())
+def nfc(s: pd.Series) -> pd.Series:
+    return s.str.normalize("NFC")
+
+
+def bench_normalize(md: Column) -> Column:
+    """Rendered text as the checker reads it: no breaks, bold or italics, single spaces, composed characters, plain punctuation."""
+    t = F.regexp_replace(F.regexp_replace(md, r"<br/?>", " "), r"</?[bi]>", "")
+    t = F.regexp_replace(F.regexp_replace(t, r"(\*\*|__)(.*?)\1", "$2"), r"(\*|_)(.*?)\1", "$2")
+    return F.translate(nfc(F.regexp_replace(t, r"\s+", " ")), FANCY, PLAIN)
+
+
+SUPER_FROM, SUPER_TO = "0123456789+-=()n", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻⁼⁽⁾ⁿ"
+SUB_FROM, SUB_TO = "0123456789+-=()", "₀₁₂₃₄₅₆₇₈₉₊₋₌₍₎"
+
+
+def _plain_entities(t: Column) -> Column:
+    return reduce(lambda c, e: F.replace(c, F.lit(e[0]), F.lit(e[1])), ENTITIES.items(), t)
+
+
+def _pieces(text: Column, borders: str, f: Callable[[Column], Column]) -> Column:
+    """The text with ``f`` applied to each part between borders (a pattern of places, not characters)."""
+    return F.array_join(F.transform(F.split(text, borders), f), "")
+
+
+def math_to_text(math: Column) -> Column:
+    """A maths element of a table cell as plain text: fractions by a slash, commands and braces left out."""
+    t = _plain_entities(F.regexp_replace(math, r"(?is)^<math\b[^>]*>|</math>$", ""))
+    t = F.regexp_replace(t, r"\\(?:text|mathrm)\s*\{([^}]*)\}", "$1")
+    t = F.regexp_replace(t, r"\\frac\s*\{([^{}]*)\}\s*\{([^{}]*)\}", "$1/$2")
+    return F.btrim(F.regexp_replace(F.regexp_replace(F.regexp_replace(t, r"\\[a-zA-Z]+", ""), r"[{}\\]", ""), r"\s+", " "))
+
+
+def bench_postprocess(md: Column) -> Column:
+    """Rendered text for the checker: maths elements, sub- and superscripts as characters, no escapes outside maths, no images.
+
+    Entities are the common ones (``ENTITIES``).
+    """
+    t = _pieces(md, r"(?i)(?=<math\b)|(?<=</math>)", lambda x: F.when(x.rlike(r"(?is)^<math\b[^>]*>.*</math>$"), math_to_text(x)).otherwise(x))
+    low = lambda x: F.translate(F.regexp_replace(x, r"(?i)</?sub>", ""), SUB_FROM, SUB_TO)
+    high = lambda x: F.translate(F.regexp_replace(x, r"(?i)</?sup>", ""), SUPER_FROM, SUPER_TO)
+    t = _pieces(t, r"(?i)(?=<su[bp]>)|(?<=</su[bp]>)", lambda x: F.when(x.rlike(r"(?is)^<sub>.*</sub>$"), low(x)).when(x.rlike(r"(?is)^<sup>.*</sup>$"), high(x)).otherwise(x))
+    t = F.regexp_replace(t, r"(?i)</?su[bp]>", "")
+    # maths in dollars is set apart by a character that texts don't hold
+    t = F.regexp_replace(t, r"(?s)(\$\$.*?\$\$|\$[^$\n]+\$)", "\ue000$1\ue000")
+    t = _pieces(t, "\ue000", lambda x: F.when(x.rlike(r"(?s)^\$.*\$$"), _plain_entities(x)).otherwise(F.regexp_replace(x, r"\\([_*$%&#.+()\[\]!>~^{}])", "$1")))
+    return F.regexp_replace(t, r"!\[[^\]]*\]\([^)]*\)", "")

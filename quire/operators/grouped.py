@@ -13,14 +13,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
-from quire.operators.blocks import PAGE
+from quire.functions import geometry as G
+from quire.operators.blocks import PAGE, by_page
 
 _KEYS = "doc_id long, page_id int"
 
 
-def rtl_reading_order(lines: DataFrame, least: float = 0.5) -> DataFrame:
-    """Lines in rows (half of the lower height in common with the row's first line), rows down, right to left inside."""
+def rtl_reading_order(lines: DataFrame, least: float = 0.5, keys: dict[str, str] | None = None) -> DataFrame:
+    """Lines in rows (half of the lower height in common with the row's first line), rows down, right to left inside.
+
+    ``keys``: further columns (with their types) that part the lines of a page.
+    """
+    keys = keys or {}
+    group = [*PAGE, *keys]
 
     def order(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["y0", "x1", "line_idx"], ascending=[True, False, True]).reset_index(drop=True)
@@ -38,30 +45,34 @@ def rtl_reading_order(lines: DataFrame, least: float = 0.5) -> DataFrame:
         pdf["row"] = row
         pdf["top"] = pdf.groupby("row")["y0"].transform("min")
         pdf = pdf.sort_values(["top", "row", "x1", "line_idx"], ascending=[True, True, False, True])
-        return pdf.assign(new_pos=np.arange(len(pdf)))[[*PAGE, "line_idx", "row", "new_pos"]]
+        return pdf.assign(new_pos=np.arange(len(pdf)))[[*group, "line_idx", "row", "new_pos"]]
 
-    return lines.select(*PAGE, "line_idx", "x1", "y0", "y1").groupBy(*PAGE).applyInPandas(order, f"{_KEYS}, line_idx int, row int, new_pos int")
+    schema = ", ".join([_KEYS, *(f"`{k}` {t}" for k, t in keys.items()), "line_idx int, row int, new_pos int"])
+    return lines.select(*group, "line_idx", "x1", "y0", "y1").groupBy(*group).applyInPandas(order, schema)
 
 
 def split_heights(values: list[float], k: int) -> list[float]:
-    """Least value of each of the k classes of exact one-dimensional k-means, tallest first."""
-    v = np.sort(np.asarray(values, dtype=float))
-    n, k = len(v), min(k, len(set(values)))
-    total, square = np.concatenate([[0], np.cumsum(v)]), np.concatenate([[0], np.cumsum(v * v)])
-    cost = lambda i, j: square[j] - square[i] - (total[j] - total[i]) ** 2 / (j - i)
-    best = [[0.0 if j == 0 else np.inf for j in range(n + 1)]]
-    cut = [[0] * (n + 1)]
+    """Least value of each of the k classes of exact one-dimensional k-means, tallest first.
+
+    Equal values are one weighted point, and a layer of the recurrence is a vector operation for each end.
+    """
+    v, weight = np.unique(np.asarray(values, dtype=float), return_counts=True)
+    n, k = len(v), min(k, len(v))
+    w, total, square = (np.concatenate([[0.0], np.cumsum(x)]) for x in (weight, weight * v, weight * v * v))
+    best = np.full(n + 1, np.inf)
+    best[0] = 0.0
+    cuts = []
     for _ in range(k):
-        row, at = [np.inf] * (n + 1), [0] * (n + 1)
+        row, at = np.full(n + 1, np.inf), np.zeros(n + 1, dtype=int)
         for j in range(1, n + 1):
-            options = [(best[-1][i] + cost(i, j), i) for i in range(j) if best[-1][i] < np.inf]
-            if options:
-                row[j], at[j] = min(options)
-        best.append(row)
-        cut.append(at)
+            option = best[:j] + square[j] - square[:j] - (total[j] - total[:j]) ** 2 / (w[j] - w[:j])
+            at[j] = int(np.argmin(option))
+            row[j] = option[at[j]]
+        best = row
+        cuts.append(at)
     edges, j = [], n
-    for c in range(k, 0, -1):
-        j = cut[c][j]
+    for at in reversed(cuts):
+        j = at[j]
         edges.append(float(v[j]))
     return edges
 
@@ -82,75 +93,62 @@ def heading_levels(headings: DataFrame, levels: int = 4, default: int = 2, toler
 
 
 def blockquotes(blocks: DataFrame, indent: float = 0.1, same: float = 0.01) -> DataFrame:
-    """Quote level of the text blocks of a page: indented below the one before is a quote, aligned with a quote keeps it."""
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos").reset_index(drop=True)
-        level = [0] * len(pdf)
-        for i in range(1, len(pdf)):
-            a, b = pdf.loc[i - 1], pdf.loc[i]
-            if b.pos != a.pos + 1:
-                continue
-            width = a.x1 - a.x0
-            inner = b.x0 > a.x0 + indent * width and b.y0 > a.y1
-            aligned = abs(b.x0 - a.x0) < same * width and abs(b.x1 - a.x1) < same * width
-            if level[i - 1] > 0:
-                level[i] = level[i - 1] + 1 if inner else level[i - 1] if aligned else 0
-            elif inner:
-                level[i] = 1
-        return pdf.assign(level=level)[[*PAGE, "pos", "level"]]
-
-    return blocks.select(*PAGE, "pos", "x0", "y0", "x1", "y1").groupBy(*PAGE).applyInPandas(walk, f"{_KEYS}, pos int, level int")
+    """Quote level of the text blocks of a page: indented below the one before is a quote, aligned with a quote keeps it.
+
+    A block neither indented nor aligned, or not right behind another, ends all quotes: the level is the number of indents since.
+    """
+    w = by_page()
+    before = lambda c: F.lag(c).over(w)
+    width = before("x1") - before("x0")
+    next_to = F.col("pos") == before("pos") + 1
+    inner = next_to & (F.col("x0") > before("x0") + indent * width) & (F.col("y0") > before("y1"))
+    aligned = next_to & (F.abs(F.col("x0") - before("x0")) < same * width) & (F.abs(F.col("x1") - before("x1")) < same * width)
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    marked = blocks.select(*PAGE, "pos", yes(inner).alias("inner"), (~yes(inner | aligned)).cast("int").alias("fresh"), "x0", "y0")
+    runs = marked.withColumn("run", F.sum("fresh").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    inside = W.partitionBy(*PAGE, "run").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+    return runs.select(*PAGE, "pos", F.count_if("inner").over(inside).cast("int").alias("level"))
 
 
 def list_indent(items: DataFrame, page_width: float, least: float = 0.01) -> DataFrame:
     """Nesting level of list items by their left edges; a column break starts anew."""
 
     def nest(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos").reset_index(drop=True)
+        pdf = pdf.sort_values("pos")
         step, stack, level = least * page_width, [], []
-        for i, r in pdf.iterrows():
-            while stack and r.x0 <= stack[-1][0] + step:
+        x0, y0, x1 = (pdf[c].tolist() for c in ("x0", "y0", "x1"))
+        for i, (left, top) in enumerate(zip(x0, y0, strict=True)):
+            while stack and left <= stack[-1][0] + step:
                 stack.pop()
-            level.append(stack[-1][2] + 1 if stack and r.y0 > stack[-1][1] else 0)
-            if i + 1 < len(pdf) and pdf.loc[i + 1].x0 > r.x1:
+            level.append(stack[-1][2] + 1 if stack and top > stack[-1][1] else 0)
+            if i + 1 < len(x0) and x0[i + 1] > x1[i]:
                 stack = []
             else:
-                stack.append((r.x0, r.y0, level[-1]))
+                stack.append((left, top, level[-1]))
         return pdf.assign(level=level)[[*PAGE, "pos", "level"]]
 
     return items.select(*PAGE, "pos", "x0", "y0", "x1", "y1").groupBy(*PAGE).applyInPandas(nest, f"{_KEYS}, pos int, level int")
 
 
 def group_captions(blocks: DataFrame, page_height: float, near: float = 0.05) -> DataFrame:
-    """Tables and pictures with the caption or footnote right before or after, closer than 5 % of the page; a caption before is taken once."""
-    owners, captions = ("Table", "Figure", "Picture"), ("Caption", "Footnote")
-
-    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos").reset_index(drop=True)
-        taken, out = set(), []
-
-        def gap(a, b):
-            dx, dy = max(0.0, a.x0 - b.x1, b.x0 - a.x1), max(0.0, a.y0 - b.y1, b.y0 - a.y1)
-            return (dx * dx + dy * dy) ** 0.5
-
-        for i in range(len(pdf)):
-            me = pdf.loc[i]
-            if me.block_type not in owners or i in taken:
-                continue
-            members = [i]
-            if i and pdf.loc[i - 1].block_type in captions and i - 1 not in taken and gap(pdf.loc[i - 1], me) < near * page_height:
-                members.insert(0, i - 1)
-            if i + 1 < len(pdf) and pdf.loc[i + 1].block_type in captions and gap(pdf.loc[i + 1], me) < near * page_height:
-                members.append(i + 1)
-            if len(members) > 1:
-                taken.update(members)
-                part = pdf.loc[members]
-                out.append((me.doc_id, me.page_id, me.pos, me.block_type + "Group", ",".join(map(str, part["pos"])), part["x0"].min(), part["y0"].min(), part["x1"].max(), part["y1"].max()))
-        return pd.DataFrame(out, columns=[*PAGE, "pos", "block_type", "members", "x0", "y0", "x1", "y1"])
-
-    columns = blocks.select(*PAGE, "pos", "block_type", "x0", "y0", "x1", "y1")
-    return columns.groupBy(*PAGE).applyInPandas(gather, f"{_KEYS}, pos int, block_type string, members string, x0 double, y0 double, x1 double, y1 double")
+    """Tables and pictures with the caption or footnote right before or after, closer than 5 % of the page; a caption before is taken once.
+
+    What stands two before decides whether the caption before is taken, so windows suffice.
+    """
+    w = by_page()
+    owner, caption = F.col("block_type").isin("Table", "Figure", "Picture"), F.col("block_type").isin("Caption", "Footnote")
+    b = blocks.select(*PAGE, "pos", "block_type", F.struct("pos", "x0", "y0", "x1", "y1").alias("me"), owner.alias("owner"), caption.alias("caption"))
+    b = b.withColumn("close", F.coalesce(G.minimum_gap(F.col("me"), F.lead("me").over(w)) < near * page_height, F.lit(False)))  # to the next
+    at = lambda c, k: F.coalesce(F.lag(c, k).over(w), F.lit(False))
+    takes_before = at("caption", 1) & at("close", 1) & ~(at("owner", 2) & at("close", 2))
+    takes_after = F.coalesce(F.lead("caption").over(w), F.lit(False)) & F.col("close")
+    b = b.withColumn("members", F.array_compact(F.array(F.when(takes_before, F.lag("me").over(w)), F.col("me"), F.when(takes_after, F.lead("me").over(w)))))
+    found = b.where(F.col("owner") & (F.size("members") > 1))
+    edge = lambda k, f: f(F.transform("members", lambda m: m[k])).alias(k)
+    return found.select(
+        *PAGE, "pos", F.concat("block_type", F.lit("Group")).alias("block_type"), F.array_join(F.transform("members", lambda m: m["pos"].cast("string")), ",").alias("members"),
+        edge("x0", F.array_min), edge("y0", F.array_min), edge("x1", F.array_max), edge("y1", F.array_max),
+    )
 
 
 def merge_math_lines(lines: DataFrame, overlap: float = 0.015, vertical: float = 0.8) -> DataFrame:
@@ -158,17 +156,15 @@ def merge_math_lines(lines: DataFrame, overlap: float = 0.015, vertical: float =
 
     def runs(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("line_idx").reset_index(drop=True)
-        first, run = None, []
-        for i, r in pdf.iterrows():
-            joined = False
-            if first is not None:
-                head, before = pdf.loc[first], pdf.loc[i - 1]
-                high = min(head.y1, r.y1) - max(head.y0, r.y0)
-                area = max(0.0, min(before.x1, r.x1) - max(before.x0, r.x0)) * max(0.0, min(before.y1, r.y1) - max(before.y0, r.y0))
-                joined = high / max(1.0, r.y1 - r.y0) > vertical and area / max(1.0, (r.x1 - r.x0) * (r.y1 - r.y0)) >= overlap
-            first = first if joined else i
-            run.append(int(pdf.loc[first].line_idx))
-        pdf["run"] = run
+        x0, y0, x1, y1 = (pdf[c].to_numpy() for c in ("x0", "y0", "x1", "y1"))
+        wide = np.maximum(0.0, np.minimum(x1[1:], x1[:-1]) - np.maximum(x0[1:], x0[:-1])) * np.maximum(0.0, np.minimum(y1[1:], y1[:-1]) - np.maximum(y0[1:], y0[:-1]))
+        touch = (wide / np.maximum(1.0, (x1[1:] - x0[1:]) * (y1[1:] - y0[1:])) >= overlap).tolist()
+        tops, ends, first, head = y0.tolist(), y1.tolist(), 0, []
+        for i, (a, b) in enumerate(zip(tops, ends, strict=True)):
+            if i and not (touch[i - 1] and (min(ends[first], b) - max(tops[first], a)) / max(1.0, b - a) > vertical):
+                first = i
+            head.append(first)
+        pdf["run"] = pdf["line_idx"].to_numpy()[head]
         pdf["math"] = pdf.groupby("run")["run"].transform("size") > 1
         return pdf[[*PAGE, "line_idx", "run", "math"]]
 
@@ -178,13 +174,18 @@ def merge_math_lines(lines: DataFrame, overlap: float = 0.015, vertical: float =
 # --- helpers on columns
 
 
-def _lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, by bit vectors."""
-    if not a or not b:
-        return 0
+def _masks(a: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for i, c in enumerate(a):
         masks[c] = masks.get(c, 0) | (1 << i)
+    return masks
+
+
+def _lcs(a: str, b: str, masks: dict[str, int] | None = None) -> int:
+    """Length of the longest common subsequence, by bit vectors."""
+    if not a or not b:
+        return 0
+    masks = _masks(a) if masks is None else masks
     s = full = (1 << len(a)) - 1
     for c in b:
         u = s & masks.get(c, 0)
@@ -195,31 +196,59 @@ def _lcs(a: str, b: str) -> int:
 @F.pandas_udf(T.DoubleType())
 def fuzz_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Similarity 0 to 100: 200 * LCS / (length of both); 100 for two empty texts. Distinct pairs are computed once."""
-    pairs = pd.DataFrame({"a": a.fillna(""), "b": b.fillna("")})
-    known = {(x, y): 200.0 * _lcs(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in set(pairs.itertuples(index=False, name=None))}
-    return pd.Series([known[p] for p in pairs.itertuples(index=False, name=None)], dtype=float)
-
-
-@F.pandas_udf(T.DoubleType())
-def partial_ratio(query: pd.Series, text: pd.Series) -> pd.Series:
-    """Best ``fuzz_ratio`` of the query with a window of its length in the text (windows may run over the ends)."""
-    out = []
-    for q, t in zip(query.fillna(""), text.fillna(""), strict=True):
-        if not q or not t:
-            out.append(100.0 if not q and not t else 0.0)
-            continue
-        if q in t:
-            out.append(100.0)
-            continue
-        q, t = (q, t) if len(q) <= len(t) else (t, q)
-        n, best = len(q), 0.0
-        chars = set(q)
-        for i in range(1 - n, len(t)):
-            w = t[max(0, i) : i + n]
-            if w[-1] in chars or w[0] in chars:
-                best = max(best, 200.0 * _lcs(q, w) / (n + len(w)))
-        out.append(best)
-    return pd.Series(out, dtype=float)
+    pairs = list(zip(a.fillna(""), b.fillna(""), strict=True))
+    known = {(x, y): 200.0 * _lcs(x, y) / (len(x) + len(y)) if x or y else 100.0 for x, y in set(pairs)}
+    return pd.Series([known[p] for p in pairs], dtype=float)
+
+
+def best_window(q: str, t: str, cutoff: float = 0.0) -> tuple[float, int]:
+    """Best ``fuzz_ratio`` of the shorter text with a window of its length in the longer (windows may run over
+    the ends) and where the first best one starts; (0, -1) under the cutoff.
+
+    A window's common characters, and the three-letter parts that a few edits leave whole, bound its ratio, so only
+    windows that may beat the best so far are compared. One pass of vector operations over the text for each character of the query.
+    """
+    if not q or not t:
+        return (100.0, 0) if not q and not t else (0.0, -1)
+    q, t = (q, t) if len(q) <= len(t) else (t, q)
+    n, size = len(q), len(t)
+    if (at := t.find(q)) >= 0:
+        return 100.0, at
+    codes = np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    start = np.arange(1 - n, size)
+    lo, hi = np.maximum(start, 0), np.minimum(start + n, size)
+    shared = np.zeros(len(start), dtype=np.int64)
+    for c in set(q):
+        upto = np.concatenate([[0], np.cumsum(codes == ord(c))])
+        shared += np.minimum(q.count(c), upto[hi] - upto[lo])
+    if n >= 3 and size >= 3:  # each of the d characters of q that are left out breaks three parts at most
+        parts = np.array([ord(a) * 0x110000 * 0x110000 + ord(b) * 0x110000 + ord(c) for a, b, c in zip(q, q[1:], q[2:], strict=False)], dtype=np.float64)
+        keys = codes[:-2].astype(np.float64) * 0x110000 * 0x110000 + codes[1:-1].astype(np.float64) * 0x110000 + codes[2:]
+        upto = np.concatenate([[0], np.cumsum(np.isin(keys, parts))])
+        first = np.minimum(lo, size - 2)
+        hits = upto[np.maximum(hi - 2, first)] - upto[first]
+        # LCS = n - d and the window has w - LCS insertions: whole parts >= (n - 2) - 2 * (d + insertions) - d
+        w = hi - lo
+        shared = np.minimum(shared, (hits + 2 + 2 * n + 2 * w) // 5)
+    bound = 200.0 * shared / (n + hi - lo)
+    masks, best, where = _masks(q), 0.0, -1
+    for i in np.argsort(-bound, kind="stable"):
+        if bound[i] < best or bound[i] < cutoff:
+            break
+        score = 200.0 * _lcs(q, t[lo[i] : hi[i]], masks) / (n + int(hi[i] - lo[i]))
+        if score > best or (score == best and lo[i] < where):
+            best, where = score, int(lo[i])
+    return (best, where) if best >= cutoff else (0.0, -1)
+
+
+def partial_ratio(query: Column, text: Column, cutoff: Column | None = None) -> Column:
+    """Struct of score (0 to 100) and start of the text's window most like the query; 0 and -1 under the cutoff."""
+
+    @F.pandas_udf("score double, start int")
+    def found(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([best_window(q, t, c) for q, t, c in zip(a.fillna(""), b.fillna(""), least.fillna(0.0), strict=True)], columns=["score", "start"])
+
+    return found(query, text, F.lit(0.0) if cutoff is None else cutoff)
 
 
 _CELL = T.ArrayType(T.StructType([T.StructField(k, t) for k, t in (("row_id", T.IntegerType()), ("col_id", T.IntegerType()), ("rowspan", T.IntegerType()), ("colspan", T.IntegerType()), ("is_header", T.BooleanType()), ("text", T.StringType()))]))

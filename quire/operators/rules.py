@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from quire.functions.text import id_slug
+from quire.operators.objectives import type_fits
+
 #: Severity of each code: fixed values of the rule set.
 SEVERITY = {
     "STRUCT001": "error", "STRUCT002": "error", "STRUCT003": "error", "STRUCT004": "error", "STRUCT005": "warning", "STRUCT006": "error", "STRUCT007": "error", "STRUCT008": "error",
@@ -121,15 +124,16 @@ def relation_faults(relations: DataFrame, known: DataFrame, types: list[str]) ->
     return findings(r.withColumn("fault", F.explode(faults)), "FINAL001", "id", F.col("fault"))
 
 
-def prerequisite_cycles(relations: DataFrame, scratch, rounds: int = 1000) -> DataFrame:
+def prerequisite_cycles(relations: DataFrame, scratch) -> DataFrame:
     """FINAL002: packages whose prerequisite edges hold a cycle.
 
     Edges whose source has no incoming edge, or whose target no outgoing one, are stripped until none is
-    left to strip; what remains lies on or between cycles. Each round reads a written table; rounds grow with half the longest chain.
+    left to strip; what remains lies on or between cycles. Each round reads a written table and rounds go on until
+    nothing changes: half the longest chain of a package, whatever the number of packages.
     """
     edges = scratch.keep(relations.where("relation_type = 'prerequisite' and source_id <> target_id").select("package_id", "source_id", "target_id").distinct(), "edges")
     before = edges.count()
-    for _ in range(rounds):
+    while True:
         heads = edges.select("package_id", F.col("target_id").alias("source_id")).distinct()
         tails = edges.select("package_id", F.col("source_id").alias("target_id")).distinct()
         left = scratch.keep(edges.join(heads, ["package_id", "source_id"], "left_semi").join(tails, ["package_id", "target_id"], "left_semi"), "edges")
@@ -142,7 +146,7 @@ def prerequisite_cycles(relations: DataFrame, scratch, rounds: int = 1000) -> Da
 
 
 def unbacked_prerequisites(relations: DataFrame, evidence: DataFrame) -> DataFrame:
-    """LINK003: prerequisites neither authored nor with a verified quotation."""
+    """LINK003: prerequisites neither authored nor with a verified quotation; of evidence with one id any verified row counts."""
     r = relations.where("relation_type = 'prerequisite' and authored_by is null").select("package_id", "id", F.explode_outer("evidence_ids").alias("ref"))
     j = r.join(evidence.select("package_id", F.col("id").alias("ref"), "quote_verified"), ["package_id", "ref"], "left")
     return findings(j.groupBy("package_id", "id").agg(F.bool_or(F.coalesce("quote_verified", F.lit(False))).alias("ok")).where("not ok"), "LINK003")
@@ -158,3 +162,44 @@ def skills_one_sided(skills: DataFrame, objectives: DataFrame) -> DataFrame:
 def uncovered(all_rows: DataFrame, covered: DataFrame, keys: list[str], code: str, entity: str) -> DataFrame:
     """Rows that no covering row names: STRUCT010, STRUCT011, STRUCT012, STRUCT013."""
     return findings(all_rows.join(covered.select(*keys).distinct(), keys, "left_anti"), code, entity)
+
+
+def misconception_guards(items: DataFrame, concepts: DataFrame, evidence: DataFrame) -> DataFrame:
+    """PEDA004: a misconception of an unknown concept, not marked for a person, or explicit without a verified quotation; a row for each fault.
+
+    ``items``: package_id, id, concept_id, requires_human_review, evidence_level, evidence_ids.
+    """
+    known = concepts.select("package_id", F.col("id").alias("concept_id")).distinct()
+    return (
+        findings(items.join(known, ["package_id", "concept_id"], "left_anti"), "PEDA004", "id", F.lit("unknown_concept"))
+        .unionByName(findings(items.where(~F.coalesce("requires_human_review", F.lit(False))), "PEDA004", "id", F.lit("not_for_review")))
+        .unionByName(unverified_explicit(items, evidence).withColumns({"code": F.lit("PEDA004"), "severity": F.lit(SEVERITY["PEDA004"]), "detail": F.lit("unverified")}))
+    )
+
+
+def foreign_wording(entities: DataFrame, code: str, most: int = 8) -> DataFrame:
+    """PEDA005, PEDA009: entities with words their lesson never uses (``foreign_words``); the first few are named."""
+    return findings(entities.where(F.size("foreign_words") > 0), code, "id", F.array_join(F.slice("foreign_words", 1, most), "، "))
+
+
+def unsuitable_type(objectives: DataFrame, concepts: DataFrame) -> DataFrame:
+    """PEDA010: an objective of a kind that doesn't suit one of its concepts."""
+    each = objectives.select("package_id", "id", "objective_type", F.explode("concept_ids").alias("cid"))
+    j = each.join(concepts.select("package_id", F.col("id").alias("cid"), "concept_type"), ["package_id", "cid"])
+    return findings(j.where(~type_fits(F.col("objective_type"), F.col("concept_type"))), "PEDA010", "id", F.col("cid"))
+
+
+def idle_skills(skills: DataFrame, objectives: DataFrame) -> DataFrame:
+    """LINK004: a skill that groups no objective, or repeats the statement of its only one."""
+    n = F.coalesce(F.size("objective_ids"), F.lit(0))
+    none = findings(skills.where(n <= 0), "LINK004", "id", F.lit("no_objective"))
+    only = skills.where(n == 1).select("package_id", "id", "label", F.get("objective_ids", F.lit(0)).alias("oid"))
+    j = only.join(objectives.select("package_id", F.col("id").alias("oid"), "statement").distinct(), ["package_id", "oid"])
+    return none.unionByName(findings(j.where(id_slug(F.col("statement")) == id_slug(F.col("label"))), "LINK004", "id", F.lit("restates")))
+
+
+def stray_questions(activities: DataFrame, questions: DataFrame) -> DataFrame:
+    """LINK006: a question of an activity that measures none of the objectives it serves; ``questions``: package_id, id, objective_ids."""
+    each = activities.where(F.size("objective_ids") > 0).select("package_id", "id", "objective_ids", F.explode("question_ids").alias("qid"))
+    j = each.join(questions.select("package_id", F.col("id").alias("qid"), F.col("objective_ids").alias("measured")), ["package_id", "qid"])
+    return findings(j.where(~F.coalesce(F.arrays_overlap("objective_ids", "measured"), F.lit(False))), "LINK006", "id", F.col("qid"))

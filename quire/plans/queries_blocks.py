@@ -146,16 +146,17 @@ def _w5(s, d):
 
 @_query(
     "w7_repeated_headers",
-    r""", e AS (SELECT source AS doc_id, doc_id AS page_id, line_idx, line_idx = 0 AS at_top, max(line_idx) OVER (PARTITION BY doc_id) AS hi, trim(text) AS clean FROM doc_lines),
+    r""", e AS (SELECT doc_id, page_id, line_idx, line_idx % 12 = 0 AS at_top, max(line_idx) OVER (PARTITION BY doc_id, page_id) AS hi, length(text) % 2 || 'x' AS clean FROM doc_lines),
 f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, at_top ORDER BY page_id) - row_number() OVER (PARTITION BY doc_id, at_top, clean ORDER BY page_id) AS island,
-  count(*) OVER (PARTITION BY doc_id, at_top) AS total FROM e WHERE (line_idx = 0 OR line_idx = hi) AND length(clean) > 0),
+  count(*) OVER (PARTITION BY doc_id, at_top) AS total FROM e WHERE at_top OR line_idx = hi),
 g AS (SELECT *, count(*) OVER (PARTITION BY doc_id, at_top, clean) AS n, count(*) OVER (PARTITION BY doc_id, at_top, clean, island) AS streak FROM f)
 SELECT doc_id, at_top, clean, max(n) AS n, max(streak) AS streak FROM g GROUP BY ALL HAVING max(n) > 3 AND (max(n) >= 0.2 * max(total) OR max(streak) >= 3)""",
     "doc_lines",
 )
 def _w7(s, d):
-    pages = doc_lines(s, d).select(F.col("source").alias("doc_id"), F.col("doc_id").alias("page_id"), F.col("line_idx").alias("pos"), "text")
-    return B.repeated_headers(pages, F.btrim("text"))
+    """Pages of 12 lines; the cleaned text of a line is whether its length is odd, so that some repeat."""
+    pages = doc_lines(s, d).select("doc_id", "page_id", F.col("line_idx").alias("pos"), "text")
+    return B.repeated_headers(pages, F.concat((F.length("text") % 2).cast("string"), F.lit("x")))
 
 
 @_query(
@@ -293,14 +294,20 @@ def _j2(s, d):
     return P.orphan_line_blocks(lines_boxed(s, d).where("line_idx % 4 <> 2"), 50.0).drop("run")
 
 
+def _dropped_low(s, d):
+    """Every line, those of an odd third of a page moved off it, so that their blocks have none."""
+    return lines_boxed(s, d).withColumns({c: F.col(c) + F.when(F.expr("line_idx div 3") % 2 == 1, 2000.0).otherwise(0.0) for c in ("y0", "y1")})
+
+
 @_query(
     "j3_line_coverage",
-    f""", c AS (SELECT b.doc_id, b.page_id, b.pos, bool_or({_LB} > 0) AS hit FROM layout b LEFT JOIN lines_boxed l ON l.doc_id = b.doc_id AND l.page_id = b.page_id AND l.line_idx % 6 = 0 WHERE b.block_type <> 'Picture' GROUP BY ALL)
+    f""", mv AS (SELECT doc_id, page_id, x0, x1, y0 + CASE WHEN line_idx // 3 % 2 = 1 THEN 2000.0 ELSE 0.0 END AS y0, y1 + CASE WHEN line_idx // 3 % 2 = 1 THEN 2000.0 ELSE 0.0 END AS y1 FROM lines_boxed),
+c AS (SELECT b.doc_id, b.page_id, b.pos, coalesce(bool_or({_LB} > 0), false) AS hit FROM layout b LEFT JOIN mv l ON l.doc_id = b.doc_id AND l.page_id = b.page_id WHERE b.block_type <> 'Picture' GROUP BY ALL)
 SELECT doc_id, page_id, count(*) FILTER (WHERE hit) AS covered, count(*) AS total, count(*) FILTER (WHERE hit) / count(*) >= 0.25 AS ok FROM c GROUP BY ALL""",
     "lines_boxed", "layout",
 )
 def _j3(s, d):
-    return P.line_coverage(layout(s, d), lines_boxed(s, d).where("line_idx % 6 = 0"), ["Picture"])
+    return P.line_coverage(layout(s, d), _dropped_low(s, d), ["Picture"])
 
 
 @_query(
@@ -327,12 +334,12 @@ def _j5(s, d):
 
 @_query(
     "j7_refs_to_blocks",
-    """, r AS (SELECT l.doc_id, l.line_idx, b.pos, row_number() OVER (PARTITION BY l.doc_id, l.line_idx ORDER BY sqrt((l.x1 - b.x0) ** 2 + (l.y1 - b.y0) ** 2), b.pos) AS rn FROM lines_boxed l JOIN layout b ON l.doc_id = b.doc_id AND l.page_id = b.page_id WHERE l.line_idx % 3 = 0)
+    """, r AS (SELECT l.doc_id, l.line_idx, b.pos, row_number() OVER (PARTITION BY l.doc_id, l.line_idx ORDER BY sqrt((l.x1 - b.x0) ** 2 + (l.y1 - b.y0) ** 2), b.pos) AS rn FROM lines_boxed l JOIN layout b ON l.doc_id = b.doc_id AND l.page_id = b.page_id)
 SELECT doc_id, line_idx AS ref, pos FROM r WHERE rn = 1""",
     "lines_boxed", "layout",
 )
 def _j7(s, d):
-    refs = lines_boxed(s, d).where("line_idx % 3 = 0").selectExpr("doc_id", "page_id", "line_idx AS ref", "x1 AS x", "y1 AS y")
+    refs = lines_boxed(s, d).selectExpr("doc_id", "page_id", "line_idx AS ref", "x1 AS x", "y1 AS y")
     return P.refs_to_blocks(refs, layout(s, d)).select("doc_id", "ref", "pos")
 
 

@@ -40,21 +40,22 @@ _NORM = r"trim(regexp_replace(regexp_replace({}, ' +', ' ', 'g'), '\s+([،؛,.!
 
 @_query(
     "j22_match_quotes",
-    rf""", q AS (SELECT doc_id, text AS block, CASE doc_id % 4 WHEN 0 THEN substr(text, 8, 40) WHEN 1 THEN replace(substr(text, 1, 30), ' ', '  ') WHEN 2 THEN substr(text, 1, 60) || ' zzz' ELSE 'nothing of this is there' END AS quote
-  FROM (SELECT doc_id, line_idx, regexp_replace(text, '[^a-zA-Z ]', '', 'g') AS text FROM doc_lines WHERE line_idx = 0)),
+    rf""", q AS (SELECT doc_id, line_idx, text AS block, CASE line_idx % 4 WHEN 0 THEN substr(text, 8) WHEN 1 THEN replace(text, ' ', '  ') WHEN 2 THEN text || ' zzz' ELSE 'nothing of this is there' END AS quote
+  FROM (SELECT doc_id, line_idx, regexp_replace(text, '[^a-zA-Z ]', '', 'g') AS text FROM doc_lines)),
 n AS (SELECT *, {_NORM.format("quote")} AS nq, {_NORM.format("block")} AS nb FROM q),
 t AS (SELECT *, list_filter(regexp_split_to_array(nq, '\s+'), lambda x: x <> '') AS qt, list_filter(regexp_split_to_array(nb, '\s+'), lambda x: x <> '') AS bt FROM n),
 s AS (SELECT *, CASE WHEN len(qt) > 0 THEN len(list_filter(qt, lambda x: list_contains(bt, x))) / len(qt) END AS share, instr(block, quote) AS e, instr(nb, nq) AS m FROM t)
-SELECT doc_id, CASE WHEN trim(quote) = '' OR trim(block) = '' THEN 'none' WHEN e > 0 THEN 'exact' WHEN m > 0 THEN 'normalized' ELSE 'token_overlap' END AS method,
+SELECT doc_id, line_idx, CASE WHEN trim(quote) = '' OR trim(block) = '' THEN 'none' WHEN e > 0 THEN 'exact' WHEN m > 0 THEN 'normalized' ELSE 'token_overlap' END AS method,
 CASE WHEN trim(quote) = '' OR trim(block) = '' THEN 0.0 WHEN e > 0 THEN 1.0 WHEN m > 0 THEN 0.95 ELSE round(coalesce(share, 0.0), 4) END AS score,
 CASE WHEN trim(quote) = '' OR trim(block) = '' THEN NULL WHEN e > 0 THEN e - 1 WHEN m > 0 THEN m - 1 END AS char_start FROM s""",
     "doc_lines",
 )
 def _j22(s, d):
-    q = doc_lines(s, d).where("line_idx = 0").select("doc_id", F.regexp_replace("text", "[^a-zA-Z ]", "").alias("block"))
-    kind = F.col("doc_id") % 4
-    quote = F.when(kind == 0, F.substring("block", 8, 40)).when(kind == 1, F.replace(F.substring("block", 1, 30), F.lit(" "), F.lit("  "))).when(kind == 2, F.concat(F.substring("block", 1, 60), F.lit(" zzz"))).otherwise("nothing of this is there")
-    return q.withColumn("quote", quote).select("doc_id", C.match_quote(F.col("quote"), F.col("block")).alias("m")).select("doc_id", "m.method", "m.score", "m.char_start")
+    """A quotation of each line: its end, spaced out, with a word more, or of something else."""
+    q = doc_lines(s, d).select("doc_id", "line_idx", F.regexp_replace("text", "[^a-zA-Z ]", "").alias("block"))
+    kind = F.col("line_idx") % 4
+    quote = F.when(kind == 0, F.expr("substr(block, 8)")).when(kind == 1, F.replace("block", F.lit(" "), F.lit("  "))).when(kind == 2, F.concat("block", F.lit(" zzz"))).otherwise("nothing of this is there")
+    return q.withColumn("quote", quote).select("doc_id", "line_idx", C.match_quote(F.col("quote"), F.col("block")).alias("m")).select("doc_id", "line_idx", "m.method", "m.score", "m.char_start")
 
 
 _C11 = """, c AS (SELECT okey, id, package_id, any_value(evidence_level) AS claimed FROM concepts GROUP BY ALL)"""
@@ -98,14 +99,15 @@ def _c13(s, d):
 
 @_query(
     "c14_check_wording",
-    """WITH w AS (SELECT conv_id, turn, unnest(list_distinct(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> ''))) AS word FROM conversations),
-k AS (SELECT DISTINCT conv_id, word FROM w WHERE turn = 0), c AS (SELECT * FROM w WHERE turn = 1 AND length(word) >= 4)
+    """WITH w AS (SELECT DISTINCT conv_id, turn, role, unnest(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}]+'), lambda x: x <> '')) AS word FROM conversations),
+k AS (SELECT DISTINCT conv_id, word FROM w WHERE role <> 'assistant'), c AS (SELECT DISTINCT conv_id, turn, word FROM w WHERE role = 'assistant' AND length(word) >= 4)
 SELECT c.conv_id AS lesson_id, c.turn AS claim_id, c.word FROM c WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.conv_id = c.conv_id AND k.word = c.word)
 AND NOT EXISTS (SELECT 1 FROM k WHERE k.conv_id = c.conv_id AND substr(k.word, 1, 4) = substr(c.word, 1, 4)) AND NOT EXISTS (SELECT 1 FROM k WHERE k.conv_id = c.conv_id AND length(k.word) = 3 AND k.word = substr(c.word, 1, 3))""",
 )
 def _c14(s, d):
-    w = table(s, d, "conversations").select(F.col("conv_id").alias("lesson_id"), F.col("turn").alias("claim_id"), F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: x != ""))).alias("word"))
-    return C.check_wording(w.where("claim_id = 1"), w.where("claim_id = 0").select("lesson_id", "word"))
+    """Every answer's words against all that the conversation's other turns say."""
+    w = table(s, d, "conversations").select(F.col("conv_id").alias("lesson_id"), F.col("turn").alias("claim_id"), "role", F.explode(F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda x: x != ""))).alias("word"))
+    return C.check_wording(w.where("role = 'assistant'").select("lesson_id", "claim_id", "word"), w.where("role <> 'assistant'").select("lesson_id", "word"))
 
 
 @_query(
@@ -172,11 +174,11 @@ def _w24(s, d):
 
 # --- tables: a page's lines are cells, three to a row
 
-_CELLS = ", cells AS (SELECT doc_id, page_id, (line_idx % 12) // 3 AS row_id, line_idx % 3 AS col_id, substr(text, 1, 12) AS text, 1 + (length(text) % 11 = 0)::INT AS rowspan, 1 + (length(text) % 7 = 0)::INT AS colspan FROM doc_lines)\n"
+_CELLS = ", cells AS (SELECT doc_id, page_id, (line_idx % 12) // 3 AS row_id, line_idx % 3 AS col_id, text, 1 + (length(text) % 11 = 0)::INT AS rowspan, 1 + (length(text) % 7 = 0)::INT AS colspan FROM doc_lines)\n"
 
 
 def _cells(s, d):
-    return doc_lines(s, d).selectExpr("doc_id", "page_id", "cast((line_idx % 12) div 3 as int) AS row_id", "line_idx % 3 AS col_id", "substr(text, 1, 12) AS text", "1 + cast(length(text) % 11 = 0 as int) AS rowspan", "1 + cast(length(text) % 7 = 0 as int) AS colspan", "line_idx % 12 < 3 AS is_header")
+    return doc_lines(s, d).selectExpr("doc_id", "page_id", "cast((line_idx % 12) div 3 as int) AS row_id", "line_idx % 3 AS col_id", "text", "1 + cast(length(text) % 11 = 0 as int) AS rowspan", "1 + cast(length(text) % 7 = 0 as int) AS colspan", "line_idx % 12 < 3 AS is_header")
 
 
 @_query(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as X
 from quire.operators import blocks as B
+from quire.operators import objectives as O
 from quire.operators import books as K
 from quire.operators import render as M
 from quire.operators import rules as R
@@ -117,7 +118,7 @@ _rule(
     "v15_unknown_block", "EVID002", "SELECT package_id, id AS entity_id, block_id AS detail FROM evidence e WHERE NOT EXISTS (SELECT 1 FROM evidence b WHERE b.package_id = e.package_id AND b.block_id = e.block_id AND b.quote_verified)",
     lambda t: R.missing_references(t("evidence"), "block_id", t("evidence").where("quote_verified").select("package_id", C("block_id").alias("id")), "EVID002"),
 )
-_rule("v30_state_of_mind", "PEDA011", "SELECT package_id, id AS entity_id, statement AS detail FROM objectives WHERE statement IN ('Say 1', 'Say 3')", lambda t: R.where(t("objectives"), C("statement").rlike("[13]$"), "PEDA011", C("statement")))
+_rule("v30_state_of_mind", "PEDA011", "SELECT package_id, id AS entity_id, statement AS detail FROM objectives WHERE statement IN ('دانش آموز بداند', 'درک کند که')", lambda t: R.where(t("objectives"), O.is_vague(C("statement")), "PEDA011", C("statement")))
 _rule(
     "v43_same_objective_set", "LINK007", "SELECT package_id, id AS entity_id, '' AS detail FROM (SELECT *, row_number() OVER (PARTITION BY package_id, cid1 ORDER BY id, line, statement) AS n FROM objectives) WHERE n > 1",
     lambda t: R.repeated(t("objectives"), ["cid1"], ["id", "line", "statement"], "LINK007"),
@@ -135,23 +136,6 @@ def _s11(s, d):
     return back.select("doc_id", F.size(F.flatten(F.from_json("json", "pages array<struct<children:array<struct<id:string>>>>")["pages"]["children"])).cast("long").alias("n_blocks"))
 
 
-@_query("s13_write_package", _packages("SELECT package_id, count(*) AS n FROM concepts GROUP BY ALL"))
-def _s13(s, d):
-    """Packages written as JSON by package, with their counts, and read back with an explicit schema."""
-    path = Scratch(s, "packages").path("json")
-    out = books(s, d, "concepts").groupBy("package_id").agg(F.count("*").alias("n"))
-    out.withColumn("part", C("package_id")).write.partitionBy("part").json(path)
-    return s.read.schema("package_id string, n long").json(path).select("package_id", "n")
-
-
-@_query("s12_assets_from_images", "SELECT page_id, '_page_' || page_id || '_img.png' AS asset_id, length(url) AS n_bytes FROM pages")
-def _s12(s, d):
-    """Image maps as asset rows: names as ids, payloads decoded."""
-    images = F.create_map(F.concat(F.lit("/page/"), C("page_id").cast("string"), F.lit("/img.png")), F.base64(F.encode("url", "UTF-8")))
-    each = table(s, d, "pages").select("page_id", F.explode(images).alias("name", "payload"))
-    return each.select("page_id", F.replace("name", F.lit("/"), F.lit("_")).alias("asset_id"), F.octet_length(F.unbase64("payload")).cast("long").alias("n_bytes"))
-
-
 _SEC = """, sec AS (SELECT *, coalesce(last_value(CASE WHEN block_type = 'SectionHeader' AND length(trim(text)) > 0 THEN block_id END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY page_id, y0, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'front') AS section FROM blocks),
 cit AS (SELECT *, block_type IN ('Text', 'SectionHeader', 'ListItem', 'Table', 'Caption', 'Footnote') AND length(trim(text)) > 0 AS ok FROM sec),
 per AS (SELECT doc_id, section, min(pos) AS first, string_agg(CASE WHEN ok THEN '[' || block_id || '] ' || text END, chr(10) ORDER BY pos) AS body, sum(CASE WHEN ok THEN length(text) ELSE 0 END) AS chars, count(*) FILTER (WHERE block_type = 'Picture') AS images FROM cit GROUP BY doc_id, section),
@@ -176,9 +160,22 @@ def _c10(s, d):
     return N.render_prompts(_units(s, d), _TEMPLATE).select("doc_id", F.md5("prompt").alias("prompt"), "version")
 
 
-@_query("c16_objective_lexicon", "SELECT doc_id, line_idx, (list_contains(w, 'the') AND list_contains(w, 'of')) OR (list_contains(w, 'de') AND list_contains(w, 'la')) AS vague FROM (SELECT *, regexp_split_to_array(lower(text), '\\s+') AS w FROM doc_lines)", "doc_lines")
+_PHRASES = [*O.STATES_OF_MIND, *(v for verbs in O.PERFORMANCE_VERBS.values() for v in verbs)]
+
+
+@_query(
+    "c16_objective_lexicon",
+    f"""SELECT doc_id, line_idx, line_idx % {len(_PHRASES)} < {len(O.STATES_OF_MIND)} AS vague, line_idx % {len(_PHRASES)} >= {len(O.STATES_OF_MIND)} AS observable, line_idx % 3 <> 1 AS fits,
+CASE WHEN line_idx % 2 = 0 THEN 'کتاب' ELSE '' END AS foreign_words FROM doc_lines""",
+    "doc_lines",
+)
 def _c16(s, d):
-    return doc_lines(s, d).select("doc_id", "line_idx", N.is_vague(C("text"), ["the of", "la de"]).alias("vague"))
+    """Each line's text with a phrase of the lexicon behind it."""
+    phrase = F.get(F.array(*map(F.lit, _PHRASES)), C("line_idx") % len(_PHRASES))
+    said = F.concat("text", F.lit(" دانش آموز "), phrase)
+    kind, concept = F.lit("perform"), F.get(F.array(F.lit("procedural"), F.lit("conceptual"), F.lit("of no such type")), C("line_idx") % 3)
+    words = F.when(C("line_idx") % 2 == 0, F.array(F.lit("کند"), F.lit("کتاب"))).otherwise(F.array(F.lit("دانش"), F.lit("نام")))
+    return doc_lines(s, d).select("doc_id", "line_idx", O.is_vague(said).alias("vague"), O.verb_is_observable(said).alias("observable"), O.type_fits(kind, concept).alias("fits"), F.array_join(O.strip_lexicon(words), " ").alias("foreign_words"))
 
 
 @_query(
@@ -211,3 +208,138 @@ def _a19(s, d):
     o = books(s, d, "objectives").select("package_id", "id", "eid", "observable").distinct()
     e = books(s, d, "evidence").select("package_id", C("id").alias("eid"), F.lit(1).alias("ok")).distinct()
     return o.join(e, ["package_id", "eid"], "left").groupBy("package_id").agg(F.count("*").alias("objectives"), F.count_if(C("ok").isNull()).alias("ungrounded"), F.count_if("observable").alias("observable"))
+
+
+_LATIN, _SOUNDS = "abcdefghijklmnopqrstuvwxyz", "ابسدهفگهیجکلمنوپقرستووخیز"
+assert len(_SOUNDS) <= len(_LATIN)
+_SPOKEN = f"translate(lower(text), '{_LATIN[: len(_SOUNDS)]}', '{_SOUNDS}')"
+
+
+def _spoken():
+    return F.translate(F.lower("text"), _LATIN[: len(_SOUNDS)], _SOUNDS)
+
+
+@_query(
+    "t24_is_verb_form",
+    rf"""SELECT doc_id, line_idx, array_to_string(list_filter(regexp_extract_all({_SPOKEN} || ' معدن نکنید زنده', '[\x{{0621}}-\x{{063a}}\x{{0641}}-\x{{064a}}\x{{064b}}-\x{{0655}}\x{{0670}}-\x{{06d3}}\x{{06d5}}]+'),
+  lambda w: regexp_matches(w, '{O.VERB_FORM}')), ' ') AS verbs FROM doc_lines""",
+    "doc_lines",
+)
+def _t24(s, d):
+    words = X.tokens(F.concat(_spoken(), F.lit(" معدن نکنید زنده")))
+    return doc_lines(s, d).select("doc_id", "line_idx", F.array_join(F.filter(words, O.is_verb_form), " ").alias("verbs"))
+
+
+_ZW = chr(0x200C)
+
+
+@_query(
+    "t17_insert_zwnj",
+    rf"""SELECT doc_id, line_idx, regexp_replace(regexp_replace('خانهها ' || {_SPOKEN} || ' خانههای میروند نمیشود می', '([\x{{0600}}-\x{{06ff}}])ه(ها(?:ی|یی)?)([^\p{{L}}\p{{N}}_]|$)', '\1ه{_ZW}\2\3', 'g'),
+  '(^|[^\p{{L}}\p{{N}}_])(ن?می)([\x{{0600}}-\x{{06ff}}]{{3,}})', '\1\2{_ZW}\3', 'g') AS v FROM doc_lines""",
+    "doc_lines",
+)
+def _t17(s, d):
+    return doc_lines(s, d).select("doc_id", "line_idx", X.insert_zwnj(F.concat(F.lit("خانهها "), _spoken(), F.lit(" خانههای میروند نمیشود می"))).alias("v"))
+
+
+_NUMBERS = sorted(X.ordinals().items())
+
+
+@_query(
+    "t26_unit_marker",
+    f"""SELECT doc_id, line_idx, CASE line_idx % 4 WHEN 0 THEN 'درس' WHEN 1 THEN 'نگاره' WHEN 2 THEN '' END AS word,
+CASE line_idx % 4 WHEN 0 THEN [{", ".join(str(n) for _, n in _NUMBERS)}][line_idx * 7 % {len(_NUMBERS)} + 1] WHEN 1 THEN line_idx % 100 WHEN 2 THEN line_idx % 100 END AS "index" FROM doc_lines""",
+    "doc_lines",
+)
+def _t26(s, d):
+    """Titles before each line's text (digits left out): a word and an ordinal, a word and a numeral, a numeral, or nothing."""
+    number = (C("line_idx") % 100).cast("string")
+    ordinal = F.get(F.array(*[F.lit(w) for w, _ in _NUMBERS]), (C("line_idx") * 7 % len(_NUMBERS)).cast("int"))
+    bare = F.regexp_replace("text", r"\p{N}", "")
+    kind = C("line_idx") % 4
+    title = F.when(kind == 0, F.concat(F.lit("درس "), ordinal, F.lit(" "), bare)).when(kind == 1, F.concat(F.lit("نگاره "), number, F.lit(" "), bare)).when(kind == 2, F.concat(number, F.lit("ــ "), bare)).otherwise(bare)
+    return doc_lines(s, d).select("doc_id", "line_idx", X.unit_marker(title).alias("m")).select("doc_id", "line_idx", "m.word", "m.index")
+
+
+_FOLDED = "nfc_normalize(translate(regexp_replace(text, '[*_<>]', '', 'g'), '{}', '{}'))".format(X.FANCY, X.PLAIN.replace("'", "''"))
+
+
+@_query(
+    "t30_bench_text",
+    rf"""SELECT doc_id, line_idx, regexp_replace(c || ' x "y"-z', '\s+', ' ', 'g') AS normal, 'H₂O ' || a || ' *z* $a<b\*$ 10ⁿ⁺² 1/2 of x' AS processed
+FROM (SELECT *, {_FOLDED} AS c, regexp_replace(text, '[^a-zA-Z ]', '', 'g') AS a FROM doc_lines)""",
+    "doc_lines",
+)
+def _t30(s, d):
+    """Each line's text with the signs that the checker folds around it."""
+    plain, letters = F.regexp_replace("text", "[*_<>]", ""), F.regexp_replace("text", "[^a-zA-Z ]", "")
+    normal = X.bench_normalize(F.concat(F.lit("**"), plain, F.lit("**<br/>  <b>x</b> _“y”_—z")))
+    processed = X.bench_postprocess(F.concat(F.lit("H<sub>2</sub>O "), letters, F.lit(" \\*z\\* $a&lt;b\\*$ 10<SUP>n+2</SUP>![alt](u.png) <math>\\frac{1}{2} \\text{of} x</math>")))
+    return doc_lines(s, d).select("doc_id", "line_idx", normal.alias("normal"), processed.alias("processed"))
+
+
+# --- rules over misconceptions, wording, kinds, skills and activities
+
+_MISC = "misc AS (SELECT package_id, concat('m', substr(id, 2)) AS id, CASE WHEN line % 5 = 0 THEN 'none' ELSE cid1 END AS concept_id, observable AS requires_human_review, CASE line % 3 WHEN 0 THEN 'explicit' ELSE 'inferred' END AS evidence_level, eid FROM objectives)"
+
+
+def _rule_with(name: str, code: str, ctes: str, sql: str, f: Callable) -> None:
+    """Like ``_rule``, with more CTEs after the fixtures."""
+    QUERIES[name] = lambda s, d: f(lambda n: books(s, d, n))
+    used = [n for n in FIXTURES if n in sql + ctes]
+    ORACLES[name] = "WITH " + ",\n".join([*(f"{n} AS ({FIXTURES[n]})" for n in used), ctes]) + f"\nSELECT '{code}' AS code, '{R.SEVERITY[code]}' AS severity, package_id, entity_id, detail FROM (\n{sql})"
+
+
+def _misconceptions(t):
+    o = t("objectives")
+    return o.select("package_id", F.concat(F.lit("m"), F.expr("substr(id, 2)")).alias("id"), F.when(C("line") % 5 == 0, "none").otherwise(C("cid1")).alias("concept_id"), C("observable").alias("requires_human_review"), F.when(C("line") % 3 == 0, "explicit").otherwise("inferred").alias("evidence_level"), "evidence_ids")
+
+
+_rule_with(
+    "v24_misconception_guards", "PEDA004", _MISC,
+    """SELECT package_id, id AS entity_id, 'unknown_concept' AS detail FROM misc m WHERE NOT EXISTS (SELECT 1 FROM concepts c WHERE c.package_id = m.package_id AND c.id = m.concept_id)
+UNION ALL SELECT package_id, id, 'not_for_review' FROM misc WHERE NOT requires_human_review
+UNION ALL SELECT DISTINCT package_id, id, 'unverified' FROM misc m WHERE evidence_level = 'explicit' AND NOT EXISTS (SELECT 1 FROM misc n JOIN evidence e ON e.package_id = n.package_id AND e.id = n.eid AND e.quote_verified WHERE n.package_id = m.package_id AND n.id = m.id AND n.evidence_level = 'explicit')""",
+    lambda t: R.misconception_guards(_misconceptions(t), t("concepts"), t("evidence")),
+)
+_WORDS = "list_transform(range(1, {} + 1), lambda i: 'w' || i)"
+for _code, _table, _n in (("PEDA005", "concepts", "okey % 11"), ("PEDA009", "objectives", "line % 10")):
+    _rule_with(
+        f"v25_{_table[:-1]}_wording", _code, f"f AS (SELECT package_id, id, {_n} AS n FROM {_table})",
+        f"SELECT package_id, id AS entity_id, array_to_string({_WORDS.format('least(n, 8)')}, '، ') AS detail FROM f WHERE n > 0",
+        lambda t, table=_table, n=_n, code=_code: R.foreign_wording(t(table).withColumn("foreign_words", F.when(F.expr(f"{n} > 0"), F.transform(F.sequence(F.lit(1), F.expr(f"cast(greatest({n}, 1) as int)")), lambda i: F.concat(F.lit("w"), i.cast("string")))).otherwise(F.array().cast("array<string>"))), code),
+    )
+_KINDS = "element_at(array('name', 'perform', 'compare', 'describe'), cast({} % 4 + 1 as int))"
+_TYPES = "element_at(array('conceptual', 'procedural', 'language', 'meta', 'other'), cast({} % 5 + 1 as int))"
+_rule_with(
+    "v29_unsuitable_type", "PEDA010",
+    """f AS (SELECT package_id, id, ['name', 'perform', 'compare', 'describe'][okey % 4 + 1] AS kind, unnest(CASE WHEN line > 1 THEN [cid1, cid2] ELSE [cid1] END) AS cid FROM objectives),
+g AS (SELECT package_id, id, ['conceptual', 'procedural', 'language', 'meta', 'other'][line % 5 + 1] AS type FROM concepts)""",
+    """SELECT f.package_id, f.id AS entity_id, f.cid AS detail FROM f JOIN g ON g.package_id = f.package_id AND g.id = f.cid
+WHERE NOT CASE g.type WHEN 'conceptual' THEN f.kind IN ('name', 'identify', 'describe', 'classify', 'compare') WHEN 'procedural' THEN f.kind IN ('perform', 'describe') WHEN 'language' THEN f.kind IN ('name', 'describe', 'identify') WHEN 'meta' THEN f.kind IN ('perform', 'describe') ELSE true END""",
+    lambda t: R.unsuitable_type(t("objectives").withColumn("objective_type", F.expr(_KINDS.format("okey"))), t("concepts").withColumn("concept_type", F.expr(_TYPES.format("line")))),
+)
+
+
+def _skills(t):
+    """A skill for each order; orders without lines group no objective."""
+    o = t("objectives").groupBy("package_id", C("okey").alias("okey")).agg(F.collect_set("id").alias("objective_ids"))
+    lessons = t("lessons").select("package_id", F.concat(F.lit("s"), F.expr("substr(id, 2)")).alias("id"), F.expr("substr(id, 2)").cast("long").alias("okey"), F.lit(" نشان  دهد").alias("label"))
+    return lessons.join(o, ["package_id", "okey"], "left")
+
+
+_rule_with(
+    "v40_idle_skills", "LINK004", "g AS (SELECT package_id, okey, count(DISTINCT id) AS n, min(id) AS oid FROM objectives GROUP BY ALL), k AS (SELECT l.package_id, 's' || substr(l.id, 2) AS id, n, oid FROM lessons l LEFT JOIN g ON g.package_id = l.package_id AND g.okey = CAST(substr(l.id, 2) AS BIGINT))",
+    """SELECT package_id, id AS entity_id, 'no_objective' AS detail FROM k WHERE n IS NULL
+UNION ALL SELECT k.package_id, k.id, 'restates' FROM k JOIN (SELECT DISTINCT package_id, id, statement FROM objectives) o ON o.package_id = k.package_id AND o.id = k.oid WHERE k.n = 1 AND o.statement = 'نشان دهد'""",
+    lambda t: R.idle_skills(_skills(t), t("objectives")),
+)
+_rule_with(
+    "v42_stray_questions", "LINK006", "q AS (SELECT package_id, id, substr(id, 2) AS o, oid FROM questions)",
+    "SELECT package_id, 'a' || o AS entity_id, id AS detail FROM q WHERE coalesce(oid <> 'o' || o || CASE WHEN CAST(o AS BIGINT) % 3 = 0 THEN '-2' ELSE '-1' END, true)",
+    lambda t: R.stray_questions(
+        t("questions").select("package_id", F.concat(F.lit("a"), F.expr("substr(id, 2)")).alias("id"), F.array(F.concat(F.lit("o"), F.expr("substr(id, 2)"), F.when(F.expr("cast(substr(id, 2) as bigint) % 3 = 0"), "-2").otherwise("-1"))).alias("objective_ids"), F.array("id", F.lit("no such question")).alias("question_ids")),
+        t("questions").select("package_id", "id", F.array_compact(F.array("oid")).alias("objective_ids")),
+    ),
+)

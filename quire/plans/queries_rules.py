@@ -14,9 +14,9 @@ from quire.session import Scratch, table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# One text for both engines: a package is a bucket of orders, a lesson an order, a concept or objective a line,
-# a relation a pair of neighbouring parts; a few keys break each rule.
-_PK = "concat('p', {k} % 40)"
+# One text for both engines: a package is a range of 100 orders (parts), so packages grow in number and not in size;
+# a lesson is an order, a concept or objective a line, a relation a pair of neighbouring parts; a few keys break each rule.
+_PK = "concat('p', cast(floor({k} / 100) as bigint))"
 FIXTURES = {
     "lessons": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, concat('l', o_orderkey) AS id, o_orderkey % 61 AS lesson_number, o_orderkey % 251 AS pdf_start,
   o_orderkey % 251 + o_orderkey % 7 - 1 AS pdf_end, 250 AS page_count, o_custkey % 9 * 100 AS text_chars FROM orders""",
@@ -28,8 +28,8 @@ FIXTURES = {
   l_orderkey % 251 + l_linenumber % 4 - 3 + CASE WHEN l_partkey % 31 = 0 THEN 1 ELSE 0 END AS printed_page, l_partkey % 5 > 0 AS quote_verified FROM lineitem WHERE l_suppkey % 11 <> 0""",
     "objectives": f"""SELECT {_PK.format(k="l_orderkey")} AS package_id, concat('o', l_orderkey, '-', l_linenumber) AS id, concat('l', l_orderkey + CASE WHEN l_partkey % 89 = 0 THEN 1 ELSE 0 END) AS lesson_id,
   concat('c', l_orderkey, '-', l_linenumber) AS cid1, concat('c', l_orderkey, '-', l_linenumber - 1) AS cid2, concat('e', l_orderkey, '-', l_linenumber - l_partkey % 3) AS eid, l_partkey % 6 > 0 AS observable,
-  concat('Say ', l_partkey % 4) AS statement, CASE WHEN l_partkey % 3 = 0 THEN concat('s', l_orderkey) END AS skill_id, l_orderkey AS okey, l_linenumber AS line FROM lineitem""",
-    "relations": """SELECT concat('p', p_partkey % 7) AS package_id, concat('r', p_partkey) AS id, p_partkey AS source_id, p_partkey + CASE WHEN p_partkey % 53 = 0 THEN 0 ELSE 7 END AS target_id,
+  CASE l_partkey % 4 WHEN 0 THEN 'نشان دهد' WHEN 1 THEN 'دانش آموز بداند' WHEN 2 THEN 'نام ببرد' ELSE 'درک کند که' END AS statement, CASE WHEN l_partkey % 3 = 0 THEN concat('s', l_orderkey) END AS skill_id, l_orderkey AS okey, l_linenumber AS line FROM lineitem""",
+    "relations": f"""SELECT {_PK.format(k="p_partkey")} AS package_id, concat('r', p_partkey) AS id, p_partkey AS source_id, p_partkey + CASE WHEN p_partkey % 53 = 0 THEN 0 ELSE 7 END AS target_id,
   CASE p_partkey % 29 WHEN 0 THEN 'friend' WHEN 1 THEN 'part_of' ELSE 'prerequisite' END AS relation_type, CASE WHEN p_partkey % 3 = 0 THEN 'someone' END AS authored_by FROM part""",
     "questions": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, concat('q', o_orderkey) AS id, CASE o_orderkey % 9 WHEN 0 THEN 'riddle' WHEN 1 THEN 'true_false' WHEN 2 THEN 'multiple_choice' WHEN 3 THEN 'open' ELSE 'short_answer' END AS question_type,
   CASE WHEN o_custkey % 5 > 0 THEN 'yes' END AS answer, o_custkey % 4 AS n_options, o_custkey % 3 AS n_correct, CASE WHEN o_custkey % 10 > 0 THEN concat('o', o_orderkey, '-1') END AS oid FROM orders""",
@@ -124,13 +124,13 @@ _rule("v37_reference_kinds", "LINK001", "SELECT q.package_id, q.id AS entity_id,
 _rule("v38_question_objective", "LINK002", "SELECT package_id, id AS entity_id, '' AS detail FROM questions WHERE oid IS NULL", lambda t: R.where(t("questions"), C("oid").isNull(), "LINK002"))
 _rule(
     "v39_unbacked_prerequisites", "LINK003",
-    "SELECT r.package_id, r.id AS entity_id, '' AS detail FROM relations r LEFT JOIN evidence e ON e.package_id = r.package_id AND e.id = 'e' || r.source_id || '-1' AND r.source_id % 4 <> 0 WHERE relation_type = 'prerequisite' AND authored_by IS NULL AND NOT coalesce(e.quote_verified, false)",
+    "SELECT r.package_id, r.id AS entity_id, '' AS detail FROM relations r WHERE relation_type = 'prerequisite' AND authored_by IS NULL AND NOT EXISTS (SELECT 1 FROM evidence e WHERE e.package_id = r.package_id AND e.id = 'e' || r.source_id || '-1' AND r.source_id % 4 <> 0 AND e.quote_verified)",
     lambda t: R.unbacked_prerequisites(t("relations"), t("evidence")),
 )
 _rule(
     "v41_one_sided_skills", "LINK005",
-    "SELECT DISTINCT package_id, 's' || okey AS entity_id, id AS detail FROM objectives WHERE line <= 2 AND skill_id IS DISTINCT FROM 's' || okey",
-    lambda t: R.skills_one_sided(t("objectives").where("line <= 2").groupBy("package_id", F.concat(F.lit("s"), C("okey").cast("string")).alias("id")).agg(F.collect_set("id").alias("objective_ids")), t("objectives")),
+    "SELECT DISTINCT package_id, 's' || okey AS entity_id, id AS detail FROM objectives WHERE skill_id IS DISTINCT FROM 's' || okey",
+    lambda t: R.skills_one_sided(t("objectives").groupBy("package_id", F.concat(F.lit("s"), C("okey").cast("string")).alias("id")).agg(F.collect_set("id").alias("objective_ids")), t("objectives")),
 )
 _rule("v44_question_type", "QUEST001", "SELECT package_id, id AS entity_id, question_type AS detail FROM questions WHERE question_type NOT IN ('true_false', 'multiple_choice', 'open', 'short_answer')", lambda t: R.where(t("questions"), ~C("question_type").isin("true_false", "multiple_choice", "open", "short_answer"), "QUEST001", C("question_type")))
 _rule("v45_missing_key", "QUEST002", "SELECT package_id, id AS entity_id, '' AS detail FROM questions WHERE question_type IN ('true_false', 'short_answer') AND answer IS NULL", lambda t: R.where(t("questions"), C("question_type").isin("true_false", "short_answer") & C("answer").isNull(), "QUEST002"))

@@ -29,8 +29,8 @@ def _line_query(name: str, columns: Callable[[], dict[str, Column]], sql: str) -
 
 _T = lambda: F.col("text")
 # Lines are given the traits that each function looks for, alike in both engines.
-_tagged = lambda: F.concat(F.lit("<b>"), F.substring("text", 1, 20), F.lit("</b> <b>x</b><b>y</b>&amp; <i>z</i>"))
-_TAGGED = "'<b>' || substr(text, 1, 20) || '</b> <b>x</b><b>y</b>&amp; <i>z</i>'"
+_tagged = lambda: F.concat(F.lit("<b>"), "text", F.lit("</b> <b>x</b><b>y</b>&amp; <i>z</i>"))
+_TAGGED = "'<b>' || text || '</b> <b>x</b><b>y</b>&amp; <i>z</i>'"
 _persian = lambda: F.translate(F.lower(_T()), "abcdefghij", "يكةابلمن٣ّ")
 _PERSIAN = "translate(lower(text), 'abcdefghij', 'يكةابلمن٣ّ')"
 _FOLD = f"translate(translate({{}}, '{X.PERSIAN_FROM}', '{X.PERSIAN_TO}'), '{X.ARABIC_DIGITS}', '{X.PERSIAN_DIGITS}')"
@@ -146,8 +146,8 @@ def _word() -> Column:
 
 _line_query("t21_ordinal_to_int", lambda: {"v": X.ordinal_to_int(F.concat(_word(), F.lit(" ")))}, f"[{', '.join(str(n) for _, n in _ORD)}, NULL][line_idx * 7 % {len(_ORD) + 1} + 1] AS v")
 _line_query(
-    "t22_make_id", lambda: {"v": X.make_id(F.lit("b1"), "concept", F.substring("text", 1, 12), F.col("line_idx")), "o": X.ordinal_id(F.lit("b1"), "lesson", F.col("page_id"), F.col("line_idx"))},
-    r"'b1:concept:' || substr(sha256('b1|concept|' || lower(trim(regexp_replace(regexp_replace(regexp_replace(substr(text, 1, 12), '[ \x{00a0}]+', ' ', 'g'), '\s+([،؛,.!؟?:])', '\1', 'g'), '\s+', ' ', 'g'))) || '|' || line_idx), 1, 10) AS v, "
+    "t22_make_id", lambda: {"v": X.make_id(F.lit("b1"), "concept", _T(), F.col("line_idx")), "o": X.ordinal_id(F.lit("b1"), "lesson", F.col("page_id"), F.col("line_idx"))},
+    r"'b1:concept:' || substr(sha256('b1|concept|' || lower(trim(regexp_replace(regexp_replace(regexp_replace(text, '[ \x{00a0}]+', ' ', 'g'), '\s+([،؛,.!؟?:])', '\1', 'g'), '\s+', ' ', 'g'))) || '|' || line_idx), 1, 10) AS v, "
     "'b1:lesson:' || lpad(page_id::VARCHAR, greatest(2, length(page_id::VARCHAR))::INT, '0') || '.' || lpad(line_idx::VARCHAR, greatest(2, length(line_idx::VARCHAR))::INT, '0') AS o",
 )
 _line_query(
@@ -179,8 +179,8 @@ _line_query(
     r"CASE line_idx % 5 WHEN 0 THEN 'empty' WHEN 1 THEN 'year' WHEN 2 THEN 'num' WHEN 3 THEN 'range' ELSE CASE WHEN trim(text) = '' THEN 'empty' WHEN regexp_matches(trim(text), '^(19|20)\d\d$') THEN 'year' WHEN regexp_matches(trim(text), '^-?[\d,.]*\d[\d,.]*%?$') THEN 'num' WHEN regexp_matches(text, '(less than|to less|%)') THEN 'range' ELSE 'text' END END AS v",
 )
 _line_query(
-    "t33_fix_equation_html", lambda: {"v": X.fix_equation_html(F.concat(F.lit("<p>"), F.when(F.col("line_idx") % 2 == 0, "<math>").otherwise("<i>"), F.substring("text", 1, 9), F.lit("</math><br></p>")))},
-    'CASE WHEN line_idx % 2 = 0 THEN \'<math display="block">\' || substr(text, 1, 9) || \'</math>\' ELSE \'\' END AS v',
+    "t33_fix_equation_html", lambda: {"v": X.fix_equation_html(F.concat(F.lit("<p>"), F.when(F.col("line_idx") % 2 == 0, "<math>").otherwise("<i>"), _T(), F.lit("</math><br></p>")))},
+    'CASE WHEN line_idx % 2 = 0 THEN \'<math display="block">\' || text || \'</math>\' ELSE \'\' END AS v',
 )
 
 

@@ -67,20 +67,20 @@ def version_gate(packages: DataFrame, current: str) -> DataFrame:
 
 
 def block_tree_schema(depth: int) -> T.StructType:
-    """Schema of a nested block of at most ``depth`` levels below it."""
-    fields = [T.StructField("id", T.StringType()), T.StructField("block_type", T.StringType()), T.StructField("html", T.StringType())]
-    if depth:
-        fields.append(T.StructField("children", T.ArrayType(block_tree_schema(depth - 1))))
-    return T.StructType(fields)
+    """Schema of a nested block of at most ``depth`` levels below it; deeper ones are kept as JSON text."""
+    below = block_tree_schema(depth - 1) if depth else T.StringType()
+    return T.StructType([T.StructField("id", T.StringType()), T.StructField("block_type", T.StringType()), T.StructField("html", T.StringType()), T.StructField("children", T.ArrayType(below))])
 
 
-def leaf_blocks(trees: DataFrame, json_col: str, keys: list[str], depth: int = 3) -> DataFrame:
-    """Leaf blocks of JSON trees (keys, path of positions, id, block_type, html)."""
+def leaf_blocks(trees: DataFrame, json_col: str, keys: list[str], depth: int = 8) -> DataFrame:
+    """Leaf blocks of JSON trees (keys, path of positions, id, block_type, html). A tree of more than ``depth`` levels is an error."""
     level = trees.select(*keys, F.from_json(json_col, block_tree_schema(depth)).alias("b"), F.array().cast("array<int>").alias("path"))
     out = None
     for d in range(depth + 1):
-        leaf = level.where(F.coalesce(F.size("b.children"), F.lit(0)) <= 0) if d < depth else level
-        part = leaf.select(*keys, "path", "b.id", "b.block_type", "b.html")
+        below = F.coalesce(F.size("b.children"), F.lit(0)) > 0
+        if d == depth:
+            level = level.withColumn("b", F.when(below, F.raise_error(F.lit(f"a block lies more than {depth} levels deep")).cast(level.schema["b"].dataType)).otherwise(F.col("b")))
+        part = level.where(~below).select(*keys, "path", "b.id", "b.block_type", "b.html") if d < depth else level.select(*keys, "path", "b.id", "b.block_type", "b.html")
         out = part if out is None else out.unionByName(part)
         if d < depth:
             level = level.select(*keys, "path", F.posexplode("b.children").alias("i", "b")).select(*keys, "b", F.concat("path", F.array("i")).alias("path"))
@@ -103,6 +103,35 @@ def write_outputs(rendered: DataFrame, path: str, buckets: int = 64) -> None:
     rendered.withColumn("doc_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets))).write.partitionBy("doc_bucket").mode("overwrite").parquet(path)
 
 
-def read_packages(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """Every ``content-package.json`` under a folder, at any depth."""
-    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "content-package.json").option("multiLine", True).schema(schema).json(root)
+def read_stage_artifacts(spark: SparkSession, glob: str, header: str, items: str, item: str, provenance: str) -> DataFrame:
+    """Items of a stage's JSON artifacts, each with the artifact's header columns; provenance that an item lacks is the header's.
+
+    ``header``, ``item`` and ``provenance`` are column lists (DDL), ``items`` the name of the artifact's list. No file under the
+    path is an error.
+    """
+    inner = ", ".join(f"`{c.split()[0]}`: {c.split(maxsplit=1)[1]}" for c in item.split(","))
+    given = ", ".join(f"`{c.split()[0]}`: {c.split(maxsplit=1)[1]}" for c in provenance.split(","))
+    schema = f"{header}, provenance struct<{given}>, {items} array<struct<{inner}, provenance: struct<{given}>>>"
+    each = spark.read.schema(schema).json(glob).select(*[c.split()[0] for c in header.split(",")], "provenance", F.explode(items).alias("i"))
+    names = [c.split()[0] for c in provenance.split(",")]
+    filled = F.struct(*[F.coalesce(F.col("i.provenance")[n], F.col("provenance")[n]).alias(n) for n in names])
+    return each.select(*[c.split()[0] for c in header.split(",")], *[f"i.{c.split()[0]}" for c in item.split(",")], filled.alias("provenance"))
+
+
+def assets_from_images(blocks: DataFrame, keys: list[str], images: str = "images") -> DataFrame:
+    """A row for each entry of an image map: keys, asset_id (the name, ``/`` as ``_``) and content (the payload decoded)."""
+    each = blocks.select(*keys, F.explode(images).alias("name", "payload"))
+    return each.select(*keys, F.replace("name", F.lit("/"), F.lit("_")).alias("asset_id"), F.unbase64("payload").alias("content"))
+
+
+def write_packages(packages: DataFrame, path: str) -> None:
+    """Packages as JSON, a folder for each grade and subject; the stats are counted anew from what is written."""
+    kinds = [f.name for f in packages.schema["stats"].dataType.fields]
+    stats = F.struct(*[F.coalesce(F.when(F.col(k).isNotNull(), F.size(k)), F.lit(0)).alias(k) for k in kinds])
+    folders = {"grade_dir": F.col("grade"), "subject_dir": F.col("subject")}
+    packages.withColumn("stats", stats).withColumns(folders).write.partitionBy(*folders).json(path)
+
+
+def read_packages(spark: SparkSession, root: str, schema: str, name: str = "*.json") -> DataFrame:
+    """Every package file under a folder, at any depth."""
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).schema(schema).json(root)

@@ -66,13 +66,30 @@ def _slow_lcs(a, b):
     return row[-1]
 
 
+def _slow_partial(a, b):
+    """Every window of the shorter text's length in the longer one, over its ends as well."""
+    if not a or not b:
+        return (100, 0) if not a and not b else (0, -1)
+    q, t = (a, b) if len(a) <= len(b) else (b, a)
+    if q in t:
+        return 100, t.index(q)
+    windows = [(max(0, i), t[max(0, i) : i + len(q)]) for i in range(1 - len(q), len(t))]
+    scored = [(200 * _slow_lcs(q, w) / (len(q) + len(w)), -i) for i, w in windows]
+    best = max(scored)
+    return (best[0], -best[1]) if best[0] > 0 else (0, -1)
+
+
 def test_ratios(spark):
     r = random.Random(2)
     rows = [("", ""), ("a", ""), ("same", "same")] + [("".join(r.choice("abc ") for _ in range(r.randint(0, 30))), "".join(r.choice("abc ") for _ in range(r.randint(0, 30)))) for _ in range(60)]
-    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", G.fuzz_ratio("a", "b").alias("r"), G.partial_ratio("a", "b").alias("p"))
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", G.fuzz_ratio("a", "b").alias("r"), G.partial_ratio(F.col("a"), F.col("b")).alias("p"))
     for x in df.collect():
         want = 200 * _slow_lcs(x.a, x.b) / (len(x.a) + len(x.b)) if x.a or x.b else 100
-        assert x.r == pytest.approx(want) and x.p >= 0 and (x.p == 100 or x.a not in x.b or not x.a)
+        assert x.r == pytest.approx(want) and tuple(x.p) == pytest.approx(_slow_partial(x.a, x.b))
+    cut = spark.createDataFrame(rows, "a string, b string").select("a", "b", G.partial_ratio(F.col("a"), F.col("b"), F.lit(80.0)).alias("p"))
+    for x in cut.collect():
+        score, start = _slow_partial(x.a, x.b)
+        assert tuple(x.p) == pytest.approx((score, start) if score >= 80 else (0, -1))
 
 
 def test_html_to_cells(spark):
