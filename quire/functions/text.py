@@ -119,7 +119,7 @@ def is_list_start(text: Column) -> Column:
     return text.rlike(rf"^\s*(?:[{BULLETS}]|\(?\d{{1,3}}[.)]|\(?[a-zA-Z][.)]|\(?[ivxlcIVXLC]{{1,5}}[.)])\s")
 
 
-def _bind(value: Column, f: Callable[[Column], Column]) -> Column:
+def bind(value: Column, f: Callable[[Column], Column]) -> Column:
     """``f(value)`` with the value computed once, however often ``f`` names it."""
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
@@ -137,9 +137,9 @@ def detect_bad_text(text: Column) -> Column:
     def parts(t: Column) -> Column:
         packed = F.translate(t, " \n", "")
         lined = F.when(t.contains("\n"), F.regexp_replace(t, r"\n+", "\n")).otherwise(t)
-        return _bind(F.struct(t.alias("t"), F.regexp_replace(t, r"\s+", " ").alias("spaced"), lined.alias("lined"), packed.alias("packed"), F.char_length(_without(packed, r"[\p{L}\p{N}]+")).alias("odd")), judge)
+        return bind(F.struct(t.alias("t"), F.regexp_replace(t, r"\s+", " ").alias("spaced"), lined.alias("lined"), packed.alias("packed"), F.char_length(_without(packed, r"[\p{L}\p{N}]+")).alias("odd")), judge)
 
-    bad = _bind(F.regexp_replace(text, r"(?:[.·•…_\-]\s*){3,}", " "), parts)
+    bad = bind(F.regexp_replace(text, r"(?:[.·•…_\-]\s*){3,}", " "), parts)
     return F.when(F.char_length(text) == 0, True).otherwise(bad)
 
 
@@ -241,17 +241,20 @@ def unit_marker(title: Column, most: int = 8) -> Column:
     Read on the compact title; of several ordinals the earliest counts, then the longest.
     """
 
+    known = ordinals()
+    # the shortest lead, then the longest word, as alternatives are tried in order
+    ordinal = rf"^(.{{1,{most}}}?)({'|'.join(sorted(known, key=len, reverse=True))})"
+    value = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    numeral, leading = rf"^([^0-9]{{1,{most}}})([0-9]{{1,2}})(?![0-9])", r"^([0-9]{1,2})(?![0-9])"
+
     def read(t: Column) -> Column:
-        places = F.array(*[F.struct(F.instr(t, F.lit(w)).alias("at"), F.lit(-len(w)).alias("size"), F.lit(n).alias("n")) for w, n in ordinals().items()])
-        first = F.array_min(F.filter(places, lambda x: (x["at"] > 1) & (x["at"] <= most + 1)))
-        numeral, leading = rf"^([^0-9]{{1,{most}}})([0-9]{{1,2}})(?![0-9])", r"^([0-9]{1,2})(?![0-9])"
         return (
-            F.when(first.isNotNull(), F.struct(F.left(t, first["at"] - 1).alias("word"), first["n"].cast("int").alias("index")))
+            F.when(t.rlike(ordinal), F.struct(F.regexp_extract(t, ordinal, 1).alias("word"), F.element_at(value, F.regexp_extract(t, ordinal, 2)).cast("int").alias("index")))
             .when(t.rlike(numeral), F.struct(F.regexp_extract(t, numeral, 1).alias("word"), F.regexp_extract(t, numeral, 2).cast("int").alias("index")))
             .when(t.rlike(leading), F.struct(F.lit("").alias("word"), F.regexp_extract(t, leading, 1).cast("int").alias("index")))
         )
 
-    return _bind(compact(title), read)
+    return bind(compact(title), read)
 
 
 def id_slug(text: Column) -> Column:

@@ -8,31 +8,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.functions.text import id_slug, jaccard, normalize_fa
+from quire.functions.text import bind, id_slug, jaccard, normalize_fa
 
 FUZZY_MIN = 0.75
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(normalize_fa(text), r"\s+"), lambda w: w != "")
-
-
 def match_quote(quote: Column, block: Column) -> Column:
     """Struct of matched, score, method, char_start, char_end: exact (1), normalised (0.95), else token overlap."""
-    exact = F.position(quote, block)
-    nq, nb = normalize_fa(quote), normalize_fa(block)
-    near = F.position(nq, nb)
-    tokens, have = _words(quote), _words(block)
-    share = F.when(F.size(tokens) > 0, F.size(F.filter(tokens, lambda t: F.array_contains(have, t))) / F.size(tokens))
     make = lambda ok, score, method, start, size: F.struct(ok.alias("matched"), score.alias("score"), F.lit(method).alias("method"), start.alias("char_start"), (start + size).alias("char_end"))
     none = F.lit(None).cast("int")
-    blank = (F.length(F.btrim(quote)) == 0) | (F.length(F.btrim(block)) == 0)
-    return (
-        F.when(blank, make(F.lit(False), F.lit(0.0), "none", none, F.lit(0)))
-        .when(exact > 0, make(F.lit(True), F.lit(1.0), "exact", exact - 1, F.char_length(quote)))
-        .when(near > 0, make(F.lit(True), F.lit(0.95), "normalized", near - 1, F.char_length(nq)))
-        .otherwise(make(F.coalesce(share >= FUZZY_MIN, F.lit(False)), F.round(F.coalesce(share, F.lit(0.0)), 4), "token_overlap", none, F.lit(0)))
-    )
+    words = lambda t: F.filter(F.split(t, r"\s+"), lambda w: w != "")
+
+    def overlap(x: Column) -> Column:
+        share = F.when(F.size(x["said"]) > 0, F.size(F.filter(x["said"], lambda t: F.array_contains(x["have"], t))) / F.size(x["said"]))
+        return make(F.coalesce(share >= FUZZY_MIN, F.lit(False)), F.round(F.coalesce(share, F.lit(0.0)), 4), "token_overlap", none, F.lit(0))
+
+    def decide(x: Column) -> Column:
+        exact, near = F.position(x["q"], x["b"]), F.position(x["nq"], x["nb"])
+        blank = (F.length(F.btrim(x["q"])) == 0) | (F.length(F.btrim(x["b"])) == 0)
+        return (
+            F.when(blank, make(F.lit(False), F.lit(0.0), "none", none, F.lit(0)))
+            .when(exact > 0, make(F.lit(True), F.lit(1.0), "exact", exact - 1, F.char_length(x["q"])))
+            .when(near > 0, make(F.lit(True), F.lit(0.95), "normalized", near - 1, F.char_length(x["nq"])))
+            .otherwise(bind(F.struct(words(x["nq"]).alias("said"), words(x["nb"]).alias("have")), overlap))
+        )
+
+    return bind(F.struct(quote.alias("q"), block.alias("b"), normalize_fa(quote).alias("nq"), normalize_fa(block).alias("nb")), decide)
 
 
 def verify_claims(claims: DataFrame, citations: DataFrame) -> DataFrame:

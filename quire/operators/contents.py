@@ -152,8 +152,8 @@ def plain_toc(labelled: DataFrame, counts: DataFrame, least: int = 5, distinct:
 
 
 def choose_toc(decorative: DataFrame, plain: DataFrame) -> DataFrame:
-    """The rows of each book's contents, with ``toc_source``: a decorative list wins over a plain one."""
-    columns = ["doc_id", "page_id", "title", "printed_page", "number"]
-    first = decorative.select(*columns, F.lit("decorative").alias("toc_source"))
+    """The rows of each book's contents, with ``toc_source``: a decorative list wins over a plain one. ``row_id`` is the row, or the anchor's line."""
+    columns = ["doc_id", "page_id", "row_id", "title", "printed_page", "number"]
+    first = decorative.withColumnsRenamed({"line_idx": "row_id"}).select(*columns, F.lit("decorative").alias("toc_source"))
     second = plain.join(decorative.select("doc_id").distinct(), "doc_id", "left_anti").select(*columns, F.lit("plain").alias("toc_source"))
     return first.unionByName(second)

@@ -30,22 +30,23 @@ def rtl_reading_order(lines: DataFrame, least: float = 0.5, keys: dict[str, str]
     group = [*PAGE, *keys]
 
     def order(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["y0", "x1", "line_idx"], ascending=[True, False, True]).reset_index(drop=True)
+        top, low, right, line = (pdf[c].to_numpy() for c in ("y0", "y1", "x1", "line_idx"))
         heads: list[tuple[float, float]] = []
-        row = []
-        for y0, y1 in zip(pdf["y0"], pdf["y1"], strict=True):
+        row, first = np.empty(len(pdf), np.int64), []
+        tops, lows = top.tolist(), low.tolist()
+        for i in np.lexsort((line, -right, top)).tolist():
+            y0, y1 = tops[i], lows[i]
             for k, (a, b) in enumerate(heads):
-                low = min(b - a, y1 - y0)
-                if low > 0 and (min(b, y1) - max(a, y0)) / low >= least:
+                least_height = min(b - a, y1 - y0)
+                if least_height > 0 and (min(b, y1) - max(a, y0)) / least_height >= least:
                     break
             else:
                 k = len(heads)
                 heads.append((y0, y1))
-            row.append(k)
-        pdf["row"] = row
-        pdf["top"] = pdf.groupby("row")["y0"].transform("min")
-        pdf = pdf.sort_values(["top", "row", "x1", "line_idx"], ascending=[True, True, False, True])
-        return pdf.assign(new_pos=np.arange(len(pdf)))[[*group, "line_idx", "row", "new_pos"]]
+                first.append(y0)
+            row[i] = k
+        at = np.lexsort((line, -right, row, np.array(first)[row]))  # a row's first line is its highest
+        return pdf.iloc[at].assign(row=row[at], new_pos=np.arange(len(pdf)))[[*group, "line_idx", "row", "new_pos"]]
 
     schema = ", ".join([_KEYS, *(f"`{k}` {t}" for k, t in keys.items()), "line_idx int, row int, new_pos int"])
     return lines.select(*group, "line_idx", "x1", "y0", "y1").groupBy(*group).applyInPandas(order, schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from dataclasses import dataclass
 from html import escape
 
 import numpy as np
@@ -64,15 +65,31 @@ def _class(text: str) -> str:
     return "year" if _YEAR.match(text) else "num" if _NUMBER.match(text) else "range" if _RANGE.search(text) else "text"
 
 
+@dataclass
+class Line:
+    """A line's tokens, left to right as they came."""
+
+    top: float
+    text: list[str]
+    x0: np.ndarray
+    x1: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.text)
+
+    def tokens(self):
+        return zip(self.text, self.x0.tolist(), self.x1.tolist(), strict=True)
+
+
 class Grid:
     """Rows of tokens dealt to columns: ``cells`` holds texts, ``held`` how many tokens made each."""
 
-    def __init__(self, rows: list[pd.DataFrame], cuts: np.ndarray, columns: list[np.ndarray]):
+    def __init__(self, rows: list[Line], cuts: np.ndarray, columns: list[np.ndarray]):
         self.cuts, self.k = cuts, len(cuts) + 1
         self.cells = [[""] * self.k for _ in rows]
         self.held = np.zeros((len(rows), self.k), int)
         for i, (row, column) in enumerate(zip(rows, columns, strict=True)):
-            for text, j in zip(row["text"], column.tolist(), strict=True):
+            for text, j in zip(row.text, column.tolist(), strict=True):
                 self.put(i, j, text)
                 self.held[i, j] += 1
 
@@ -102,25 +119,25 @@ class Grid:
         return float(np.diff(self.cuts).mean()) if len(self.cuts) > 1 else 100.0
 
 
-def _by_anchors(rows: list[pd.DataFrame], middle: bool) -> Grid | None:
+def _by_anchors(rows: list[Line], middle: bool) -> Grid | None:
     """Columns from the left edges of the rows with the commonest number of tokens."""
     k = Counter(map(len, rows)).most_common(1)[0][0]
     typical = [r for r in rows if len(r) == k]
     if k < 2 or len(typical) < 3:
         return None
-    edges = np.median([r["x0"].to_numpy() for r in typical], axis=0)
+    edges = np.median([r.x0 for r in typical], axis=0)
     cuts = (edges[1:] + edges[:-1]) / 2
-    at = [((r["x0"] + r["x1"]) / 2 if middle else r["x0"]).to_numpy() for r in rows]
+    at = [(r.x0 + r.x1) / 2 if middle else r.x0 for r in rows]
     return Grid(rows, cuts, [(cuts <= a[:, None]).sum(axis=1) for a in at])
 
 
-def _by_gaps(rows: list[pd.DataFrame], share: float) -> Grid | None:
+def _by_gaps(rows: list[Line], share: float) -> Grid | None:
     """Columns from the stretches that over a share of the rows' tokens cover."""
-    every = pd.concat(rows)
-    low, n = every["x0"].min(), int(every["x1"].max() - every["x0"].min()) + 2
+    left, right = np.concatenate([r.x0 for r in rows]), np.concatenate([r.x1 for r in rows])
+    low, n = left.min(), int(right.max() - left.min()) + 2
     steps = np.zeros(n + 1, int)
-    np.add.at(steps, (every["x0"] - low).astype(int).to_numpy(), 1)
-    np.add.at(steps, np.minimum((every["x1"] - low).astype(int).to_numpy() + 1, n), -1)
+    np.add.at(steps, (left - low).astype(int), 1)
+    np.add.at(steps, np.minimum((right - low).astype(int) + 1, n), -1)
     busy = np.concatenate([[0], (np.cumsum(steps)[:n] > share * len(rows)).astype(int), [0]])
     starts, ends = low + np.flatnonzero(np.diff(busy) == 1), low + np.flatnonzero(np.diff(busy) == -1)
     if not len(starts):
@@ -131,32 +148,31 @@ def _by_gaps(rows: list[pd.DataFrame], share: float) -> Grid | None:
         return None
     columns = []
     for r in rows:
-        a, b = r["x0"].to_numpy()[:, None], r["x1"].to_numpy()[:, None]
+        a, b = r.x0[:, None], r.x1[:, None]
         common = np.maximum(0.0, np.minimum(b, ends) - np.maximum(a, starts))
         nearest = np.abs((starts + ends) / 2 - (a + b) / 2).argmin(axis=1)
         columns.append(np.where(common.max(axis=1) > 0, common.argmax(axis=1), nearest))
     return Grid(rows, (ends[:-1] + starts[1:]) / 2, columns)
 
 
-def _headers(grid: Grid, band: list[pd.DataFrame]) -> list[str]:
+def _headers(grid: Grid, band: list[Line]) -> list[str]:
     names: list[list[str]] = [[] for _ in range(grid.k)]
     for line in band:
-        for text, x0, x1 in line[["text", "x0", "x1"]].itertuples(index=False):
+        for text, x0, x1 in line.tokens():
             if x1 - x0 <= WIDE * grid.width():
                 names[grid.column_at((x0 + x1) / 2)].append(text)
     return [" ".join(n) for n in names]
 
 
-def _attach_wrapped(grid: Grid, tops: list[float], lines: list[pd.DataFrame], first: float) -> None:
+def _attach_wrapped(grid: Grid, tops: list[float], lines: list[Line], first: float) -> None:
     """Single words below the first data row join the text cell above them."""
     kinds = [[_class(row[j]) for row in grid.cells if row[j].strip()] for j in range(grid.k)]
     texts = [bool(k) and k.count("text") >= 0.5 * len(k) for k in kinds]
     for line in lines:
-        y0 = line["y0"].iloc[0]
-        above = [i for i, top in enumerate(tops) if top <= y0]
-        if y0 < first or len(line) >= LEAST_CELLS or not above:
+        above = [i for i, top in enumerate(tops) if top <= line.top]
+        if line.top < first or len(line) >= LEAST_CELLS or not above:
             continue
-        for text, x0, x1 in line[["text", "x0", "x1"]].itertuples(index=False):
+        for text, x0, x1 in line.tokens():
             j = grid.column_at((x0 + x1) / 2)
             if x1 - x0 <= WIDE * grid.width() and texts[j] and _class(text) == "text":
                 grid.put(above[-1], j, text)
@@ -176,13 +192,16 @@ def _fold_signs(rows: list[list[str]], body: int) -> list[list[str]]:
 
 def reconstruct(tokens: pd.DataFrame) -> tuple[str, float] | None:
     """Html and score of a table from its tokens (line_idx, seq, text, x0, x1, y0), or None: garbled, or no grid of three rows."""
-    lines = [line for _, line in tokens.sort_values(["line_idx", "seq"]).groupby("line_idx", sort=True)]
-    sample = " ".join(t for line in lines[:40] for t in line["text"])
+    order = np.lexsort((tokens["seq"].to_numpy(), tokens["line_idx"].to_numpy()))
+    at, text, x0, x1, y0 = (tokens[c].to_numpy()[order] for c in ("line_idx", "text", "x0", "x1", "y0"))
+    ends = np.flatnonzero(np.append(at[1:] != at[:-1], True)) + 1
+    lines = [Line(float(y0[a]), text[a:b].tolist(), x0[a:b], x1[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    sample = " ".join(t for line in lines[:40] for t in line.text)
     if not sample or len(_ODD.findall(sample)) > MOST_ODD * len(sample):
         return None
     rich = [len(line) >= LEAST_CELLS for line in lines]
-    tops = [float(line["y0"].iloc[0]) for line in lines]
-    numeric = [r and sum(map(bool, map(_NUMBER.match, line["text"]))) > 0.5 * len(line) for r, line in zip(rich, lines, strict=True)]
+    tops = [line.top for line in lines]
+    numeric = [r and sum(map(bool, map(_NUMBER.match, line.text))) > 0.5 * len(line) for r, line in zip(rich, lines, strict=True)]
     first = min((y for y, n in zip(tops, numeric, strict=True) if n), default=None)
     if first is None:
         first = min((y for y, r in zip(tops, rich, strict=True) if r), default=None)
@@ -192,7 +211,7 @@ def reconstruct(tokens: pd.DataFrame) -> tuple[str, float] | None:
     band = [line for y, line in sorted(zip(tops, lines, strict=True), key=lambda e: e[0]) if y < start]
     if len(data) < LEAST_ROWS:
         return None
-    n_header = sum(int((line["x1"] - line["x0"] < 200).sum()) for line in band) or None
+    n_header = sum(int((line.x1 - line.x0 < 200).sum()) for line in band) or None
     rows = [line for _, line in data]
     grids = [_by_anchors(rows, False), _by_anchors(rows, True), *(_by_gaps(rows, s) for s in SHARES)]
     scored = [(g.score(n_header), -i, g) for i, g in enumerate(grids) if g is not None]

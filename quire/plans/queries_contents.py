@@ -99,8 +99,8 @@ def _c6(s, d):
     rows = _rows(s, d)
     counts = rows.groupBy("doc_id").agg((F.count("*") * 2).alias("page_count"))
     toc = K.plain_toc(K.label_units(rows), counts)
-    chosen = K.choose_toc(toc.where("false"), toc).select("doc_id", "page_id", "printed_page", "number", "toc_source").distinct()
-    return toc.join(chosen.select("doc_id", "toc_source").distinct(), "doc_id").select("doc_id", "page_id", "row_id", "printed_page", "number", "toc_source")
+    decorative = s.createDataFrame([], "doc_id long, page_id int, line_idx int, title string, printed_page long, number long")
+    return K.choose_toc(decorative, toc).select("doc_id", "page_id", "row_id", "printed_page", "number", "toc_source")
 
 
 # --- tables
@@ -109,27 +109,25 @@ def _c6(s, d):
 @_query(
     "r1_table_tokens",
     r""", li AS (SELECT *, line_idx % 7 = 0 AS bare FROM lines_boxed),
-ch AS (SELECT doc_id, page_id, line_idx, y0, y1, i AS k, substr(text, i, 1) AS c, x0 + 4 * (i - 1) + 8 * (length(substr(text, 1, i - 1)) - length(replace(substr(text, 1, i - 1), ' ', ''))) AS cx FROM (SELECT *, unnest(range(1, length(text) + 1)) AS i FROM li WHERE NOT bare)),
-ins AS (SELECT *, cx + 3.5 AS cx1 FROM ch WHERE (cx + cx + 3.5) / 2 BETWEEN 60 AND 360 AND (y0 + y1) / 2 BETWEEN 0 AND 500),
+ch AS (SELECT doc_id, page_id, line_idx, y0, y1, i AS k, cs[i] AS c, x0 + 10 * (i - 1) AS cx FROM (SELECT *, string_split(text, '') AS cs, unnest(range(1, length(text) + 1)) AS i FROM li WHERE NOT bare)),
+ins AS (SELECT *, cx + 9.5 AS cx1 FROM ch WHERE c <> ' ' AND (cx + cx + 9.5) / 2 BETWEEN 60 AND 900 AND (y0 + y1) / 2 BETWEEN 0 AND 500),
 fr AS (SELECT *, CASE WHEN cx - lag(cx1) OVER (PARTITION BY doc_id, line_idx ORDER BY k) <= 0.5 * greatest(y1 - y0, 1.0) THEN 0 ELSE 1 END AS f FROM ins),
 tk AS (SELECT *, sum(f) OVER (PARTITION BY doc_id, line_idx ORDER BY k) AS token FROM fr),
 w AS (SELECT doc_id, page_id, line_idx, token, string_agg(c, '' ORDER BY k) AS text, min(cx) AS x0, max(cx1) AS x1, min(y0) AS y0, min(y1) AS y1 FROM tk GROUP BY doc_id, page_id, line_idx, token
-  UNION ALL SELECT doc_id, page_id, line_idx, 1, text, x0, x1, y0, y1 FROM li WHERE bare AND (x0 + x1) / 2 BETWEEN 60 AND 360 AND (y0 + y1) / 2 BETWEEN 0 AND 500),
+  UNION ALL SELECT doc_id, page_id, line_idx, 1, text, x0, x1, y0, y1 FROM li WHERE bare AND (x0 + x1) / 2 BETWEEN 60 AND 900 AND (y0 + y1) / 2 BETWEEN 0 AND 500),
 t AS (SELECT *, regexp_replace(text, '^\s+|\s+$', '', 'g') AS word FROM w)
 SELECT doc_id, page_id, line_idx, row_number() OVER (PARTITION BY doc_id, line_idx ORDER BY token) - 1 AS seq, word AS text, round(x0, 1) AS x0, round(x1, 1) AS x1, round(y0, 1) AS y0 FROM t WHERE word <> '' AND NOT regexp_matches(word, '^[.·•…_\-\s]+$')""",
     "lines_boxed",
 )
 def _r1(s, d):
-    """Lines of characters with wide spaces, every seventh without characters, and a table over part of each page."""
+    """Lines of characters without the spaces between them, every seventh without characters, and a table over part of each page."""
     li = lines_boxed(s, d)
-    at = lambda i: C("x0") + 4 * i + 8 * (i - F.char_length(F.replace(F.left("text", i), F.lit(" "), F.lit(""))))
-    char = lambda i: F.struct(F.substr(C("text"), i + 1, F.lit(1)).alias("c"), at(i).alias("x0"), C("y0").alias("y0"), (at(i) + 3.5).alias("x1"), C("y1").alias("y1"))
-    none = F.array().cast("array<struct<c:string,x0:double,y0:double,x1:double,y1:double>>")
-    chars = F.when((C("line_idx") % 7 == 0) | (F.char_length("text") == 0), none).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(F.char_length("text") - 1, F.lit(0))), char))
+    char = lambda c, i: F.struct(c.alias("c"), (C("x0") + 10 * i).alias("x0"), C("y0").alias("y0"), (C("x0") + 10 * i + 9.5).alias("x1"), C("y1").alias("y1"))
+    chars = F.filter(F.transform(F.split(F.when(C("line_idx") % 7 == 0, "").otherwise(C("text")), ""), char), lambda x: (x["c"] != " ") & (x["c"] != ""))
     span = F.struct(C("text"), C("x0"), C("y0"), C("x1"), C("y1"), chars.alias("chars"))
-    wide = C("x1") + 12 * F.char_length("text")
+    wide = C("x1") + 10 * F.char_length("text")
     lines = li.select("doc_id", "page_id", "line_idx", "x0", "y0", wide.alias("x1"), "y1", F.array(span).alias("spans"))
-    tables = li.select("doc_id", "page_id").distinct().select("*", F.lit(0).alias("pos"), F.lit(60.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(360.0).alias("x1"), F.lit(500.0).alias("y1"))
+    tables = li.select("doc_id", "page_id").distinct().select("*", F.lit(0).alias("pos"), F.lit(60.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(900.0).alias("x1"), F.lit(500.0).alias("y1"))
     return T.table_tokens(lines, tables).select("doc_id", "page_id", "line_idx", "seq", "text", "x0", "x1", "y0")
 
 
