@@ -8,6 +8,8 @@ root holds no mergeable pair.
 
 * null text encodes as empty text: no ids, decoded text empty.
 * Very long words cost n log n, not n squared. Texts are taken whole, one at a time.
+* Of pairs with one rank the leftmost merges first. Repeated rows return alike; an empty table returns no rows; the
+  functions are columns, so other columns of a table, whatever their names, have no say.
 * Special tokens written in a text become their ids, as the library does by default.
 * Words are remembered between texts in a table of bounded size (``MEMO`` and the words of one run),
   emptied when full. New short words are encoded together, their trees stepping side by side in numpy.

@@ -1,5 +1,6 @@
 import hashlib
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,6 +30,18 @@ def test_words_alone_and_together():
     assert bpe.encode_short(words) == [bpe.encode_word(w) for w in words]
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_random_words_alone_and_together(seed):
+    """Both ways of merging give the library's ids, at the border between short and long words as well."""
+    r = random.Random(seed)
+    words = ["".join(r.choice("aeinorst" + "bcdlmu" * (seed % 2) + "é" * (seed % 3)) for _ in range(r.choice([1, 2, 5, 20, 60, 62, 63, 64, 65, 66, 90]))) for _ in range(60)]
+    words = [w for w in words if len(w.encode()) <= 64] or ["a"]
+    bpe, library = WordBpe(PATH), Tokenizer.from_file(PATH)
+    alone = [bpe.encode_word(w.encode()) for w in words]
+    assert bpe.encode_short([w.encode() for w in words]) == alone
+    assert [list(memoryview(x).cast("I")) for x in alone] == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
 def test_tree_finds_the_leftmost_of_the_lowest():
     tree = PairTree([5, 2, 7, 2, -1])
     assert tree.node[1] == (2 << 32) | 1

@@ -74,3 +74,46 @@ def test_thresholds_follow_the_group_and_junk_raises_none(spark):
     assert all(out[i].kept for i in range(300)) and all(out[1000 + i].kept for i in range(300))
     assert [out[2000 + i].kept for i in range(300)] == [i % 5 >= 2 for i in range(300)]
     assert out[2000].max_symbol_rate <= out[3002].max_symbol_rate == 100 and out[0].max_symbol_rate < 100
+
+
+def _floor(v):
+    """Least value of the bin of v: 64 bins an octave from 128 on."""
+    e = max(0, v.bit_length() - 7)
+    return v >> e << e
+
+
+def _limit(values, fixed):
+    """Threshold of a group from (rate, passes the base rule) of its documents."""
+    passed = [_floor(v) for v, ok in values if ok]
+
+    def quantile(percent):
+        return min((f for f in {_floor(v) for v, _ in values} if 100 * sum(p <= f for p in passed) >= percent * len(passed)), default=None)
+
+    q25, q50, q99 = map(quantile, (25, 50, 99))
+    return len(passed), max(fixed // 4, min(fixed, 2 * q99), q50 + 3 * (q50 - q25))
+
+
+def test_verdicts_against_brute_force(spark):
+    """Null languages and sources are groups; values at a threshold stay; small groups take their parent's threshold."""
+    df = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id", "text", "if(doc_id % 9 = 0, null, lang) AS lang", "if(doc_id % 7 = 0, null, source) AS source")
+    rules = {"symbol_rate": ("n_symbols", "n_words", 100), "dup_line_rate": ("n_dup_lines", "n_text_lines", 500), "repeat_rate": ("n_repeat_words", "n_words", 300)}
+    docs = []
+    for r in df.collect():
+        n_words, _, n_symbols, n_dup, n_repeat = _brute(r.text)
+        lines = sum(1 for x in (r.text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r"))
+        m = {"n_words": n_words, "n_symbols": n_symbols, "n_dup_lines": n_dup, "n_repeat_words": n_repeat, "n_text_lines": lines}
+        rates = {k: 1000 * m[a] // m[b] if m[b] else 0 for k, (a, b, _) in rules.items()}
+        docs.append((r, rates, n_words >= 50 and 100 * n_repeat <= 50 * n_words))
+    for least in (5, 30):
+        got = {r.row.doc_id: r for r in quality_rules(df, min_group=least).collect()}
+        assert len(got) == len(docs)
+        for r, rates, ok in docs:
+            over = False
+            for k, (_, _, fixed) in rules.items():
+                limit = None
+                for group in ([d for d in docs], [d for d in docs if d[0].lang == r.lang], [d for d in docs if (d[0].lang, d[0].source) == (r.lang, r.source)]):
+                    n, mine = _limit([(d[1][k], d[2]) for d in group], fixed)
+                    limit = mine if limit is None else min(limit, mine) if n >= least else limit
+                assert got[r.doc_id][f"max_{k}"] == limit, (r.doc_id, k)
+                over |= rates[k] > limit
+            assert got[r.doc_id].kept == (ok and not over)
