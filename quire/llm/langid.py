@@ -13,14 +13,15 @@ score = 1 - fewest / second fewest phrases (0 to 1; 1 when one language is known
 * Predictions read the text alone. Repeated rows return alike. Empty table: no rows.
 * Very long texts are many blocks, parsed side by side in bounded groups. Extra columns travel in ``row``.
 
-Scale: what is gathered is bounded by the number of languages times ``sample_chars``; scoring is a
-scan without a shuffle. Which hashes to read is set from a histogram per language over its distinct texts,
+Scale: what is gathered is bounded by ``MODEL_CHARS`` code points of all languages together (of many languages each
+sample is shorter, ``LEAST_CHARS`` at least); scoring is a scan without a shuffle. Which hashes to read is set from a histogram per language over its distinct texts,
 64 bins an octave of the hash, so what is read exceeds the aim by a few hundredths or by the least bin. Of more than
 ``MAX_LANGS`` labels it refuses to learn, and so it does if a labelled language has no sample.
 """
 
 from __future__ import annotations
 
+import hashlib
 import sys
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,8 +38,9 @@ from quire.session import bounded_batches
 
 #: Code points of a block; columns of the table of steps (0 separates, the last is for letters unknown to all samples). Further letters are looked up.
 BLOCK, CLASSES = 1024, 64
-#: Labels that can be languages.
-MAX_LANGS = 1000
+#: Labels that can be languages; code points of all samples together, and of each at least. A worker's table takes about
+#: 400 bytes a code point.
+MAX_LANGS, MODEL_CHARS, LEAST_CHARS = 1000, 600_000, 500
 #: Code points read for each one of the bound; bin of the hash ``order`` (63 bits): itself under 128, then its upper 7 bits.
 FILL = 4
 HASH_BIN = "cast(greatest(0, length(bin(order)) - 7) * 64 + shiftrightunsigned(order, greatest(0, length(bin(order)) - 7)) as int)"
@@ -205,7 +207,7 @@ _parsers: dict[bytes, CrossParser] = {}
 
 
 def learn_languages(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_chars: int = 50_000) -> list[tuple[str, int, bytes]]:
-    """The automata (language, states, edges), each of at most ``sample_chars`` code points.
+    """The automata (language, states, edges), each of at most ``sample_chars`` code points (fewer where ``MODEL_CHARS`` asks for it).
 
     The distinct texts of least hash enter that hold ``FILL`` times the bound (a sample is folded, so it
     shrinks), or all there are; never by id. A text counts once however often it is copied.
@@ -223,7 +225,8 @@ def learn_languages(labelled: DataFrame, text_col: str = "text", lang_col: str =
         raise ValueError(f"more than {MAX_LANGS} labels: these are no languages")
     cut = F.broadcast(labelled.sparkSession.createDataFrame(known, "lang string, cut int"))  # MAX_LANGS rows at most
     part = rows.join(cut, "lang").where(F.col("b") <= F.col("cut")).groupBy("lang", "order").agg(F.max("text").alias("text"))
-    built = part.withColumn("bound", F.lit(sample_chars)).groupBy("lang").applyInPandas(_automaton, "lang string, states int, edges binary").collect()
+    bound = min(sample_chars, max(LEAST_CHARS, MODEL_CHARS // max(1, len(known))))
+    built = part.withColumn("bound", F.lit(bound)).groupBy("lang").applyInPandas(_automaton, "lang string, states int, edges binary").collect()
     if lost := {r.lang for r in known} - {r.lang for r in built}:
         raise ValueError(f"no sample of {sorted(lost)}")
     return [(r.lang, r.states, bytes(r.edges)) for r in built]
@@ -242,7 +245,10 @@ def identify(docs: DataFrame, automata: list[tuple[str, int, bytes]], text_col:
             for s in parts:
                 yield pd.DataFrame({"lang_pred": ["und"] * len(s), "score": [0.0] * len(s)})
             return
-        key = b"".join(lang.encode() + edges[:4096] + len(edges).to_bytes(8) for lang, _, edges in known)
+        model = hashlib.blake2b()
+        for lang, _, edges in known:
+            model.update(lang.encode() + b"\0" + len(edges).to_bytes(8) + edges)
+        key = model.digest()
         if key not in _parsers:
             _parsers.clear()
             _parsers[key] = CrossParser(known)

@@ -1,4 +1,8 @@
+import random
+import re
+
 import numpy as np
+from pyspark.sql import functions as F
 
 from oracle import SF
 from quire.llm.langid import CrossParser, identify, learn_languages, suffix_automaton
@@ -79,3 +83,52 @@ def test_every_labelled_language_has_a_sample(spark):
     assert [x[0] for x in sorted(found)] == ["a", "b", "c", "copies", "d", "e", "f"]
     letters = {chr(c) for lang, _, e in found if lang == "copies" for c in np.frombuffer(e, dtype="<i4").reshape(-1, 3)[:, 1] if c}
     assert letters == set(copied + " ".join(others)) - {" "}
+
+
+def _walk(edges, points):
+    """Greedy parse of each block of 1,024 code points by the edges alone."""
+    n = 0
+    for lo in range(0, len(points), 1024):
+        state = None
+        for c in points[lo : lo + 1024]:
+            if state is None or (state, c) not in edges:
+                n, state = n + 1, edges.get((0, c))
+            else:
+                state = edges[(state, c)]
+    return n
+
+
+def test_query_over_the_whole_table(spark):
+    """Every prediction against a plain parse with the automata of the query's own learning rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    models = {lang: {(a, b): c for a, b, c in np.frombuffer(e, dtype="<i4").reshape(-1, 3).tolist()} for lang, _, e in learn_languages(docs.where(~held_out))}
+    got = {r.doc_id: r for r in op6_langid(spark, SF).collect()}
+    rows = docs.withColumn("out", held_out).collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        folded = re.sub("\0+", "\0", "".join(c if c.isalpha() else "\0" for c in (r.text or "").lower()))
+        counts = sorted((_walk(e, list(map(ord, folded))), lang) for lang, e in models.items())
+        want = (counts[0][1], 1 - counts[0][0] / counts[1][0]) if folded.strip("\0") else ("und", 0.0)
+        assert got[r.doc_id].lang_pred == want[0] and abs(got[r.doc_id].score - want[1]) < 1e-9 and got[r.doc_id].held_out == r.out
+
+
+def test_seven_scripts(spark):
+    """Languages of seven scripts, most of whose letters are beyond the table of steps."""
+    r = random.Random(11)
+    scripts = {"la": (0x61, 26), "el": (0x3B1, 25), "ru": (0x430, 32), "he": (0x5D0, 27), "th": (0xE01, 46), "ko": (0xAC00, 400), "hi": (0x904, 53)}
+    known = {k: ["".join(chr(low + r.randrange(n)) for _ in range(r.randint(2, 7))) for _ in range(300)] for k, (low, n) in scripts.items()}
+    text = lambda k: " ".join(r.choice(known[k]) for _ in range(r.randint(5, 40)))
+    model = learn_languages(spark.createDataFrame([(text(k), k) for k in scripts for _ in range(60)], "text string, lang string"), sample_chars=6000)
+    asked = spark.createDataFrame([(text(k), k) for k in scripts for _ in range(20)], "text string, lang string")
+    out = identify(asked, model).collect()
+    for k in scripts:
+        assert sum(x.lang_pred == k for x in out if x.row.lang == k) >= 19, k
+
+
+def test_the_model_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr("quire.llm.langid.MODEL_CHARS", 3000)
+    r = random.Random(3)
+    rows = [(" ".join("".join(r.choices("abcdefgh"[i % 3 :], k=5)) for _ in range(400)), f"l{i}") for i in range(4)]
+    found = learn_languages(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(found) == 4 and all(states <= 2 * 750 + 1 for _, states, _ in found)
