@@ -22,7 +22,7 @@ fixed value back, so a source full of junk can't raise its own threshold above t
 * Texts of any length are measured whole, once: the measures are written beside the carried columns. Extra columns travel in ``row``.
 
 Scale: sketches are combined before their shuffle, so a hot source costs one row for each bin and
-task. The threshold table has a row for each (language, source); it is counted, and broadcast only
+task; a window over a group sees its bins alone, some hundreds at most whatever the documents. The threshold table has a row for each (language, source); it is counted, and broadcast only
 up to ``MAX_BROADCAST`` rows; beyond, the join is by (language, source, salt) with the thresholds repeated for
 each salt, so that no hot source meets in one task.
 """
