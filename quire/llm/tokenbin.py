@@ -122,7 +122,9 @@ class ByteBpe:
     def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of each word. Words that start with a space and end otherwise go to the library many at a
         time, as one text, whose ids are dealt out by the bytes that tokens and words have."""
-        together = [w[0] == 32 and w[-1] > 32 and not any(s in w for s in self.special) for w in words]
+        blob = b"".join(words)
+        marked = any(s in blob for s in self.special)
+        together = [w[0] == 32 and w[-1] > 32 and not (marked and any(s in w for s in self.special)) for w in words]
         joined = [w for w, j in zip(words, together, strict=True) if j]
         alone = [w for w, j in zip(words, together, strict=True) if not j]
         found = {w: ids.tobytes() for w, ids in zip(alone, self._ids(alone), strict=True)}
