@@ -235,7 +235,7 @@ def ordinal_to_int(text: Column) -> Column:
     return F.element_at(known, compact(text))
 
 
-def unit_marker(title: Column, most: int = 8) -> Column:
+def unit_heading(title: Column, most: int = 8) -> Column:
     """(word, index) that a contents row declares, or nulls: a word and an ordinal, a word and a numeral, or a leading index.
 
     Read on the compact title; of several ordinals the earliest counts, then the longest.

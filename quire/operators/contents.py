@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from quire.functions import geometry as G
-from quire.functions.text import compact, digits_to_int, split_trailing_page, unit_marker
+from quire.functions.text import compact, digits_to_int, split_trailing_page, unit_heading
 from quire.operators.blocks import PAGE
 from quire.operators.books import number_anchors, toc_columns
 from quire.operators.grouped import rtl_reading_order
@@ -125,7 +125,7 @@ def label_units(rows: DataFrame, least: float = 0.5) -> DataFrame:
     A row that starts with a word the page's other units have is a unit without an index. A unit without a page takes that of the next
     row down in its column, unless that is a unit. ``rows``: doc_id, page_id, row_id, title, printed_page, x0, x1.
     """
-    m = rows.withColumns({"m": unit_marker(F.col("title")), "plain": compact(F.col("title"))})
+    m = rows.withColumns({"m": unit_heading(F.col("title")), "plain": compact(F.col("title"))})
     known = m.where("m.word <> ''").select(*PAGE, F.col("m.word").alias("known")).distinct().groupBy(*PAGE).agg(F.collect_set("known").alias("known"))
     m = m.join(known, PAGE, "left")
     starts = F.filter(F.coalesce("known", F.array().cast("array<string>")), lambda w: F.col("plain").startswith(w) & (F.char_length("plain") > F.char_length(w)))

@@ -247,7 +247,7 @@ _NUMBERS = sorted(X.ordinals().items())
 
 
 @_query(
-    "t26_unit_marker",
+    "t26_unit_heading",
     f"""SELECT doc_id, line_idx, CASE line_idx % 4 WHEN 0 THEN 'درس' WHEN 1 THEN 'نگاره' WHEN 2 THEN '' END AS word,
 CASE line_idx % 4 WHEN 0 THEN [{", ".join(str(n) for _, n in _NUMBERS)}][line_idx * 7 % {len(_NUMBERS)} + 1] WHEN 1 THEN line_idx % 100 WHEN 2 THEN line_idx % 100 END AS "index" FROM doc_lines""",
     "doc_lines",
@@ -259,7 +259,7 @@ def _t26(s, d):
     bare = F.regexp_replace("text", r"\p{N}", "")
     kind = C("line_idx") % 4
     title = F.when(kind == 0, F.concat(F.lit("درس "), ordinal, F.lit(" "), bare)).when(kind == 1, F.concat(F.lit("نگاره "), number, F.lit(" "), bare)).when(kind == 2, F.concat(number, F.lit("ــ "), bare)).otherwise(bare)
-    return doc_lines(s, d).select("doc_id", "line_idx", X.unit_marker(title).alias("m")).select("doc_id", "line_idx", "m.word", "m.index")
+    return doc_lines(s, d).select("doc_id", "line_idx", X.unit_heading(title).alias("m")).select("doc_id", "line_idx", "m.word", "m.index")
 
 
 _FOLDED = "nfc_normalize(translate(regexp_replace(text, '[*_<>]', '', 'g'), '{}', '{}'))".format(X.FANCY, X.PLAIN.replace("'", "''"))
