@@ -210,13 +210,12 @@ def _a19(s, d):
     return o.join(e, ["package_id", "eid"], "left").groupBy("package_id").agg(F.count("*").alias("objectives"), F.count_if(C("ok").isNull()).alias("ungrounded"), F.count_if("observable").alias("observable"))
 
 
-_LATIN, _SOUNDS = "abcdefghijklmnopqrstuvwxyz", "ابسدهفگهیجکلمنوپقرستووخیز"
-assert len(_SOUNDS) <= len(_LATIN)
-_SPOKEN = f"translate(lower(text), '{_LATIN[: len(_SOUNDS)]}', '{_SOUNDS}')"
+_LATIN, _SOUNDS = "abcdefghijklmnopqrstuvwxy", "ابسدهفگهیجکلمنوپقرستووخیز"
+_SPOKEN = f"translate(lower(text), '{_LATIN}', '{_SOUNDS}')"
 
 
 def _spoken():
-    return F.translate(F.lower("text"), _LATIN[: len(_SOUNDS)], _SOUNDS)
+    return F.translate(F.lower("text"), _LATIN, _SOUNDS)
 
 
 @_query(
