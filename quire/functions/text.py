@@ -20,6 +20,7 @@ ARABIC_DIGITS, PERSIAN_DIGITS, ASCII_DIGITS = "٠١٢٣٤٥٦٧٨٩", "۰۱۲۳
 MARKS = "\u064b\u064c\u064d\u064e\u064f\u0650\u0651\u0652\u0653\u0654\u0655\u0670"
 ZERO_WIDTH = "\u200b\u200e\u200f\u202f\ufeff\u2060"
 ZWNJ = "\u200c"
+CONTROLS = "".join(map(chr, (*range(1, 10), *range(11, 32), *range(127, 160))))  # but the newline
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}
 
 
@@ -185,11 +186,10 @@ def normalize_fa(text: Column, characters: bool = True, digits: bool = True, dou
     if zwnj:
         t = insert_zwnj(t)
     if whitespace:
-        t = F.translate(t, ZERO_WIDTH, "")
-        t = F.regexp_replace(t, r"[\x00-\x09\x0B-\x1F\x7F-\x9F]", "")
+        t = F.translate(t, ZERO_WIDTH + CONTROLS, "")
         t = F.regexp_replace(F.regexp_replace(t, r"[ \u00a0]+", " "), r" *\n *", "\n")
         t = F.regexp_replace(F.regexp_replace(t, r"\n{3,}", "\n\n"), r"\s+([،؛,.!؟?:])", "$1")
-        t = F.regexp_replace(t, r"^\s+|\s+$", "")
+        t = F.btrim(t, F.lit(" \t\n\x0b\x0c\r"))
     return t
 
 
