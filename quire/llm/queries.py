@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm.bpe import bpe_decode, bpe_encode
-from quire.llm.langid import identify, learn_languages
 from quire.llm.chat import chat_windows, read_windows
+from quire.llm.fim import fill_in_middle, frame_texts, output_digests
+from quire.llm.langid import identify, learn_languages
 from quire.llm.linededup import line_dedup
 from quire.llm.media import carve_media, samples_of, sniff_media, text_to_media
 from quire.llm.minhash import minhash_groups
 from quire.llm.mixing import DOMAIN, mix_to_weights
+from quire.llm.packing import pack_pieces, token_pieces
 from quire.llm.quality import quality_rules
+from quire.llm.runs import periodic_runs
 from quire.llm.tokenbin import read_tokens, write_tokens
 from quire.llm.warc import read_warc, write_warc
 from quire.session import Scratch, table
@@ -171,5 +174,77 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(manifest, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {"op1_minhash": op1_minhash, "op2_warc": op2_warc, "op3_mixing": op3_mixing, "op4_chat": op4_chat, "op5_line_dedup": op5_line_dedup, "op6_langid": op6_langid, "op7_media": op7_media, "op8_bpe": op8_bpe, "op9_token_file": op9_token_file, "op10_quality": op10_quality}
-ORACLES = {"op1_minhash": OP1_SQL, "op2_warc": OP2_SQL, "op4_chat": OP4_SQL, "op5_line_dedup": OP5_SQL}
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    framed = Scratch(spark, "fim").keep(frame_texts(table(spark, sf_dir, "documents"), carry=["doc_id"]), "frames")
+    out = fill_in_middle(framed, seed="7", rate=100, spm=50)
+    return out.select("row.doc_id", "n", "form", "prefix_chars", "middle_chars", output_digests(F.col("output"), F.col("form")).alias("d")).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "d.*")
+
+
+OP11_SQL = r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units, sha256('7:' || doc_id) AS h FROM documents),
+h AS (SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[25:32])::BIGINT AS h4 FROM u),
+f AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle, array_to_string(units[b + 1:], '') AS suffix FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = token_pieces(table(spark, sf_dir, "documents"), os.path.join(TOKENIZERS, "word_bpe_49k.json"), end_id=1, capacity=4096, carry=["doc_id"])
+    packed = pack_pieces(pieces.select("row.doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), capacity=4096)
+    return packed.select("row.*", "sequence_id", "offset")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document in ten, by a hash of its id, is made periodic from some word on; then the runs of all are found."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = docs.where(h % 10 == 0).select("doc_id", "text", g.alias("g"), F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("words"))
+    n = F.size("words")
+    cut = words.select("doc_id", "text", "words", n.alias("n"), (F.col("g") % n).alias("a"), "g").withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    again = F.array_join(F.transform("words", lambda w, i: F.get("words", at(i).cast("int"))), " ")
+    periodic = cut.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+    out = periodic_runs(docs.where((h % 10 != 0) | h.isNull()).unionByName(periodic), least=12)
+    longest = F.reduce(
+        "runs", F.lit(None).cast("struct<start: long, length: long, period: long>"),
+        lambda best, r: F.when(best.isNull() | (r["length"] > best["length"]), r).otherwise(best),
+    )
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return out.select("row.doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"), listed.alias("listed"), "collapsed").select(
+        "doc_id", "n_runs", "top.start", "top.length", "top.period", F.floor(1000 * F.col("top.length") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(F.encode("listed", "UTF-8"), 256).alias("runs_sha256"), F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+  xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) AS h FROM documents),
+c AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+e AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) ELSE w END AS w FROM c),
+t AS MATERIALIZED (SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM e),
+m AS (SELECT x.doc_id, y.i - x.i AS q, x.i, x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS island
+  FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 2 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM m GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(12, 2 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s GROUP BY ALL),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+kept AS (SELECT t.doc_id, string_agg(word, ' ' ORDER BY t.i) AS collapsed FROM t ANTI JOIN gone ON t.doc_id = gone.doc_id AND t.i = gone.i GROUP BY 1),
+listed AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS runs FROM r GROUP BY 1),
+top AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) = 1)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, top.start, top.length, top.period, 1000 * top.length // top.period AS exponent_milli,
+  sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN top USING (doc_id)
+"""
+
+
+QUERIES = {
+    "op1_minhash": op1_minhash, "op2_warc": op2_warc, "op3_mixing": op3_mixing, "op4_chat": op4_chat, "op5_line_dedup": op5_line_dedup, "op6_langid": op6_langid, "op7_media": op7_media,
+    "op8_bpe": op8_bpe, "op9_token_file": op9_token_file, "op10_quality": op10_quality, "op11_fim": op11_fim, "op12_packing": op12_packing, "op13_runs": op13_runs,
+}
+ORACLES = {"op1_minhash": OP1_SQL, "op2_warc": OP2_SQL, "op4_chat": OP4_SQL, "op5_line_dedup": OP5_SQL, "op11_fim": OP11_SQL, "op13_runs": OP13_SQL}

@@ -34,6 +34,7 @@ from tokenizers import Tokenizer
 
 from quire.llm.files import commit_file, open_input
 from quire.llm.simple8b import decode_block, encode_block
+from quire.llm.text import utf8_bytes
 from quire.session import Scratch, bounded_batches
 
 MAGIC = b"S8BTOK02"
@@ -232,15 +233,6 @@ class _File:
         self.out.write(struct.pack("<3Q", self.offset, len(self.blocks), self.n_docs))
 
 
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of a column's texts one behind another (null: as empty), and where each ends."""
-    texts = texts.fill_null("")
-    _, offsets, data = texts.buffers()
-    at = np.frombuffer(offsets, np.int64 if pa.types.is_large_string(texts.type) else np.int32)[texts.offset :][: len(texts) + 1].astype(np.int64)
-    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-    return raw[at[0] : at[-1]], at[1:] - at[0]
-
-
 def _encoded(batches: Iterator[pa.RecordBatch], bpe: ByteBpe, end_id: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Parts of the ids, with the end ids: ids, positions behind the end ids, and the documents they end."""
     for batch in batches:
@@ -248,7 +240,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], bpe: ByteBpe, end_id: int) -> It
             continue
         doc = batch.column("id")
         null, doc, done = np.asarray(doc.is_null()).astype(np.int64), doc.fill_null(0).to_numpy(), 0
-        for ids, stops in bpe.encode_all(*_bytes_of(batch.column("text"))):
+        for ids, stops in bpe.encode_all(*utf8_bytes(batch.column("text"))):
             here = slice(done, done + len(stops))
             yield np.insert(ids, stops, end_id), stops + np.arange(1, len(stops) + 1), doc[here], null[here]
             done += len(stops)
