@@ -73,6 +73,11 @@ def merge_consecutive_tags(html_text: Column, tag: str) -> Column:
     return F.when(passes > 0, F.aggregate(F.sequence(F.lit(1), F.greatest(passes, F.lit(1))), html_text, lambda t, _: once(t))).otherwise(html_text)
 
 
+def merge_consecutive_math(html_text: Column) -> Column:
+    """Inline maths that ends in a hyphen goes on in the next one, with a space in the hyphen's place."""
+    return F.regexp_replace(html_text, r"""-</math>\s*<math(?: display=["']inline["'])?>""", " ")
+
+
 def unwrap_math(text: Column) -> Column:
     """Drop a math wrapper that holds nothing mathematical."""
     inner = F.regexp_replace(text, r"(?s)^\s*<math\b[^>]*>|</math>\s*$", "")
@@ -333,29 +338,32 @@ def word_forms(text: Column) -> Column:
     return F.array_union(tokens(text), joined_tokens(text))
 
 
+def once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f`` of a value that it names many times and that is worked out once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _escaped(text: Column) -> Column:
+    return reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), (("-\n", ""), ("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")), text)
+
+
 def format_span(text: Column, formats: Column, url: Column, superscript: Column) -> Column:
     """A span's html: newlines out, escaped, superscript, link, and the first format that applies."""
-    t = F.regexp_replace(text, r"^[\r\n]+", "")
-    t = F.when(t.rlike(r"[\r\n]$"), F.concat(F.regexp_replace(t, r"[\r\n]+$", ""), F.when(F.regexp_replace(t, r"[\r\n]+$", "").endswith("-"), F.lit("")).otherwise(F.lit(" ")))).otherwise(t)
-    t = F.replace(t, F.lit("-\n"), F.lit(""))
-    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
-        t = F.replace(t, F.lit(char), F.lit(entity))
-    raised = F.when(t.rlike(r"^[0-9\W]+"), F.regexp_replace(t, r"^([0-9\W]+)(.*)", "<sup>$1</sup>$2")).otherwise(F.concat(F.lit("<sup>"), t, F.lit("</sup>")))
-    t = F.when(superscript, raised).otherwise(t)
-    t = F.when(url.isNotNull(), F.concat(F.lit("<a href='"), url, F.lit("'>"), t, F.lit("</a>"))).otherwise(t)
-    tags = {"italic": "i", "bold": "b", "highlight": "mark", "subscript": "sub", "superscript": "sup", "underline": "u", "small": "small", "code": "code"}
-    out = t
-    for name, tag in reversed(tags.items()):
-        out = F.when(F.array_contains(formats, name), F.concat(F.lit(f"<{tag}>"), t, F.lit(f"</{tag}>"))).otherwise(out)
+    ending = lambda t: F.when(t.rlike(r"-[\r\n]+$"), F.regexp_replace(t, r"[\r\n]+$", "")).otherwise(F.regexp_replace(t, r"[\r\n]+$", " "))
+    whole = lambda t: F.concat(F.lit("<sup>"), t, F.lit("</sup>"))
+    raise_ = lambda t: F.when(~superscript, t).when(t.rlike(r"^[0-9\W]+"), F.regexp_replace(t, r"^([0-9\W]+)(.*)", "<sup>$1</sup>$2")).otherwise(whole(t))
+    link = lambda t: F.when(url.isNull(), t).otherwise(F.concat(F.lit("<a href='"), url, F.lit("'>"), t, F.lit("</a>")))
+    # the first that applies wins
+    tags = {"italic": "i", "bold": "b", "math": "math", "highlight": "mark", "subscript": "sub", "superscript": "sup", "underline": "u", "small": "small", "code": "code"}
+    tag = F.coalesce(*[F.when(F.array_contains(formats, name), F.lit(tag)) for name, tag in tags.items()])
+    block = lambda t: F.when(t.rlike(r"\\begin\{(split|align|gather|multline)\}"), F.lit(" display='block'")).otherwise(" display='inline'")
+    wrap = lambda t: F.when(tag.isNull(), t).when(tag == "math", unwrap_math(F.concat(F.lit("<math"), block(t), F.lit(">"), t, F.lit("</math>")))).otherwise(F.concat(F.lit("<"), tag, F.lit(">"), t, F.lit("</"), tag, F.lit(">")))
+    out = _escaped(once(F.regexp_replace(text, r"^[\r\n]+", ""), ending))
+    for step in (raise_, link, wrap):
+        out = once(out, step)
     return out
 
 
-def clean_table_html(text: Column) -> Column:
-    """Empty unless it has a table with a cell; attributes other than spans go."""
-    bare = F.regexp_replace(text, r"<(table|tbody|thead|tr)\b[^>]*>", "<$1>")
-    return F.when(text.rlike(r"(?i)<table\b") & text.rlike(r"(?i)<t[dh]\b"), F.btrim(bare)).otherwise("")
-
-
 # Fixed folds of the benchmark's checker.
 FANCY = "\u2018\u2019\u201a\u201c\u201d\u201e\uff3f\u2013\u2014\u2011\u2012\u2212\u00b5"
 PLAIN = "'''" + '"""' + "_-----\u03bc"

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from quire.functions.markup import grid_of, html_to_markdown
+from quire.functions.text import digits_to_int
+from quire.operators.aggregates import table_shape
 from quire.operators.blocks import PAGE
 
 
@@ -61,8 +65,11 @@ def lesson_opening(blocks: DataFrame, most: int = 80) -> DataFrame:
 
 
 def number_anchors(lines: DataFrame, least: float = 3.0) -> DataFrame:
-    """Numeric lines taller than the widest gap between a page's distinct heights (as a ratio, 3 at least)."""
-    numeric = lines.where(F.col("text").rlike(r"^\s*\d+\s*$")).withColumn("h", F.round(F.col("y1") - F.col("y0"), 1)).where("h > 0")
+    """Numeric lines (of any of the three kinds of digits) above the widest gap between a page's distinct heights (as a ratio, 3 at least).
+
+    Heights count to a thousandth; of gaps as wide as each other the lowest holds.
+    """
+    numeric = lines.where(digits_to_int(F.col("text")).isNotNull()).withColumn("h", F.bround(F.col("y1") - F.col("y0"), 3)).where("h > 0")
     heights = numeric.select(*PAGE, "h").distinct()
     ratio = heights.withColumn("next", F.lead("h").over(W.partitionBy(*PAGE).orderBy("h"))).withColumn("ratio", F.col("next") / F.col("h")).where(F.col("ratio") >= least)
     cut = ratio.groupBy(*PAGE).agg(F.min(F.struct((-F.col("ratio")).alias("k"), "h", "next")).alias("m")).select(*PAGE, F.col("m.next").alias("cut"))
@@ -72,27 +79,46 @@ def number_anchors(lines: DataFrame, least: float = 3.0) -> DataFrame:
 # --- tables
 
 
-def cells_to_html(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """One ``<table>`` per key from cells (row_id, col_id, rowspan, colspan, is_header, text)."""
+def cells_to_html(cells: DataFrame, keys: list[str], rows: DataFrame | None = None) -> DataFrame:
+    """One ``<table>`` per key from cells (row_id, col_id, rowspan, colspan, is_header, text).
+
+    ``rows`` names rows (keys, row_id) that are written even if they have no cell.
+    """
     tag = F.when(F.col("is_header"), "th").otherwise("td")
     span = F.concat(F.when(F.col("rowspan") > 1, F.concat(F.lit(" rowspan="), F.col("rowspan"))).otherwise(""), F.when(F.col("colspan") > 1, F.concat(F.lit(" colspan="), F.col("colspan"))).otherwise(""))
-    one = cells.withColumn("cell", F.concat(F.lit("<"), tag, span, F.lit(">"), F.coalesce("text", F.lit("")), F.lit("</"), tag, F.lit(">")))
+    one = cells.select(*keys, "row_id", "col_id", F.concat(F.lit("<"), tag, span, F.lit(">"), F.coalesce("text", F.lit("")), F.lit("</"), tag, F.lit(">")).alias("cell"))
+    if rows is not None:
+        one = one.unionByName(rows.select(*keys, "row_id"), allowMissingColumns=True)
     ordered = lambda key, v: F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(key, v))), lambda s: s[v]), "")
-    rows = one.groupBy(*keys, "row_id").agg(F.concat(F.lit("<tr>"), ordered("col_id", "cell"), F.lit("</tr>")).alias("line"))
-    return rows.groupBy(*keys).agg(F.concat(F.lit("<table><tbody>"), ordered("row_id", "line"), F.lit("</tbody></table>")).alias("html"))
+    lines = one.groupBy(*keys, "row_id").agg(F.concat(F.lit("<tr>"), ordered("col_id", "cell"), F.lit("</tr>")).alias("line"))
+    return lines.groupBy(*keys).agg(F.concat(F.lit("<table><tbody>"), ordered("row_id", "line"), F.lit("</tbody></table>")).alias("html"))
+
+
+def cells_to_markdown(cells: DataFrame, keys: list[str], tables: str = "pipe") -> DataFrame:
+    """(keys, markdown): pipe tables (or html ones) of cells (row_id, col_id, rowspan, colspan, is_header, text as markup).
+
+    A cell goes to its row's next free column; places that its spans cover are blank. Columns are padded to their widest cell, empty
+    rows at the top are left out, a rule follows the first row, and a table of one row gets a second one.
+    """
+    return cells_to_html(cells, keys).select(*keys, html_to_markdown(F.col("html"), tables=tables).alias("markdown"))
+
+
+def place_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Every place of each table's grid (keys, row_id, col_id from 0, text, first: a cell begins here): rows are numbered
+    anew in order, a cell goes to its row's next free column, and its spans cover blank places."""
+    line = F.sort_array(F.collect_list(F.struct("col_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("rowspan", F.lit(1)).cast("int").alias("rowspan"), F.coalesce("colspan", F.lit(1)).cast("int").alias("colspan"))))
+    lines = cells.groupBy(*keys, "row_id").agg(line.alias("cells"))
+    tables = lines.groupBy(*keys).agg(F.transform(F.sort_array(F.collect_list(F.struct("row_id", "cells"))), lambda r: r["cells"]).alias("rows"))
 
+    @F.pandas_udf("array<struct<row_id: int, col_id: int, text: string, first: boolean>>")
+    def grid(rows: pd.Series) -> pd.Series:
+        out = []
+        for table in rows:
+            placed = grid_of([[(c["text"], c["rowspan"], c["colspan"]) for c in line] for line in table])
+            out.append([(r, c, text, first) for r, line in enumerate(placed) for c, (text, first) in enumerate(line)])
+        return pd.Series(out)
 
-def cells_to_markdown(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Pipe table per key; a dense grid, columns padded to their widest cell, a rule after the first row."""
-    shape = cells.groupBy(*keys).agg(F.max("row_id").alias("r"), F.max("col_id").alias("c"))
-    grid = shape.select(*keys, F.explode(F.sequence(F.lit(0), "r")).alias("row_id"), "c").select(*keys, "row_id", F.explode(F.sequence(F.lit(0), "c")).alias("col_id"))
-    dense = grid.join(cells.select(*keys, "row_id", "col_id", F.translate("text", "\n|", "  ").alias("text")), [*keys, "row_id", "col_id"], "left").na.fill("", ["text"])
-    dense = dense.withColumn("w", F.greatest(F.lit(3), F.max(F.char_length("text")).over(W.partitionBy(*keys, "col_id"))))
-    padded = F.concat("text", F.repeat(F.lit(" "), F.col("w") - F.char_length("text")))
-    rows = dense.groupBy(*keys, "row_id").agg(F.sort_array(F.collect_list(F.struct("col_id", padded.alias("t"), F.repeat(F.lit("-"), F.col("w")).alias("rule")))).alias("cs"))
-    line = lambda k: F.concat(F.lit("| "), F.array_join(F.transform("cs", lambda c: c[k]), " | "), F.lit(" |"))
-    lines = rows.select(*keys, "row_id", F.when(F.col("row_id") == 0, F.concat(line("t"), F.lit("\n"), line("rule"))).otherwise(line("t")).alias("line"))
-    return lines.groupBy(*keys).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("row_id", "line"))), lambda s: s["line"]), "\n").alias("markdown"))
+    return tables.select(*keys, F.explode(grid("rows")).alias("p")).select(*keys, "p.*")
 
 
 def header_band(rows: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
@@ -104,13 +130,18 @@ def header_band(rows: DataFrame, keys: list[str], least: int = 2) -> DataFrame:
 
 
 def join_tables(cells: DataFrame, merges: DataFrame, keys: list[str]) -> DataFrame:
-    """Tables accepted as continuations move below the table they continue: row ids shift by its row count.
+    """Tables accepted as continuations move to the table they continue.
 
-    ``merges``: (keys of the second table as ``*_2``, keys of the first); refused if the column counts differ by two or more.
+    ``merges``: keys of the table (``*_1``), of its continuation (``*_2``) and ``direction``. Below (``bottom``), row ids shift by the first
+    table's rows, refused if the column counts differ by two or more; beside it (``right``), column ids shift by its
+    columns, refused if the row counts differ by five or more. Rows and columns are counted with spans.
     """
-    shape = cells.groupBy(*keys).agg((F.max("row_id") + 1).alias("rows"), (F.max("col_id") + 1).alias("cols"))
-    first = shape.select(*[F.col(k).alias(f"{k}_1") for k in keys], F.col("rows").alias("rows_1"), F.col("cols").alias("cols_1"))
-    second = shape.select(*[F.col(k).alias(f"{k}_2") for k in keys], F.col("cols").alias("cols_2"))
-    good = merges.join(first, [f"{k}_1" for k in keys]).join(second, [f"{k}_2" for k in keys]).where(F.abs(F.col("cols_1") - F.col("cols_2")) < 2)
-    moved = cells.join(good.select(*[F.col(f"{k}_2").alias(k) for k in keys], *[f"{k}_1" for k in keys], "rows_1"), keys, "left")
-    return moved.select(*[F.coalesce(f"{k}_1", k).alias(k) for k in keys], (F.col("row_id") + F.coalesce("rows_1", F.lit(0))).alias("row_id"), "col_id", "text")
+    shape = table_shape(cells, keys)
+    named = lambda n: shape.select(*[F.col(k).alias(f"{k}_{n}") for k in keys], F.col("n_rows").alias(f"rows_{n}"), F.col("n_cols").alias(f"cols_{n}"))
+    bottom = F.col("direction") == "bottom"
+    fits = F.when(bottom, F.abs(F.col("cols_1") - F.col("cols_2")) < 2).otherwise((F.col("direction") == "right") & (F.abs(F.col("rows_1") - F.col("rows_2")) < 5))
+    good = merges.join(named(1), [f"{k}_1" for k in keys]).join(named(2), [f"{k}_2" for k in keys]).where(fits)
+    down, over = F.when(bottom, F.col("rows_1")).otherwise(0), F.when(bottom, 0).otherwise(F.col("cols_1"))
+    moved = cells.join(good.select(*[F.col(f"{k}_2").alias(k) for k in keys], *[f"{k}_1" for k in keys], down.alias("down"), over.alias("over")), keys, "left")
+    shifted = lambda c, by: (F.col(c) + F.coalesce(by, F.lit(0))).alias(c)
+    return moved.select(*[F.coalesce(f"{k}_1", k).alias(k) for k in keys], shifted("row_id", "down"), shifted("col_id", "over"), "text")

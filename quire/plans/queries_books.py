@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators import blocks as B
 from quire.operators import books as K
 from quire.operators import claims as C
-from quire.operators import render as M
 from quire.plans.fixtures import blocks, doc_lines, lines_boxed, with_fixtures
 from quire.plans.queries_rules import FIXTURES, books
 from quire.session import table
@@ -191,18 +193,23 @@ def _r5(s, d):
     return K.cells_to_html(_cells(s, d), ["doc_id", "page_id"]).select("doc_id", "page_id", F.md5("html").alias("html"))
 
 
-@_query(
-    "r7_cells_to_markdown",
-    _CELLS + """, sh AS (SELECT doc_id, page_id, max(row_id) AS r, max(col_id) AS c FROM cells GROUP BY ALL),
-gr AS (SELECT doc_id, page_id, row_id, unnest(range(0, c + 1)) AS col_id FROM (SELECT doc_id, page_id, c, unnest(range(0, r + 1)) AS row_id FROM sh)),
-dn AS (SELECT gr.*, coalesce(translate(cells.text, '|', ' '), '') AS text FROM gr LEFT JOIN cells USING (doc_id, page_id, row_id, col_id)),
-pd AS (SELECT *, greatest(3, max(length(text)) OVER (PARTITION BY doc_id, page_id, col_id)) AS w FROM dn),
-ln AS (SELECT doc_id, page_id, row_id, '| ' || string_agg(text || repeat(' ', (w - length(text))::INT), ' | ' ORDER BY col_id) || ' |' || CASE WHEN row_id = 0 THEN chr(10) || '| ' || string_agg(repeat('-', w::INT), ' | ' ORDER BY col_id) || ' |' ELSE '' END AS line FROM pd GROUP BY doc_id, page_id, row_id)
-SELECT doc_id, page_id, md5(string_agg(line, chr(10) ORDER BY row_id)) AS markdown FROM ln GROUP BY ALL""",
-    "doc_lines",
-)
+_R7 = """, sp AS (SELECT doc_id, page_id, row_id, col_id, CASE WHEN page_id % 3 = 1 AND row_id = 0 THEN '' ELSE regexp_replace(text, '[^a-zA-Z0-9]', '', 'g') END AS text FROM cells WHERE NOT (page_id % 2 = 0 AND row_id IN (1, 2) AND col_id = 1) AND NOT (page_id % 5 = 4 AND row_id > 0)),
+sh AS (SELECT doc_id, page_id, max(row_id) AS r, count(DISTINCT row_id) AS n_rows, max(col_id) AS c FROM sp GROUP BY ALL),
+gr AS (SELECT doc_id, page_id, n_rows, row_id, unnest(range(0, c + 1)) AS col_id FROM (SELECT doc_id, page_id, n_rows, c, unnest(range(0, r + 1)) AS row_id FROM sh)),
+dn AS (SELECT gr.*, coalesce(sp.text, '') AS text FROM gr LEFT JOIN sp USING (doc_id, page_id, row_id, col_id)),
+pd AS (SELECT *, max(length(text)) OVER (PARTITION BY doc_id, page_id, col_id) AS w, max(text) OVER (PARTITION BY doc_id, page_id, row_id) = '' AS blank FROM dn),
+ln AS (SELECT doc_id, page_id, n_rows, row_id, any_value(blank) AS blank, '|' || string_agg(' ' || text || repeat(' ', (w - length(text))::INT) || ' ', '|' ORDER BY col_id) || '|' AS line, '|' || string_agg(repeat('-', w::INT + 2), '|' ORDER BY col_id) || '|' AS rule FROM pd GROUP BY ALL),
+st AS (SELECT *, min(CASE WHEN NOT blank THEN row_id END) OVER (PARTITION BY doc_id, page_id) AS first FROM ln)
+SELECT doc_id, page_id, md5(coalesce(string_agg(CASE WHEN row_id >= first THEN line || CASE WHEN row_id = first THEN chr(10) || rule ELSE '' END END, chr(10) ORDER BY row_id), '') || CASE WHEN any_value(n_rows) = 1 THEN CASE WHEN any_value(first) IS NULL THEN '' ELSE chr(10) END || any_value(rule) ELSE '' END) AS markdown FROM st GROUP BY ALL"""
+
+
+@_query("r7_cells_to_markdown", _CELLS + _R7, "doc_lines")
 def _r7(s, d):
-    return K.cells_to_markdown(_cells(s, d), ["doc_id", "page_id"]).select("doc_id", "page_id", F.md5("markdown").alias("markdown"))
+    """Tables with a middle cell over three rows, an empty first row, or a single row."""
+    spans = _cells(s, d).where("NOT (page_id % 2 = 0 AND row_id IN (1, 2) AND col_id = 1) AND NOT (page_id % 5 = 4 AND row_id > 0)")
+    tall = "if(page_id % 2 = 0 AND page_id % 5 <> 4 AND row_id = 0 AND col_id = 1, 3, 1)"
+    cells = spans.selectExpr("doc_id", "page_id", "row_id", "col_id", f"{tall} AS rowspan", "1 AS colspan", "is_header", "if(page_id % 3 = 1 AND row_id = 0, '', regexp_replace(text, '[^a-zA-Z0-9]', '')) AS text")
+    return K.cells_to_markdown(cells, ["doc_id", "page_id"]).select("doc_id", "page_id", F.md5("markdown").alias("markdown"))
 
 
 @_query(
@@ -219,83 +226,54 @@ def _r2(s, d):
 
 @_query(
     "j19_join_tables",
-    _CELLS + """, sh AS (SELECT doc_id, page_id, max(row_id) + 1 AS r, max(col_id) + 1 AS c FROM cells GROUP BY ALL),
-ok AS (SELECT b.doc_id, b.page_id, a.page_id AS to_page, a.r FROM sh a JOIN sh b ON a.doc_id = b.doc_id AND b.page_id = a.page_id + 1 AND a.page_id % 2 = 0 AND abs(a.c - b.c) < 2)
-SELECT c.doc_id, coalesce(ok.to_page, c.page_id) AS page_id, CAST(c.row_id + coalesce(ok.r, 0) AS INT) AS row_id, c.col_id, c.text FROM cells c LEFT JOIN ok ON c.doc_id = ok.doc_id AND c.page_id = ok.page_id""",
+    _CELLS + """, dn AS (SELECT doc_id, page_id, max(r) AS r FROM (SELECT doc_id, page_id, col_id, sum(rowspan) AS r FROM cells GROUP BY ALL) GROUP BY ALL),
+ac AS (SELECT doc_id, page_id, max(c) AS c FROM (SELECT doc_id, page_id, row_id, sum(colspan) AS c FROM cells GROUP BY ALL) GROUP BY ALL),
+sh AS (SELECT * FROM dn JOIN ac USING (doc_id, page_id)),
+ok AS (SELECT b.doc_id, b.page_id, a.page_id AS to_page, a.page_id % 4 = 0 AS below, a.r, a.c FROM sh a JOIN sh b ON a.doc_id = b.doc_id AND b.page_id = a.page_id + 1 AND a.page_id % 2 = 0 AND CASE WHEN a.page_id % 4 = 0 THEN abs(a.c - b.c) < 2 ELSE abs(a.r - b.r) < 5 END)
+SELECT c.doc_id, coalesce(ok.to_page, c.page_id) AS page_id, c.row_id + CASE WHEN below THEN ok.r ELSE 0 END AS row_id, c.col_id + CASE WHEN NOT below THEN ok.c ELSE 0 END AS col_id, c.text FROM cells c LEFT JOIN ok ON c.doc_id = ok.doc_id AND c.page_id = ok.page_id""",
     "doc_lines",
 )
 def _j19(s, d):
+    """Each odd page's table goes on below or beside that of the page before."""
     cells = _cells(s, d)
-    merges = cells.select("doc_id", "page_id").distinct().where("page_id % 2 = 1").selectExpr("doc_id AS doc_id_1", "page_id - 1 AS page_id_1", "doc_id AS doc_id_2", "page_id AS page_id_2")
+    merges = cells.select("doc_id", "page_id").distinct().where("page_id % 2 = 1").selectExpr("doc_id AS doc_id_1", "page_id - 1 AS page_id_1", "doc_id AS doc_id_2", "page_id AS page_id_2", "if(page_id % 4 = 1, 'bottom', 'right') AS direction")
     return K.join_tables(cells, merges, ["doc_id", "page_id"])
 
 
-# --- rendering
-
-_ESC = """replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;')"""
-_HTML = f""", bh AS (SELECT *, CASE block_type WHEN 'SectionHeader' THEN '<h' || heading_level || '>' || {_ESC} || '</h' || heading_level || '>' WHEN 'ListItem' THEN '<li>' || {_ESC} || '</li>' WHEN 'Picture' THEN '' ELSE '<p block-type=''' || block_type || '''>' || {_ESC} || '</p>' END AS html FROM blocks)
-"""
-
-
-@_query(
-    "m1_render_html",
-    _HTML + """, pg AS (SELECT doc_id, page_id, '<div class=''page'' data-page-id=''' || page_id || '''>' || string_agg(html, '' ORDER BY pos) || '</div>' AS html FROM bh GROUP BY doc_id, page_id)
-SELECT doc_id, md5('<!DOCTYPE html><html><body>' || string_agg(html, '' ORDER BY page_id) || '</body></html>') AS html FROM pg GROUP BY ALL""",
-    "blocks",
-)
-def _m1(s, d):
-    return M.render_html(blocks(s, d), paginate=True).select("doc_id", F.md5("html").alias("html"))
-
-
-@_query("m2_block_html", _HTML + "SELECT doc_id, pos, html FROM bh", "blocks")
-def _m2(s, d):
-    return blocks(s, d).select("doc_id", "pos", M.block_html(F.col("block_type"), F.col("text"), F.col("heading_level")).alias("html"))
-
-
-_MD = """, bm AS (SELECT *, CASE block_type WHEN 'SectionHeader' THEN repeat('#', heading_level::INT) || ' ' || replace(text, '$', '\\$') WHEN 'ListItem' THEN '- ' || replace(text, '$', '\\$') WHEN 'Picture' THEN '' ELSE replace(text, '$', '\\$') END AS md FROM blocks),
-pm AS (SELECT doc_id, page_id, string_agg(md, chr(10) || chr(10) ORDER BY pos) AS md FROM bm WHERE length(trim(md)) > 0 GROUP BY ALL)
-"""
-
-
-@_query("m3_render_markdown", _MD + "SELECT doc_id, md5(string_agg(md, chr(10) || chr(10) ORDER BY page_id)) AS markdown FROM pm GROUP BY ALL", "blocks")
-def _m3(s, d):
-    return M.render_markdown(blocks(s, d)).select("doc_id", F.md5("markdown").alias("markdown"))
-
-
-@_query("m4_paginate", _MD + "SELECT doc_id, md5(string_agg(chr(10) || chr(10) || '{' || page_id || '}' || repeat('-', 48) || chr(10) || chr(10) || md, '' ORDER BY page_id)) AS markdown FROM pm GROUP BY ALL", "blocks")
-def _m4(s, d):
-    return M.render_markdown(blocks(s, d), paginate=True).select("doc_id", F.md5("markdown").alias("markdown"))
-
-
-@_query(
-    "m5_render_json",
-    _HTML + "SELECT doc_id, count(DISTINCT page_id) AS pages, string_agg(block_id || '=' || md5(html), ',' ORDER BY page_id, pos) AS leaves FROM bh GROUP BY ALL",
-    "blocks",
-)
-def _m5(s, d):
-    """Rendered as JSON and read back by the leaf reader's schema."""
-    docs = M.render_json(blocks(s, d))
-    back = docs.select("doc_id", F.from_json("json", "pages array<struct<page:int,children:array<struct<id:string,block_type:string,html:string,bbox:array<double>>>>>").alias("j"))
-    leaves = F.transform(F.flatten(F.transform("j.pages", lambda p: p["children"])), lambda c: F.concat(c["id"], F.lit("="), F.md5(c["html"])))
-    return back.select("doc_id", F.size("j.pages").cast("long").alias("pages"), F.array_join(leaves, ",").alias("leaves"))
-
-
-@_query("m6_render_chunks", _HTML + "SELECT doc_id, block_id AS id, page_id, md5(html) AS html, x0 AS left_edge FROM bh WHERE NOT removed", "blocks")
-def _m6(s, d):
-    chunks = M.render_chunks(B.section_hierarchy(blocks(s, d)).where("not removed"))
-    return chunks.select("doc_id", "id", "page_id", F.md5("html").alias("html"), F.get("bbox", F.lit(0)).alias("left_edge"))
-
-
 # --- sources
 
 
 @_query(
     "s2_route_doctype",
-    """SELECT page_id, CASE page_id % 5 WHEN 0 THEN 'html' WHEN 1 THEN 'pdf' WHEN 2 THEN 'image' WHEN 3 THEN 'docx' ELSE 'xlsx' END AS kind FROM pages""",
+    """SELECT page_id, CASE page_id % 7 WHEN 0 THEN 'html' WHEN 1 THEN 'pdf' WHEN 2 THEN 'image' WHEN 3 THEN 'docx' WHEN 4 THEN 'xlsx' WHEN 5 THEN 'pdf' ELSE 'epub' END AS kind FROM pages""",
 )
 def _s2(s, d):
-    mark = F.element_at(F.array(F.encode("html", "UTF-8"), F.encode(F.lit("%PDF-1.7"), "UTF-8"), F.unhex(F.lit("89504E470D0A1A0A")), F.concat(F.unhex(F.lit("504B0304")), F.encode(F.lit("word/document.xml"), "UTF-8")), F.encode(F.lit("plain"), "UTF-8")), (F.col("page_id") % 5 + 1).cast("int"))
-    return table(s, d, "pages").select("page_id", S.route_doctype(mark, F.when(F.col("page_id") % 5 == 4, "a/b.xlsx").otherwise("a/b")).alias("kind"))
+    """Pages, files by magic bytes, archives of which the telling member lies behind the page, plain texts by extension or none."""
+    said = lambda x: F.encode(F.lit(x), "UTF-8")
+    filler = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
+    kind = F.col("page_id") % 7
+    content = (
+        F.when(kind == 0, filler).when(kind == 1, F.concat(said("%PDF-1.7"), filler)).when(kind == 2, F.concat(F.unhex(F.lit("89504E470D0A1A0A")), filler))
+        .when(kind == 3, _zip("word/document.xml", "x", filler)).when(kind == 6, _zip("mimetype", "application/epub+zip", filler)).otherwise(said("plain"))
+    )
+    return table(s, d, "pages").select("page_id", S.route_doctype(content, F.when(kind == 4, "a/b.xlsx").otherwise("a/b")).alias("kind"))
+
+
+def _zip(name: str, stored: str, filler):
+    """An archive in which a member of that name lies behind the filler."""
+
+    @F.pandas_udf("binary")
+    def make(texts: pd.Series) -> pd.Series:
+        out = []
+        for text in texts:
+            file = io.BytesIO()
+            with zipfile.ZipFile(file, "w") as archive:
+                archive.writestr("filler.xml", text)
+                archive.writestr(name, stored)
+            out.append(file.getvalue())
+        return pd.Series(out)
+
+    return make(filler)
 
 
 @_query("s3_skip_existing", "SELECT page_id FROM pages WHERE page_id % 3 <> 0")
@@ -316,29 +294,34 @@ def _s5(s, d):
     return table(s, d, "pages").select("page_id", S.content_key(F.encode("html", "UTF-8"), "balanced", "0-3").alias("k"))
 
 
-@_query("s6_read_block_json", _HTML + "SELECT doc_id, block_id AS id, block_type, md5(html) AS html FROM bh", "blocks")
+@_query("s6_read_block_json", "SELECT doc_id, block_id AS id, block_type, md5('<p>' || replace(replace(text, '&', '&amp;'), '<', '&lt;') || '</p>') AS html FROM blocks", "blocks")
 def _s6(s, d):
     """Documents as JSON trees (document, pages, blocks), read back to leaves."""
-    b = blocks(s, d).select("doc_id", "page_id", "pos", F.col("block_id").alias("id"), "block_type", M.block_html(F.col("block_type"), F.col("text"), F.col("heading_level")).alias("html"))
+    b = blocks(s, d).select("doc_id", "page_id", "pos", F.col("block_id").alias("id"), "block_type", F.concat(F.lit("<p>"), F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</p>")).alias("html"))
     pages = b.groupBy("doc_id", "page_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.struct("id", "block_type", "html").alias("b")))), lambda x: x["b"]).alias("children"))
     docs = pages.groupBy("doc_id").agg(F.to_json(F.struct(F.lit("doc").alias("id"), F.collect_list(F.struct(F.concat(F.lit("/page/"), "page_id").alias("id"), "children")).alias("children"))).alias("json"))
     return S.leaf_blocks(docs, "json", ["doc_id"]).select("doc_id", "id", "block_type", F.md5("html").alias("html"))
 
 
-@_query("s9_version_gate", "SELECT o_orderkey AS id, CASE o_orderkey % 4 WHEN 0 THEN NULL WHEN 1 THEN 'newer' WHEN 2 THEN 'major' ELSE 'malformed' END AS reason FROM orders")
+@_query(
+    "s9_version_gate",
+    "SELECT o_orderkey AS id, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'newer' WHEN 2 THEN 'major' ELSE 'malformed' END AS reason, CASE o_orderkey % 5 WHEN 0 THEN '1.2.0' WHEN 1 THEN '1.3.0' WHEN 2 THEN '2.0.0' WHEN 3 THEN 'draft' ELSE '1.1' END AS version FROM orders",
+)
 def _s9(s, d):
-    v = table(s, d, "orders").selectExpr("o_orderkey AS id", "CASE o_orderkey % 4 WHEN 0 THEN '1.1.7' WHEN 1 THEN '1.3.0' WHEN 2 THEN '2.0.0' ELSE 'draft' END AS version")
-    return S.version_gate(v, "1.2.0").select("id", "reason")
+    v = table(s, d, "orders").selectExpr("o_orderkey AS id", "CASE o_orderkey % 5 WHEN 0 THEN '1.1.7' WHEN 1 THEN '1.3.0' WHEN 2 THEN '2.0.0' WHEN 3 THEN 'draft' ELSE '1.1' END AS version")
+    return S.version_gate(v, "1.2.0").select("id", "reason", "version")
 
 
 @_query(
     "s10_sheet_to_html",
-    """, c AS (SELECT doc_id, page_id, (line_idx % 12) // 3 AS row_id, line_idx % 3 AS col_id, text FROM doc_lines), m AS (SELECT DISTINCT doc_id, page_id FROM c WHERE page_id % 2 = 0)
-SELECT c.doc_id, c.page_id, c.row_id, c.col_id, CASE WHEN m.doc_id IS NOT NULL AND row_id = 0 AND col_id = 0 THEN 2 ELSE 1 END AS rowspan, CASE WHEN m.doc_id IS NOT NULL AND row_id = 0 AND col_id = 0 THEN 2 ELSE 1 END AS colspan
-FROM c LEFT JOIN m ON c.doc_id = m.doc_id AND c.page_id = m.page_id WHERE m.doc_id IS NULL OR NOT (row_id <= 1 AND col_id <= 1) OR (row_id = 0 AND col_id = 0)""",
+    _CELLS + """, m AS (SELECT DISTINCT doc_id, page_id FROM cells WHERE page_id % 2 = 0),
+k AS (SELECT c.doc_id, c.page_id, c.row_id, c.col_id, c.text, m.doc_id IS NOT NULL AND row_id = 0 AND col_id = 0 AS first, m.doc_id IS NULL OR row_id > 1 OR (row_id = 0 AND col_id = 0) AS stays FROM cells c LEFT JOIN m ON c.doc_id = m.doc_id AND c.page_id = m.page_id),
+r AS (SELECT doc_id, page_id, row_id, coalesce(string_agg('<td' || CASE WHEN first THEN ' rowspan=2 colspan=3' ELSE '' END || '>' || text || '</td>', '' ORDER BY col_id) FILTER (WHERE stays), '') AS line FROM k GROUP BY ALL)
+SELECT doc_id, page_id, md5('<table><tbody>' || string_agg('<tr>' || line || '</tr>', '' ORDER BY row_id) || '</tbody></table>') AS html FROM r GROUP BY ALL""",
     "doc_lines",
 )
 def _s10(s, d):
+    """Every other sheet has its first two rows merged into one cell."""
     cells = _cells(s, d)
-    merged = cells.select("doc_id", "page_id").distinct().where("page_id % 2 = 0").selectExpr("doc_id", "page_id", "0 AS r0", "1 AS r1", "0 AS c0", "1 AS c1")
-    return S.sheet_to_html(cells, merged, ["doc_id", "page_id"]).select("doc_id", "page_id", "row_id", "col_id", "rowspan", "colspan")
+    merged = cells.select("doc_id", "page_id").distinct().where("page_id % 2 = 0").selectExpr("doc_id", "page_id", "0 AS r0", "1 AS r1", "0 AS c0", "2 AS c1")
+    return S.sheet_to_html(cells, merged, ["doc_id", "page_id"]).select("doc_id", "page_id", F.md5("html").alias("html"))

@@ -11,7 +11,6 @@ from quire.functions import text as X
 from quire.operators import blocks as B
 from quire.operators import objectives as O
 from quire.operators import books as K
-from quire.operators import render as M
 from quire.operators import rules as R
 from quire.operators import steps as U
 from quire.operators import units as N
@@ -60,12 +59,6 @@ def _t8(s, d):
     return doc_lines(s, d).select("doc_id", "line_idx", X.format_span(text, formats, F.when(kind == 1, "u"), F.lit(False)).alias("html"))
 
 
-@_query("t34_clean_table_html", "SELECT page_id, CASE page_id % 3 WHEN 0 THEN '<table><tr><td>' || url || '</td></tr></table>' ELSE '' END AS html FROM pages")
-def _t34(s, d):
-    h = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("<table border=1><tr class='a'><td>"), "url", F.lit("</td></tr></table> "))).when(F.col("page_id") % 3 == 1, F.lit("<table><tr></tr></table>")).otherwise(F.col("url"))
-    return table(s, d, "pages").select("page_id", X.clean_table_html(h).alias("html"))
-
-
 @_query(
     "u1_pipeline",
     "SELECT doc_id, pos, row_number() OVER (PARTITION BY doc_id, page_id ORDER BY CASE block_type WHEN 'PageHeader' THEN 0 WHEN 'Footnote' THEN 2 ELSE 1 END, pos) - 1 AS new_pos FROM blocks WHERE NOT removed AND block_type <> 'PageFooter'",
@@ -125,15 +118,18 @@ _rule(
 )
 
 
-@_query("s11_write_outputs", "SELECT doc_id, count(*) AS n_blocks FROM blocks GROUP BY ALL", "blocks")
+@_query(
+    "s11_write_outputs",
+    "SELECT 'pages/' || page_id || '/' || page_id || '.html' AS name, octet_length(encode(coalesce(html, ''))) AS n_bytes FROM pages UNION ALL SELECT 'pages/' || page_id || '/' || page_id || '_meta.json', octet_length(encode('{\"url\":' || CASE WHEN url IS NULL THEN '' ELSE to_json(url) END || '}')) FROM pages UNION ALL SELECT 'pages/' || page_id || '/page_0_Picture_0.png', 3 FROM pages WHERE page_id % 2 = 0",
+)
 def _s11(s, d):
-    """Rendered documents written by bucket and read back."""
-    path = Scratch(s, "outputs").path("rendered")
-    b = blocks(s, d)
-    rendered = M.render_json(b)
-    S.write_outputs(rendered, path)
-    back = s.read.parquet(path)
-    return back.select("doc_id", F.size(F.flatten(F.from_json("json", "pages array<struct<children:array<struct<id:string>>>>")["pages"]["children"])).cast("long").alias("n_blocks"))
+    """A page's markup, metadata and images as files of a folder of its own, listed by reading the folder."""
+    path = Scratch(s, "outputs").path("pages")
+    images = F.when(F.col("page_id") % 2 == 0, F.create_map(F.lit("page/0/Picture/0.png"), F.base64(F.encode(F.lit("abc"), "UTF-8"))))
+    rendered = table(s, d, "pages").select(F.col("page_id").alias("doc_id"), F.col("page_id").cast("string").alias("name"), F.col("html").alias("text"), F.to_json(F.struct("url")).alias("metadata"), images.alias("images"))
+    S.write_outputs(rendered, path, "html").write.parquet(Scratch(s, "outputs").path("manifest"))
+    found = s.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return found.select(F.concat(F.lit("pages/"), F.element_at(F.split("path", "/"), -2), F.lit("/"), F.element_at(F.split("path", "/"), -1)).alias("name"), F.col("length").alias("n_bytes"))
 
 
 _SEC = """, sec AS (SELECT *, coalesce(last_value(CASE WHEN block_type = 'SectionHeader' AND length(trim(text)) > 0 THEN block_id END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY page_id, y0, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'front') AS section FROM blocks),

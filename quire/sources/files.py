@@ -2,28 +2,59 @@
 
 from __future__ import annotations
 
+import base64
+import io
+import json
+import zipfile
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quire.operators.books import cells_to_html
+from quire.sources.store import commit_file
+
 
 def read_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Files of a folder (path, length, content), the first ``max_files`` by path."""
+    """Files of a folder (path, length, content), the first ``max_files`` by path; only those are read."""
     files = spark.read.format("binaryFile").load(path)
-    return files.orderBy("path").limit(max_files) if max_files is not None else files
+    if max_files is None:
+        return files
+    first = [row["path"] for row in files.select("path").orderBy("path").limit(max_files).collect()]
+    return spark.read.format("binaryFile").load(first) if first else files.limit(0)
+
+
+def _archive_kind(content: bytes | None) -> str | None:
+    """Kind of an archive by the names in its directory, which lies at its end; None for other archives and broken ones."""
+    if content is None:
+        return None
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            names = archive.namelist()
+            if "mimetype" in names and archive.read("mimetype").startswith(b"application/epub"):
+                return "epub"
+    except (zipfile.BadZipFile, NotImplementedError, ValueError):
+        return None
+    return next((kind for folder, kind in (("word/", "docx"), ("xl/", "xlsx"), ("ppt/", "pptx")) if any(n.startswith(folder) for n in names)), None)
 
 
 def route_doctype(content: Column, path: Column) -> Column:
-    """Kind of a file by its first bytes, an html tag, its extension; else pdf."""
-    head = F.upper(F.hex(F.substring(content, 1, 8)))
-    text = F.lower(F.decode(F.substring(content, 1, 4096), "ISO-8859-1"))
+    """Kind of a file by its first bytes, an archive's directory, an html tag anywhere in a text, its extension; else pdf."""
+    head = F.upper(F.hex(F.substring(content, 1, 12)))
     starts = lambda *marks: head.rlike("^(" + "|".join(marks) + ")")
-    zip_kind = F.when(text.contains("word/"), "docx").when(text.contains("xl/"), "xlsx").when(text.contains("ppt/"), "pptx").when(text.contains("epub"), "epub")
+
+    @F.pandas_udf("string")
+    def archive(contents: pd.Series) -> pd.Series:
+        return pd.Series([_archive_kind(c) for c in contents], dtype=object)
+
+    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string"))
     extension = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
-    by_name = F.when(extension.isin("png", "jpg", "jpeg", "gif", "tiff", "webp"), "image").when(extension.isin("docx", "xlsx", "pptx", "epub", "html", "pdf"), extension).when(extension == "htm", "html")
+    by_name = F.when(extension.isin("png", "jpg", "jpeg", "gif", "tiff", "webp", "bmp"), "image").when(extension.isin("docx", "xlsx", "pptx", "epub", "html", "pdf"), extension)
     return F.coalesce(
-        F.when(starts("25504446"), "pdf"), F.when(starts("89504E47", "FFD8FF", "474946", "49492A00", "4D4D002A"), "image"), F.when(starts("504B0304"), zip_kind),
-        F.when(text.rlike(r"<(!doctype html|html|body|p|div)\b"), "html"), by_name, F.lit("pdf"),
+        F.when(starts("25504446"), "pdf"), F.when(starts("89504E47", "FFD8FF", "474946", "49492A00", "4D4D002A", "424D", "52494646.{8}57454250"), "image"),
+        archive(F.when(starts("504B0304", "504B0506"), content)), F.when(text.rlike(r"<[a-zA-Z][^<>]*>"), "html"), by_name, F.lit("pdf"),
     )
 
 
@@ -58,12 +89,17 @@ def content_key(content: Column, flags: str, pages: str | None) -> Column:
 
 
 def version_gate(packages: DataFrame, current: str) -> DataFrame:
-    """``accepted``: same major and a minor up to the current one; the patch doesn't matter. ``reason`` otherwise."""
+    """``accepted``: same major and a minor up to the current one; the patch doesn't matter. ``reason`` otherwise.
+
+    A version is three numbers apart by dots. Accepted packages carry the current version from here on; ``stored_version`` keeps the old one.
+    """
     major, minor = (int(x) for x in current.split(".")[:2])
-    parts = F.split(F.coalesce("version", F.lit("")), r"\.")
+    stored = F.coalesce("version", F.lit(""))
+    parts = F.split(stored, r"\.")
     a, b = F.get(parts, F.lit(0)).try_cast("int"), F.get(parts, F.lit(1)).try_cast("int")
-    reason = F.when(a.isNull() | b.isNull(), "malformed").when(a != major, "major").when(b > minor, "newer")
-    return packages.withColumns({"reason": reason, "accepted": reason.isNull()})
+    malformed = (F.size(parts) != 3) | F.exists(parts, lambda x: x.try_cast("int").isNull())
+    reason = F.when(malformed, "malformed").when(a != major, "major").when(b > minor, "newer")
+    return packages.withColumns({"stored_version": F.col("version"), "reason": reason, "accepted": reason.isNull(), "version": F.when(reason.isNull(), F.lit(current)).otherwise(F.col("version"))})
 
 
 def block_tree_schema(depth: int) -> T.StructType:
@@ -87,7 +123,7 @@ def leaf_blocks(trees: DataFrame, json_col: str, keys: list[str], depth: int = 8
     return out
 
 
-def sheet_to_html(cells: DataFrame, merged: DataFrame, keys: list[str]) -> DataFrame:
+def sheet_cells(cells: DataFrame, merged: DataFrame, keys: list[str]) -> DataFrame:
     """Cells of sheets with merged ranges as table cells: covered cells go, the top left one carries the spans."""
     on = [F.col(f"c.{k}") == F.col(f"m.{k}") for k in keys]
     inside = (F.col("c.row_id").between(F.col("m.r0"), F.col("m.r1"))) & (F.col("c.col_id").between(F.col("m.c0"), F.col("m.c1")))
@@ -98,9 +134,44 @@ def sheet_to_html(cells: DataFrame, merged: DataFrame, keys: list[str]) -> DataF
     )
 
 
-def write_outputs(rendered: DataFrame, path: str, buckets: int = 64) -> None:
-    """Rendered documents by bucket of their id: one row each, a Parquet table per format run."""
-    rendered.withColumn("doc_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets))).write.partitionBy("doc_bucket").mode("overwrite").parquet(path)
+def sheet_to_html(cells: DataFrame, merged: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, html): one ``<table>`` a sheet; an empty cell is an empty text, a row whose cells are all covered stays as an empty row."""
+    placed = sheet_cells(cells, merged, keys).withColumn("is_header", F.lit(False))
+    rows = cells.select(*keys, "row_id").distinct()
+    return cells_to_html(placed, keys, rows=rows)
+
+
+_FILES = "doc_id string, name string, bytes long"
+
+
+def write_outputs(rendered: DataFrame, folder: str, fmt: str) -> DataFrame:
+    """Write each document's files and return their names and sizes (doc_id as text, name, bytes).
+
+    ``rendered``: doc_id, name (base name), text, and, if there, metadata (a struct or JSON text) and images (map of name to base64). A
+    document gets ``name/name.<fmt>``, ``name/name_meta.json`` and its images. Files are written under temporary names and renamed; a
+    repeated task writes them again. null text: an empty file. Two documents of one name are an error.
+    """
+    if fmt not in ("md", "html", "json"):
+        raise ValueError("outputs are md, html or json")
+    has = lambda c: c in rendered.columns
+    meta = F.lit("{}") if not has("metadata") else F.coalesce(F.col("metadata") if rendered.schema["metadata"].dataType == T.StringType() else F.to_json("metadata"), F.lit("{}"))
+    images = F.col("images") if has("images") else F.lit(None)
+    if rendered.groupBy("name").count().where("count > 1").limit(1).count():
+        raise ValueError("two documents have one name")
+    rows = rendered.select(F.col("doc_id").cast("string").alias("doc_id"), "name", F.coalesce("text", F.lit("")).alias("text"), meta.alias("meta"), F.to_json(images.cast("map<string,string>")).alias("images"))
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            made = []
+            for doc, name, text, meta_, images_ in batch[["doc_id", "name", "text", "meta", "images"]].itertuples(index=False):
+                files = {f"{name}.{fmt}": text.encode("utf-8"), f"{name}_meta.json": meta_.encode("utf-8")}
+                files |= {k.replace("/", "_"): base64.b64decode(v) for k, v in json.loads(images_ or "{}").items() if v is not None}
+                for file, data in files.items():
+                    commit_file(folder, f"{name}/{file}", lambda out, data=data: out.write(data))
+                    made.append((doc, f"{name}/{file}", len(data)))
+            yield pd.DataFrame(made, columns=["doc_id", "name", "bytes"])
+
+    return rows.mapInPandas(write, _FILES)
 
 
 def read_stage_artifacts(spark: SparkSession, glob: str, header: str, items: str, item: str, provenance: str) -> DataFrame:
