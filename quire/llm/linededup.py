@@ -7,7 +7,7 @@ when the text is put together again. Built-in expressions only.
 * null text: one empty line, as an empty text; the kept text is then empty.
 * An empty key (white space only) is never counted or dropped.
 * A document is a distinct id (null counts as one id); a line repeated within a document counts once.
-* Repeated rows each return a row. An empty table returns no rows.
+* Repeated rows each return a row; the positions that they drop are kept once for all of them. An empty table returns no rows.
 * Extra columns travel in ``row``; their names can't clash with the outputs.
 
 Scale: line texts are never shuffled, only (id, text hash, position, 128-bit line hash); the count
@@ -47,7 +47,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     dropped = (
         lines.join(common, ["h1", "h2"], "left_semi")
         .groupBy("id", "text_hash")
-        .agg(F.collect_list("pos").alias("drop_pos"))
+        .agg(F.collect_set("pos").alias("drop_pos"))  # equal rows share their positions
     )
     at = (F.col("b.id").eqNullSafe(F.col("d.id"))) & (F.col("b.text_hash") == F.col("d.text_hash"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drop_pos")), lambda p: F.get(F.col("lines"), p))

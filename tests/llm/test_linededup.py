@@ -17,3 +17,12 @@ def test_threshold_counts_documents_not_lines(documents):
     rows = [(i, "nine") for i in range(9)] + [(9, "nine " + "\n".join(["many"] * 50))] * 3
     assert {r.n_dropped for r in line_dedup(documents(rows)).collect()} == {0}
     assert line_dedup(documents([])).count() == 0
+
+
+def test_many_equal_rows_of_one_id(spark, documents):
+    """Positions are kept once for all equal rows of an id, and of no id."""
+    text = "own\n" + "\n".join(["shared"] * 50) + "\nlast"
+    rows = [(i, f"shared\n{i}") for i in range(10)] + [(77, text)] * 400 + [(None, text)] * 400
+    out = line_dedup(documents(rows))
+    got = out.where("row.doc_id = 77 or row.doc_id is null").collect()
+    assert len(got) == 800 and {(r.n_lines, r.n_dropped, r.kept_text) for r in got} == {(52, 50, "own\nlast")}
