@@ -6,28 +6,29 @@
    posteriors over the domains.
 2. Targets. Domain k shall have w_k / w_anchor times the expected tokens of the anchor domain, which
    keeps its own; so no anchor document has to go to meet a share.
-3. Rates. Nonnegative rates r minimise sum_k (sum_d r_d n_d p_dk - t_k)^2 / T_k by projected gradient,
-   from r = 1, in the metric of document lengths (a rate moves by its document's posteriors alone).
-   The steps so far are K numbers each, so a rate is a fold over them and no state is kept. Posteriors are rounded
-   to 1/1000 and documents of equal ones added up, so an iteration is one aggregation of K sums over that table.
-   It stops within ``tolerance`` of the targets, or where totals no longer move by that (the least squares, where
-   posteriors overlap too much for the targets), or at ``max_steps`` with a warning that names the totals reached.
+3. Rates. Nonnegative rates r minimise sum_k (sum_d r_d n_d p_dk - t_k)^2 / T_k by projected gradient steps
+   from r = 1, in the metric of document lengths (a rate moves by its document's posteriors alone): r becomes
+   max(0, r - p.g / e), where g is the gradient at the step's end, not at its start. So a step may be as long as one likes; its K numbers
+   are found by Newton's method, each evaluation one aggregation. Steps grow until the duality gap is as good as none: within
+   ``tolerance`` of the best totals there are, the targets themselves or, where posteriors overlap too much for them, the least squares.
+   No number of steps ends it; numbers that get no better before that are an error. A rate is a fold over the steps, so no
+   state is kept. Posteriors are rounded to 1/1000 and documents of equal ones added up; an aggregation reads that table.
 4. Copies. ``rounding="hash"``: the whole part of the rate, and one more with the probability of its fraction,
    drawn from a hash of the id, so totals hold in expectation. ``"nearest"``: the nearest integer. ``"anchor"``: the
    nearest integer for documents whose likeliest domain is the anchor, by hash for the others.
 
 * null or empty text: 0 tokens, the domain prior as posteriors. Ids may repeat: each row gets its own rate, the same draw.
 * Ties: of equally telling words the first in order counts; of equally likely domains the first by name.
+* A labelled id with two domains teaches nothing; of the texts of a repeated id that of least hash does.
 * No labelled rows: no domains, every rate is 1. A domain without weight has target 0.
 * A domain without expected tokens is left out of the fit. Empty table: no rows. Extra columns travel in ``row``.
 
 Scale: one scan for the posteriors, written beside the carried columns; an iteration reads the distinct posteriors alone. The sample is
-broadcast, at most ``max_labelled`` rows; the driver sees its flags, K sums an iteration, and nothing of other documents.
+broadcast, at most ``max_labelled`` rows; the driver sees its flags, K squared sums an evaluation, and nothing of other documents.
 """
 
 from __future__ import annotations
 
-import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,11 +103,14 @@ def _fit(rows: list[tuple[list[int], int]], width: int, k: int, steps: int = 300
 def learn_domains(docs: DataFrame, labelled: DataFrame, id_col: str, text_col: str, max_labelled: int, max_words: int) -> tuple[list[str], dict[str, int], np.ndarray] | None:
     """Domains, words and weights. ``labelled``: (id, domain)."""
     spark = docs.sparkSession
-    labels = labelled.select(F.col(labelled.columns[0]).alias("id"), F.col(labelled.columns[1]).alias("domain")).where("id is not null and domain is not null").dropDuplicates(["id"])
+    labels = labelled.select(F.col(labelled.columns[0]).alias("id"), F.col(labelled.columns[1]).alias("domain")).where("id is not null and domain is not null")
+    labels = labels.groupBy("id").agg(F.min("domain").alias("domain"), F.max("domain").alias("other")).where("domain = other").drop("other")
     labels = labels.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
     scratch = Scratch(spark, "mixing-sample")
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    sample = scratch.keep(texts.join(F.broadcast(labels), "id"), "sample")  # max_labelled rows of two short columns
+    found = texts.join(F.broadcast(labels), "id")  # max_labelled rows of two short columns
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "text"))
+    sample = scratch.keep(found.groupBy("id", "domain").agg(least["text"].alias("text")), "sample")
     domains = sorted(r.domain for r in sample.select("domain").distinct().collect())
     if not domains:
         return None
@@ -150,34 +154,65 @@ def _rate(steps: list[list[float]]) -> Column:
     return F.aggregate(taken, F.lit(1.0), lambda r, e: F.greatest(F.lit(0.0), r - sum((F.get(F.col("p"), F.lit(i)) * F.get(e, F.lit(i)) for i in range(k)), F.lit(0.0))))
 
 
-def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float], anchor: str, tolerance: float, max_steps: int) -> tuple[list[list[float]], list[float], list[float]]:
+def fit_rates(scored: DataFrame, domains: list[str], weights: dict[str, float], anchor: str, tolerance: float) -> tuple[list[list[float]], list[float], list[float]]:
     """Steps of the projected gradient, targets, and the totals they reach. ``scored``: (tokens, p)."""
     k = len(domains)
-    sums = lambda rate: [F.sum(rate * F.col("tokens") * F.get(F.col("p"), F.lit(i))).alias(f"t{i}") for i in range(k)]
-    have = [float(x or 0) for x in scored.agg(*sums(F.lit(1.0))).first()]
+    p = [F.get(F.col("p"), F.lit(i)) for i in range(k)]
+    number = lambda x: float(x or 0)
+    have = np.array([number(x) for x in scored.agg(*[F.sum(F.col("tokens") * x) for x in p]).first()])
     at = domains.index(anchor) if anchor in domains else int(np.argmax(have))
-    share = [weights.get(d, 0.0) for d in domains]
-    unit = have[at] / share[at] if share[at] > 0 else sum(have)
-    targets = [s * unit for s in share]
+    share = np.array([weights.get(d, 0.0) for d in domains])
+    targets = share * (have[at] / share[at] if share[at] > 0 else have.sum())
+    fit = np.flatnonzero(have > 0)  # the others have no tokens at any rate
     steps: list[list[float]] = []
-    now, before = have, None
+    if not len(fit):
+        return steps, targets.tolist(), have.tolist()
+    scale, goal = have[fit], targets[fit]
+
+    def at_end(g: np.ndarray, e: float) -> tuple[float, np.ndarray, np.ndarray, np.ndarray, float]:
+        """Of the step with gradient ``g``: the function whose least value it has, slope and curvature of that, totals, least p.g."""
+        along = sum((p[i] * F.lit(float(x)) for i, x in zip(fit, g, strict=True)), F.lit(0.0))
+        rows = scored.where("tokens > 0").select("tokens", *[p[i].alias(f"p{i}") for i in fit], along.alias("along"), F.greatest(F.lit(0.0), _rate(steps) - along / F.lit(e)).alias("r"))
+        n = F.col("tokens")
+        bent = [F.sum(F.when(F.col("r") > 0, n * F.col(f"p{i}") * F.col(f"p{j}"))) for i in fit for j in fit if i <= j]
+        sums = [number(x) for x in rows.agg(F.sum(n * F.col("r") * F.col("r")), F.min("along"), *[F.sum(n * F.col("r") * F.col(f"p{i}")) for i in fit], *bent).first()]
+        totals, curve = np.array(sums[2 : 2 + len(fit)]), np.zeros((len(fit), len(fit)))
+        curve[np.triu_indices(len(fit))] = sums[2 + len(fit) :]
+        curve = (curve + np.triu(curve, 1).T) / e + np.diag(scale)
+        return float((scale * g * g).sum() / 2 + goal @ g + e * sums[0] / 2), scale * g + goal - totals, curve, totals, sums[1]
+
+    e = 1.0
     while True:
-        gap = [(n - t) / h if h > 0 else 0.0 for n, t, h in zip(now, targets, have, strict=True)]
-        settled = before is not None and all(abs(n - b) <= tolerance * h for n, b, h in zip(now, before, have, strict=True))
-        if settled or max(map(abs, gap), default=0.0) < tolerance:
-            break
-        if len(steps) == max_steps:
-            told = ", ".join(f"{d} {n:.0f} of {t:.0f}" for d, n, t in zip(domains, now, targets, strict=True))
-            warnings.warn(f"rates haven't converged after {max_steps} steps; tokens reached: {told}", stacklevel=2)
-            break
-        steps.append(gap)
-        before, now = now, [float(x or 0) for x in scored.agg(*sums(_rate(steps))).first()]
-    return steps, targets, now
+        g = np.zeros(len(fit)) if not steps else (totals - goal) / scale
+        value, slope, curve, totals, _ = at_end(g, e)
+        while np.abs(slope).max() > 1e-9 * scale.max():
+            way, part = -np.linalg.solve(curve, slope), 1.0
+            while (tried := at_end(g + part * way, e))[0] > value + 1e-4 * part * (slope @ way) and part > 1e-6:
+                part /= 2
+            if part <= 1e-6:
+                break  # as exact as sums of that size are
+            g = g + part * way
+            value, slope, curve, totals, _ = tried
+        step = np.zeros(k)
+        step[fit] = g / e
+        steps.append(step.tolist())
+        # the least p.g of the reached totals bounds how far they are from the best ones
+        residual = (totals - goal) / scale
+        below = at_end(residual, e)[4]
+        feasible = residual + max(0.0, -below)
+        gap = (scale * residual * residual).sum() / 2 + (scale * feasible * feasible).sum() / 2 + goal @ feasible
+        if gap <= tolerance * tolerance * scale.sum() / 2:
+            out = have.copy()
+            out[fit] = totals
+            return steps, targets.tolist(), out.tolist()
+        if e < 1e-12:
+            raise ArithmeticError(f"rates don't converge: totals {totals.tolist()}, targets {goal.tolist()}, duality gap {gap}")
+        e *= 0.03
 
 
 def mix_to_weights(
     docs: DataFrame, labelled: DataFrame, weights: dict[str, float], anchor: str, id_col: str = "doc_id", text_col: str = "text",
-    carry: list[str] | None = None, rounding: str = "hash", max_labelled: int = 20_000, max_words: int = 400, tolerance: float = 1e-4, max_steps: int = 25,
+    carry: list[str] | None = None, rounding: str = "hash", max_labelled: int = 20_000, max_words: int = 400, tolerance: float = 1e-3,
 ) -> DataFrame:
     """Columns: row, tokens, posteriors (map of domain to probability), rate, copies (whole number).
 
@@ -195,7 +230,7 @@ def mix_to_weights(
     scratch = Scratch(docs.sparkSession, "mixing")
     scored = scratch.keep(scored, "posteriors")
     alike = scratch.keep(scored.groupBy("p").agg(F.sum("tokens").alias("tokens")), "posteriors-tokens")
-    steps, _, _ = fit_rates(alike, domains, weights, anchor, tolerance, max_steps)
+    steps, _, _ = fit_rates(alike, domains, weights, anchor, tolerance)
     draw = F.pmod(F.xxhash64(F.lit(11), F.col("id")), F.lit(1_000_003)) / F.lit(1_000_003.0)
     likeliest = F.array_position("p", F.array_max("p")) - 1 == F.lit(domains.index(anchor) if anchor in domains else -1)
     copies = F.floor(F.col("rate") + {"nearest": F.lit(0.5), "hash": draw, "anchor": F.when(likeliest, 0.5).otherwise(draw)}[rounding])

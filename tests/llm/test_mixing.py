@@ -27,15 +27,65 @@ def test_classifier_on_labels(spark):
     assert len(right) / len(rows) > 0.95
 
 
-def test_fit_against_brute_force(spark):
+def _least_squares(a, b):
+    """Nonnegative least squares by active sets (Lawson and Hanson): the least of |ax - b|."""
+    x, free = np.zeros(a.shape[1]), np.zeros(a.shape[1], bool)
+    while not free.all():
+        w = a.T @ (b - a @ x)
+        w[free] = -np.inf
+        if w.max() <= 1e-9 * np.abs(b).max():
+            break
+        free[w.argmax()] = True
+        while True:
+            z = np.zeros_like(x)
+            z[free] = np.linalg.lstsq(a[:, free], b, rcond=None)[0]
+            if (z[free] > -1e-12).all():
+                x = np.maximum(z, 0)
+                break
+            back = free & (z <= 0)
+            part = (x[back] / (x[back] - z[back])).min()
+            x = x + part * (z - x)
+            free &= x > 1e-12
+    return a @ x
+
+
+@pytest.mark.parametrize("weights", [{"a": 0.6, "b": 0.3, "c": 0.1}, {"a": 0.98, "b": 0.02}, {"a": 0.01, "b": 0.01, "c": 0.98}, {"b": 1.0}, {"a": 1.0, "b": 1.0, "c": 1.0, "d": 5.0}])
+@pytest.mark.parametrize("sharpness", [0.4, 8.0])
+def test_fit_against_least_squares(spark, weights, sharpness):
+    """Reachable and unreachable targets: as near to them as rates of no sign less can come, rates never negative."""
     r = np.random.default_rng(1)
-    p, n = r.dirichlet([0.4, 0.4, 0.4], 60), r.integers(1, 90, 60)
-    df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(n, p, strict=True)], "tokens long, p array<double>")
-    steps, targets, now = fit_rates(df, ["a", "b", "c"], {"a": 0.6, "b": 0.3, "c": 0.1}, "a", 1e-4, 200)
-    rate, have = np.ones(60), p.T @ n
+    p, n = r.dirichlet([sharpness] * 3, 60), r.integers(1, 90, 60)
+    df = spark.createDataFrame([(int(a), [float(x) for x in b] + [0.0]) for a, b in zip(n, p, strict=True)] + [(0, [0.1, 0.1, 0.8, 0.0])], "tokens long, p array<double>")
+    steps, targets, now = fit_rates(df, ["a", "b", "c", "d"], weights, "a", 1e-3)
+    have = p.T @ n
+    rate = np.ones(60)
     for e in steps:
-        rate = np.maximum(0, rate - p @ np.array(e))
-    assert np.allclose(p.T @ (rate * n), now) and np.allclose(now, targets, rtol=1e-3, atol=1e-2 * have.min())
+        rate = np.maximum(0, rate - p @ np.array(e[:3]))
+    assert np.allclose(p.T @ (rate * n), now[:3], rtol=1e-6, atol=1e-6 * have.sum())
+    best = _least_squares((p * n[:, None]).T / np.sqrt(have)[:, None], np.array(targets[:3]) / np.sqrt(have)) * np.sqrt(have)
+    worth = lambda totals: ((totals - np.array(targets[:3])) ** 2 / have).sum() / 2
+    assert worth(np.array(now[:3])) <= worth(best) + 1e-6 * have.sum()
+
+
+def test_query_reaches_the_least_squares(spark):
+    """Whole small table: totals of the returned rates against the active sets' over the returned posteriors."""
+    rows = op3_mixing(spark, SF.replace("sf0.001", "sf0.01")).collect()
+    p, n, rate = np.array([[r.p_clean, r.p_low, r.p_toxic] for r in rows]), np.array([r.tokens for r in rows], float), np.array([r.rate for r in rows])
+    have, now = p.T @ n, p.T @ (n * rate)
+    targets = np.array([0.95, 0.05, 0.0]) * have[0] / 0.95
+    distinct, at = np.unique(p, axis=0, return_inverse=True)
+    tokens = np.bincount(at.ravel(), n)
+    best = _least_squares((distinct * tokens[:, None]).T / np.sqrt(have)[:, None], targets / np.sqrt(have)) * np.sqrt(have)
+    assert ((now - targets) ** 2 / have).sum() / 2 <= ((best - targets) ** 2 / have).sum() / 2 + 1e-6 * have.sum()
+
+
+def test_conflicting_and_repeated_labels(spark, documents):
+    """An id with two domains teaches nothing, a repeated id once; ties between domains go by name."""
+    rows = [(i, "GOOD words " * 9) for i in range(10)] + [(i, "bad! bad! bad! " * 9) for i in range(10, 20)] + [(50, "GOOD words " * 9)] * 300
+    labels = [(i, "clean") for i in range(10)] + [(i, "low") for i in range(10, 20)] * 2 + [(50, "low"), (50, "clean")]
+    out = mix_to_weights(documents(rows), spark.createDataFrame(labels, "doc_id long, domain string"), {"clean": 0.5, "low": 0.5}, "clean").collect()
+    assert len(out) == len(rows)
+    assert all(r.posteriors["clean"] > 0.9 for r in out if r.row.doc_id in (*range(10), 50)) and all(r.posteriors["low"] > 0.9 for r in out if 10 <= r.row.doc_id < 20)
 
 
 @pytest.mark.parametrize("labelled", [[], [(1, "clean")], [(1, "clean"), (2, "low"), (99, "low"), (None, "low"), (3, None)]])
