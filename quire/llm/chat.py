@@ -4,9 +4,11 @@ A turn is written ``<s>[role]text</s>``. Inside texts and roles a backslash is d
 string gets a backslash after its first character (so does ``]`` in a role), so no text can end a
 turn, and taking the character behind each backslash gives the text back.
 
-Windows: ``room`` is what ``budget`` leaves after the system turn and the history. Turns fill a window in order; one
-that would run over its room starts the next, as does every 64th turn. So every window is a span of whole
-turns that fits the budget, unless a single turn, or the system turn, doesn't. Each window starts with the system turn
+Windows: ``room`` is what ``budget`` leaves after the system turn and the history. With the prefix sums of the turns' tokens, a window
+that starts behind P tokens takes every turn that ends within P + room; the next turn starts the next window. Windows start
+anew where (prefix sum + turns so far) passes a multiple of ``STRETCH`` rooms, so that a stretch of bounded size can be cut by itself;
+that leaves one window in some ``STRETCH`` short. So every window is a span of whole turns that fits the budget, unless a
+single turn, or the system turn, doesn't. Each window starts with the system turn
 (the first turn, if its role is ``system``) and as much of the last ``history_turns`` turns as ``history`` tokens hold; these
 are repeated, so the loss mask leaves them out. It covers the texts of new assistant turns, each once over all windows.
 
@@ -15,10 +17,10 @@ are repeated, so the loss mask leaves them out. It covers the texts of new assis
 * A very long turn is a window by itself, never cut. A system turn that leaves less than ``LEAST`` tokens leaves those, over
   the budget. Empty table: no rows. Extra columns aren't carried.
 
-Scale: token sums are combined by blocks of 64 turns, summed over blocks, then within a block; windows are filled within
-64 turns; so a conversation with a third of all rows spreads by its blocks and windows. One row a conversation (its system turn)
-and one row a block are written before they meet, so that adaptive execution splits a hot conversation; history is
-fetched by an equi-join on (conversation, ordinal).
+Scale: turns are dealt by ranges of their order and written; token sums are combined by range, summed over ranges, then within
+one, so a conversation with a third of all rows spreads by its ranges, whether its turns have numbers or not, and by its stretches and
+windows. One row a conversation (its system turn) and one row a range are written before they meet, so that adaptive
+execution splits a hot conversation; a turn's window and the history are fetched by equi-joins on (conversation, ordinal).
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ from pyspark.sql.window import Window as W
 from quire.session import Scratch
 
 CONTROL = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
-_BLOCK = 64
+#: Rooms of a stretch of turns that is cut into windows by itself; code points of a text that take part in dealing turns to ranges.
+STRETCH, PREFIX = 64, 64
 #: Tokens that are left for new turns whatever the system turn takes.
 LEAST = 64
 _LEAD = r"(<(?=/?s>|<SYS>>|</SYS>>)|\[(?=/?INST\]))"
@@ -48,15 +51,16 @@ def _tokens(text: Column) -> Column:
     return (F.floor((F.char_length(text) + 3) / 4) + 4).cast("long")
 
 
-def _windows(tokens: Column, room: Column) -> Column:
-    """Ordinal at which the window of the last of some turns starts; ``tokens``: (ord, tokens) of up to 64 turns in order."""
-    start = F.struct(F.get(tokens, F.lit(0))["ord"].alias("first"), F.lit(0).cast("long").alias("used"))
+def _starts(turns: Column, room: Column) -> Column:
+    """Ordinals at which the windows of a stretch start; ``turns``: (ord, p, end) in order, the prefix sums before and behind each."""
+    first = F.get(turns, F.lit(0))
+    start = F.struct(F.array(first["ord"]).alias("starts"), first["p"].alias("base"))
 
     def put(acc: Column, turn: Column) -> Column:
-        fits = (acc["used"] == 0) | (acc["used"] + turn["tokens"] <= room)
-        return F.struct(F.when(fits, acc["first"]).otherwise(turn["ord"]).alias("first"), F.when(fits, acc["used"] + turn["tokens"]).otherwise(turn["tokens"]).alias("used"))
+        fits = (turn["p"] == acc["base"]) | (turn["end"] - acc["base"] <= room)
+        return F.struct(F.when(fits, acc["starts"]).otherwise(F.concat(acc["starts"], F.array(turn["ord"]))).alias("starts"), F.when(fits, acc["base"]).otherwise(turn["p"]).alias("base"))
 
-    return F.aggregate(tokens, start, put)["first"]
+    return F.aggregate(turns, start, put)["starts"]
 
 
 def chat_windows(
@@ -69,7 +73,9 @@ def chat_windows(
     tokens = _tokens(F.coalesce(turns[text_col], empty)) if tokens_col is None else F.coalesce(turns[tokens_col].cast("long"), F.lit(0))
     rows = turns.select(
         turns[conv_col].alias("conv"), turns[turn_col].cast("long").alias("turn"), F.coalesce(turns[role_col], empty).alias("role"), F.coalesce(turns[text_col], empty).alias("text"), tokens.alias("tokens"),
-    ).withColumn("block", F.coalesce(F.floor(F.col("turn") / _BLOCK), F.lit(-(1 << 57))))
+    )
+    # rows that only differ behind the prefix share a range; the ids of ranges are written, as they hang on a sample
+    rows = scratch.keep(rows.repartitionByRange("conv", "turn", "role", F.left("text", F.lit(PREFIX))).withColumn("block", F.spark_partition_id()), "ordered")
 
     order = ["turn", "role", "text", "tokens"]
     lead = rows.groupBy("conv").agg(F.min(F.struct(*order)).alias("f")).select("conv", (F.col("f.role") == "system").alias("has_system"), F.when(F.col("f.role") == "system", F.col("f.tokens")).otherwise(0).alias("s_tokens"))
@@ -91,13 +97,15 @@ def chat_windows(
     )
     is_system = F.col("has_system") & (F.col("ord") == 0)
     room = F.greatest(F.lit(LEAST), F.lit(budget - history) - F.col("s_tokens"))
-    segment = W.partitionBy("conv", F.floor(F.col("ord") / _BLOCK)).orderBy("ord").rowsBetween(W.unboundedPreceding, 0)
-    upto_here = F.collect_list(F.struct("ord", F.when(is_system, 0).otherwise(F.col("tokens")).cast("long").alias("tokens"))).over(segment)
-    placed = placed.withColumns({"is_system": is_system, "room": room, "upto": upto_here})
-    placed = placed.select("conv", "ord", "role", "text", "tokens", "p", "is_system", "has_system", _windows(F.col("upto"), F.col("room")).alias("window"))
+    placed = placed.select("conv", "ord", "role", "text", "tokens", F.greatest("p", F.lit(0)).alias("p"), is_system.alias("is_system"), "has_system", room.alias("room"))
     placed = scratch.keep(placed, "turns")
-
-    spans = placed.where(~F.col("is_system")).groupBy("conv", "window").agg(F.min("ord").alias("first"), F.min("p").alias("first_p"), F.first("has_system").alias("has_system"))
+    end = F.col("p") + F.when(F.col("is_system"), 0).otherwise(F.col("tokens"))
+    stretch = F.floor((F.col("p") + F.col("ord")) / (STRETCH * F.col("room")))
+    cut = placed.groupBy("conv", stretch.alias("stretch")).agg(F.sort_array(F.collect_list(F.struct("ord", "p", end.alias("end"), "is_system"))).alias("turns"), F.first("room").alias("room"), F.first("has_system").alias("has_system"))
+    cut = cut.select("conv", "has_system", "turns", _starts(F.col("turns"), F.col("room")).alias("starts")).select("conv", "has_system", "starts", F.explode("turns").alias("t"))
+    window = F.array_max(F.filter("starts", lambda x: x <= F.col("t.ord")))
+    cut = scratch.keep(cut.select("conv", "has_system", "t.ord", "t.p", "t.is_system", window.alias("window")), "windows-of-turns")
+    spans = cut.where(~F.col("is_system")).groupBy("conv", "window").agg(F.min("ord").alias("first"), F.min("p").alias("first_p"), F.first("has_system").alias("has_system"))
     spans = scratch.keep(spans, "windows")
     back = spans.select("*", F.explode(F.sequence(F.lit(1), F.lit(history_turns))).alias("k")).select("*", (F.col("first") - F.col("k")).alias("at"))
     said = back.alias("w").join(placed.where(~F.col("is_system")).alias("t"), F.col("w.conv").eqNullSafe(F.col("t.conv")) & (F.col("w.at") == F.col("t.ord"))).where(F.col("first_p") - F.col("t.p") <= history)
@@ -105,7 +113,8 @@ def chat_windows(
     repeated = said.select("w.conv", "w.window", *turn_of)
     system = spans.where("has_system and window > 0").alias("w").join(placed.where("is_system").alias("t"), F.col("w.conv").eqNullSafe(F.col("t.conv")))
     system = system.select("w.conv", "w.window", *turn_of)
-    new = placed.select("conv", "window", "ord", "role", "text", "tokens", F.lit(False).alias("repeated"))
+    new = placed.alias("t").join(cut.alias("w"), F.col("t.conv").eqNullSafe(F.col("w.conv")) & (F.col("t.ord") == F.col("w.ord")))
+    new = new.select("t.conv", "w.window", "t.ord", "t.role", "t.text", "t.tokens", F.lit(False).alias("repeated"))
 
     head = F.concat(F.lit("<s>["), F.replace(escape(F.col("role")), F.lit("]"), F.lit("\\]")), F.lit("]"))
     written = new.unionByName(repeated).unionByName(system).select("conv", "window", "ord", "role", "tokens", "repeated", head.alias("head"), escape(F.col("text")).alias("body"))

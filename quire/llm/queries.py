@@ -91,9 +91,9 @@ s AS (SELECT *, has_system AND ord = 0 AS is_system, sum(CASE WHEN has_system AN
 p AS (SELECT *, CASE WHEN is_system THEN 0 ELSE tokens END AS new, sum(CASE WHEN is_system THEN 0 ELSE tokens END) OVER (PARTITION BY conv_id ORDER BY ord) - CASE WHEN is_system THEN 0 ELSE tokens END AS p,
   greatest(64, 1024 - 128 - st) AS room,
   length(role) + 9 + length(regexp_replace(replace(text, '\', '##'), '(</?s>|<</?SYS>>|\[/?INST\])', '\1#', 'g')) AS size FROM s),
-g(conv_id, ord, win, used) AS (SELECT conv_id, ord, ord, new FROM p WHERE ord = 0
-  UNION ALL SELECT p.conv_id, p.ord, CASE WHEN p.ord % 64 <> 0 AND (g.used = 0 OR g.used + p.new <= p.room) THEN g.win ELSE p.ord END,
-    CASE WHEN p.ord % 64 <> 0 AND (g.used = 0 OR g.used + p.new <= p.room) THEN g.used + p.new ELSE p.new END
+g(conv_id, ord, win, used, stretch) AS (SELECT conv_id, ord, ord, new, 0::BIGINT FROM p WHERE ord = 0
+  UNION ALL SELECT p.conv_id, p.ord, CASE WHEN (p.p + p.ord) // (64 * p.room) = g.stretch AND (g.used = 0 OR g.used + p.new <= p.room) THEN g.win ELSE p.ord END,
+    CASE WHEN (p.p + p.ord) // (64 * p.room) = g.stretch AND (g.used = 0 OR g.used + p.new <= p.room) THEN g.used + p.new ELSE p.new END, ((p.p + p.ord) // (64 * p.room))::BIGINT
   FROM g JOIN p ON p.conv_id IS NOT DISTINCT FROM g.conv_id AND p.ord = g.ord + 1),
 w AS (SELECT p.*, g.win FROM p JOIN g ON p.conv_id IS NOT DISTINCT FROM g.conv_id AND p.ord = g.ord),
 f AS (SELECT conv_id, win, min(ord) AS first, min(p) AS first_p FROM w WHERE NOT is_system GROUP BY ALL),

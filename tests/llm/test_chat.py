@@ -41,22 +41,36 @@ def test_empty(spark):
 
 
 def _filled(sizes, room):
-    """Windows of turns of these sizes, filled in order; none crosses a 64th turn."""
-    starts, used = [], 0
+    """Windows of turns of these sizes, filled in order; none crosses the end of a stretch."""
+    starts, used, before, stretch = [], 0, 0, -1
     for i, n in enumerate(sizes):
-        if i % 64 == 0 or (used and used + n > room):
+        now = (before + i) // (64 * room)
+        if now != stretch or (used and used + n > room):
             starts.append(i)
             used = 0
-        used += n
+        used, before, stretch = used + n, before + n, now
     return starts
 
 
 def test_windows_are_filled(spark):
     """No system turn, no history: each window takes turns until the next would not fit; tokens come from a column."""
-    sizes = {c: [(i * 37 + c * 11) % 90 for i in range(n)] for c, n in ((1, 200), (2, 63), (3, 1), (4, 65))}
+    sizes = {c: [(i * 37 + c * 11) % 90 for i in range(n)] for c, n in ((1, 2000), (2, 63), (3, 1), (4, 65))}
     rows = [(c, i, ("user", "assistant")[i % 2], f"t{i}", n) for c, ns in sizes.items() for i, n in enumerate(ns)]
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, n int")
     out = chat_windows(df, budget=150, history=20, tokens_col="n").collect()
     for c, ns in sizes.items():
         assert sorted(r.window for r in out if r.conv_id == c) == _filled(ns, 130)
     assert all(r.tokens <= 150 for r in out)
+
+
+def test_short_turns_fill_windows(spark):
+    """Turns of a token or of none, without numbers: windows hold as many as the budget does, in ranges and stretches of bounded size."""
+    rows = [(1, None, "user", f"{i:05d}", 1) for i in range(30_000)] + [(2, 0, "user", f"{i:05d}", 0) for i in range(3000)] + [(None, None, "user", "same", 1)] * 500
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, n int")
+    out = chat_windows(df, budget=120, history=20, tokens_col="n").collect()
+    for conv, n, want in ((1, 30_000, _filled([1] * 30_000, 100)), (2, 3000, [0]), (None, 500, [0, 100, 200, 300, 400])):
+        mine = sorted((r for r in out if r.conv_id == conv), key=lambda r: r.window)
+        assert [r.window for r in mine] == want and sum(r.n_turns - r.n_repeated for r in mine) == n
+    assert len([r for r in out if r.conv_id == 1]) < 310
+    said = [t.text for r in sorted(read_windows(chat_windows(df.where("conv_id = 1"), budget=120, history=20, tokens_col="n")).collect(), key=lambda r: r.window) for t in r.turns]
+    assert said == [f"{i:05d}" for i in range(30_000)]
