@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 from tokenizers import Tokenizer
 
-from quire.llm.files import commit_file, open_input
+from quire.sources.store import commit_file, open_input
 from quire.llm.simple8b import decode_block, encode_block
 from quire.llm.text import utf8_bytes
 from quire.session import Scratch, bounded_batches

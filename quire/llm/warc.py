@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.files import commit_file, open_input
+from quire.sources.store import commit_file, open_input
 from quire.session import Scratch, bounded_batches
 
 SAMPLE = 20_000

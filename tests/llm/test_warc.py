@@ -1,6 +1,6 @@
 import gzip
 
-from quire.llm.files import open_input, open_store
+from quire.sources.store import open_input, open_store
 from quire.llm.warc import read_warc, write_warc
 from quire.session import Scratch
 
