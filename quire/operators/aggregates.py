@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from quire.functions.text import digits_to_int
 from quire.operators.blocks import PAGE
 
 
@@ -41,12 +42,35 @@ def page_diagnostics(blocks: DataFrame, lines: DataFrame, page_area: float) -> D
     return j.select(*PAGE, F.round("picture_share", 6).alias("picture_share"), "rendered_chars", "raw_chars", F.round(ratio, 6).alias("ratio"), "n_text_blocks", "has_picture", F.array_join(reasons, ",").alias("reasons"))
 
 
+def printed_folios(blocks: DataFrame, pages: DataFrame, band: float = 0.85) -> DataFrame:
+    """(doc_id, page_id, folio): the first block of a page that can be its printed number.
+
+    A number of any digits from 1 to 500, of at most four characters, in a page footer or a block that starts in the page's
+    bottom 15 %. ``pages``: doc_id, page_id, top, bottom.
+    """
+    text = F.btrim("text")
+    value = digits_to_int(text)
+    low = F.col("y0") >= F.col("top") + band * (F.col("bottom") - F.col("top"))
+    found = blocks.join(pages.select(*PAGE, "top", "bottom"), PAGE).where(F.char_length(text).between(1, 4) & ((F.col("block_type") == "PageFooter") | low) & value.between(1, 500))
+    return found.groupBy(*PAGE).agg(F.min_by(value, "pos").alias("folio"))
+
+
 def page_offset(folios: DataFrame) -> DataFrame:
-    """Majority of page - folio per document (ties: first seen), samples and agreement. ``folios``: doc_id, page_id, folio."""
-    votes = folios.select("doc_id", "page_id", (F.col("page_id") - F.col("folio")).alias("shift"))
+    """(doc_id, page_offset, samples, agreement): the most frequent difference of page number (from 1) and folio; of several the one seen first."""
+    votes = folios.select("doc_id", "page_id", (F.col("page_id") + 1 - F.col("folio")).alias("shift"))
     n = votes.groupBy("doc_id", "shift").agg(F.count("*").alias("n"), F.min("page_id").alias("first"))
     best = n.withColumns({"rank": F.row_number().over(W.partitionBy("doc_id").orderBy(F.desc("n"), "first")), "samples": F.sum("n").over(W.partitionBy("doc_id"))}).where("rank = 1")
-    return best.select("doc_id", F.col("shift").alias("page_offset"), "samples", F.round(F.col("n") / F.col("samples"), 6).alias("agreement"))
+    return best.select("doc_id", F.col("shift").alias("page_offset"), "samples", F.bround(F.col("n") / F.col("samples"), 4).alias("agreement"))
+
+
+def page_map(blocks: DataFrame, pages: DataFrame) -> DataFrame:
+    """Every page with its printed number and where that is from (``page_footer`` or ``inferred_from_offset``), and the document's
+    offset with its evidence; no number at all in a document without a folio."""
+    folios = printed_folios(blocks, pages)
+    out = pages.select(*PAGE).join(folios, PAGE, "left").join(page_offset(folios), "doc_id", "left")
+    inferred = F.col("page_id") + 1 - F.col("page_offset")
+    source = F.when(F.col("folio").isNotNull(), "page_footer").when(F.col("page_offset").isNotNull(), "inferred_from_offset")
+    return out.select(*PAGE, F.coalesce("folio", inferred).alias("printed_page"), source.alias("printed_source"), "page_offset", F.coalesce("samples", F.lit(0)).alias("samples"), "agreement")
 
 
 def material_profile(blocks: DataFrame, keys: list[str], low: int = 1000, high: int = 2500) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import bench_normalize
-from quire.operators.grouped import partial_ratio
+from quire.functions.similarity import partial_ratio
 
 
 def check_rules(rules: DataFrame, outputs: DataFrame, key: str) -> DataFrame:

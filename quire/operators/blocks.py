@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from quire.functions.similarity import fuzz_ratio
+from quire.functions.text import header_clean
+
 PAGE = ["doc_id", "page_id"]
 ORD = ["page_id", "pos"]
 TABLE_TYPES = ["Table", "Form", "TableOfContents"]
@@ -158,16 +161,31 @@ def marginalia(blocks: DataFrame, page_height: float, top: float = 0.08, bottom:
     return blocks.withColumn("ignored", F.coalesce(small & (n >= 2) & outside, F.lit(False)))
 
 
-def text_continuation(blocks: DataFrame, page_width: float) -> DataFrame:
-    """``has_continuation``: a text block whose last line runs full width or is hyphenated, before a text block
-    in a new column or on a new page that starts without an indent."""
-    text = blocks.where(F.col("block_type").isin("Text", "ListItem"))
+def text_continuation(blocks: DataFrame, lines: DataFrame, page_width: float, page_height: float, column_gap: float = 0.02) -> DataFrame:
+    """``has_continuation`` of each text block: of two lines or more, it goes on in the next visible block over a column or page break.
+
+    The next block, past page headers and footers, must be text with lines. At a column break it starts no lower than this one and over ``column_gap`` of
+    this one's width to its right; at a page break it starts in the page's first quadrant. The last line reaches the widest
+    one's right edge (in whole points) or ends in a hyphen, and the next block's first line isn't indented. ``lines``: doc_id,
+    page_id, block (pos of its block), line_idx, text, x0, x1; lines of at most one point in width don't count as ends.
+    """
+    text = ["Text", "TextInlineMath"]
+    wide = F.col("x1") - F.col("x0") > 1
+    shape = lines.groupBy(*PAGE, F.col("block").alias("pos")).agg(
+        F.count("*").alias("n_lines"), F.floor(F.max(F.when(wide, F.col("x1")))).alias("reach"), F.max_by(F.when(wide, F.col("x1")), F.when(wide, F.col("line_idx"))).alias("last_x1"),
+        F.max_by(F.when(wide, F.col("text")), F.when(wide, F.col("line_idx"))).alias("last_text"), F.min_by("x0", "line_idx").alias("first_x0"), F.ceil(F.min("x0")).alias("left"),
+    )
+    seen = blocks.where(~F.col("block_type").isin("PageHeader", "PageFooter")).join(shape, [*PAGE, "pos"], "left")
     w = by_document()
     nxt = lambda c: F.lead(c).over(w)
-    broken = (nxt("page_id") > F.col("page_id")) | (nxt("y0") < F.col("y0"))
-    full = (F.col("x1") >= 0.7 * page_width) | F.col("text").rlike(r"[-—¬]\s*$")
-    flush = nxt("x0") <= F.col("x0")
-    return text.withColumn("has_continuation", F.coalesce(broken & full & flush & (nxt("block_type") == F.col("block_type")), F.lit(False)))
+    same_page = nxt("page_id") == F.col("page_id")
+    column = same_page & (F.floor(nxt("y0")) <= F.ceil("y0")) & (nxt("x0") > F.col("x1") + column_gap * (F.col("x1") - F.col("x0")))
+    page = ~same_page & (nxt("x0") < float(page_width // 2)) & (nxt("y0") < float(page_height // 2))
+    ends = (F.col("last_x1") >= F.col("reach")) | F.btrim("last_text").rlike(r"(?s)[\p{Ll}|\p{Nd}][-—¬]\s?$")
+    flush = nxt("first_x0") <= nxt("left")
+    follows = nxt("block_type").isin(text) & (nxt("n_lines") > 0) & ~nxt("removed")
+    found = F.coalesce((F.col("n_lines") >= 2) & follows & (column | page) & ends & flush, F.lit(False))
+    return seen.withColumn("has_continuation", found).where(F.col("block_type").isin(text))
 
 
 def group_lists(blocks: DataFrame, page_height: float, most_gap: float = 0.1) -> DataFrame:
@@ -211,26 +229,62 @@ def block_position_sort(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("new_pos", F.row_number().over(W.partitionBy(*PAGE).orderBy("y0", F.desc("x1"), "pos")) - 1)
 
 
-def line_number_spans(lines: DataFrame, share: float = 0.6) -> DataFrame:
-    """``dropped``: the first word of a line, if it is a number and over 60 % of the page's lines start so."""
-    numbered = F.col("text").rlike(r"^\s*\d+\b")
-    part = F.avg(numbered.cast("int")).over(W.partitionBy(*PAGE))
-    return lines.withColumn("dropped", numbered & (part > share))
+def line_number_spans(lines: DataFrame, share: float = 0.6, least: int = 4, more: int = 10) -> DataFrame:
+    """``dropped``: which spans of a line are numbers of lines: ``first``, ``last``, or none (null).
 
+    On a page where over 60 % of the lines start with a number (their leftmost span, ``first``), those go. In a block
+    of four lines or more where over 60 % start (or end) with a span of digits before (behind) over ten other characters,
+    those go. ``lines``: doc_id, page_id, block, line_idx, first, last (texts of the outermost spans), n_chars (of the line).
+    """
+    numbered = F.col("first").rlike(r"(?U)^\s*\d+\s*$")
+    of_page = F.avg(numbered.cast("int")).over(W.partitionBy(*PAGE))
+    block = W.partitionBy(*PAGE, "block")
+    digits = lambda c: F.coalesce(F.col(c).rlike(r"(?U)^\s*\d+\s*$") & (F.col("n_chars") - F.length(F.btrim(c)) > more), F.lit(False))
+    often = lambda c: (F.count("*").over(block) >= least) & (F.avg(digits(c).cast("int")).over(block) > share)
+    dropped = F.when(numbered & (of_page > share), "first").when(digits("first") & often("first"), "first").when(digits("last") & often("last"), "last")
+    return lines.withColumn("dropped", dropped)
 
-def repeated_headers(blocks: DataFrame, cleaned: Column) -> DataFrame:
-    """First and last text block of each page whose cleaned text is common in the document.
 
-    Common: over three times, and a fifth of the pages or three pages in a row.
-    """
+def _edge_texts(blocks: DataFrame) -> DataFrame:
+    """First and last text block of each page (one block may be both), with the cleaned text and the side."""
     page = W.partitionBy(*PAGE)
-    ends = blocks.withColumns({"lo": F.min("pos").over(page), "hi": F.max("pos").over(page)}).where("pos = lo or pos = hi").withColumns({"at_top": F.col("pos") == F.col("lo"), "clean": cleaned})
-    ends = ends.where(F.length("clean") > 0)
+    text = blocks.where(F.col("block_type").isin("Text", "SectionHeader", "TextInlineMath"))
+    ends = text.withColumns({"lo": F.min("pos").over(page), "hi": F.max("pos").over(page)})
+    sides = F.array_compact(F.array(F.when(F.col("pos") == F.col("lo"), F.lit(True)), F.when(F.col("pos") == F.col("hi"), F.lit(False))))
+    return ends.select(*PAGE, "pos", F.explode(sides).alias("at_top"), header_clean(F.col("text")).alias("clean"))
+
+
+def repeated_headers(blocks: DataFrame) -> DataFrame:
+    """Common texts of a document's first blocks of pages, and of its last ones (doc_id, at_top, clean, n, streak).
+
+    Common: over three times, and a fifth of the pages or three pages in a row; numbers at both ends don't count.
+    """
+    ends = _edge_texts(blocks)
     side = W.partitionBy("doc_id", "at_top")
-    order = side.orderBy("page_id")
-    ends = ends.withColumn("island", F.row_number().over(order) - F.row_number().over(W.partitionBy("doc_id", "at_top", "clean").orderBy("page_id")))
+    ends = ends.withColumn("island", F.row_number().over(side.orderBy("page_id")) - F.row_number().over(W.partitionBy("doc_id", "at_top", "clean").orderBy("page_id")))
     ends = ends.withColumns({
         "n": F.count("*").over(W.partitionBy("doc_id", "at_top", "clean")), "streak": F.count("*").over(W.partitionBy("doc_id", "at_top", "clean", "island")), "total": F.count("*").over(side),
     })
     common = ends.groupBy("doc_id", "at_top", "clean").agg(F.max("n").alias("n"), F.max("streak").alias("streak"), F.max("total").alias("total"))
     return common.where((F.col("n") > 3) & ((F.col("n") >= 0.2 * F.col("total")) | (F.col("streak") >= 3))).select("doc_id", "at_top", "clean", "n", "streak")
+
+
+#: Classes of characters that are counted to bound how much two texts may share.
+CLASSES = 16
+
+
+def ignored_headers(blocks: DataFrame, over: float = 90.0) -> DataFrame:
+    """Blocks (doc_id, page_id, pos, at_top) at a page's edge that are like a common text of their document's side, over ``over`` of 100.
+
+    Distinct edge texts meet the few common ones of their document and side; lengths, and counts of characters by class, bound what two
+    texts can share, and only pairs that may pass are compared.
+    """
+    ends, common = _edge_texts(blocks), repeated_headers(blocks).select("doc_id", "at_top", F.col("clean").alias("common"))
+    j = ends.select("doc_id", "at_top", "clean").distinct().join(common, ["doc_id", "at_top"])
+    a, b = F.char_length("clean"), F.char_length("common")
+    j = j.where((F.col("clean") == F.col("common")) | (200 * F.least(a, b) > over * (a + b)))
+    counts = lambda t: F.transform(F.sequence(F.lit(0), F.lit(CLASSES - 1)), lambda k: F.size(F.filter(F.split(t, ""), lambda c: (c != "") & (F.ascii(c) % CLASSES == k))))
+    shared = F.aggregate(F.arrays_zip(counts("clean").alias("x"), counts("common").alias("y")), F.lit(0), lambda n, z: n + F.least(z["x"], z["y"]))
+    j = j.where((F.col("clean") == F.col("common")) | (200 * shared > over * (a + b)))
+    like = j.where(fuzz_ratio("clean", "common") > over).select("doc_id", "at_top", "clean").distinct()
+    return ends.join(like, ["doc_id", "at_top", "clean"], "left_semi").select(*PAGE, "pos", "at_top").distinct()

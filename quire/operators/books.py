@@ -145,3 +145,38 @@ def join_tables(cells: DataFrame, merges: DataFrame, keys: list[str]) -> DataFra
     moved = cells.join(good.select(*[F.col(f"{k}_2").alias(k) for k in keys], *[f"{k}_1" for k in keys], down.alias("down"), over.alias("over")), keys, "left")
     shifted = lambda c, by: (F.col(c) + F.coalesce(by, F.lit(0))).alias(c)
     return moved.select(*[F.coalesce(f"{k}_1", k).alias(k) for k in keys], shifted("row_id", "down"), shifted("col_id", "over"), "text")
+
+
+def table_merge_candidates(tables: DataFrame, tall: float = 0.6, alike: float = 0.25, beside: float = 20.0, below: float = 10.0, gap: float = 50.0) -> DataFrame:
+    """Tables in order, each with its run (``run``, a number of the document) and how it follows the one before (``how``; null where a run starts).
+
+    ``tables``: doc_id, page_id, pos, box, page_height, n_rows, n_cols. Rows match if their counts differ by less than five, columns by less than
+    two. A table goes on with the next one if that is
+
+    * ``page``: on the next page, either takes over ``tall`` of the page's height, either is its page's only table, and rows or columns match;
+    * ``beside``: on the same page, heights alike, its left edge near the right one of this, tops near each other, rows match;
+    * ``below``: on the same page, widths alike, its top near the bottom of this, left edges near each other, columns match;
+    * ``column``: on the same page, its left edge within ``gap`` of the right one of this, its top above the bottom of this, widths alike, columns match.
+    """
+    w = W.partitionBy("doc_id").orderBy("page_id", "pos")
+    before = lambda c: F.lag(c).over(w)
+    sized = tables.withColumns({"n_on_page": F.count("*").over(W.partitionBy(*PAGE)), "height": F.col("y1") - F.col("y0"), "width": F.col("x1") - F.col("x0")})
+    rows, cols = F.abs(before("n_rows") - F.col("n_rows")) < 5, F.abs(before("n_cols") - F.col("n_cols")) < 2
+    same = before("page_id") == F.col("page_id")
+    near = lambda a, b, most: F.abs(F.col(a) - before(b)) < most
+    ratio = lambda c: F.try_divide(before(c), F.col(c))
+    close = lambda r: (r > 1 - alike) & (r < 1 + alike)
+    page = (before("page_id") == F.col("page_id") - 1) & (F.greatest(before("height"), F.col("height")) / F.col("page_height") > tall) & ((F.col("n_on_page") == 1) | (before("n_on_page") == 1)) & (rows | cols)
+    side = same & close(ratio("height")) & near("x0", "x1", beside) & near("y0", "y0", beside) & rows
+    under = same & close(ratio("width")) & near("y0", "y1", below) & near("x0", "x0", below) & cols
+    column = same & near("x0", "x1", gap) & (F.col("y0") < before("y1")) & (F.col("width") * (1 - alike) < before("width")) & (before("width") < F.col("width") * (1 + alike)) & cols
+    how = F.when(page, "page").when(side, "beside").when(under, "below").when(column, "column")
+    told = sized.withColumn("how", how)
+    return told.withColumn("run", F.sum(F.when(F.col("how").isNull(), 1).otherwise(0)).over(w.rowsBetween(W.unboundedPreceding, 0))).drop("n_on_page", "height", "width")
+
+
+def table_runs(candidates: DataFrame) -> DataFrame:
+    """Runs of two tables or more: (doc_id, run, first page and place, n_tables, tables in order)."""
+    each = F.sort_array(F.collect_list(F.struct("page_id", "pos", "how")))
+    runs = candidates.groupBy("doc_id", "run").agg(each.alias("tables")).where(F.size("tables") > 1)
+    return runs.select("doc_id", "run", F.get("tables", F.lit(0))["page_id"].alias("first_page"), F.get("tables", F.lit(0))["pos"].alias("first_pos"), F.size("tables").alias("n_tables"), "tables")

@@ -102,6 +102,10 @@ GRADING = {
 }
 
 
+#: Types of activities: a fixed closed list.
+ACTIVITY_TYPES = ["explanation", "guided_practice", "practice", "game", "matching", "drag_drop", "sorting", "handwriting", "audio", "visual", "remediation", "review"]
+
+
 def grading_mode(question_type: Column, explicit: Column) -> Column:
     known = F.create_map(*[F.lit(x) for pair in GRADING.items() for x in pair])
     return F.coalesce(explicit, F.element_at(known, question_type), F.lit("manual"))

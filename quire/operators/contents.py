@@ -20,21 +20,12 @@ from quire.operators.grouped import rtl_reading_order
 from quire.operators.pages import anchor_clusters
 
 
-def least_cost(cost: np.ndarray, exact: int = 16) -> list[tuple[int, int]]:
+def least_cost(cost: np.ndarray) -> list[tuple[int, int]]:
     """(row, column) pairs of least total cost, each row and column once; rows beyond the number of columns get none.
 
-    Shortest augmenting paths; of over ``exact`` columns the cheapest pair is taken first, over and over.
+    Shortest augmenting paths: exact for any number of columns, in time that grows with their cube.
     """
-    n_rows, n_cols = cost.shape
-    if n_cols > exact:
-        pairs, rows, cols = [], set(), set()
-        for at in np.argsort(cost, axis=None, kind="stable").tolist():
-            i, j = divmod(at, n_cols)
-            if i not in rows and j not in cols:
-                pairs.append((i, j))
-                rows.add(i)
-                cols.add(j)
-        return sorted(pairs)
+    n_cols = cost.shape[1]
     cost = cost[:n_cols]
     owner = np.full(n_cols, -1)
     row_price, col_price = np.zeros(len(cost)), np.zeros(n_cols)

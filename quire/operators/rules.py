@@ -35,12 +35,6 @@ def missing_fields(books: DataFrame, fields: list[str]) -> DataFrame:
     return findings(books.withColumn("gap", F.explode(gaps)), "STRUCT001", "package_id", F.col("gap"))
 
 
-def duplicate_ids(entities: DataFrame) -> DataFrame:
-    """STRUCT002: a later claim of an id within a package; ``entities``: package_id, id, kind, seq."""
-    w = W.partitionBy("package_id", "id").orderBy("kind", "seq")
-    return findings(entities.withColumn("before", F.lag("kind").over(w)).where("before is not null"), "STRUCT002", "id", F.concat_ws(">", "before", "kind"))
-
-
 def page_ranges(lessons: DataFrame) -> DataFrame:
     """STRUCT003: reversed, before the first page, or past the last."""
     wrong = F.when(F.col("pdf_start") < 1, "before").when(F.col("pdf_start") > F.col("pdf_end"), "reversed").when(F.col("pdf_end") > F.col("page_count"), "past_end")

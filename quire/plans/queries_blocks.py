@@ -18,12 +18,13 @@ ORACLES: dict[str, str] = {}
 KEY = ["doc_id", "page_id", "pos"]
 
 
-def _query(name: str, sql: str, *fixtures: str):
-    """Register a query with its DuckDB text (after the fixtures it names)."""
+def _query(name: str, sql: str | None = None, *fixtures: str):
+    """Register a query with its DuckDB text, if it has one (after the fixtures it names)."""
 
     def keep(f):
         QUERIES[name] = f
-        ORACLES[name] = with_fixtures(sql, *fixtures)
+        if sql:
+            ORACLES[name] = with_fixtures(sql, *fixtures) if fixtures else sql
         return f
 
     return keep
@@ -144,19 +145,34 @@ def _w5(s, d):
     return out.select("doc_id", "pos", F.array_join(each, ",").alias("hierarchy"))
 
 
+#: A document's running titles: the first block of a page says its source and, now and then, one letter less; the last one is a number with a word.
+_RUNNING = """CASE WHEN line_idx % 12 = 0 AND page_id % 5 = 4 THEN concat(page_id, ' Notes on ', source, ' and othr matters')
+  WHEN line_idx % 12 = 0 AND page_id % 7 <> 5 THEN concat(page_id, ' Notes on ', source, ' and other matters ', page_id) WHEN line_idx % 12 = 11 THEN concat(CASE WHEN page_id % 3 = 2 THEN 'pagge' ELSE 'page' END, ' of chapter ', page_id) ELSE text END"""
+_CLEAN = r"regexp_replace(regexp_replace(trim(text), '^\d+\s*', ''), '\s*\d+$', '')"
+
+
+def _running(s, d):
+    return doc_lines(s, d).selectExpr("doc_id", "page_id", "line_idx AS pos", "'Text' AS block_type", f"{_RUNNING} AS text")
+
+
 @_query(
     "w7_repeated_headers",
-    r""", e AS (SELECT doc_id, page_id, line_idx, line_idx % 12 = 0 AS at_top, max(line_idx) OVER (PARTITION BY doc_id, page_id) AS hi, length(text) % 2 || 'x' AS clean FROM doc_lines),
-f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, at_top ORDER BY page_id) - row_number() OVER (PARTITION BY doc_id, at_top, clean ORDER BY page_id) AS island,
-  count(*) OVER (PARTITION BY doc_id, at_top) AS total FROM e WHERE at_top OR line_idx = hi),
+    rf""", e AS (SELECT doc_id, page_id, line_idx, min(line_idx) OVER w AS lo, max(line_idx) OVER w AS hi, {_CLEAN} AS clean FROM (SELECT * REPLACE ({_RUNNING} AS text) FROM doc_lines) WINDOW w AS (PARTITION BY doc_id, page_id)),
+b AS (SELECT doc_id, page_id, clean, true AS at_top FROM e WHERE line_idx = lo UNION ALL SELECT doc_id, page_id, clean, false FROM e WHERE line_idx = hi),
+f AS (SELECT *, row_number() OVER (PARTITION BY doc_id, at_top ORDER BY page_id) - row_number() OVER (PARTITION BY doc_id, at_top, clean ORDER BY page_id) AS island, count(*) OVER (PARTITION BY doc_id, at_top) AS total FROM b),
 g AS (SELECT *, count(*) OVER (PARTITION BY doc_id, at_top, clean) AS n, count(*) OVER (PARTITION BY doc_id, at_top, clean, island) AS streak FROM f)
 SELECT doc_id, at_top, clean, max(n) AS n, max(streak) AS streak FROM g GROUP BY ALL HAVING max(n) > 3 AND (max(n) >= 0.2 * max(total) OR max(streak) >= 3)""",
     "doc_lines",
 )
 def _w7(s, d):
-    """Pages of 12 lines; the cleaned text of a line is whether its length is odd, so that some repeat."""
-    pages = doc_lines(s, d).select("doc_id", "page_id", F.col("line_idx").alias("pos"), "text")
-    return B.repeated_headers(pages, F.concat((F.length("text") % 2).cast("string"), F.lit("x")))
+    """Common first and last texts of the pages of each document."""
+    return B.repeated_headers(_running(s, d))
+
+
+@_query("w7_ignored_headers")
+def _w7i(s, d):
+    """The blocks that are like a common text."""
+    return B.ignored_headers(_running(s, d))
 
 
 @_query(
@@ -175,25 +191,48 @@ def _w9(s, d):
     return B.document_toc(blocks(s, d)).select("doc_id", "seq", "title", "heading_level", "page_id")
 
 
+_SPANS = """doc_id, page_id, cast(line_idx % 12 >= 6 as int) AS block, line_idx, length(text) + 3 AS n_chars,
+  CASE WHEN page_id % 3 = 0 AND length(text) % 4 > 0 THEN concat(' ', line_idx, ' ') WHEN page_id % 3 = 1 AND line_idx % 12 < 6 AND length(text) % 3 > 0 THEN concat(line_idx, '') ELSE 'word' END AS first,
+  CASE WHEN page_id % 3 = 2 AND line_idx % 12 >= 6 AND length(text) % 5 > 0 THEN concat(line_idx, ' ') ELSE 'word' END AS last"""
+
+
 @_query(
     "w10_line_number_spans",
-    r""", n AS (SELECT doc_id, page_id, line_idx, regexp_matches(CASE WHEN length(text) % 3 > 0 THEN line_idx || ' ' || text ELSE text END, '^\s*\d+\b') AS num FROM lines_boxed)
-SELECT doc_id, line_idx, num AND avg(num::INT) OVER (PARTITION BY doc_id, page_id) > 0.6 AS dropped FROM n""",
-    "lines_boxed",
+    rf""", sp AS (SELECT {_SPANS} FROM doc_lines), n AS (SELECT *, regexp_matches(first, '^\s*\d+\s*$') AS nf, regexp_matches(last, '^\s*\d+\s*$') AS nl FROM sp),
+m AS (SELECT *, nf AND n_chars - length(trim(first)) > 10 AS df, nl AND n_chars - length(trim(last)) > 10 AS dl FROM n),
+k AS (SELECT *, avg(nf::INT) OVER (PARTITION BY doc_id, page_id) AS pg, count(*) OVER b AS c, avg(df::INT) OVER b AS bf, avg(dl::INT) OVER b AS bl FROM m WINDOW b AS (PARTITION BY doc_id, page_id, block))
+SELECT doc_id, line_idx, CASE WHEN nf AND pg > 0.6 THEN 'first' WHEN df AND c >= 4 AND bf > 0.6 THEN 'first' WHEN dl AND c >= 4 AND bl > 0.6 THEN 'last' END AS dropped FROM k""",
+    "doc_lines",
 )
 def _w10(s, d):
-    t = F.when(F.length("text") % 3 > 0, F.concat(F.col("line_idx").cast("string"), F.lit(" "), F.col("text"))).otherwise(F.col("text"))
-    return B.line_number_spans(lines_boxed(s, d).withColumn("text", t)).select("doc_id", "line_idx", "dropped")
+    """Pages of two blocks of six lines: numbers before most lines of the page, of the first block, or behind those of the second."""
+    spans = doc_lines(s, d).selectExpr("*", "cast(line_idx % 12 >= 6 as int) AS block", "length(text) + 3 AS n_chars").drop("source")
+    spans = spans.selectExpr("doc_id", "page_id", "block", "line_idx", "n_chars", f"{_SPANS.split('n_chars,')[1].split(' AS first')[0]} AS first", f"{_SPANS.split('AS first,')[1].split(' AS last')[0]} AS last")
+    return B.line_number_spans(spans).select("doc_id", "line_idx", "dropped")
+
+
+#: Pages of four blocks of three lines in two columns; a block's last line is full, short or ends in a hyphen.
+_COLUMNS = """cast(CASE WHEN line_idx % 12 < 6 THEN 60 ELSE 330 END + CASE WHEN line_idx % 3 = 0 AND length(text) % 4 = 0 THEN 12 ELSE 0 END as double) AS x0,
+  cast(CASE WHEN line_idx % 12 < 6 THEN 290 ELSE 560 END - CASE WHEN line_idx % 3 = 2 AND length(text) % 3 = 0 THEN 80 ELSE 0 END as double) AS x1, cast(60 + 100 * (line_idx % 6) as double) AS y0, cast(80 + 100 * (line_idx % 6) as double) AS y1"""
+_KIND = "CASE pos % 9 WHEN 5 THEN 'PageFooter' WHEN 7 THEN 'Picture' ELSE 'Text' END"
 
 
 @_query(
     "w12_text_continuation",
-    r""", t AS (SELECT *, lead(page_id) OVER w AS np, lead(y0) OVER w AS ny, lead(x0) OVER w AS nx, lead(block_type) OVER w AS nt FROM blocks WHERE block_type IN ('Text', 'ListItem') WINDOW w AS (PARTITION BY doc_id ORDER BY page_id, pos))
-SELECT doc_id, pos, coalesce((np > page_id OR ny < y0) AND (x1 >= 0.7 * 500 OR regexp_matches(text, '[-—¬]\s*$')) AND nx <= x0 AND nt = block_type, false) AS has_continuation FROM t""",
-    "blocks",
+    rf""", ln AS (SELECT doc_id, page_id, line_idx, line_idx // 3 AS pos, CASE WHEN length(text) % 5 = 0 THEN text || 'a-' ELSE text END AS text, {_COLUMNS} FROM doc_lines),
+sh AS (SELECT doc_id, page_id, pos, count(*) AS n, floor(max(CASE WHEN x1 - x0 > 1 THEN x1 END)) AS reach, arg_max(x1, line_idx) AS lx, arg_max(text, line_idx) AS lt, arg_min(x0, line_idx) AS fx, ceil(min(x0)) AS lf, min(x0) AS x0, max(x1) AS x1, min(y0) AS y0, max(y1) AS y1 FROM ln GROUP BY ALL),
+bk AS (SELECT *, {_KIND} AS kind, pos % 11 = 3 AS removed FROM sh WHERE {_KIND} <> 'PageFooter'),
+nx AS (SELECT *, lead(page_id) OVER w AS np, lead(kind) OVER w AS nk, lead(removed) OVER w AS nr, lead(x0) OVER w AS nx0, lead(y0) OVER w AS ny0, lead(fx) OVER w AS nfx, lead(lf) OVER w AS nlf FROM bk WINDOW w AS (PARTITION BY doc_id ORDER BY page_id, pos))
+SELECT doc_id, pos, coalesce(n >= 2 AND nk = 'Text' AND NOT nr AND CASE WHEN np = page_id THEN floor(ny0) <= ceil(y0) AND nx0 > x1 + 0.02 * (x1 - x0) ELSE nx0 < 306 AND ny0 < 350 END
+  AND (lx >= reach OR regexp_matches(trim(lt), '[\p{{Ll}}|\p{{Nd}}][-—¬]\s?$')) AND nfx <= nlf, false) AS has_continuation FROM nx WHERE kind = 'Text'""",
+    "doc_lines",
 )
 def _w12(s, d):
-    return B.text_continuation(blocks(s, d), 500.0).select("doc_id", "pos", "has_continuation")
+    text = F.when(F.length("text") % 5 == 0, F.concat("text", F.lit("a-"))).otherwise(F.col("text"))
+    lines = doc_lines(s, d).selectExpr("doc_id", "page_id", "line_idx", "line_idx div 3 AS block", "text", _COLUMNS.split(" AS x0,")[0] + " AS x0", *[c.strip() for c in _COLUMNS.split("AS x0,")[1].split(", ")]).withColumn("text", text)
+    found = lines.groupBy("doc_id", "page_id", F.col("block").alias("pos")).agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    found = found.selectExpr("*", f"{_KIND} AS block_type", "pos % 11 = 3 AS removed")
+    return B.text_continuation(found, lines, 612.0, 700.0).select("doc_id", "pos", "has_continuation")
 
 
 _W16 = """, l AS (SELECT *, lag(block_type) OVER w AS was, y0 - lag(y1) OVER w AS gap FROM blocks WINDOW w AS (PARTITION BY doc_id, page_id ORDER BY pos)),
@@ -469,17 +508,26 @@ def _a5(s, d):
     return A.page_diagnostics(blocks(s, d), lines_boxed(s, d), 484704.0)
 
 
+#: Folios in footers, in Persian digits in short blocks at the bottom, and numbers that can't be one.
+_FOLIO = """CASE WHEN pos % 12 = 11 AND page_id % 3 = 0 THEN concat(' ', page_id + 1 + doc_id % 5) WHEN pos % 12 = 11 AND page_id % 3 = 1 THEN 'x'
+  WHEN pos % 12 = 10 AND page_id % 3 = 1 THEN translate(concat(page_id + 1 + doc_id % 5 - length(text) % 2, ''), '0123456789', '۰۱۲۳۴۵۶۷۸۹') WHEN pos % 12 = 10 AND page_id % 3 = 2 THEN '501' WHEN pos % 12 = 2 THEN '7' ELSE text END"""
+
+
 @_query(
     "a6_page_offset",
-    """, f AS (SELECT DISTINCT doc_id, page_id, page_id - CASE WHEN page_id % 4 = 3 THEN 2 ELSE 5 END AS folio FROM doc_lines),
-v AS (SELECT doc_id, page_id - folio AS shift, count(*) AS n, min(page_id) AS f FROM f GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, f) AS rn, sum(n) OVER (PARTITION BY doc_id) AS samples FROM v)
-SELECT doc_id, shift AS page_offset, CAST(samples AS BIGINT) AS samples, round(n / samples, 6) AS agreement FROM r WHERE rn = 1""",
-    "doc_lines",
+    rf""", c AS (SELECT *, translate(trim({_FOLIO}), '۰۱۲۳۴۵۶۷۸۹', '0123456789') AS t FROM blocks),
+f AS (SELECT doc_id, page_id, arg_min(t::INT, pos) AS folio FROM c WHERE regexp_matches(t, '^[0-9]+$') AND length(t) BETWEEN 1 AND 4 AND (block_type = 'PageFooter' OR y0 >= 0.85 * 740) AND CASE WHEN regexp_matches(t, '^[0-9]{{1,4}}$') THEN t::INT ELSE 0 END BETWEEN 1 AND 500 GROUP BY ALL),
+v AS (SELECT doc_id, page_id + 1 - folio AS sh, count(*) AS n, min(page_id) AS first FROM f GROUP BY ALL),
+b AS (SELECT doc_id, sh, n, sum(n) OVER (PARTITION BY doc_id) AS samples FROM v QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, first) = 1),
+p AS (SELECT DISTINCT doc_id, page_id FROM blocks)
+SELECT p.doc_id, p.page_id, coalesce(folio, p.page_id + 1 - sh) AS printed_page, CASE WHEN folio IS NOT NULL THEN 'page_footer' WHEN sh IS NOT NULL THEN 'inferred_from_offset' END AS printed_source, sh AS page_offset, CAST(coalesce(samples, 0) AS BIGINT) AS samples, round(n / samples, 4) AS agreement
+FROM p LEFT JOIN f ON p.doc_id = f.doc_id AND p.page_id = f.page_id LEFT JOIN b ON p.doc_id = b.doc_id""",
+    "blocks",
 )
 def _a6(s, d):
-    folios = doc_lines(s, d).select("doc_id", "page_id").distinct().withColumn("folio", F.col("page_id") - F.when(F.col("page_id") % 4 == 3, 2).otherwise(5))
-    return A.page_offset(folios)
+    found = blocks(s, d).selectExpr("* EXCEPT (text)", f"{_FOLIO} AS text")
+    pages = blocks(s, d).select("doc_id", "page_id").distinct().selectExpr("*", "0.0 AS top", "740.0 AS bottom")
+    return A.page_map(found, pages)
 
 
 @_query(

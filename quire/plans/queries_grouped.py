@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from quire.functions.similarity import fuzz_ratio
+from quire.operators import books as K
 from quire.operators import grouped as G
 from quire.operators.benchmarks import check_rules
-from quire.operators.blocks import by_document
-from quire.plans.fixtures import blocks, doc_lines, lines_boxed, with_fixtures
+from quire.plans.fixtures import blocks, doc_lines, layout, lines_boxed, with_fixtures
 from quire.plans.queries_rules import FIXTURES, books
 from quire.session import table
 
@@ -84,7 +85,7 @@ def _w21(s, d):
 def _t29(s, d):
     w = W.partitionBy("doc_id").orderBy("line_idx")
     li = doc_lines(s, d).withColumn("before", F.coalesce(F.lag("text").over(w), F.lit("")))
-    return li.select("doc_id", "line_idx", F.round(G.fuzz_ratio("text", "before"), 4).alias("ratio"))
+    return li.select("doc_id", "line_idx", F.round(fuzz_ratio("text", "before"), 4).alias("ratio"))
 
 
 @_query(
@@ -212,17 +213,35 @@ def _o3(s, d):
     return books(s, d, "concepts").withColumn("n", F.row_number().over(w)).where("n <= 3").select("package_id", "id")
 
 
+#: Up to four tables a page: one tall table, a row of tables, or two stacked tables and two more in a second column.
+_TABLES = """doc_id, page_id, pos, 700.0 AS page_height, 3 + pos % 7 AS n_rows, 2 + pos % 3 AS n_cols,
+  CASE WHEN page_id % 4 < 2 THEN 50 WHEN page_id % 4 = 2 THEN 50 + 150 * (pos % 4) + (pos % 5) * 3 WHEN pos % 4 < 2 THEN 50 + (pos % 3) * 4 ELSE 285 + pos % 3 * 4 END + 0.0 AS x0,
+  CASE WHEN page_id % 4 < 2 THEN 50 WHEN page_id % 4 = 2 THEN 100 + (pos % 3) * 8 ELSE 100 + 210 * (pos % 2) END + 0.0 AS y0,
+  CASE WHEN page_id % 4 < 2 THEN 550 WHEN page_id % 4 = 2 THEN 190 + 150 * (pos % 4) + (pos % 5) * 3 WHEN pos % 4 < 2 THEN 250 + (pos % 3) * 4 ELSE 485 + pos % 3 * 4 + pos % 2 * 60 END + 0.0 AS x1,
+  CASE WHEN page_id % 4 < 2 THEN 450 + pos * 37 % 200 WHEN page_id % 4 = 2 THEN 300 + (pos % 3) * 8 + (pos % 4) * 30 ELSE 305 + 210 * (pos % 2) END + 0.0 AS y1"""
+
+
 @_query(
     "w18_table_merge_candidates",
-    """, t AS (SELECT doc_id, page_id, pos, lag(page_id) OVER w AS bp, lag(x0) OVER w AS bx FROM blocks WHERE block_type = 'Table' WINDOW w AS (PARTITION BY doc_id ORDER BY page_id, pos)),
-r AS (SELECT *, sum(CASE WHEN page_id - bp <= 1 AND abs(x0_ - bx) < 20 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY page_id, pos) AS run FROM (SELECT t.*, b.x0 AS x0_ FROM t JOIN blocks b USING (doc_id, pos)))
-SELECT doc_id, min(pos) AS first_pos, count(*) AS n_tables FROM r GROUP BY doc_id, run""",
-    "blocks",
+    f""", tb AS (SELECT {_TABLES} FROM layout WHERE page_id % 4 > 1 OR pos % 4 = 0),
+g AS (SELECT *, y1 - y0 AS h, x1 - x0 AS wd, count(*) OVER (PARTITION BY doc_id, page_id) AS n FROM tb),
+p AS (SELECT *, lag(page_id) OVER w AS pp, lag(x0) OVER w AS px0, lag(y0) OVER w AS py0, lag(x1) OVER w AS px1, lag(y1) OVER w AS py1, lag(h) OVER w AS ph, lag(wd) OVER w AS pw, lag(n) OVER w AS pn,
+  abs(lag(n_rows) OVER w - n_rows) < 5 AS rm, abs(lag(n_cols) OVER w - n_cols) < 2 AS cm FROM g WINDOW w AS (PARTITION BY doc_id ORDER BY page_id, pos)),
+k AS (SELECT *, CASE WHEN pp = page_id - 1 AND greatest(ph, h) / page_height > 0.6 AND (n = 1 OR pn = 1) AND (rm OR cm) THEN 'page'
+  WHEN pp = page_id AND ph / h > 0.75 AND ph / h < 1.25 AND abs(x0 - px1) < 20 AND abs(y0 - py0) < 20 AND rm THEN 'beside'
+  WHEN pp = page_id AND pw / wd > 0.75 AND pw / wd < 1.25 AND abs(y0 - py1) < 10 AND abs(x0 - px0) < 10 AND cm THEN 'below'
+  WHEN pp = page_id AND abs(x0 - px1) < 50 AND y0 < py1 AND wd * 0.75 < pw AND pw < wd * 1.25 AND cm THEN 'column' END AS how FROM p),
+r AS (SELECT *, sum(CASE WHEN how IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY page_id, pos) AS run FROM k)
+SELECT doc_id, min(pos) AS first_pos, count(*) AS n_tables, string_agg(coalesce(how, 'start'), ',' ORDER BY page_id, pos) AS how FROM r GROUP BY doc_id, run HAVING count(*) > 1""",
+    "layout",
 )
 def _w18(s, d):
-    """Runs of tables on the same or the next page with nearly the same left edge."""
-    w = by_document()
-    t = blocks(s, d).where("block_type = 'Table'").withColumns({"bp": F.lag("page_id").over(w), "bx": F.lag("x0").over(w)})
-    near = F.coalesce((F.col("page_id") - F.col("bp") <= 1) & (F.abs(F.col("x0") - F.col("bx")) < 20), F.lit(False))
-    runs = t.withColumn("run", F.sum(F.when(near, 0).otherwise(1)).over(w.rowsBetween(W.unboundedPreceding, 0)))
-    return runs.groupBy("doc_id", "run").agg(F.min("pos").alias("first_pos"), F.count("*").alias("n_tables")).drop("run")
+    """Runs of tables that go on in each other, by all four cases."""
+    tables = layout(s, d).where("page_id % 4 > 1 OR pos % 4 = 0").selectExpr(*_split(_TABLES))
+    runs = K.table_runs(K.table_merge_candidates(tables))
+    return runs.select("doc_id", F.array_min(F.transform("tables", lambda t: t["pos"])).alias("first_pos"), F.col("n_tables").cast("long").alias("n_tables"), F.array_join(F.transform("tables", lambda t: F.coalesce(t["how"], F.lit("start"))), ",").alias("how"))
+
+
+def _split(columns: str) -> list[str]:
+    """Columns of a list, at the commas that end one."""
+    return [c.strip() for c in columns.replace("\n", " ").replace(", ", ",").split(",")]

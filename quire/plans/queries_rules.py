@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from quire.operators import entities as E
 from quire.operators import rules as R
+from quire.operators.claims import ACTIVITY_TYPES, GRADING, answer_key, grading_mode
 from quire.session import Scratch, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,19 +33,36 @@ FIXTURES = {
   CASE l_partkey % 4 WHEN 0 THEN 'نشان دهد' WHEN 1 THEN 'دانش آموز بداند' WHEN 2 THEN 'نام ببرد' ELSE 'درک کند که' END AS statement, CASE WHEN l_partkey % 3 = 0 THEN concat('s', l_orderkey) END AS skill_id, l_orderkey AS okey, l_linenumber AS line FROM lineitem""",
     "relations": f"""SELECT {_PK.format(k="p_partkey")} AS package_id, concat('r', p_partkey) AS id, p_partkey AS source_id, p_partkey + CASE WHEN p_partkey % 53 = 0 THEN 0 ELSE 7 END AS target_id,
   CASE p_partkey % 29 WHEN 0 THEN 'friend' WHEN 1 THEN 'part_of' ELSE 'prerequisite' END AS relation_type, CASE WHEN p_partkey % 3 = 0 THEN 'someone' END AS authored_by FROM part""",
-    "questions": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, concat('q', o_orderkey) AS id, CASE o_orderkey % 9 WHEN 0 THEN 'riddle' WHEN 1 THEN 'true_false' WHEN 2 THEN 'multiple_choice' WHEN 3 THEN 'open' ELSE 'short_answer' END AS question_type,
-  CASE WHEN o_custkey % 5 > 0 THEN 'yes' END AS answer, o_custkey % 4 AS n_options, o_custkey % 3 AS n_correct, CASE WHEN o_custkey % 10 > 0 THEN concat('o', o_orderkey, '-1') END AS oid FROM orders""",
+    "questions": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, concat('q', o_orderkey) AS id, CASE o_orderkey % 9 WHEN 0 THEN 'riddle' WHEN 1 THEN 'true_false' WHEN 2 THEN 'multiple_choice' WHEN 3 THEN 'long_answer' WHEN 4 THEN 'handwriting' ELSE 'short_answer' END AS question_type, CASE WHEN o_custkey % 8 = 0 THEN 'manual' END AS grading,
+  CASE WHEN o_custkey % 5 > 0 THEN 'yes' END AS answer, o_custkey % 4 AS n_options, o_custkey % 3 AS n_correct, o_custkey % 7 = 0 AS shared, CASE WHEN o_custkey % 10 > 0 THEN concat('o', o_orderkey, '-1') END AS oid FROM orders""",
+    "sections": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, concat(CASE WHEN o_custkey % 41 = 0 THEN 'l' ELSE 'x' END, o_orderkey) AS id FROM orders""",
+    "misconceptions": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, concat('m', o_orderkey % 50) AS id FROM orders""",
+    "skills": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, concat('s', o_orderkey) AS id, concat('c', o_orderkey, '-1') AS cid, concat('o', o_orderkey, '-', 1 + o_custkey % 3) AS oid,
+  concat(CASE WHEN o_custkey % 11 = 0 THEN 'q' ELSE 'l' END, o_orderkey) AS lid FROM orders WHERE o_custkey % 5 > 0""",
+    "activities": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, concat('a', o_orderkey) AS id, concat('o', o_orderkey, '-1') AS oid,
+  CASE WHEN o_custkey % 7 = 0 THEN concat('o', o_orderkey, '-1') WHEN o_custkey % 13 = 0 THEN concat('e', o_orderkey, '-1') ELSE concat('q', o_orderkey) END AS qid,
+  CASE o_custkey % 6 WHEN 0 THEN 'dance' WHEN 1 THEN 'game' WHEN 2 THEN 'review' WHEN 3 THEN 'visual' ELSE 'practice' END AS activity_type FROM orders""",
+    "offsets": f"""SELECT {_PK.format(k="o_orderkey")} AS package_id, max(CASE WHEN floor(o_orderkey / 100) % 4 = 0 THEN NULL ELSE 2 + floor(o_orderkey / 100) % 3 END) AS page_offset FROM orders GROUP BY 1""",
 }
 
 
 def books(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A content table, with its id lists as arrays."""
-    from_table = {"lessons": "orders", "concepts": "lineitem", "evidence": "lineitem", "objectives": "lineitem", "relations": "part", "questions": "orders"}[name]
+    from_table = {"lessons": "orders", "concepts": "lineitem", "evidence": "lineitem", "objectives": "lineitem", "relations": "part"}.get(name, "orders")
     df = spark.sql(FIXTURES[name].replace(f"FROM {from_table}", "FROM {src}"), src=table(spark, sf_dir, from_table))
     if name == "concepts":
         df = df.withColumn("evidence_ids", F.when(F.col("bare"), F.array().cast("array<string>")).otherwise(F.array("eid")))
     if name == "objectives":
         df = df.withColumns({"concept_ids": F.when(F.col("line") > 1, F.array("cid1", "cid2")).otherwise(F.array("cid1")), "evidence_ids": F.array("eid")})
+    if name == "skills":
+        df = df.withColumns({"concept_ids": F.array("cid"), "objective_ids": F.array("oid"), "lesson_ids": F.array("lid")})
+    if name == "activities":
+        df = df.withColumns({"objective_ids": F.array("oid"), "question_ids": F.array("qid")})
+    if name == "questions":
+        option = lambda i: F.struct(F.when(F.col("shared"), F.lit(1)).otherwise(i).cast("string").alias("option_id"), (i <= F.col("n_correct")).alias("is_correct"))
+        none = F.array().cast("array<struct<option_id: string, is_correct: boolean>>")
+        options = F.when(F.col("n_options") > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.col("n_options").cast("int"), F.lit(1))), option)).otherwise(none)
+        df = df.withColumns({"objective_ids": F.array("oid"), "options": options})
     if name == "relations":
         df = df.withColumn("evidence_ids", F.when(F.col("source_id") % 4 == 0, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("e"), F.col("source_id").cast("string"), F.lit("-1")))))
     return df
@@ -66,9 +85,11 @@ def _rule(name: str, code: str, sql: str, f: Callable) -> None:
 
 C = F.col
 _rule("v1_book_identity", "STRUCT001", "SELECT id AS package_id, id AS entity_id, unnest(list_filter([CASE WHEN answer IS NULL THEN 'answer' END, CASE WHEN oid IS NULL THEN 'oid' END], lambda x: x IS NOT NULL)) AS detail FROM questions", lambda t: R.missing_fields(t("questions").drop("package_id").withColumn("package_id", C("id")), ["answer", "oid"]))
+_KINDS = {"lesson": "lessons", "section": "sections", "concept": "concepts", "objective": "objectives", "skill": "skills", "misconception": "misconceptions", "relation": "relations", "activity": "activities", "question": "questions", "evidence": "evidence"}
+_ENTITIES = " UNION ALL ".join(f"SELECT package_id, id, '{kind}' AS kind, {rank} AS kind_rank FROM {name}" for rank, (kind, name) in enumerate(_KINDS.items()))
 _rule(
-    "v2_duplicate_ids", "STRUCT002", "SELECT package_id, id AS entity_id, b || '>' || kind AS detail FROM (SELECT *, lag(kind) OVER (PARTITION BY package_id, id ORDER BY kind, seq) AS b FROM (SELECT package_id, eid AS id, 'concept' AS kind, line AS seq FROM concepts UNION ALL SELECT package_id, id, 'evidence', 0 FROM evidence)) WHERE b IS NOT NULL",
-    lambda t: R.duplicate_ids(t("concepts").selectExpr("package_id", "eid AS id", "'concept' AS kind", "line AS seq").unionByName(t("evidence").selectExpr("package_id", "id", "'evidence' AS kind", "0 AS seq"))),
+    "v2_duplicate_ids", "STRUCT002", f"SELECT package_id, id AS entity_id, b || '>' || kind AS detail FROM (SELECT *, lag(kind) OVER (PARTITION BY package_id, id ORDER BY kind_rank) AS b FROM ({_ENTITIES})) WHERE b IS NOT NULL",
+    lambda t: E.duplicate_entities(E.entity_table({kind: t(name) for kind, name in _KINDS.items()})),
 )
 _rule("v3_page_ranges", "STRUCT003", "SELECT package_id, id AS entity_id, CASE WHEN pdf_start < 1 THEN 'before' WHEN pdf_start > pdf_end THEN 'reversed' ELSE 'past_end' END AS detail FROM lessons WHERE pdf_start < 1 OR pdf_start > pdf_end OR pdf_end > page_count", lambda t: R.page_ranges(t("lessons")))
 _rule("v4_overlapping_lessons", "STRUCT004", "SELECT package_id, id AS entity_id, '' AS detail FROM (SELECT *, lag(pdf_end) OVER (PARTITION BY package_id ORDER BY pdf_start, id) AS e FROM lessons) WHERE pdf_start <= e", lambda t: R.overlapping_lessons(t("lessons")))
@@ -99,7 +120,7 @@ _rule(
     "v18_evidence_outside_lesson", "EVID005", f"SELECT c.package_id, c.id AS entity_id, c.ref AS detail FROM ({_EACH_C}) c JOIN evidence e ON e.package_id = c.package_id AND e.id = c.ref JOIN lessons l ON l.package_id = c.package_id AND l.id = c.lesson_id WHERE e.pdf_page NOT BETWEEN l.pdf_start AND l.pdf_end",
     lambda t: R.evidence_outside_lesson(t("concepts"), t("evidence"), t("lessons")),
 )
-_rule("v19_printed_page", "EVID006", "SELECT package_id, id AS entity_id, printed_page::VARCHAR AS detail FROM evidence WHERE pdf_page - printed_page <> 3", lambda t: R.where(t("evidence"), C("pdf_page") - C("printed_page") != 3, "EVID006", C("printed_page")))
+_rule("v19_printed_page", "EVID006", "SELECT e.package_id, e.id AS entity_id, printed_page::VARCHAR AS detail FROM evidence e JOIN offsets o USING (package_id) WHERE page_offset IS NOT NULL AND pdf_page - printed_page <> page_offset", lambda t: E.printed_pages(t("evidence"), t("offsets")))
 _rule("v20_mostly_inferred", "EVID007", "SELECT package_id, package_id AS entity_id, '' AS detail FROM concepts GROUP BY package_id HAVING count(*) >= 5 AND avg((evidence_level = 'inferred')::INT) > 0.4", lambda t: R.mostly_inferred(t("concepts"), 0.4))
 _rule("v21_not_observable", "PEDA001", "SELECT package_id, id AS entity_id, '' AS detail FROM objectives WHERE NOT observable", lambda t: R.where(t("objectives"), ~C("observable"), "PEDA001"))
 _rule("v22_unknown_concept", "PEDA002", f"SELECT o.package_id, o.id AS entity_id, o.cid AS detail FROM ({_EACH_OC}) o WHERE NOT EXISTS (SELECT 1 FROM concepts c WHERE c.package_id = o.package_id AND c.id = o.cid AND c.okey % 37 > 0)", lambda t: R.missing_references(t("objectives"), "concept_ids", t("concepts").where("okey % 37 > 0"), "PEDA002"))
@@ -120,7 +141,16 @@ _rule("v33_concept_lesson", "FINAL003", "SELECT c.package_id, c.id AS entity_id,
 _rule("v34_duplicate_edges", "FINAL004", "SELECT package_id, id AS entity_id, '' AS detail FROM (SELECT *, row_number() OVER (PARTITION BY package_id, relation_type, source_id % 20 ORDER BY id) AS n FROM relations) WHERE n > 1", lambda t: R.repeated(t("relations").withColumn("slot", C("source_id") % 20), ["relation_type", "slot"], ["id"], "FINAL004"))
 _rule("v35_provenance", "PROV001", "SELECT package_id, id AS entity_id, '' AS detail FROM concepts WHERE evidence_level <> 'human' AND model_id IS NULL", lambda t: R.where(t("concepts"), (C("evidence_level") != "human") & C("model_id").isNull(), "PROV001"))
 _rule("v36_review", "PROV002", "SELECT package_id, id AS entity_id, '' AS detail FROM concepts WHERE review_status IN ('accepted', 'rejected', 'needs_changes') AND reviewed_by IS NULL", lambda t: R.where(t("concepts"), C("review_status").isin("accepted", "rejected", "needs_changes") & C("reviewed_by").isNull(), "PROV002"))
-_rule("v37_reference_kinds", "LINK001", "SELECT q.package_id, q.id AS entity_id, q.oid AS detail FROM questions q WHERE oid IS NOT NULL AND NOT EXISTS (SELECT 1 FROM objectives o WHERE o.package_id = q.package_id AND o.id = q.oid AND o.observable)", lambda t: R.missing_references(t("questions"), "oid", t("objectives").where("observable"), "LINK001"))
+_REFS = " UNION ALL ".join([
+    f"SELECT package_id, id, 'objective' AS kind, 'concept_ids' AS field, cid AS target, 'concept' AS expected FROM ({_EACH_OC})", "SELECT package_id, id, 'skill', 'concept_ids', cid, 'concept' FROM skills",
+    "SELECT package_id, id, 'skill', 'objective_ids', oid, 'objective' FROM skills", "SELECT package_id, id, 'skill', 'lesson_ids', lid, 'lesson' FROM skills", "SELECT package_id, id, 'activity', 'objective_ids', oid, 'objective' FROM activities",
+    "SELECT package_id, id, 'activity', 'question_ids', qid, 'question' FROM activities", "SELECT package_id, id, 'question', 'objective_ids', oid, 'objective' FROM questions", "SELECT package_id, id, 'objective', 'skill_id', skill_id, 'skill' FROM objectives",
+])
+_rule(
+    "v37_reference_kinds", "LINK001",
+    f"SELECT r.package_id, r.id AS entity_id, r.kind || ':' || field || ':' || target || ':' || CASE WHEN field = 'skill_id' THEN 'not a skill' ELSE coalesce(found, 'missing') END AS detail FROM ({_REFS}) r LEFT JOIN (SELECT package_id, id AS target, arg_max(kind, kind_rank) AS found FROM ({_ENTITIES}) WHERE kind NOT IN ('relation', 'evidence') GROUP BY ALL) k USING (package_id, target) WHERE target IS NOT NULL AND found IS DISTINCT FROM expected",
+    lambda t: E.reference_findings(E.reference_table(tables := {kind: t(name) for kind, name in _KINDS.items()}), E.entity_table(tables)),
+)
 _rule("v38_question_objective", "LINK002", "SELECT package_id, id AS entity_id, '' AS detail FROM questions WHERE oid IS NULL", lambda t: R.where(t("questions"), C("oid").isNull(), "LINK002"))
 _rule(
     "v39_unbacked_prerequisites", "LINK003",
@@ -132,9 +162,21 @@ _rule(
     "SELECT DISTINCT package_id, 's' || okey AS entity_id, id AS detail FROM objectives WHERE skill_id IS DISTINCT FROM 's' || okey",
     lambda t: R.skills_one_sided(t("objectives").groupBy("package_id", F.concat(F.lit("s"), C("okey").cast("string")).alias("id")).agg(F.collect_set("id").alias("objective_ids")), t("objectives")),
 )
-_rule("v44_question_type", "QUEST001", "SELECT package_id, id AS entity_id, question_type AS detail FROM questions WHERE question_type NOT IN ('true_false', 'multiple_choice', 'open', 'short_answer')", lambda t: R.where(t("questions"), ~C("question_type").isin("true_false", "multiple_choice", "open", "short_answer"), "QUEST001", C("question_type")))
-_rule("v45_missing_key", "QUEST002", "SELECT package_id, id AS entity_id, '' AS detail FROM questions WHERE question_type IN ('true_false', 'short_answer') AND answer IS NULL", lambda t: R.where(t("questions"), C("question_type").isin("true_false", "short_answer") & C("answer").isNull(), "QUEST002"))
-_rule("v46_option_sets", "QUEST003", "SELECT package_id, id AS entity_id, '' AS detail FROM questions WHERE question_type = 'multiple_choice' AND (n_options < 2 OR n_correct < 1 OR n_correct > n_options)", lambda t: R.where(t("questions"), (C("question_type") == "multiple_choice") & ((C("n_options") < 2) | (C("n_correct") < 1) | (C("n_correct") > C("n_options"))), "QUEST003"))
+_TYPES = ", ".join(f"'{t}'" for t in GRADING)
+_AUTO = ", ".join(f"'{t}'" for t, mode in GRADING.items() if mode == "auto")
+_ACTIVITIES = ", ".join(f"'{t}'" for t in ACTIVITY_TYPES)
+_rule(
+    "v44_question_type", "QUEST001", f"SELECT package_id, id AS entity_id, question_type AS detail FROM questions WHERE question_type NOT IN ({_TYPES}) UNION ALL SELECT package_id, id, activity_type FROM activities WHERE activity_type NOT IN ({_ACTIVITIES})",
+    lambda t: E.types_outside(t("questions"), C("question_type"), list(GRADING)).unionByName(E.types_outside(t("activities"), C("activity_type"), ACTIVITY_TYPES)),
+)
+_rule(
+    "v45_missing_key", "QUEST002", f"SELECT package_id, id AS entity_id, '' AS detail FROM questions WHERE coalesce(grading, CASE WHEN question_type IN ({_AUTO}) THEN 'auto' ELSE 'other' END) = 'auto' AND answer IS NULL AND (n_options = 0 OR n_correct = 0)",
+    lambda t: E.unmarkable(t("questions"), grading_mode(C("question_type"), C("grading")), answer_key(C("answer"), F.lit(None).cast("array<string>"))),
+)
+_rule(
+    "v46_option_sets", "QUEST003", "SELECT package_id, id AS entity_id, unnest(list_filter([CASE WHEN question_type = 'multiple_choice' AND n_options < 2 THEN 'few' END, CASE WHEN shared AND n_options > 1 THEN 'shared' END, CASE WHEN n_options > 0 AND n_correct >= n_options THEN 'all correct' END], lambda x: x IS NOT NULL)) AS detail FROM questions",
+    lambda t: E.option_sets(t("questions")),
+)
 
 
 def v32_prerequisite_cycles(spark: SparkSession, sf_dir: str) -> DataFrame:

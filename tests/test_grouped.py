@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from quire.functions import similarity as M
 from quire.operators import grouped as G
 
 BOX = "doc_id long, page_id int, pos int, x0 double, y0 double, x1 double, y1 double, block_type string"
@@ -82,11 +83,11 @@ def _slow_partial(a, b):
 def test_ratios(spark):
     r = random.Random(2)
     rows = [("", ""), ("a", ""), ("same", "same")] + [("".join(r.choice("abc ") for _ in range(r.randint(0, 30))), "".join(r.choice("abc ") for _ in range(r.randint(0, 30)))) for _ in range(60)]
-    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", G.fuzz_ratio("a", "b").alias("r"), G.partial_ratio(F.col("a"), F.col("b")).alias("p"))
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", M.fuzz_ratio("a", "b").alias("r"), M.partial_ratio(F.col("a"), F.col("b")).alias("p"))
     for x in df.collect():
         want = 200 * _slow_lcs(x.a, x.b) / (len(x.a) + len(x.b)) if x.a or x.b else 100
         assert x.r == pytest.approx(want) and tuple(x.p) == pytest.approx(_slow_partial(x.a, x.b))
-    cut = spark.createDataFrame(rows, "a string, b string").select("a", "b", G.partial_ratio(F.col("a"), F.col("b"), F.lit(80.0)).alias("p"))
+    cut = spark.createDataFrame(rows, "a string, b string").select("a", "b", M.partial_ratio(F.col("a"), F.col("b"), F.lit(80.0)).alias("p"))
     for x in cut.collect():
         score, start = _slow_partial(x.a, x.b)
         assert tuple(x.p) == pytest.approx((score, start) if score >= 80 else (0, -1))
