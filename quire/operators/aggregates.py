@@ -28,20 +28,6 @@ def ratio_of_sums(df: DataFrame, keys: list[str], part: Column, whole: Column, n
     return df.groupBy(*keys).agg(F.sum(part).alias("p"), F.sum(whole).alias("w")).select(*keys, F.when(F.col("w") > 0, F.col("p") / F.col("w")).otherwise(0.0).alias(name))
 
 
-def page_diagnostics(blocks: DataFrame, lines: DataFrame, page_area: float) -> DataFrame:
-    """Per page: share of pictures, characters rendered against raw, candidate signals."""
-    picture = F.col("block_type") == "Picture"
-    b = blocks.groupBy(*PAGE).agg(
-        F.least(F.lit(1.0), F.sum(F.when(picture, (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))).otherwise(0.0)) / page_area).alias("picture_share"),
-        F.sum(F.when(~picture, F.length("text")).otherwise(0)).alias("rendered_chars"), F.count_if(~picture).alias("n_text_blocks"), F.bool_or(picture).alias("has_picture"),
-    )
-    li = lines.groupBy(*PAGE).agg(F.sum(F.length("text")).alias("raw_chars"))
-    j = b.join(li, PAGE, "full")
-    ratio = F.when(F.col("raw_chars") > 0, F.col("rendered_chars") / F.col("raw_chars")).otherwise(1.0)
-    reasons = F.array_compact(F.array(F.when(F.col("picture_share") >= 0.02, F.lit("picture")), F.when(ratio < 0.9, F.lit("missing_text")), F.when(F.coalesce("n_text_blocks", F.lit(0)) == 0, F.lit("no_text"))))
-    return j.select(*PAGE, F.round("picture_share", 6).alias("picture_share"), "rendered_chars", "raw_chars", F.round(ratio, 6).alias("ratio"), "n_text_blocks", "has_picture", F.array_join(reasons, ",").alias("reasons"))
-
-
 def printed_folios(blocks: DataFrame, pages: DataFrame, band: float = 0.85) -> DataFrame:
     """(doc_id, page_id, folio): the first block of a page that can be its printed number.
 

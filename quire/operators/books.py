@@ -30,14 +30,47 @@ def blocks_to_sections(blocks: DataFrame, starts: DataFrame) -> DataFrame:
     return marks.unionByName(rows).withColumn("in_section", F.last("section", ignorenulls=True).over(w)).where("kind = 1").select("doc_id", "pos", F.coalesce("in_section", F.lit("front")).alias("section"))
 
 
-def sections(blocks: DataFrame) -> DataFrame:
-    """One section for each non-blank heading, with its text and pages; what stands before the first is ``front``."""
-    heads = blocks.where((F.col("block_type") == "SectionHeader") & (F.length(F.btrim("text")) > 0)).withColumn("section", F.col("block_id"))
-    placed = blocks_to_sections(blocks, heads).join(blocks.select("doc_id", "pos", "page_id", "text", "block_type"), ["doc_id", "pos"])
-    readable = ~F.col("block_type").isin("Picture", "PageHeader", "PageFooter")
-    return placed.groupBy("doc_id", "section").agg(
-        F.count("*").alias("n_blocks"), F.sum(F.when(readable, F.length("text")).otherwise(0)).alias("text_chars"), F.min("page_id").alias("first_page"), F.max("page_id").alias("last_page")
-    )
+#: Fixed kinds of blocks whose text a section counts.
+READABLE = ["Text", "RecoveredText", "SectionHeader", "Caption", "ListGroup", "ListItem"]
+
+
+def sections(lessons: DataFrame, blocks: DataFrame, pages: DataFrame, fallback: str = "page") -> DataFrame:
+    """Sections of each lesson: doc_id, lesson_id, order (from 1), title, boundary_method, source_block, first_page, last_page, n_blocks, text_chars, block_ids in order.
+
+    A section runs from a heading that isn't blank to the next one (``section_header``); a block as high as a heading is in the
+    section that starts there. What stands before a lesson's first heading is a section of the lesson's own name
+    (``page_fallback``). A lesson without headings is one section a page (``page_fallback``), or one in all (``whole_lesson``) if
+    ``fallback`` is ``lesson``. ``lessons``: doc_id, id, title, first_page, last_page; ``pages``: doc_id, page_id, blank ones included.
+    """
+    if fallback not in ("page", "lesson"):
+        raise ValueError("a lesson without headings falls back to page or lesson")
+    keys = ["doc_id", "lesson_id"]
+    inside = lesson_pages(lessons, pages.select("doc_id", F.col("page_id").alias("page_key")).distinct()).withColumnRenamed("page_key", "page_id")
+    rows = inside.join(blocks.select(*PAGE, "y0", "x1", "pos", "block_id", "block_type", F.coalesce("text", F.lit("")).alias("text")), PAGE, "left")
+    lesson = W.partitionBy(*keys)
+    head = (F.col("block_type") == "SectionHeader") & (F.btrim("text") != "")
+    rows = rows.withColumn("head", F.coalesce(head, F.lit(False)).cast("int")).withColumn("headed", F.max("head").over(lesson) == 1)
+    by_page = F.dense_rank().over(lesson.orderBy("page_id")) if fallback == "page" else F.lit(1)
+    # the sum takes in all blocks that are as high
+    rows = rows.withColumn("part", F.when(F.col("headed"), F.sum("head").over(lesson.orderBy("page_id", "y0"))).otherwise(by_page).cast("long"))
+    chars = F.when(F.col("block_type").isin(READABLE) & (F.btrim("text") != ""), F.char_length("text")).otherwise(0)
+    each = F.struct("page_id", "y0", (-F.col("x1")).alias("k"), "pos", "block_id")
+    filled = rows.where("block_id is not null or not headed").groupBy(*keys, "headed", "part").agg(
+        F.min("page_id").alias("first_page"), F.max("page_id").alias("last_page"), F.count("block_id").alias("n_blocks"), F.sum(chars).alias("text_chars"),
+        F.transform(F.sort_array(F.collect_list(F.when(F.col("block_id").isNotNull(), each))), lambda x: x["block_id"]).alias("block_ids"),
+    )
+    heads = rows.where("head = 1").select(*keys, F.row_number().over(lesson.orderBy("page_id", "y0", F.desc("x1"), "pos")).cast("long").alias("part"), F.btrim("text").alias("heading"), F.col("block_id").alias("source_block"), F.col("page_id").alias("at_page"))
+    named = lessons.select("doc_id", F.col("id").alias("lesson_id"), F.col("title").alias("lesson_title"))
+    out = filled.join(heads, [*keys, "part"], "full").join(named, keys)
+    own = F.col("source_block").isNotNull()
+    paged = ~F.coalesce("headed", F.lit(True)) & F.lit(fallback == "page")
+    title = F.when(own, F.col("heading")).when(paged, F.concat("lesson_title", F.lit(" — صفحه "), F.col("first_page").cast("string"))).otherwise(F.col("lesson_title"))
+    method = F.when(own, "section_header").when(F.coalesce("headed", F.lit(True)) | paged, "page_fallback").otherwise("whole_lesson")
+    none = F.array().cast("array<string>")
+    return out.select(
+        *keys, F.row_number().over(lesson.orderBy("part")).alias("order"), title.alias("title"), method.alias("boundary_method"), "source_block", F.coalesce("first_page", "at_page").alias("first_page"),
+        F.coalesce("last_page", "at_page").alias("last_page"), F.coalesce("n_blocks", F.lit(0)).alias("n_blocks"), F.coalesce("text_chars", F.lit(0)).cast("long").alias("text_chars"), F.coalesce("block_ids", none).alias("block_ids"),
+    )
 
 
 def toc_columns(lines: DataFrame, wide: float = 0.6, gap: float = 0.02) -> DataFrame:

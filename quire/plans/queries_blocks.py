@@ -494,20 +494,6 @@ def _a4(s, d):
     return A.ratio_of_sums(doc_lines(s, d), ["doc_id", "page_id"], F.length("text") % 5, F.length("text"), "ratio").withColumn("ratio", F.round("ratio", 9))
 
 
-@_query(
-    "a5_page_diagnostics",
-    """, b AS (SELECT doc_id, page_id, least(1.0, sum(CASE WHEN block_type = 'Picture' THEN (x1 - x0) * (y1 - y0) ELSE 0.0 END) / 484704.0) AS ps, CAST(sum(CASE WHEN block_type <> 'Picture' THEN length(text) ELSE 0 END) AS BIGINT) AS rc,
-  count(*) FILTER (WHERE block_type <> 'Picture') AS nt, bool_or(block_type = 'Picture') AS hp FROM blocks GROUP BY ALL),
-l AS (SELECT doc_id, page_id, CAST(sum(length(text)) AS BIGINT) AS raw FROM lines_boxed GROUP BY ALL)
-SELECT doc_id, page_id, round(ps, 6) AS picture_share, rc AS rendered_chars, raw AS raw_chars, round(CASE WHEN raw > 0 THEN rc / raw ELSE 1.0 END, 6) AS ratio, nt AS n_text_blocks, hp AS has_picture,
-concat_ws(',', CASE WHEN ps >= 0.02 THEN 'picture' END, CASE WHEN CASE WHEN raw > 0 THEN rc / raw ELSE 1.0 END < 0.9 THEN 'missing_text' END, CASE WHEN coalesce(nt, 0) = 0 THEN 'no_text' END) AS reasons
-FROM b FULL JOIN l USING (doc_id, page_id)""",
-    "blocks",
-)
-def _a5(s, d):
-    return A.page_diagnostics(blocks(s, d), lines_boxed(s, d), 484704.0)
-
-
 #: Folios in footers, in Persian digits in short blocks at the bottom, and numbers that can't be one.
 _FOLIO = """CASE WHEN pos % 12 = 11 AND page_id % 3 = 0 THEN concat(' ', page_id + 1 + doc_id % 5) WHEN pos % 12 = 11 AND page_id % 3 = 1 THEN 'x'
   WHEN pos % 12 = 10 AND page_id % 3 = 1 THEN translate(concat(page_id + 1 + doc_id % 5 - length(text) % 2, ''), '0123456789', '۰۱۲۳۴۵۶۷۸۹') WHEN pos % 12 = 10 AND page_id % 3 = 2 THEN '501' WHEN pos % 12 = 2 THEN '7' ELSE text END"""

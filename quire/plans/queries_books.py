@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.operators import blocks as B
 from quire.operators import books as K
 from quire.operators import claims as C
 from quire.plans.fixtures import blocks, doc_lines, lines_boxed, with_fixtures
@@ -145,11 +144,6 @@ def _j14(s, d):
     return K.blocks_to_sections(b, b.where("block_type = 'SectionHeader' and length(trim(text)) > 0").withColumn("section", F.col("block_id")))
 
 
-@_query("c8_segment_sections", _SECT + "SELECT doc_id, section, count(*) AS n_blocks, CAST(sum(CASE WHEN block_type NOT IN ('Picture', 'PageHeader', 'PageFooter') THEN length(text) ELSE 0 END) AS BIGINT) AS text_chars, min(page_id) AS first_page, max(page_id) AS last_page FROM sec GROUP BY ALL", "blocks")
-def _c8(s, d):
-    return K.sections(blocks(s, d))
-
-
 @_query(
     "w23_lesson_opening",
     r""", m AS (SELECT *, length(trim(text)) <= 60 AND length(trim(text)) > 0 AND NOT regexp_matches(trim(text), '^\d+$') AS sh FROM blocks)

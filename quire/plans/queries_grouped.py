@@ -119,100 +119,10 @@ def _j25(s, d):
     return check_rules(rules, docs.select("doc_id", F.col("text").alias("md")), "doc_id").select("doc_id", "item_id", "type", "passed", "reason")
 
 
-@_query(
-    "t32_render_code",
-    """, m AS (SELECT doc_id, page_id, line_idx, text, x0, min(x0) OVER w AS mn, sum(x1 - x0) OVER w / greatest(1, sum(length(text)) OVER w) AS cw FROM lines_boxed WINDOW w AS (PARTITION BY doc_id, page_id))
-SELECT doc_id, page_id, md5(rtrim(string_agg(CASE WHEN cw = 0 THEN '' ELSE repeat(' ', greatest(0, floor((x0 - mn) / cw))::INT) END || text, chr(10) ORDER BY line_idx), ' ' || chr(10))) AS code FROM m GROUP BY doc_id, page_id""",
-    "lines_boxed",
-)
-def _t32(s, d):
-    """Lines of a page as code, indented by their left edge over the mean width of a character."""
-    w = W.partitionBy("doc_id", "page_id")
-    li = lines_boxed(s, d).withColumns({"left": F.min("x0").over(w), "cw": F.sum(F.col("x1") - F.col("x0")).over(w) / F.greatest(F.lit(1), F.sum(F.length("text")).over(w))})
-    pad = F.when(F.col("cw") == 0, "").otherwise(F.repeat(F.lit(" "), F.greatest(F.lit(0), F.floor((F.col("x0") - F.col("left")) / F.col("cw"))).cast("int")))
-    each = F.sort_array(F.collect_list(F.struct("line_idx", F.concat(pad, "text").alias("t"))))
-    return li.groupBy("doc_id", "page_id").agg(F.md5(F.regexp_replace(F.array_join(F.transform(each, lambda x: x["t"]), "\n"), r"[ \n]+$", "")).alias("code"))
-
-
-@_query(
-    "a2_document_metadata",
-    """, t AS (SELECT doc_id, string_agg(trim(text), '|' ORDER BY page_id, pos) AS toc FROM blocks WHERE block_type = 'SectionHeader' AND NOT removed GROUP BY ALL), p AS (SELECT doc_id, count(DISTINCT page_id) AS pages, count(*) AS n_blocks FROM blocks GROUP BY ALL)
-SELECT doc_id, pages, n_blocks, md5(coalesce(toc, '')) AS toc FROM p LEFT JOIN t USING (doc_id)""",
-    "blocks",
-)
-def _a2(s, d):
-    b = blocks(s, d)
-    toc = b.where("block_type = 'SectionHeader' and not removed").groupBy("doc_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("page_id", "pos", F.btrim("text").alias("t")))), lambda x: x["t"]), "|").alias("toc"))
-    pages = b.groupBy("doc_id").agg(F.count_distinct("page_id").alias("pages"), F.count("*").alias("n_blocks"))
-    return pages.join(toc, "doc_id", "left").select("doc_id", "pages", "n_blocks", F.md5(F.coalesce("toc", F.lit(""))).alias("toc"))
-
-
-@_query(
-    "a7_extraction_report",
-    """, g AS (SELECT source, doc_id, page_id, CAST(sum(length(text)) AS BIGINT) AS raw, CAST(sum(CASE WHEN removed THEN 0 ELSE length(text) END) AS BIGINT) AS kept FROM blocks GROUP BY ALL)
-SELECT source, count(*) AS pages, CAST(sum(raw) AS BIGINT) AS raw_chars, CAST(sum(kept) AS BIGINT) AS kept_chars, round(sum(kept) / sum(raw), 6) AS ratio, count(*) FILTER (WHERE kept < 0.8 * raw) AS incomplete, count(*) FILTER (WHERE kept < 0.9 * raw) AS thin FROM g GROUP BY ALL""",
-    "blocks",
-)
-def _a7(s, d):
-    g = blocks(s, d).groupBy("source", "doc_id", "page_id").agg(F.sum(F.length("text")).alias("raw"), F.sum(F.when(F.col("removed"), 0).otherwise(F.length("text"))).alias("kept"))
-    return g.groupBy("source").agg(
-        F.count("*").alias("pages"), F.sum("raw").alias("raw_chars"), F.sum("kept").alias("kept_chars"), F.round(F.sum("kept") / F.sum("raw"), 6).alias("ratio"),
-        F.count_if(F.col("kept") < 0.8 * F.col("raw")).alias("incomplete"), F.count_if(F.col("kept") < 0.9 * F.col("raw")).alias("thin"),
-    )
-
-
 def _packages(sql: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({FIXTURES[n]})" for n in FIXTURES if n in sql) + "\n" + sql
 
 
-@_query("a10_merge_evidence", _packages("SELECT id, block_id, src FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY src, block_id, pdf_page) AS n FROM (SELECT id, block_id, pdf_page, 0 AS src FROM evidence WHERE quote_verified UNION ALL SELECT id, block_id, pdf_page, 1 FROM evidence)) WHERE n = 1"))
-def _a10(s, d):
-    """One row per id; the first table wins, inside it the first block and page."""
-    e = books(s, d, "evidence")
-    both = e.where("quote_verified").select("id", "block_id", "pdf_page", F.lit(0).alias("src")).unionByName(e.select("id", "block_id", "pdf_page", F.lit(1).alias("src")))
-    return both.groupBy("id").agg(F.min(F.struct("src", "block_id", "pdf_page")).alias("m")).select("id", "m.block_id", "m.src")
-
-
-@_query("a20_stage_summary", _packages("SELECT c.package_id, count(*) AS proposals, count(*) FILTER (WHERE bare) AS ungrounded, count(*) FILTER (WHERE evidence_level = 'explicit') AS explicit, count(*) FILTER (WHERE review_status = 'pending') AS pending FROM concepts c GROUP BY ALL"))
-def _a20(s, d):
-    return books(s, d, "concepts").groupBy("package_id").agg(F.count("*").alias("proposals"), F.count_if("bare").alias("ungrounded"), F.count_if(F.col("evidence_level") == "explicit").alias("explicit"), F.count_if(F.col("review_status") == "pending").alias("pending"))
-
-
-@_query("c19_resumable_work", _packages("SELECT l.package_id, count(*) AS lessons, count(*) FILTER (WHERE d.lesson_id IS NULL) AS remaining FROM lessons l LEFT JOIN (SELECT DISTINCT package_id, lesson_id FROM objectives WHERE NOT observable) d ON d.package_id = l.package_id AND d.lesson_id = l.id GROUP BY ALL"))
-def _c19(s, d):
-    """Lessons that a stage still has to run: those without an artifact of it."""
-    done = books(s, d, "objectives").where("not observable").select("package_id", F.col("lesson_id").alias("id"), F.lit(1).alias("done")).distinct()
-    return books(s, d, "lessons").join(done, ["package_id", "id"], "left").groupBy("package_id").agg(F.count("*").alias("lessons"), F.count_if(F.col("done").isNull()).alias("remaining"))
-
-
-@_query("j27_lookup", "SELECT q.id AS asked, CASE WHEN q.o % 2 = 0 THEN 'lesson' END AS kind FROM (SELECT o_orderkey AS o, CASE WHEN o_orderkey % 2 = 0 THEN 'l' ELSE 'q' END || o_orderkey AS id FROM orders) q")
-def _j27(s, d):
-    """Ids with the kind they were asked for; null if they are of another kind."""
-    known = books(s, d, "lessons").select("id", F.lit("lesson").alias("kind")).unionByName(books(s, d, "questions").select("id", F.lit("question").alias("kind")))
-    asked = table(s, d, "orders").selectExpr("concat(CASE WHEN o_orderkey % 2 = 0 THEN 'l' ELSE 'q' END, o_orderkey) AS asked")
-    j = asked.join(known, asked["asked"] == known["id"], "left")
-    return j.select("asked", F.when(F.col("kind") == "lesson", F.col("kind")).alias("kind"))
-
-
-@_query("o4_uncovered_pages", ", a AS (SELECT DISTINCT doc_id, page_id FROM blocks) SELECT doc_id, page_id FROM a EXCEPT SELECT doc_id, page_id FROM blocks WHERE block_type = 'SectionHeader'", "blocks")
-def _o4(s, d):
-    b = blocks(s, d)
-    return b.select("doc_id", "page_id").distinct().exceptAll(b.where("block_type = 'SectionHeader'").select("doc_id", "page_id").distinct())
-
-
-@_query("o5_orphan_blocks", "SELECT doc_id, pos FROM blocks b WHERE NOT EXISTS (SELECT 1 FROM blocks h WHERE h.doc_id = b.doc_id AND h.page_id = b.page_id AND h.block_type = 'SectionHeader')", "blocks")
-def _o5(s, d):
-    b = blocks(s, d)
-    return b.join(b.where("block_type = 'SectionHeader'").select("doc_id", "page_id").distinct(), ["doc_id", "page_id"], "left_anti").select("doc_id", "pos")
-
-
-@_query("o3_first_concepts", _packages("SELECT package_id, id FROM (SELECT *, row_number() OVER (PARTITION BY package_id ORDER BY id, line, label, bare) AS n FROM concepts) WHERE n <= 3"))
-def _o3(s, d):
-    """The first three concepts of each package (a limit is the feature here)."""
-    w = W.partitionBy("package_id").orderBy("id", "line", "label", "bare")
-    return books(s, d, "concepts").withColumn("n", F.row_number().over(w)).where("n <= 3").select("package_id", "id")
-
-
 #: Up to four tables a page: one tall table, a row of tables, or two stacked tables and two more in a second column.
 _TABLES = """doc_id, page_id, pos, 700.0 AS page_height, 3 + pos % 7 AS n_rows, 2 + pos % 3 AS n_cols,
   CASE WHEN page_id % 4 < 2 THEN 50 WHEN page_id % 4 = 2 THEN 50 + 150 * (pos % 4) + (pos % 5) * 3 WHEN pos % 4 < 2 THEN 50 + (pos % 3) * 4 ELSE 285 + pos % 3 * 4 END + 0.0 AS x0,

@@ -246,16 +246,6 @@ def _o6(s, d):
     return books(s, d, "concepts").join(done, ["package_id", "id"], "left_anti").select("package_id", "id")
 
 
-@_query("a14_package_stats", f"SELECT package_id, kind, count(*) AS n FROM ({_ALL}) GROUP BY ALL")
-def _a14(s, d):
-    return all_entities(s, d).groupBy("package_id", "kind").agg(F.count("*").alias("n"))
-
-
-@_query("a15_registry_summary", f"SELECT package_id, count(*) AS entities, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds FROM ({_ALL}) GROUP BY ALL")
-def _a15(s, d):
-    return all_entities(s, d).groupBy("package_id").agg(F.count("*").alias("entities"), F.array_join(F.sort_array(F.collect_set("kind")), ",").alias("kinds"))
-
-
 @_query(
     "a16_skill_from_objectives",
     """SELECT o.package_id, skill_id, round(min(c.confidence), 4) AS confidence, bool_and(c.evidence_level = 'explicit') AS explicit, bool_or(c.review_status = 'pending') AS needs_review, string_agg(DISTINCT o.eid, ',' ORDER BY o.eid) AS evidence
@@ -271,12 +261,6 @@ def _a16(s, d):
     )
 
 
-@_query("a17_confidence_summary", "SELECT package_id, min(confidence)::DOUBLE AS least, round(avg(confidence)::DOUBLE, 6) AS mean, max(confidence)::DOUBLE AS most, count(*) FILTER (WHERE review_status = 'pending') AS awaiting, round(avg((confidence >= 0.85)::INT), 6) AS over_high FROM concepts GROUP BY ALL")
-def _a17(s, d):
-    x = C("confidence").cast("double")
-    return books(s, d, "concepts").groupBy("package_id").agg(F.min(x).alias("least"), F.round(F.avg(x), 6).alias("mean"), F.max(x).alias("most"), F.count_if(C("review_status") == "pending").alias("awaiting"), F.round(F.avg((x >= 0.85).cast("int")), 6).alias("over_high"))
-
-
 @_query(
     "j20_admit_proposals",
     """SELECT package_id, id, CASE WHEN max(length(label)) = 0 THEN 'empty_label' WHEN count(DISTINCT ref) = 0 THEN 'no_citation' WHEN count(DISTINCT own) = 0 THEN 'all_foreign' ELSE 'accepted' END AS outcome,
