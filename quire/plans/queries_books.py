@@ -119,7 +119,7 @@ def _c15(s, d):
     return C.flag_duplicates(books(s, d, "concepts").withColumn("label", F.concat(F.lit("Unit x y z "), F.col("label"), F.lit(" "), F.col("label"))), 0.9)
 
 
-@_query("c21_grading_mode", _packages("SELECT id, CASE WHEN n_options = 3 THEN 'hybrid' WHEN question_type IN ('true_false', 'multiple_choice', 'short_answer') THEN 'auto' ELSE 'manual' END AS mode, CASE WHEN answer IS NULL THEN 'no' ELSE 'yes,no' END AS keys FROM questions"))
+@_query("c21_grading_mode", _packages("SELECT id, CASE WHEN n_options = 3 OR question_type = 'handwriting' THEN 'hybrid' WHEN question_type IN ('true_false', 'multiple_choice', 'short_answer') THEN 'auto' ELSE 'manual' END AS mode, CASE WHEN answer IS NULL THEN 'no' ELSE 'yes,no' END AS keys FROM questions"))
 def _c21(s, d):
     return books(s, d, "questions").select("id", C.grading_mode(F.col("question_type"), F.when(F.col("n_options") == 3, "hybrid")).alias("mode"), F.array_join(C.answer_key(F.col("answer"), F.array(F.lit("no"), F.lit("yes").substr(1, 0), F.col("answer"))), ",").alias("keys"))
 
