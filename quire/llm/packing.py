@@ -41,6 +41,8 @@ BLOCK, ISLANDS, POPULATION = 4096, 3, 4
 EPOCHS, CHILDREN = 2, 6
 #: Of a bin's capacity, what may be empty in a settled bin, by level; the last level settles all.
 TOLERANCE = (0.0, 1 / 256, 1 / 16, 1.0)
+#: Islands of a task.
+TOGETHER = 16
 #: Entries of a Python worker's word table; longer words aren't kept.
 MEMO, KEEP = 500_000, 40
 #: Pieces that the library gets as one text.
@@ -359,8 +361,9 @@ def pack_pieces(pieces: DataFrame, capacity: int, length_col: str = "length", se
         items = rest.select("item", "length", "deal", here.alias("block"))
         lengths = items.where(F.col("length") < capacity).groupBy("block").agg(F.sort_array(F.collect_list("length"), asc=False).alias("lengths"))
         state = lengths.select("block", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), "lengths", F.lit(None).cast("binary").alias("population"), F.lit(None).cast("binary").alias("elite"))
+        tasks = -(-blocks * ISLANDS // TOGETHER)  # islands are few rows with much work
         for epoch in range(EPOCHS):
-            lived = scratch.keep(state.mapInPandas(_island(capacity, seed + 1000 * level + epoch), _STATE), f"islands-{level}-{epoch}")
+            lived = scratch.keep(state.repartition(tasks, "block", "island").mapInPandas(_island(capacity, seed + 1000 * level + epoch), _STATE), f"islands-{level}-{epoch}")
             moved = lived.select("block", ((F.col("island") + 1) % ISLANDS).alias("island"), F.col("best").alias("elite"))
             state = lived.select("block", "island", "lengths", "population").join(moved, ["block", "island"])
         best = lived.groupBy("block").agg(F.max_by("best", F.struct(-F.col("bins"), "worth", -F.col("island"))).alias("best"))
