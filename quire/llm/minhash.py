@@ -15,7 +15,9 @@
    threshold with anyone leave. The others are marked against their hub: which of its shingles they
    have (bits), and how many shared ones besides. Of two nodes with one hub, the common bits and the lesser
    number besides bound the overlap, exactly and closely, as copies of one text differ in small edits.
-   Members outside a hub's largest component meet those of other components where this bound allows a link.
+   Members outside a hub's largest component meet those of other components by an equi-join on (hub, size): a node with n shingles,
+   c of which others have, can only be linked with sizes from p n to (1 + p) / p c - n. Of a family of texts just under the
+   threshold that leaves few or none, and the bound is worked out for those alone.
    These pairs are verified like the others, so no pair that shares a bucket goes unexamined.
 6. Components of all links.
 
@@ -30,7 +32,7 @@ leave the input by one join and are written, and for signatures and texts of can
 Keys that can be hot (a popular bucket, hub or set) are in plain equi-joins between written tables, whose
 aggregated side is written first, so that adaptive execution splits them, or in aggregations combined before
 their shuffle. Step 5 pairs nodes of different components under one hub: its rows grow with the product of their
-numbers where bounds don't part them, which takes many texts just under the threshold. Intermediate
+numbers only where sizes and what each node shares with others don't part them. Intermediate
 tables are written to the shared folder, so a lost executor costs a stage.
 """
 
@@ -55,6 +57,8 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 #: Signature positions compared between two looks at the posterior.
 BATCH = 16
+#: Ratio of neighbouring classes of set sizes.
+SIZE_STEP = 1.03
 #: Words whose hashes a Python worker remembers; shingles hashed against all functions at a time.
 MEMO, SLICE = 300_000, 4096
 
@@ -251,17 +255,23 @@ def minhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pivots = scratch.keep(pivots, "pivots")
     seen = marks.join(texts.select(F.col("id").alias("node"), F.col("text").alias("ta")), "node").join(pivots, "hub").sortWithinPartitions("hub")
     seen = seen.select("node", "component", "hub", _in_pivot(k)("ta", "tb").alias("m")).join(bound, "node")
-    seen = scratch.keep(seen.select("node", "component", "hub", "n", "m.bits", (F.col("common") - F.col("m.inside")).alias("extra")), "seen")
+    seen = scratch.keep(seen.select("node", "component", "hub", "n", "common", "m.bits", (F.col("common") - F.col("m.inside")).alias("extra")), "seen")
     counts = seen.groupBy("hub", "component").agg(F.count("*").alias("c"))
     most = counts.groupBy("hub").agg(F.max(F.struct("c", "component")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").select("hub", F.col("m.component").alias("largest"))
     most = scratch.keep(most, "largest")
     mixed = scratch.keep(seen.join(most, "hub"), "mixed")
-    outside = scratch.keep(mixed.where("component <> largest"), "outside")
-    x, y = outside.alias("x"), mixed.alias("y")
+    # sizes that a partner may have, in steps of SIZE_STEP
+    size = lambda n: F.floor(F.log(n) / math.log(SIZE_STEP)).cast("int")
+    least = F.ceil(F.col("n") * percent / 100)
+    most_n = F.floor(F.col("common") * (100 + percent) / percent) - F.col("n")
+    outside = mixed.where("component <> largest").withColumns({"lo": least, "hi": most_n}).where("lo <= hi")
+    outside = scratch.keep(outside.withColumn("size", F.explode(F.sequence(size(F.col("lo")), size(F.col("hi"))))), "outside")
+    x, y = outside.alias("x"), scratch.keep(mixed.withColumn("size", size(F.col("n"))), "sized").alias("y")
     shared = F.aggregate(F.zip_with("x.bits", "y.bits", lambda u, v: F.bit_count(u.bitwiseAND(v))), F.lit(0), lambda t, c: t + c)
     may = (100 + percent) * (shared + F.least("x.extra", "y.extra")) >= percent * (F.col("x.n") + F.col("y.n"))
     once = (F.col("y.component") == F.col("y.largest")) | (F.col("x.node") < F.col("y.node"))
-    more = x.join(y, F.col("x.hub") == F.col("y.hub")).where((F.col("x.component") != F.col("y.component")) & once & may)
+    fits = F.col("y.n").between(F.col("x.lo"), F.col("x.hi"))
+    more = x.join(y, (F.col("x.hub") == F.col("y.hub")) & (F.col("x.size") == F.col("y.size"))).where(fits & (F.col("x.component") != F.col("y.component")) & once & may)
     more = more.select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct()
     links = links.unionByName(_verified(scratch, more, nodes, texts, k, percent, miss))
 
