@@ -52,12 +52,16 @@ def bounded_batches(spark: SparkSession | None = None) -> None:
 
 
 class Scratch:
-    """Written tables in the shared folder: they cut lineage and survive lost executors."""
+    """Written tables in the shared folder: they cut lineage and survive lost executors. The folder goes when the application ends."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_root(spark)}/quire-{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(folder)
+        store.deleteOnExit(folder)
 
     def path(self, name: str) -> str:
         self._n += 1
