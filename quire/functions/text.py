@@ -186,15 +186,15 @@ def normalize_fa(text: Column, characters: bool = True, digits: bool = True, dou
         t = F.translate(t, ARABIC_DIGITS, PERSIAN_DIGITS)
     if double_alef:
         t = F.replace(t, F.lit("اال"), F.lit("الا"))
-    if marks:
-        t = F.regexp_replace(t, rf"(?<![\p{{Lo}}\p{{Ll}}\p{{Lu}}\p{{Mn}}])[{MARKS}]+", "")
+    if marks:  # a text of one byte a character has none
+        t = once(t, lambda x: F.when(F.octet_length(x) == F.char_length(x), x).otherwise(F.regexp_replace(x, rf"(?<![\p{{Lo}}\p{{Ll}}\p{{Lu}}\p{{Mn}}])[{MARKS}]+", "")))
     if zwnj:
         t = insert_zwnj(t)
-    if whitespace:
-        t = F.translate(t, ZERO_WIDTH + CONTROLS, "")
-        t = F.regexp_replace(F.regexp_replace(t, r"[ \u00a0]+", " "), r" *\n *", "\n")
-        t = F.regexp_replace(F.regexp_replace(t, r"\n{3,}", "\n\n"), r"\s+([،؛,.!؟?:])", "$1")
-        t = F.btrim(t, F.lit(" \t\n\x0b\x0c\r"))
+    if whitespace:  # patterns run where a plain search finds something for them
+        has = lambda x, *what: reduce(lambda a, b: a | b, [F.contains(x, F.lit(w)) for w in what])
+        t = once(F.translate(t, ZERO_WIDTH + CONTROLS, ""), lambda x: F.when(has(x, "  ", "\u00a0"), F.regexp_replace(x, r"[ \u00a0]+", " ")).otherwise(x))
+        t = once(t, lambda x: F.when(has(x, "\n"), F.regexp_replace(F.regexp_replace(x, r" *\n *", "\n"), r"\n{3,}", "\n\n")).otherwise(x))
+        t = F.btrim(F.regexp_replace(t, r"\s+([،؛,.!؟?:])", "$1"), F.lit(" \t\n\x0b\x0c\r"))
     return t
 
 

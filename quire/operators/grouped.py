@@ -253,4 +253,5 @@ def lesson_numbers(lessons: DataFrame) -> DataFrame:
         printed = [None if pd.isna(x) else int(x) for x in book["printed"]]
         return book[["package_id", "id"]].assign(number=number_lessons(printed))
 
-    return lessons.select("package_id", "id", "first_page", "printed").groupBy("package_id").applyInPandas(number, "package_id string, id string, number int")
+    schema = T.StructType([lessons.schema["package_id"], lessons.schema["id"], T.StructField("number", T.IntegerType())])
+    return lessons.select("package_id", "id", "first_page", "printed").groupBy("package_id").applyInPandas(number, schema)
