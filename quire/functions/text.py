@@ -169,7 +169,7 @@ def has_math_font(font: Column) -> Column:
 
 def header_clean(text: Column) -> Column:
     """Without newlines and digits at either end."""
-    return F.regexp_replace(F.regexp_replace(F.btrim(F.replace(text, F.lit("\n"), F.lit(""))), r"^\d+\s*", ""), r"\s*\d+$", "")
+    return F.regexp_replace(F.regexp_replace(F.btrim(F.replace(text, F.lit("\n"), F.lit(""))), r"^\p{Nd}+\s*", ""), r"\s*\p{Nd}+$", "")
 
 
 def fold_persian(text: Column) -> Column:
@@ -294,12 +294,14 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(0.0)
 
 
+#: Fixed patterns of the kinds of table cells, in their order.
+CELL_PATTERNS = {"year": r"^(19|20)\d\d$", "num": r"^-?[\d,.]*\d[\d,.]*%?$", "range": r"(less than|to less|%)"}
+
+
 def cell_class(text: Column) -> Column:
+    """``empty``, the first of ``CELL_PATTERNS`` that suits, or ``text``."""
     c = F.btrim(text)
-    return (
-        F.when(c == "", "empty").when(c.rlike(r"^(19|20)\d\d$"), "year").when(c.rlike(r"^-?[\d,.]*\d[\d,.]*%?$"), "num")
-        .when(c.rlike(r"(less than|to less|%)"), "range").otherwise("text")
-    )
+    return F.when(c == "", "empty").otherwise(F.coalesce(*[F.when(c.rlike(p), F.lit(kind)) for kind, p in CELL_PATTERNS.items()], F.lit("text")))
 
 
 def fix_equation_html(text: Column) -> Column:
@@ -309,17 +311,7 @@ def fix_equation_html(text: Column) -> Column:
 
 
 #: Fixed ranges of Arabic-script letters and marks that make words (no tatweel, no joiner), as pattern text.
-ARABIC_LETTERS = (
-    r"\u0621-\u063a"  # hamza to ghain
-    r"\u0641-\u064a"  # feh to yeh
-    r"\u064b-\u0655"  # vowel marks
-    r"\u0670"  # superscript alef
-    r"\u0671-\u06d3"  # further letters
-    r"\u06d5"  # ae
-    r"\u06e5-\u06e6"  # small waw and yeh
-    r"\u06ee-\u06ef"
-    r"\u06fa-\u06ff"
-)
+ARABIC_LETTERS = r"\u0621-\u063a\u0641-\u064a\u064b-\u0655\u0670\u0671-\u06d3\u06d5\u06e5-\u06e6\u06ee-\u06ef\u06fa-\u06ff"
 TATWEEL = "ـ"
 
 

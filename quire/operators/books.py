@@ -91,7 +91,7 @@ def toc_columns(lines: DataFrame, wide: float = 0.6, gap: float = 0.02) -> DataF
 def lesson_opening(blocks: DataFrame, most: int = 80) -> DataFrame:
     """Title of a page: the only short block that isn't a bare number, else the first heading, else none."""
     text = F.btrim("text")
-    short = (F.length(text) <= most) & (F.length(text) > 0) & ~text.rlike(r"^\d+$")
+    short = (F.length(text) <= most) & (F.length(text) > 0) & ~text.rlike(r"^\p{Nd}+$")
     return blocks.groupBy(*PAGE).agg(
         F.count_if(short).alias("n"), F.min(F.when(short, F.struct("pos", text.alias("t")))).alias("only"), F.min(F.when(F.col("block_type") == "SectionHeader", F.struct("pos", text.alias("t")))).alias("head"),
     ).select(*PAGE, F.when(F.col("n") == 1, F.col("only.t")).otherwise(F.col("head.t")).alias("title"))

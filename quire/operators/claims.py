@@ -52,8 +52,8 @@ def verify_claims(claims: DataFrame, citations: DataFrame) -> DataFrame:
 
 
 def claim_confidence(verified: DataFrame) -> DataFrame:
-    """``confidence``: additive terms, clamped to 0..1 and rounded to four digits after each, capped at 0.5 for images."""
-    clamp = lambda c: F.round(F.least(F.lit(1.0), F.greatest(F.lit(0.0), c)), 4)
+    """``confidence``: additive terms, clamped to 0..1 and rounded (half to even) to four digits after each, capped at 0.5 for images."""
+    clamp = lambda c: F.bround(F.least(F.lit(1.0), F.greatest(F.lit(0.0), c)), 4)
     any_ok = F.col("n_verified") > 0
     score = clamp(F.when(any_ok & F.col("exact"), 0.55).when(any_ok, 0.35).otherwise(0.0))
     score = clamp(score + F.when(F.col("n_verified") >= 2, 0.10).otherwise(0.0))

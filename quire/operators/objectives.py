@@ -28,7 +28,7 @@ SUITABLE = {
     "conceptual": ("name", "identify", "describe", "classify", "compare"), "procedural": ("perform", "describe"), "representational": ("identify", "describe", "name"),
     "language": ("name", "describe", "identify"), "meta": ("perform", "describe"),
 }
-#: Stems of the verbs that carry most sentences, and the personal endings they take.
+#: Fixed word lists and pattern of verb forms.
 VERB_STEMS = ("کرد", "کن", "شد", "شو", "بود", "باش", "هست", "نیست", "داشت", "دار", "داد", "ده", "گرفت", "گیر", "توان", "خواست", "خواه", "زد", "زن")
 ENDINGS = ("م", "ی", "د", "یم", "ید", "ند")
 VERB_FORM = rf"^ن?می|(?:[یاورنز]دن|[سفخش]تن)$|^[نب]?(?:{'|'.join(VERB_STEMS)})(?:{'|'.join(ENDINGS)})?$"

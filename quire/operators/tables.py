@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from quire.functions.text import CELL_PATTERNS
 from quire.operators.blocks import PAGE
 
 # Fixed values of the rules.
@@ -21,9 +22,12 @@ LEAST_CELLS, LEAST_ROWS, LEAST_GAP = 2, 3, 2.5
 SHARES = (0.01, 0.03, 0.10)
 MOST_ODD, WIDE = 0.02, 2.5
 _ODD = re.compile("[\ue000-\uf8ff\ufffd]")
-_NUMBER = re.compile(r"^-?[\d,.]*\d[\d,.]*%?$")
 _NUMBERS = re.compile(r"-?[\d,]+(?:\.\d+)?%?")
-_YEAR, _RANGE, _SIGN = re.compile(r"^(19|20)\d\d$"), re.compile(r"(less than|to less|%)"), re.compile(r"^[^\w]{1,2}$")
+_SIGN = re.compile(r"^[^\w]{1,2}$")
+#: Patterns of the kinds of cells in their order; what suits none is text.
+_CELLS = [re.compile(p) for p in CELL_PATTERNS.values()]
+TEXT = len(_CELLS) + 1
+_NUMBER = re.compile(CELL_PATTERNS["num"])
 
 TABLE = [*PAGE, "pos"]
 
@@ -58,11 +62,12 @@ def table_tokens(lines: DataFrame, tables: DataFrame) -> DataFrame:
     return tokens.select(*TABLE, "line_idx", seq.alias("seq"), "text", F.round("x0", 1).alias("x0"), F.round("x1", 1).alias("x1"), F.col("ly0").alias("y0"), F.col("ly1").alias("y1"))
 
 
-def _class(text: str) -> str:
-    text = text.strip()
-    if not text:
-        return "empty"
-    return "year" if _YEAR.match(text) else "num" if _NUMBER.match(text) else "range" if _RANGE.search(text) else "text"
+def _kinds(cells: np.ndarray) -> np.ndarray:
+    """Kind of each cell of a matrix of texts: 0 for an empty one, else 1 and the place of the first pattern that suits it, text last."""
+    texts, at = np.unique(cells.astype(str), return_inverse=True)
+    stripped = [t.strip() for t in texts.tolist()]
+    kinds = [next((n for n, p in enumerate(_CELLS, 1) if p.search(t)), TEXT) if t else 0 for t in stripped]
+    return np.array(kinds, int)[at].reshape(cells.shape)
 
 
 @dataclass
@@ -77,46 +82,46 @@ class Line:
     def __len__(self) -> int:
         return len(self.text)
 
-    def tokens(self):
-        return zip(self.text, self.x0.tolist(), self.x1.tolist(), strict=True)
-
 
 class Grid:
-    """Rows of tokens dealt to columns: ``cells`` holds texts, ``held`` how many tokens made each."""
+    """A matrix of texts, dealt from rows of tokens to columns; ``held`` says how many tokens made each cell."""
 
     def __init__(self, rows: list[Line], cuts: np.ndarray, columns: list[np.ndarray]):
-        self.cuts, self.k = cuts, len(cuts) + 1
-        self.cells = [[""] * self.k for _ in rows]
-        self.held = np.zeros((len(rows), self.k), int)
-        for i, (row, column) in enumerate(zip(rows, columns, strict=True)):
-            for text, j in zip(row.text, column.tolist(), strict=True):
-                self.put(i, j, text)
-                self.held[i, j] += 1
-
-    def put(self, i: int, j: int, text: str) -> None:
-        self.cells[i][j] = f"{self.cells[i][j]} {text}".strip() if self.cells[i][j] else text
+        self.cuts, shape = cuts, (len(rows), len(cuts) + 1)
+        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        column = np.concatenate(columns)
+        self.held = np.zeros(shape, int)
+        np.add.at(self.held, (row, column), 1)
+        parts: dict[tuple[int, int], list[str]] = {}
+        for place, text in zip(zip(row.tolist(), column.tolist(), strict=True), (t for r in rows for t in r.text), strict=True):
+            parts.setdefault(place, []).append(text)
+        self.cells = np.full(shape, "", object)
+        for place, texts in parts.items():
+            self.cells[place] = " ".join(texts)
 
     def score(self, n_header: int | None) -> float:
-        """Agreement of a column's kinds, numbers not run together, cells filled, header's count, and twice the cells of one token; 0 to 1."""
-        filled = [c for row in self.cells for c in row if c.strip()]
-        if not filled:
+        """0 to 1: six parts, of which the cells of a single token count twice."""
+        kinds = _kinds(self.cells)
+        full = kinds > 0
+        if not full.any():
             return 0.0
-        merged = sum(len(_NUMBERS.findall(c)) >= 2 and _class(c) == "text" and sum(map(str.isdigit, c)) > 0.4 * len(c) for c in filled)
-        pure = []
-        for j in range(self.k):
-            kinds = Counter(k for row in self.cells if (k := _class(row[j])) != "empty")
-            if kinds:
-                pure.append(max(kinds.values()) / kinds.total())
-        used = self.held[self.held > 0]
-        header = 0.5 if n_header is None else max(0.0, 1 - abs(n_header - self.k) / self.k)
-        parts = [float(np.mean(pure)) if pure else 0.0, 1 - merged / len(filled), len(filled) / max(self.k * len(self.cells), 1), header, 2 * float((used == 1).sum()) / max(len(used), 1)]
-        return sum(parts) / 6
+        columns = full.shape[1]
+        tally = np.stack([(kinds == n).sum(axis=0) for n in range(1, TEXT + 1)])[:, full.any(axis=0)]
+        agreement = (tally.max(axis=0) / tally.sum(axis=0)).mean()
+        alone = (self.held == 1).sum() / max(1, (self.held > 0).sum())
+        crowded = np.mean([_several_numbers(c) for c in self.cells[kinds == TEXT]]) * (kinds == TEXT).sum() / full.sum() if (kinds == TEXT).any() else 0.0
+        named = 0.5 if n_header is None else max(0.0, 1 - abs(n_header - columns) / columns)
+        return float((agreement + named + full.mean() + (1 - crowded) + 2 * alone) / 6)
+
+    def column_at(self, x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
+        """Columns of tokens by their centres, -1 for those over ``WIDE`` times as wide as a column."""
+        typical = np.diff(self.cuts).mean() if len(self.cuts) > 1 else 100.0
+        return np.where(x1 - x0 > WIDE * typical, -1, np.searchsorted(self.cuts, (x0 + x1) / 2, side="right"))
 
-    def column_at(self, middle: float) -> int:
-        return int((self.cuts <= middle).sum())
 
-    def width(self) -> float:
-        return float(np.diff(self.cuts).mean()) if len(self.cuts) > 1 else 100.0
+def _several_numbers(text: str) -> bool:
+    """Two numbers or more that make up much of a text."""
+    return len(_NUMBERS.findall(text)) > 1 and sum(map(str.isdigit, text)) > 0.4 * len(text)
 
 
 def _by_anchors(rows: list[Line], middle: bool) -> Grid | None:
@@ -156,26 +161,28 @@ def _by_gaps(rows: list[Line], share: float) -> Grid | None:
 
 
 def _headers(grid: Grid, band: list[Line]) -> list[str]:
-    names: list[list[str]] = [[] for _ in range(grid.k)]
+    """The band's tokens, in order, over the columns they stand above."""
+    names: list[list[str]] = [[] for _ in range(grid.cells.shape[1])]
     for line in band:
-        for text, x0, x1 in line.tokens():
-            if x1 - x0 <= WIDE * grid.width():
-                names[grid.column_at((x0 + x1) / 2)].append(text)
+        for text, j in zip(line.text, grid.column_at(line.x0, line.x1).tolist(), strict=True):
+            if j >= 0:
+                names[j].append(text)
     return [" ".join(n) for n in names]
 
 
 def _attach_wrapped(grid: Grid, tops: list[float], lines: list[Line], first: float) -> None:
-    """Single words below the first data row join the text cell above them."""
-    kinds = [[_class(row[j]) for row in grid.cells if row[j].strip()] for j in range(grid.k)]
-    texts = [bool(k) and k.count("text") >= 0.5 * len(k) for k in kinds]
+    """Lines of a single word below the first data row join the row above them, in columns that are half text or more."""
+    kinds = _kinds(grid.cells)
+    full = (kinds > 0).sum(axis=0)
+    texts = (full > 0) & (2 * (kinds == TEXT).sum(axis=0) >= full)
+    above = np.array(tops)
     for line in lines:
-        above = [i for i, top in enumerate(tops) if top <= line.top]
-        if line.top < first or len(line) >= LEAST_CELLS or not above:
-            continue
-        for text, x0, x1 in line.tokens():
-            j = grid.column_at((x0 + x1) / 2)
-            if x1 - x0 <= WIDE * grid.width() and texts[j] and _class(text) == "text":
-                grid.put(above[-1], j, text)
+        rows = np.flatnonzero(above <= line.top)
+        if len(line) < LEAST_CELLS and line.top >= first and len(rows):
+            columns = grid.column_at(line.x0, line.x1)
+            for k in np.flatnonzero((columns >= 0) & texts[columns] & (_kinds(np.array(line.text, object)) == TEXT)):
+                place = rows[-1], columns[k]
+                grid.cells[place] = f"{grid.cells[place]} {line.text[k]}".strip()
 
 
 def _fold_signs(rows: list[list[str]], body: int) -> list[list[str]]:
@@ -220,7 +227,8 @@ def reconstruct(tokens: pd.DataFrame) -> tuple[str, float] | None:
     score, _, grid = max(scored, key=lambda e: e[:2])
     if first is not None:
         _attach_wrapped(grid, [y for y, _ in data], [line for _, line in sorted(zip(tops, lines, strict=True), key=lambda e: e[0])], first)
-    out = _fold_signs([_headers(grid, band), *grid.cells] if band else grid.cells, 1)
+    cells = grid.cells.tolist()
+    out = _fold_signs([_headers(grid, band), *cells] if band else cells, 1)
     cell = lambda tag, row: "".join(f"<{tag}>{escape(c)}</{tag}>" for c in row)
     body = "".join(f"<tr>{cell('td', r)}</tr>" for r in out[1:])
     return f"<table><thead><tr>{cell('th', out[0])}</tr></thead><tbody>{body}</tbody></table>", float(score)

@@ -73,8 +73,8 @@ _CLAIMS = """cl AS (SELECT package_id, id, min(evidence_level) AS claimed_level,
 g AS (SELECT package_id, 'c' || substr(id, 2) AS id, count(*) AS n, count(*) FILTER (WHERE quote_verified) AS nv, bool_or(quote_verified AND printed_page % 2 = 0) AS ex, bool_and(pdf_page % 3 = 0) AS vis FROM evidence GROUP BY ALL),
 v AS (SELECT cl.*, coalesce(n, 0) AS n, coalesce(nv, 0) AS nv, coalesce(ex, false) AS ex, CASE WHEN claimed_level = 'explicit' AND coalesce(nv, 0) = 0 THEN 'inferred' WHEN claimed_level = 'explicit' AND coalesce(vis, false) AND coalesce(n, 0) > 0 THEN 'needs_visual_review' ELSE claimed_level END AS level
   FROM cl LEFT JOIN g USING (package_id, id)),
-s1 AS (SELECT *, round(CASE WHEN nv > 0 AND ex THEN 0.55 WHEN nv > 0 THEN 0.35 ELSE 0.0 END + CASE WHEN nv >= 2 THEN 0.1 ELSE 0.0 END + CASE WHEN level = 'explicit' AND nv > 0 THEN 0.1 ELSE 0.0 END, 4) AS a FROM v),
-s2 AS (SELECT *, round(least(1.0, round(greatest(0.0, a - CASE WHEN density = 'low' THEN 0.1 ELSE 0.0 END), 4) + least(0.1, greatest(0.0, mc) * 0.1)), 4) AS b FROM s1),
+s1 AS (SELECT *, round_even(CASE WHEN nv > 0 AND ex THEN 0.55 WHEN nv > 0 THEN 0.35 ELSE 0.0 END + CASE WHEN nv >= 2 THEN 0.1 ELSE 0.0 END + CASE WHEN level = 'explicit' AND nv > 0 THEN 0.1 ELSE 0.0 END, 4) AS a FROM v),
+s2 AS (SELECT *, round_even(least(1.0, round_even(greatest(0.0, a - CASE WHEN density = 'low' THEN 0.1 ELSE 0.0 END), 4) + least(0.1, greatest(0.0, mc) * 0.1)), 4) AS b FROM s1),
 sc AS (SELECT *, CASE WHEN level = 'needs_visual_review' THEN least(b, 0.5) ELSE b END AS confidence FROM s2)
 """
 
