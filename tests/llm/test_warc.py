@@ -1,8 +1,8 @@
 import gzip
 
-from quire.sources.store import open_input, open_store
-from quire.llm.warc import read_warc, write_warc
+from quire.llm.warc import parse_warc, read_warc, write_warc
 from quire.session import Scratch
+from quire.sources.store import open_input, open_store
 
 BIG = "<p>" + "x" * 120 + "</p>"
 ROWS = [(5, "http://a", BIG), (3, "http://b", BIG), (9, None, BIG), (1, "u", "tiny"), (2, "u", "tiny"), (7, "é\r\nX: y", None), (None, "n", BIG), (4, "http://c", "z" * 300_000), (3, "http://b", BIG)]
@@ -38,11 +38,27 @@ def test_files_are_the_same_whatever_the_partitions(spark):
 
 def test_records_are_gzip_members_of_plain_warc(spark):
     manifest, folder = _run(spark, ROWS[3:4])
-    with open_input(folder, manifest.first().name) as f:
-        text = gzip.decompress(f.read())
+    row = manifest.first()
+    with open_input(folder, row.name) as f:
+        info, text = gzip.decompress(f.read()).split(b"\r\n\r\n\r\n", 1)
+    assert info.startswith(b"WARC/1.1\r\nWARC-Type: warcinfo\r\n") and f"WARC-Filename: {row.name}".encode() in info
     assert text.startswith(b"WARC/1.1\r\nWARC-Type: response\r\n") and text.endswith(b"tiny\r\n\r\n")
 
 
+def test_revisits_name_their_response(spark):
+    """WARC-Refers-To is the id of the response with that payload and URL; of several with the least page id that of the least URL."""
+    rows = [(3, "http://b", BIG), (3, "http://a", BIG), (5, "http://c", BIG), (6, None, BIG), (8, "u", "w" * 100), (9, "v", "w" * 100), (7, None, "q" * 100), (10, "x", "q" * 100)]
+    manifest, folder = _run(spark, rows, range_rows=2)
+    heads = []
+    for row in manifest.collect():
+        with open_input(folder, row.name) as file:
+            heads += [h for h, _ in parse_warc(file) if h["WARC-Type"] != "warcinfo"]
+    assert len({h["WARC-Record-ID"] for h in heads}) == len(rows)
+    ids = {(h["X-Page-ID"], h.get("WARC-Target-URI")): h["WARC-Record-ID"] for h in heads}
+    told = {h["X-Page-ID"]: (h["WARC-Refers-To"], h.get("WARC-Refers-To-Target-URI")) for h in heads if h["WARC-Type"] == "revisit"}
+    assert told == {"5": (ids[("3", "http://a")], "http://a"), "6": (ids[("3", "http://a")], "http://a"), "9": (ids[("8", "u")], "u"), "10": (ids[("7", None)], None)}
+
+
 def test_empty(spark):
     manifest, folder = _run(spark, [])
     assert manifest.count() == 0 and read_warc(manifest, folder).count() == 0
