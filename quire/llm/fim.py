@@ -2,7 +2,7 @@
 
 ``frame_texts`` stores each text as independent zstandard frames of ``FRAME`` bytes, every one with the
 newlines and code points up to its end. ``fill_in_middle`` finds the frames that hold the two cuts by
-those running counts and opens no others: an output is made of marker frames, untouched frames and the
+those running counts and opens no others: an output is made of sentinel frames, untouched frames and the
 two ends of each opened one, so that it is again a valid row of frames, one behind another. Digests and
 restored texts read the output's frames as a stream, a chunk at a time.
 
@@ -10,7 +10,7 @@ A text's units are its lines (each with its newline). With n units, a hash of th
 gives cuts a and b among 0..n: the prefix ends after the smaller, the middle after the larger. Forms: ``psm``
 ``<P>prefix<S>suffix<M>middle``, ``spm`` ``<S>suffix<P>prefix<M>middle``, ``plain`` the text itself.
 
-* null text: as empty. Empty texts and those that hold a marker themselves are plain.
+* null text: as empty. Empty texts and those that hold a sentinel themselves are plain.
 * null id: hashed as the empty string. Repeated rows give equal outputs; ties don't occur. Empty table: no rows.
 * A text of any length is cut at code points, whether it has newlines or not; a task holds one batch of texts.
 * Other columns, whatever their names, come back inside ``row``.
@@ -34,7 +34,7 @@ from quire.session import bounded_batches
 #: Bytes of text in a frame, and of a chunk that is read at a time.
 FRAME, CHUNK = 1 << 16, 1 << 16
 PREFIX, SUFFIX, MIDDLE = b"<P>", b"<S>", b"<M>"
-#: Markers of each form in their order, and which of the three parts behind them are prefix, middle and suffix.
+#: Sentinels of each form in their order, and which of the three parts behind them are prefix, middle and suffix.
 MARKS = {"psm": (PREFIX, SUFFIX, MIDDLE), "spm": (SUFFIX, PREFIX, MIDDLE)}
 PARTS = {"psm": (0, 2, 1), "spm": (1, 2, 0)}
 FRAMES = "array<struct<data: binary, newlines: bigint, chars: bigint>>"
@@ -61,7 +61,7 @@ def _frames(data: bytes, size: int) -> list[tuple[bytes, int, int]]:
 
 
 def frame_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, size: int = FRAME) -> DataFrame:
-    """(row, id as text, n units, frames, whether a marker occurs) of each document."""
+    """(row, id as text, n units, frames, whether a sentinel occurs) of each document."""
     if size < 4:
         raise ValueError("a frame holds at least one code point")
     bounded_batches(docs.sparkSession)
@@ -146,14 +146,14 @@ def _stream(output: bytes) -> Iterator[bytes]:
 
 
 def _part(output: bytes, marks: tuple[bytes, ...], wanted: int) -> Iterator[bytes]:
-    """The bytes behind marker number ``wanted`` and before the next one."""
+    """The bytes behind sentinel number ``wanted`` and before the next one."""
     at, held = -1, b""
     for chunk in _stream(output):
         held += chunk
         while at < wanted:
             found = held.find(marks[at + 1])
             if found < 0:
-                held = held[-2:]  # the start of a marker at most
+                held = held[-2:]  # the start of a sentinel at most
                 break
             at, held = at + 1, held[found + 3 :]
         if at < wanted:
@@ -169,7 +169,7 @@ def _part(output: bytes, marks: tuple[bytes, ...], wanted: int) -> Iterator[byte
 
 
 def _restored(output: bytes, form: str) -> Iterator[bytes]:
-    """The text, from output and form alone: the markers are found in the stream."""
+    """The text, from output and form alone: the sentinels are found in the stream."""
     if form == "plain":
         yield from _stream(output)
     else:
