@@ -9,10 +9,47 @@ import corpus_pipeline as cp
 from oracle import SF
 from quire.llm.queries import TOKENIZERS
 from test_minhash import _brute
+from test_quality import _brute as _measures
+from test_quality import _limit
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+RULES = {"symbols": 100, "lines": 500, "repeats": 300}
+
+
+def _rated(docs):
+    """Ids that the rules keep: 5 words, no more than half of them in repeated windows, no rate over its group's limit."""
+    seen = []
+    for r in docs.values():
+        n_words, _, n_symbols, n_dup, n_repeat = _measures(r.text)
+        lines = sum(1 for x in (r.text or "").split("\n") if x.strip(" \t\n\x0b\x0c\r"))
+        rates = dict(zip(RULES, (1000 * a // b if b else 0 for a, b in ((n_symbols, n_words), (n_dup, lines), (n_repeat, n_words))), strict=True))
+        seen.append((r, rates, n_words >= cp.MIN_WORDS and 2 * n_repeat <= n_words))
+    kept = set()
+    for r, rates, ok in seen:
+        for k, fixed in RULES.items():
+            limit = None
+            for same in (lambda d: True, lambda d: d.lang == r.lang, lambda d: (d.lang, d.source) == (r.lang, r.source)):  # noqa: B023
+                n, mine = _limit([(d[1][k], d[2]) for d in seen if same(d[0])], fixed)
+                limit = mine if limit is None else min(limit, mine) if n >= 100 else limit
+            ok = ok and rates[k] <= limit
+        if ok:
+            kept.add(r.doc_id)
+    return kept
+
+
+def _lined(docs):
+    """Texts without the lines of ten documents or more."""
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
+    where = {}
+    for i, r in docs.items():
+        for line in (r.text or "").split("\n"):
+            where.setdefault(key(line), set()).add(i)
+    gone = {k for k, ids in where.items() if k and len(ids) >= 10}
+    return {i: "\n".join(x for x in (r.text or "").split("\n") if key(x) not in gone) for i, r in docs.items()}
+
+
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = {r.doc_id: r for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
@@ -24,7 +61,9 @@ def test_stages(spark):
     good = [d for d, r in labels.items() if r.quality == 1]
     bad = [d for d, r in labels.items() if r.quality == 0]
     assert sum(d in rated for d in good) / len(good) > 0.95 and sum(d in rated for d in bad) / len(bad) < 0.1
-    assert set(lined) <= set(rated) and all(r.n_chars == len(r.text) for r in lined.values())
+    assert set(rated) == _rated(raw) and all(rated[d] == raw[d] for d in rated)
+    assert {d: r.text for d, r in lined.items()} == _lined(rated)
+    assert all(r.n_chars == len(r.text) for r in lined.values())
     want = _brute([(r.doc_id, r.text) for r in lined.values()], 5, 80)
     assert set(single) == {d for d, (_, c) in want.items() if c == d}
     assert all(single[d] == lined[d] for d in single)
