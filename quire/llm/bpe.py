@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from quire.session import bounded_batches
 
 #: Entries of a Python worker's table of words.
-MEMO = 350_000
+MEMO = 200_000
 #: Bytes of a word that shares its steps with others, words that do at a time, code points of text between two such runs.
 SHORT, LANES, TOGETHER = 64, 8192, 2_000_000
 #: str.split() also splits at these, \s of the pattern doesn't.

@@ -60,7 +60,7 @@ BATCH = 16
 #: Ratio of neighbouring classes of set sizes.
 SIZE_STEP = 1.03
 #: Words whose hashes a Python worker remembers; shingles hashed against all functions at a time.
-MEMO, SLICE = 300_000, 4096
+MEMO, SLICE = 150_000, 4096
 
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)]
 _words: dict[bytes, int] = {}
