@@ -7,9 +7,9 @@ numbers) are small helpers over a page's items.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from quire.functions import geometry as G
@@ -18,6 +18,7 @@ from quire.operators.blocks import PAGE
 from quire.operators.books import number_anchors, toc_columns
 from quire.operators.grouped import rtl_reading_order
 from quire.operators.pages import anchor_clusters
+from quire.operators.streams import Columns, Groups, solve_groups
 
 
 def least_cost(cost: np.ndarray) -> list[tuple[int, int]]:
@@ -59,16 +60,20 @@ def assign_numbers(anchors: DataFrame, numbers: DataFrame) -> DataFrame:
     item = lambda df, kind, value: df.select(*PAGE, "line_idx", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"), F.lit(kind).alias("kind"), value.cast("long").alias("value"))
     items = item(anchors, 0, F.lit(0)).unionByName(item(numbers.where("value is not null"), 1, F.col("value")))
 
-    def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["kind", "line_idx"])
-        a, b = pdf[pdf["kind"] == 0], pdf[pdf["kind"] == 1].drop_duplicates("value")
-        pairs = []
-        if len(a) and len(b):
-            cost = np.hypot(a["x"].to_numpy()[:, None] - b["x"].to_numpy(), a["y"].to_numpy()[:, None] - b["y"].to_numpy())
-            pairs = [(a["doc_id"].iloc[0], a["page_id"].iloc[0], a["line_idx"].iloc[i], b["value"].iloc[j]) for i, j in least_cost(cost)]
-        return pd.DataFrame(pairs, columns=[*PAGE, "line_idx", "number"])
-
-    return items.groupBy(*PAGE).applyInPandas(match, "doc_id long, page_id int, line_idx int, number long")
+    def match(columns: Columns, groups: Groups) -> tuple[list[int], dict[str, list[int]]]:
+        kind, value, x, y = (columns[c] for c in ("kind", "value", "x", "y"))
+        rows, found = [], []
+        for start, stop in groups:
+            split = start + int(np.searchsorted(kind[start:stop], 1))
+            if start < split < stop:
+                b = split + np.sort(np.unique(value[split:stop], return_index=True)[1])  # a value counts where it comes first
+                cost = np.hypot(x[start:split, None] - x[b], y[start:split, None] - y[b])
+                pairs = least_cost(cost)
+                rows += [start + i for i, _ in pairs]
+                found += [int(value[b[j]]) for _, j in pairs]
+        return rows, {"number": found}
+
+    return solve_groups(items, PAGE, ["kind", "line_idx"], [*PAGE, "line_idx"], {"number": T.LongType()}, match)
 
 
 def decorative_toc(lines: DataFrame, counts: DataFrame, least: int = 3, same_row: float = 0.5) -> DataFrame:

@@ -1,7 +1,7 @@
 """Operators whose rule keeps a running state inside one page, list or document.
 
-Each group is a page or a document (tens of rows), dealt by its key and handled by a small vectorised helper;
-no group grows with the data.
+Each group is a page or a document (tens of rows), dealt by its key and handled by a small helper that gets many groups
+at a time; no group grows with the data.
 """
 
 from __future__ import annotations
@@ -17,8 +17,7 @@ from pyspark.sql.window import Window as W
 
 from quire.functions import geometry as G
 from quire.operators.blocks import PAGE, by_page
-
-_KEYS = "doc_id long, page_id int"
+from quire.operators.streams import Columns, Groups, solve_groups
 
 
 def rtl_reading_order(lines: DataFrame, least: float = 0.5, keys: dict[str, str] | None = None) -> DataFrame:
@@ -29,12 +28,17 @@ def rtl_reading_order(lines: DataFrame, least: float = 0.5, keys: dict[str, str]
     keys = keys or {}
     group = [*PAGE, *keys]
 
-    def order(pdf: pd.DataFrame) -> pd.DataFrame:
-        top, low, right, line = (pdf[c].to_numpy() for c in ("y0", "y1", "x1", "line_idx"))
+    def order(columns: Columns, groups: Groups) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        top, low, right, line = (columns[c] for c in ("y0", "y1", "x1", "line_idx"))
+        sizes = [b - a for a, b in groups]
+        of = np.repeat(np.arange(len(groups)), sizes)
+        row, first = np.empty(len(of), np.int64), np.empty(len(of))
+        tops, lows, at, group_of = top.tolist(), low.tolist(), np.lexsort((line, -right, top, of)).tolist(), of.tolist()
         heads: list[tuple[float, float]] = []
-        row, first = np.empty(len(pdf), np.int64), []
-        tops, lows = top.tolist(), low.tolist()
-        for i in np.lexsort((line, -right, top)).tolist():
+        now = -1
+        for i in at:
+            if group_of[i] != now:
+                now, heads = group_of[i], []
             y0, y1 = tops[i], lows[i]
             for k, (a, b) in enumerate(heads):
                 least_height = min(b - a, y1 - y0)
@@ -43,13 +47,11 @@ def rtl_reading_order(lines: DataFrame, least: float = 0.5, keys: dict[str, str]
             else:
                 k = len(heads)
                 heads.append((y0, y1))
-                first.append(y0)
-            row[i] = k
-        at = np.lexsort((line, -right, row, np.array(first)[row]))  # a row's first line is its highest
-        return pdf.iloc[at].assign(row=row[at], new_pos=np.arange(len(pdf)))[[*group, "line_idx", "row", "new_pos"]]
+            row[i], first[i] = k, heads[k][0]
+        out = np.lexsort((line, -right, row, first, of))  # a row's first line is its highest
+        return out, {"row": row[out], "new_pos": np.arange(len(of)) - np.repeat([a for a, _ in groups], sizes)}
 
-    schema = ", ".join([_KEYS, *(f"`{k}` {t}" for k, t in keys.items()), "line_idx int, row int, new_pos int"])
-    return lines.select(*group, "line_idx", "x1", "y0", "y1").groupBy(*group).applyInPandas(order, schema)
+    return solve_groups(lines.select(*group, "line_idx", "x1", "y0", "y1"), group, ["line_idx"], [*group, "line_idx"], {"row": T.IntegerType(), "new_pos": T.IntegerType()}, order)
 
 
 def split_heights(values: list[float], k: int) -> list[float]:
@@ -81,16 +83,18 @@ def split_heights(values: list[float], k: int) -> list[float]:
 def heading_levels(headings: DataFrame, levels: int = 4, default: int = 2, tolerance: float = 0.99) -> DataFrame:
     """Level of each heading of a document by its line height, tallest first; few headings get the default."""
 
-    def classify(pdf: pd.DataFrame) -> pd.DataFrame:
-        heights = pdf["height"]
-        if len(pdf) <= levels:
-            level = [default] * len(pdf)
-        else:
-            edges = split_heights(heights.round(3).tolist(), levels)
-            level = [next((i + 1 for i, e in enumerate(edges) if h >= e * tolerance), default) for h in heights]
-        return pdf.assign(level=level)[["doc_id", "pos", "level"]]
+    def classify(columns: Columns, groups: Groups) -> tuple[np.ndarray, dict[str, list[int]]]:
+        level: list[int] = []
+        for a, b in groups:
+            heights = columns["height"][a:b]
+            if b - a <= levels:
+                level += [default] * (b - a)
+            else:
+                edges = split_heights(heights.round(3).tolist(), levels)
+                level += [next((i + 1 for i, e in enumerate(edges) if h >= e * tolerance), default) for h in heights.tolist()]
+        return np.arange(len(level)), {"level": level}
 
-    return headings.select("doc_id", "pos", "height").groupBy("doc_id").applyInPandas(classify, "doc_id long, pos int, level int")
+    return solve_groups(headings.select("doc_id", "pos", F.col("height").cast("double").alias("height")), ["doc_id"], ["pos"], ["doc_id", "pos"], {"level": T.IntegerType()}, classify)
 
 
 def blockquotes(blocks: DataFrame, indent: float = 0.1, same: float = 0.01) -> DataFrame:
@@ -113,22 +117,25 @@ def blockquotes(blocks: DataFrame, indent: float = 0.1, same: float = 0.01) -> D
 
 def list_indent(items: DataFrame, page_width: float, least: float = 0.01) -> DataFrame:
     """Nesting level of list items by their left edges; a column break starts anew."""
-
-    def nest(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        step, stack, level = least * page_width, [], []
-        x0, y0, x1 = (pdf[c].tolist() for c in ("x0", "y0", "x1"))
-        for i, (left, top) in enumerate(zip(x0, y0, strict=True)):
-            while stack and left <= stack[-1][0] + step:
-                stack.pop()
-            level.append(stack[-1][2] + 1 if stack and top > stack[-1][1] else 0)
-            if i + 1 < len(x0) and x0[i + 1] > x1[i]:
-                stack = []
-            else:
-                stack.append((left, top, level[-1]))
-        return pdf.assign(level=level)[[*PAGE, "pos", "level"]]
-
-    return items.select(*PAGE, "pos", "x0", "y0", "x1", "y1").groupBy(*PAGE).applyInPandas(nest, f"{_KEYS}, pos int, level int")
+    step = least * page_width
+
+    def nest(columns: Columns, groups: Groups) -> tuple[np.ndarray, dict[str, list[int]]]:
+        x0, y0, x1 = (columns[c].tolist() for c in ("x0", "y0", "x1"))
+        level: list[int] = []
+        for a, b in groups:
+            stack: list[tuple[float, float, int]] = []
+            for i in range(a, b):
+                left, top = x0[i], y0[i]
+                while stack and left <= stack[-1][0] + step:
+                    stack.pop()
+                level.append(stack[-1][2] + 1 if stack and top > stack[-1][1] else 0)
+                if i + 1 < b and x0[i + 1] > x1[i]:
+                    stack = []
+                else:
+                    stack.append((left, top, level[-1]))
+        return np.arange(len(level)), {"level": level}
+
+    return solve_groups(items.select(*PAGE, "pos", "x0", "y0", "x1", "y1"), PAGE, ["pos"], [*PAGE, "pos"], {"level": T.IntegerType()}, nest)
 
 
 def group_captions(blocks: DataFrame, page_height: float, near: float = 0.05) -> DataFrame:
@@ -155,21 +162,21 @@ def group_captions(blocks: DataFrame, page_height: float, near: float = 0.05) ->
 def merge_math_lines(lines: DataFrame, overlap: float = 0.015, vertical: float = 0.8) -> DataFrame:
     """Runs of neighbouring lines on one baseline whose boxes overlap: ``run`` starts at the first line; runs of two or more are maths."""
 
-    def runs(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("line_idx").reset_index(drop=True)
-        x0, y0, x1, y1 = (pdf[c].to_numpy() for c in ("x0", "y0", "x1", "y1"))
+    def runs(columns: Columns, groups: Groups) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        x0, y0, x1, y1 = (columns[c] for c in ("x0", "y0", "x1", "y1"))
         wide = np.maximum(0.0, np.minimum(x1[1:], x1[:-1]) - np.maximum(x0[1:], x0[:-1])) * np.maximum(0.0, np.minimum(y1[1:], y1[:-1]) - np.maximum(y0[1:], y0[:-1]))
         touch = (wide / np.maximum(1.0, (x1[1:] - x0[1:]) * (y1[1:] - y0[1:])) >= overlap).tolist()
-        tops, ends, first, head = y0.tolist(), y1.tolist(), 0, []
-        for i, (a, b) in enumerate(zip(tops, ends, strict=True)):
-            if i and not (touch[i - 1] and (min(ends[first], b) - max(tops[first], a)) / max(1.0, b - a) > vertical):
-                first = i
-            head.append(first)
-        pdf["run"] = pdf["line_idx"].to_numpy()[head]
-        pdf["math"] = pdf.groupby("run")["run"].transform("size") > 1
-        return pdf[[*PAGE, "line_idx", "run", "math"]]
-
-    return lines.select(*PAGE, "line_idx", "x0", "y0", "x1", "y1").groupBy(*PAGE).applyInPandas(runs, f"{_KEYS}, line_idx int, run int, math boolean")
+        tops, ends, head = y0.tolist(), y1.tolist(), []
+        for start, stop in groups:
+            first = start
+            for i in range(start, stop):
+                if i > start and not (touch[i - 1] and (min(ends[first], ends[i]) - max(tops[first], tops[i])) / max(1.0, ends[i] - tops[i]) > vertical):
+                    first = i
+                head.append(first)
+        at = np.array(head, int)
+        return np.arange(len(at)), {"run": columns["line_idx"][at], "math": np.bincount(at)[at] > 1}
+
+    return solve_groups(lines.select(*PAGE, "line_idx", "x0", "y0", "x1", "y1"), PAGE, ["line_idx"], [*PAGE, "line_idx"], {"run": T.IntegerType(), "math": T.BooleanType()}, runs)
 
 
 # --- helpers on columns

@@ -104,3 +104,35 @@ def test_lesson_numbers(spark):
     df = spark.createDataFrame(rows, "package_id string, id string, first_page int, printed int")
     got = {(r.package_id, r.id): r.number for r in G.lesson_numbers(df).collect()}
     assert got == {("p", "a"): 1, ("p", "b"): 2, ("p", "c"): 3, ("p", "d"): 4, ("p", "e"): 9, ("q", "a"): 1}
+
+
+def test_groups_by_the_batch(spark):
+    """Groups that batches cut, null keys and rows without a group come out whole, and the helper is called for many groups at once."""
+    from pyspark.sql import types as T
+
+    from quire.operators.streams import solve_groups
+
+    def solve(columns, groups):
+        rows = [a for a, b in groups]
+        return rows, {"n": [b - a for a, b in groups], "calls": [len(groups)] * len(groups)}
+
+    df = spark.range(1, 20000, 1, 1).selectExpr("nullif(id div 7, 3) AS k", "concat('p', id % 2) AS p", "id")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1000)
+    try:
+        got = solve_groups(df, ["k", "p"], ["id"], ["k", "p", "id"], {"n": T.LongType(), "calls": T.IntegerType()}, solve).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = df.groupBy("k", "p").agg({"id": "min", "*": "count"}).collect()
+    assert sorted((str(r.k), r.p, r.id, r.n) for r in got) == sorted((str(r.k), r.p, r["min(id)"], r["count(1)"]) for r in want)
+    assert max(r.calls for r in got) > 100
+
+
+def test_groups_of_a_union(spark):
+    """Both sides are dealt by the key already; a group's rows of both still meet."""
+    from pyspark.sql import types as T
+
+    from quire.operators.streams import solve_groups
+
+    side = lambda n: spark.range(300).selectExpr("id % 50 AS k", "id").groupBy("k").count().selectExpr("k", f"{n} AS kind")
+    got = solve_groups(side(0).unionByName(side(1)), ["k"], ["kind"], ["k"], {"n": T.IntegerType()}, lambda columns, groups: ([a for a, _ in groups], {"n": [b - a for a, b in groups]})).collect()
+    assert sorted((r.k, r.n) for r in got) == [(k, 2) for k in range(50)]
