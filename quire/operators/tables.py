@@ -5,16 +5,19 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 from html import escape
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from quire.functions.text import CELL_PATTERNS
 from quire.operators.blocks import PAGE
+from quire.operators.streams import Columns, Groups, solve_groups
 
 # Fixed values of the rules.
 LEADERS = r"^[.·•…_\-\s]+$"
@@ -62,12 +65,16 @@ def table_tokens(lines: DataFrame, tables: DataFrame) -> DataFrame:
     return tokens.select(*TABLE, "line_idx", seq.alias("seq"), "text", F.round("x0", 1).alias("x0"), F.round("x1", 1).alias("x1"), F.col("ly0").alias("y0"), F.col("ly1").alias("y1"))
 
 
+@lru_cache(1 << 16)
+def _kind(text: str) -> int:
+    """0 for an empty cell, else 1 and the place of the first pattern that suits it, text last."""
+    text = text.strip()
+    return next((n for n, p in enumerate(_CELLS, 1) if p.search(text)), TEXT) if text else 0
+
+
 def _kinds(cells: np.ndarray) -> np.ndarray:
-    """Kind of each cell of a matrix of texts: 0 for an empty one, else 1 and the place of the first pattern that suits it, text last."""
-    texts, at = np.unique(cells.astype(str), return_inverse=True)
-    stripped = [t.strip() for t in texts.tolist()]
-    kinds = [next((n for n, p in enumerate(_CELLS, 1) if p.search(t)), TEXT) if t else 0 for t in stripped]
-    return np.array(kinds, int)[at].reshape(cells.shape)
+    """Kind of each cell of a matrix of texts."""
+    return np.array([_kind(t) for t in cells.ravel().tolist()], int).reshape(cells.shape)
 
 
 @dataclass
@@ -86,12 +93,10 @@ class Line:
 class Grid:
     """A matrix of texts, dealt from rows of tokens to columns; ``held`` says how many tokens made each cell."""
 
-    def __init__(self, rows: list[Line], cuts: np.ndarray, columns: list[np.ndarray]):
+    def __init__(self, rows: list[Line], cuts: np.ndarray, column: np.ndarray):
         self.cuts, shape = cuts, (len(rows), len(cuts) + 1)
         row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        column = np.concatenate(columns)
-        self.held = np.zeros(shape, int)
-        np.add.at(self.held, (row, column), 1)
+        self.held = np.bincount(row * shape[1] + column, minlength=shape[0] * shape[1]).reshape(shape)
         parts: dict[tuple[int, int], list[str]] = {}
         for place, text in zip(zip(row.tolist(), column.tolist(), strict=True), (t for r in rows for t in r.text), strict=True):
             parts.setdefault(place, []).append(text)
@@ -119,6 +124,7 @@ class Grid:
         return np.where(x1 - x0 > WIDE * typical, -1, np.searchsorted(self.cuts, (x0 + x1) / 2, side="right"))
 
 
+@lru_cache(1 << 16)
 def _several_numbers(text: str) -> bool:
     """Two numbers or more that make up much of a text."""
     return len(_NUMBERS.findall(text)) > 1 and sum(map(str.isdigit, text)) > 0.4 * len(text)
@@ -132,8 +138,9 @@ def _by_anchors(rows: list[Line], middle: bool) -> Grid | None:
         return None
     edges = np.median([r.x0 for r in typical], axis=0)
     cuts = (edges[1:] + edges[:-1]) / 2
-    at = [(r.x0 + r.x1) / 2 if middle else r.x0 for r in rows]
-    return Grid(rows, cuts, [(cuts <= a[:, None]).sum(axis=1) for a in at])
+    left = np.concatenate([r.x0 for r in rows])
+    at = (left + np.concatenate([r.x1 for r in rows])) / 2 if middle else left
+    return Grid(rows, cuts, (cuts <= at[:, None]).sum(axis=1))
 
 
 def _by_gaps(rows: list[Line], share: float) -> Grid | None:
@@ -151,13 +158,10 @@ def _by_gaps(rows: list[Line], share: float) -> Grid | None:
     starts, ends = starts[apart], ends[np.concatenate([apart[1:], [True]])]
     if len(starts) < 2:
         return None
-    columns = []
-    for r in rows:
-        a, b = r.x0[:, None], r.x1[:, None]
-        common = np.maximum(0.0, np.minimum(b, ends) - np.maximum(a, starts))
-        nearest = np.abs((starts + ends) / 2 - (a + b) / 2).argmin(axis=1)
-        columns.append(np.where(common.max(axis=1) > 0, common.argmax(axis=1), nearest))
-    return Grid(rows, (ends[:-1] + starts[1:]) / 2, columns)
+    a, b = left[:, None], right[:, None]
+    common = np.maximum(0.0, np.minimum(b, ends) - np.maximum(a, starts))
+    nearest = np.abs((starts + ends) / 2 - (a + b) / 2).argmin(axis=1)
+    return Grid(rows, (ends[:-1] + starts[1:]) / 2, np.where(common.max(axis=1) > 0, common.argmax(axis=1), nearest))
 
 
 def _headers(grid: Grid, band: list[Line]) -> list[str]:
@@ -197,10 +201,10 @@ def _fold_signs(rows: list[list[str]], body: int) -> list[list[str]]:
     return rows
 
 
-def reconstruct(tokens: pd.DataFrame) -> tuple[str, float] | None:
+def reconstruct(tokens: pd.DataFrame | Columns) -> tuple[str, float] | None:
     """Html and score of a table from its tokens (line_idx, seq, text, x0, x1, y0), or None: garbled, or no grid of three rows."""
-    order = np.lexsort((tokens["seq"].to_numpy(), tokens["line_idx"].to_numpy()))
-    at, text, x0, x1, y0 = (tokens[c].to_numpy()[order] for c in ("line_idx", "text", "x0", "x1", "y0"))
+    order = np.lexsort((np.asarray(tokens["seq"]), np.asarray(tokens["line_idx"])))
+    at, text, x0, x1, y0 = (np.asarray(tokens[c])[order] for c in ("line_idx", "text", "x0", "x1", "y0"))
     ends = np.flatnonzero(np.append(at[1:] != at[:-1], True)) + 1
     lines = [Line(float(y0[a]), text[a:b].tolist(), x0[a:b], x1[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
     sample = " ".join(t for line in lines[:40] for t in line.text)
@@ -237,9 +241,9 @@ def reconstruct(tokens: pd.DataFrame) -> tuple[str, float] | None:
 def reconstruct_tables(tokens: DataFrame) -> DataFrame:
     """(table, html, score) of the tables whose tokens make a grid. A table's tokens are one group, bounded by a page."""
 
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = reconstruct(pdf)
-        rows = [] if found is None else [(*(pdf[k].iloc[0] for k in TABLE), *found)]
-        return pd.DataFrame(rows, columns=[*TABLE, "html", "score"])
+    def solve(columns: Columns, groups: Groups) -> tuple[list[int], dict[str, list]]:
+        found = [(a, reconstruct({k: c[a:b] for k, c in columns.items()})) for a, b in groups]
+        made = [(a, *f) for a, f in found if f is not None]
+        return [m[0] for m in made], {"html": [m[1] for m in made], "score": [m[2] for m in made]}
 
-    return tokens.select(*TABLE, "line_idx", "seq", "text", "x0", "x1", "y0").groupBy(*TABLE).applyInPandas(solve, "doc_id long, page_id int, pos int, html string, score double")
+    return solve_groups(tokens.select(*TABLE, "line_idx", "seq", "text", "x0", "x1", "y0"), TABLE, ["line_idx", "seq"], TABLE, {"html": T.StringType(), "score": T.DoubleType()}, solve)

@@ -144,3 +144,9 @@ def test_reconstruct():
 def test_reconstructed_pages(spark):
     rows = entry.queries()["r3_reconstruct_table"](spark, SF).collect()
     assert len(rows) > 100 and all(0 <= r.score <= 1 for r in rows)
+
+
+@pytest.mark.parametrize("name", ["c2_assign_numbers", "c3_decorative_toc", "c4_contents_rows", "r3_reconstruct_table", "w3_rtl_reading_order", "w17_merge_math_lines"])
+def test_no_call_for_each_page(spark, name):
+    plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan
