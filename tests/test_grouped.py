@@ -136,3 +136,19 @@ def test_groups_of_a_union(spark):
     side = lambda n: spark.range(300).selectExpr("id % 50 AS k", "id").groupBy("k").count().selectExpr("k", f"{n} AS kind")
     got = solve_groups(side(0).unionByName(side(1)), ["k"], ["kind"], ["k"], {"n": T.IntegerType()}, lambda columns, groups: ([a for a, _ in groups], {"n": [b - a for a, b in groups]})).collect()
     assert sorted((r.k, r.n) for r in got) == [(k, 2) for k in range(50)]
+
+
+def test_windows_are_bounded_together(monkeypatch):
+    """Texts of the same words in another order: few windows are compared, whatever the text's length."""
+    import random
+
+    from quire.functions import similarity
+
+    r = random.Random(1)
+    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(12)]
+    passage, text = (" ".join(r.choice(words) for _ in range(n)) for n in (40, 400))
+    compared = []
+    plain = similarity._lcs
+    monkeypatch.setattr(similarity, "_lcs", lambda a, b, masks=None: compared.append(len(b)) or plain(a, b, masks))
+    assert similarity.best_window(passage, text, 90.0) == (0.0, -1)
+    assert sum(compared) < 60 * len(text)
