@@ -315,9 +315,9 @@ ARABIC_LETTERS = r"\u0621-\u063a\u0641-\u064a\u064b-\u0655\u0670\u0671-\u06d3\u0
 TATWEEL = "ـ"
 
 
-def tokens(text: Column) -> Column:
-    """Arabic-script words; a joiner ends a word, a tatweel is left out."""
-    return F.regexp_extract_all(F.replace(normalize_fa(text), F.lit(TATWEEL), F.lit("")), F.lit(f"([{ARABIC_LETTERS}]+)"))
+def tokens(text: Column, **switches: bool) -> Column:
+    """Arabic-script words; a joiner ends a word, a tatweel is left out. ``switches`` are those of ``normalize_fa``."""
+    return F.regexp_extract_all(F.replace(normalize_fa(text, **switches), F.lit(TATWEEL), F.lit("")), F.lit(f"([{ARABIC_LETTERS}]+)"))
 
 
 def joined_tokens(text: Column) -> Column:

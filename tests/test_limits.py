@@ -2,10 +2,12 @@
 
 import json
 
+import duckdb
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from quire.functions import text as X
 from quire.operators import contents as K
 from quire.operators import rules as R
@@ -72,3 +74,13 @@ def test_files_are_listed_by_path(spark, tmp_path):
 def test_artifacts_must_exist(spark, tmp_path):
     with pytest.raises(PySparkException):
         S.read_stage_artifacts(spark, f"{tmp_path}/none/*.json", "lesson_id string", "concepts", "id string", "model_id string").collect()
+
+
+def test_tokens_of_a_doubled_alef(spark, tmp_path):
+    """A letter order that the normaliser would mend, which the query's SQL leaves."""
+    spark.createDataFrame([(1, "ddf add dd f\nbddfa", "en", "s", 10)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = entry.queries()["t23_tokens"](spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(con.execute(entry.oracle_sql()["t23_tokens"]).fetchall())
+    assert got[0].words.startswith("اال")
