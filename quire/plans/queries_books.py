@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quire.operators import books as K
 from quire.operators import claims as C
+from quire.operators.render import escape_html
 from quire.plans.fixtures import blocks, doc_lines, lines_boxed, with_fixtures
 from quire.plans.queries_rules import FIXTURES, books
 from quire.session import table
@@ -288,10 +289,21 @@ def _s5(s, d):
     return table(s, d, "pages").select("page_id", S.content_key(F.encode("html", "UTF-8"), "balanced", "0-3").alias("k"))
 
 
-@_query("s6_read_block_json", "SELECT doc_id, block_id AS id, block_type, md5('<p>' || replace(replace(text, '&', '&amp;'), '<', '&lt;') || '</p>') AS html FROM blocks", "blocks")
+#: A block's markup by its type, all five special characters escaped.
+_ESCAPED = """replace(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;')"""
+_TYPED = f"""CASE block_type WHEN 'SectionHeader' THEN '<h' || heading_level || '>' || {_ESCAPED} || '</h' || heading_level || '>' WHEN 'ListItem' THEN '<li>' || {_ESCAPED} || '</li>'
+  WHEN 'Picture' THEN '' ELSE '<p block-type=''' || block_type || '''>' || {_ESCAPED} || '</p>' END"""
+
+
+@_query("s6_read_block_json", f"SELECT doc_id, block_id AS id, block_type, md5({_TYPED}) AS html FROM blocks", "blocks")
 def _s6(s, d):
-    """Documents as JSON trees (document, pages, blocks), read back to leaves."""
-    b = blocks(s, d).select("doc_id", "page_id", "pos", F.col("block_id").alias("id"), "block_type", F.concat(F.lit("<p>"), F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit("</p>")).alias("html"))
+    """Documents as JSON trees (document, pages, blocks), each block with the markup of its type, read back to leaves."""
+    kind, text, level = F.col("block_type"), escape_html(F.col("text")), F.col("heading_level").cast("string")
+    html = (
+        F.when(kind == "SectionHeader", F.concat(F.lit("<h"), level, F.lit(">"), text, F.lit("</h"), level, F.lit(">"))).when(kind == "ListItem", F.concat(F.lit("<li>"), text, F.lit("</li>")))
+        .when(kind == "Picture", F.lit("")).otherwise(F.concat(F.lit("<p block-type='"), kind, F.lit("'>"), text, F.lit("</p>")))
+    )
+    b = blocks(s, d).select("doc_id", "page_id", "pos", F.col("block_id").alias("id"), "block_type", html.alias("html"))
     pages = b.groupBy("doc_id", "page_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", F.struct("id", "block_type", "html").alias("b")))), lambda x: x["b"]).alias("children"))
     docs = pages.groupBy("doc_id").agg(F.to_json(F.struct(F.lit("doc").alias("id"), F.collect_list(F.struct(F.concat(F.lit("/page/"), "page_id").alias("id"), "children")).alias("children"))).alias("json"))
     return S.leaf_blocks(docs, "json", ["doc_id"]).select("doc_id", "id", "block_type", F.md5("html").alias("html"))
