@@ -84,3 +84,32 @@ def test_tokens_of_a_doubled_alef(spark, tmp_path):
     got = entry.queries()["t23_tokens"](spark, str(tmp_path)).collect()
     assert sorted(tuple(r) for r in got) == sorted(con.execute(entry.oracle_sql()["t23_tokens"]).fetchall())
     assert got[0].words.startswith("اال")
+
+
+def test_duplicates_of_common_words(spark):
+    """Every overlap from the threshold up is found, and a word that the whole lesson shares makes no pairs by itself."""
+    import itertools
+    import random
+
+    from quire.operators.claims import flag_duplicates
+
+    r = random.Random(5)
+    rows = [("p", "l", f"c{i:03d}", "unit " + " ".join(r.choice("abcdefgh") * 2 for _ in range(r.randint(1, 9)))) for i in range(80)] + [("p", "l", "c000", "unit aa")]
+    df = spark.createDataFrame(rows, "package_id string, lesson_id string, id string, label string")
+    for least in (0.0, 0.5, 0.7, 0.9, 1.0):
+        want = {(a[2], b[2]) for a, b in itertools.permutations(rows, 2) if a[2] < b[2] for x, y in [(set(a[3].split()), set(b[3].split()))] if len(x & y) / len(x | y) >= least}
+        assert {(x.id_a, x.id_b) for x in flag_duplicates(df, least).collect()} == want
+    apart = spark.range(3000).selectExpr("'p' AS package_id", "'l' AS lesson_id", "cast(id AS string) AS id", "concat('unit w', id) AS label")
+    assert flag_duplicates(apart, 0.9).count() == 0
+
+
+def test_block_json_keeps_the_markup_of_each_type(spark, tmp_path):
+    import hashlib
+
+    text = "\n".join(["a", "b", "c", "it's <b> & \"x\"", "e", "item", "item", "t", "cap", "pic"])
+    spark.createDataFrame([(1, text, "en", "s", 10)], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.block_type: r.html for r in entry.queries()["s6_read_block_json"](spark, str(tmp_path)).collect()}
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    level = 1 + len("it's <b> & \"x\"") % 4
+    assert got["SectionHeader"] == md5(f"<h{level}>it&#x27;s &lt;b&gt; &amp; &quot;x&quot;</h{level}>")
+    assert got["ListItem"] == md5("<li>item</li>") and got["Picture"] == md5("") and got["Caption"] == md5("<p block-type='Caption'>cap</p>")
