@@ -5,8 +5,8 @@ among siblings), block_type, text, and, where they apply (``NODE``, absent colum
 block's own), heading_level, has_continuation, quote_level, indent_level, ref (a reference's name), description, image (base64
 payload), formats, url, superscript (spans), removed, x0, y0, x1, y1. Ids are unique in a document.
 
-The nodes are written once, each level reads its own and deals them by page; a level's aggregation groups by (document, page,
-parent), which that partitioning serves.
+Each level reads its own nodes and deals them by page; its aggregation groups by (document, page, parent), which that
+partitioning serves, so that a node is shuffled once and nothing is written.
 """
 
 from __future__ import annotations
@@ -20,13 +20,16 @@ from pyspark.sql.window import Window as W
 from quire.functions.markup import html_to_markdown
 from quire.functions.text import HYPHENS, format_span, merge_consecutive_math, merge_consecutive_tags, replace_bullets
 from quire.operators.blocks import PAGE, section_hierarchy
-from quire.session import Scratch
 
 #: Columns of a node that may be absent.
 NODE = {
     "html": "string", "heading_level": "int", "has_continuation": "boolean", "quote_level": "int", "indent_level": "int", "ref": "string", "description": "string", "image": "string",
     "formats": "array<string>", "url": "string", "superscript": "boolean", "removed": "boolean", "x0": "double", "y0": "double", "x1": "double", "y1": "double",
 }
+#: Those that spans alone have, and one that nodes left over don't need.
+SPAN = {"formats", "url", "superscript", "removed"}
+#: Members of a group.
+KIDS = "array<struct<id:string,block_type:string,html:string,bbox:array<double>,images:map<string,string>>>"
 IMAGES = ["Picture", "Figure", "Diagram"]
 GROUPS = ["ListGroup", "TableGroup", "FigureGroup", "PictureGroup"]
 #: Blocks whose markup is taken as it is, in a paragraph, or behind what refers to them.
@@ -89,61 +92,82 @@ def _with_id(html: Column) -> Column:
     return F.when(F.col("block_type").isin("Line", "Span"), html).otherwise(out)
 
 
-def _line_ends(nodes: DataFrame) -> DataFrame:
-    """A line that ends in a hyphen before one that goes on in lower case loses it; ``open`` says how the line ends: cut, or with a break."""
-    order = W.partitionBy(*PAGE, "parent_id").orderBy("pos")
-    line = F.col("block_type") == "Line"
-    after = F.lead(F.when(line, F.coalesce("text", F.lit("")))).over(order)
-    hyphen = F.btrim("text").rlike(rf"(?s)[\p{{Ll}}\d][{HYPHENS}]$") & F.coalesce(after, F.lit("")).rlike(r"^\s*\p{Ll}")
-    return nodes.withColumn("line_end", F.when(line, F.when(after.isNull(), "last").when(hyphen, "cut").otherwise("break")))
+def _line_ended(html: Column, cut: Column, last: Column) -> Column:
+    """A line that ends in a hyphen before one that goes on in lower case loses it; the last one is trimmed, the others end in a break."""
+    stripped = F.regexp_replace(html, rf"[{HYPHENS}](\s*(?:</[a-z]+>)*\s*)$", "$1")
+    return F.when(last, F.btrim(html, F.lit(" "))).when(cut, F.rtrim(stripped)).otherwise(_joined(html, "\n"))
+
+
+def _with_line_ends(list_: Column) -> Column:
+    """Sorted siblings, their lines ended."""
+
+    def ended(c: Column, k: Column) -> Column:
+        after = F.get(list_, k + 1)
+        last = F.coalesce(after["block_type"], F.lit("")) != "Line"
+        return F.when(c["block_type"] == "Line", c.withField("html", _line_ended(c["html"], c["hyphen"] & after["lower"], last))).otherwise(c)
+
+    return F.transform(list_, ended)
 
 
 def assemble(nodes: DataFrame, levels: int = 4, images: bool = True, block_ids: bool = False, keep: list[str] | None = None) -> DataFrame:
     """The blocks at the top of pages with ``html`` spliced from all below, ``holes`` (that of a group with its members' places
     left open), ``kids`` (a group's members) and ``images`` (id to payload of the images in it).
+
+    Spans have no children. Every level reads the nodes anew, so costly ones should be written first.
     """
     missing = [c for c in NODE if c not in nodes.columns]
     nodes = nodes.withColumns({c: F.lit(None).cast(NODE[c]) for c in missing}) if missing else nodes
+    line, leaf = F.col("block_type") == "Line", F.col("block_type") == "Span"
     span = format_span(F.coalesce("text", F.lit("")), F.coalesce("formats", F.array().cast("array<string>")), F.col("url"), F.coalesce("superscript", F.lit(False)))
-    shown = F.when(F.col("block_type") == "Span", span).when(F.col("block_type").isin(*IMAGES, "Reference"), "").otherwise(escape_html(F.coalesce("text", F.lit(""))))
-    rows = _line_ends(nodes.where(~F.coalesce("removed", F.lit(False))).select("doc_id", "page_id", "block_id", "parent_id", "depth", "pos", "block_type", "text", *NODE)).withColumn("shown", shown)
-    rows = Scratch(nodes.sparkSession, "tree").keep(rows, "nodes")  # each level reads its own nodes
-    own = ["block_id", "parent_id", "pos", "block_type", "shown", "line_end", *NODE]
-    box = F.array("x0", "y0", "x1", "y1")
+    shown = F.when(leaf, span).when(F.col("block_type").isin(*IMAGES, "Reference"), "").otherwise(escape_html(F.coalesce("text", F.lit(""))))
+    hyphen = line & F.coalesce(F.btrim("text").rlike(rf"(?s)[\p{{Ll}}\d][{HYPHENS}]$"), F.lit(False))
+    lower = line & F.coalesce(F.col("text").rlike(r"^\s*\p{Ll}"), F.lit(False))
+    rows = nodes.where(~F.coalesce("removed", F.lit(False))).withColumns({"shown": shown, "hyphen": hyphen, "lower": lower})
+    own = ["block_id", "parent_id", "pos", "block_type", "shown", "hyphen", "lower", *(c for c in NODE if c not in SPAN)]
+    payloads = "array<struct<id:string,image:string>>"
+    child = lambda html, inside: F.struct("pos", "block_id", "block_type", html.alias("html"), F.array("x0", "y0", "x1", "y1").alias("bbox"), "hyphen", "lower", inside.alias("inside"))
     below: DataFrame | None = None
     for depth in range(levels, 0, -1):
-        here = rows.where(F.col("depth") == depth).select(*PAGE, *own).repartition(*PAGE)
+        head = (F.col("depth") == depth) & ~leaf if depth > 1 else F.col("depth") == 1
+        here = rows.where(head)
         if below is None:
-            level = here.withColumns({"content": F.col("shown"), "refs": F.lit(""), "hole": F.lit(""), "kids": F.lit(None).cast("string"), "inside": F.create_map().cast("map<string,string>")})
+            level = here.select(*PAGE, *own).repartition(*PAGE).withColumns({"content": F.col("shown"), "refs": F.lit(""), "hole": F.lit(""), "kids": F.lit(None).cast(KIDS), "inside": F.lit(None).cast(payloads)})
         else:
-            child = F.struct("pos", "block_id", "block_type", F.col("made").alias("html"), box.alias("bbox"), F.col("inside"))
-            heads = here.select(*PAGE, F.col("block_id").alias("node"), F.struct(*own).alias("own"), F.lit(None).cast(below.select(child.alias("c")).schema["c"].dataType).alias("child"))
-            parts = below.select(*PAGE, F.col("parent_id").alias("node"), F.lit(None).cast(heads.schema["own"].dataType).alias("own"), child.alias("child"))
-            met = heads.unionByName(parts).groupBy(*PAGE, "node").agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("child").alias("list")).where("own is not null")
-            ordered = F.array_sort("list", lambda a, b: F.when(a["pos"] < b["pos"], -1).when(a["pos"] > b["pos"], 1).when(a["block_id"] < b["block_id"], -1).when(a["block_id"] > b["block_id"], 1).otherwise(0))
+            part = child(F.col("shown"), F.lit(None).cast(payloads))  # spans go to their parents at once
+            met = rows.where(head | (leaf & (F.col("depth") == depth + 1))).select(
+                *PAGE, F.when(head, F.col("block_id")).otherwise(F.col("parent_id")).alias("node"), F.when(head, F.struct(*own)).alias("own"), F.when(~head, part).alias("child"),
+            ).repartition(*PAGE)
+            made = below.select(*PAGE, F.col("parent_id").alias("node"), F.lit(None).cast(met.schema["own"].dataType).alias("own"), child(F.col("made"), F.col("inside")).alias("child"))
+            met = met.unionByName(made).groupBy(*PAGE, "node").agg(F.first("own", ignorenulls=True).alias("own"), F.collect_list("child").alias("list")).where("own is not null")
+            level = met.withColumn("list", F.sort_array("list")).withColumn("list", _with_line_ends(F.col("list"))).select(*PAGE, "own.*", "list")
             text = lambda list_: F.array_join(F.transform(list_, lambda c: c["html"]), "")
-            level = met.withColumn("list", ordered).select(*PAGE, "own.*", "list")
-            inside = F.reduce("list", F.create_map().cast("map<string,string>"), lambda m, c: F.map_concat(m, c["inside"]))
+            marked = F.filter("list", lambda c: c["inside"].isNotNull())
             level = level.select(
                 *PAGE, *own, F.when(F.size("list") > 0, text(F.col("list"))).otherwise(F.col("shown")).alias("content"), text(F.filter("list", lambda c: c["block_type"] == "Reference")).alias("refs"),
-                F.array_join(F.transform("list", lambda c: _joined("<content-ref src='", c["block_id"], "'></content-ref>")), "").alias("hole"),
-                F.when(F.col("block_type").isin(*GROUPS), F.transform("list", lambda c: F.struct(c["block_id"].alias("id"), c["block_type"].alias("block_type"), c["html"].alias("html"), c["bbox"].alias("bbox"), c["inside"].alias("images")))).alias("kids"),
-                inside.alias("inside"),
+                F.when(F.col("block_type").isin(*GROUPS), F.array_join(F.transform("list", lambda c: _joined("<content-ref src='", c["block_id"], "'></content-ref>")), "")).alias("hole"),
+                F.when(F.col("block_type").isin(*GROUPS), F.transform("list", lambda c: F.struct(c["block_id"].alias("id"), c["block_type"].alias("block_type"), c["html"].alias("html"), c["bbox"].alias("bbox"), _image_map(c["inside"]).alias("images")))).alias("kids"),
+                F.when(F.exists("list", lambda c: c["inside"].isNotNull()), F.flatten(F.transform(marked, lambda c: c["inside"]))).alias("inside"),
             )
-        stripped = F.regexp_replace("content", rf"[{HYPHENS}](\s*(?:</[a-z]+>)*\s*)$", "$1")
-        ended = F.when(F.col("line_end") == "cut", F.rtrim(stripped)).when(F.col("line_end") == "break", _joined(F.col("content"), "\n")).when(F.col("line_end") == "last", F.btrim("content", F.lit(" "))).otherwise(F.col("content"))
-        level = level.withColumn("content", ended).withColumn("made", block_html(F.col("content"), F.col("refs"), keep))
+        if depth == 1:  # lines with no block around them follow one another in the page
+            after = F.lead(F.struct("block_type", "lower")).over(W.partitionBy(*PAGE, "parent_id").orderBy("pos", "block_id"))
+            last = F.coalesce(F.col("after.block_type"), F.lit("")) != "Line"
+            level = level.withColumn("after", after).withColumn("content", F.when(line, _line_ended(F.col("content"), F.col("hyphen") & F.col("after.lower"), last)).otherwise(F.col("content"))).drop("after")
+        level = level.withColumn("removed", F.lit(False)).withColumn("made", block_html(F.col("content"), F.col("refs"), keep))
         if depth == 1:
             level = level.withColumn("holes", F.when(F.col("block_type").isin(*GROUPS), block_html(F.col("hole"), F.col("refs"), keep)))
         image = F.col("block_type").isin(*IMAGES)
         if images:
             name = _joined(F.replace("block_id", F.lit("/"), F.lit("_")), ".jpeg")
-            level = level.withColumn("inside", F.when(image, F.when(F.col("image").isNotNull(), F.create_map("block_id", "image")).otherwise(F.create_map().cast("map<string,string>"))).otherwise(F.col("inside")))
+            level = level.withColumn("inside", F.when(~image, F.col("inside")).when(F.col("image").isNotNull(), F.array(F.struct(F.col("block_id").alias("id"), F.col("image").alias("image")))))
             level = level.withColumn("made", F.when(image, _joined("<p>", F.col("made"), "<img src='", name, "'></p>")).otherwise(F.col("made")))
         if block_ids:
             level = level.withColumn("made", _with_id(F.col("made")))
         below = level
-    return below.select(*PAGE, "block_id", "pos", "block_type", "heading_level", F.col("made").alias("html"), F.coalesce("holes", "made").alias("holes"), "kids", F.col("inside").alias("images"), *["x0", "y0", "x1", "y1"])
+    return below.select(*PAGE, "block_id", "pos", "block_type", "heading_level", F.col("made").alias("html"), F.coalesce("holes", "made").alias("holes"), "kids", _image_map(F.col("inside")).alias("images"), *["x0", "y0", "x1", "y1"])
+
+
+def _image_map(inside: Column) -> Column:
+    return F.map_from_entries(F.coalesce(inside, F.array().cast("array<struct<id:string,image:string>>")))
 
 
 def _ordered(order: list[str], value: str, sep: str) -> Column:
@@ -152,9 +176,10 @@ def _ordered(order: list[str], value: str, sep: str) -> Column:
 
 def _documents(pages: DataFrame | None, tops: DataFrame, paginate: bool) -> DataFrame:
     """(doc_id, html): the pages' markup in order; ``pages`` names those that may have no block."""
-    made = tops.groupBy(*PAGE).agg(_ordered(["pos", "block_id"], "html", "").alias("html"))
+    parts = tops.select(*PAGE, "pos", "block_id", "html")
     if pages is not None:
-        made = made.unionByName(pages.select(*PAGE, F.lit("").alias("html"))).groupBy(*PAGE).agg(F.max("html").alias("html"))
+        parts = parts.unionByName(pages.select(*PAGE, F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("block_id"), F.lit("").alias("html")).repartition(*PAGE))
+    made = parts.groupBy(*PAGE).agg(_ordered(["pos", "block_id"], "html", "").alias("html"))
     if paginate:
         made = made.withColumn("html", _joined("<div class='page' data-page-id='", F.col("page_id").cast("string"), "'>", F.col("html"), "</div>"))
     docs = made.groupBy("doc_id").agg(_ordered(["page_id"], "html", "").alias("html"))
