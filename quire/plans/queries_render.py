@@ -130,13 +130,45 @@ def _m3p(s, d):
     return table(s, d, "pages").select("page_id", html_to_markdown(F.col("html")).alias("markdown"))
 
 
-@_query("m4_paginate", "SELECT doc_id, list_sort(list(DISTINCT page_id)) AS pages FROM blocks GROUP BY 1", "blocks")
+#: White space as a converter in Python sees it.
+_SPACE = r"[\p{Z}\t-\r\x1c-\x1f\x{85}]+"
+
+
+def _inline_md(x: str) -> str:
+    """Markdown of bold, italic and text: spaces single, marks at the words, entities read."""
+    x = rf"regexp_replace(regexp_replace({x}, '{_SPACE}', ' ', 'g'), '([*_$])', '\\\1', 'g')"
+    for tag, mark in (("b", "**"), ("i", "*")):
+        x = rf"regexp_replace(regexp_replace({x}, '<{tag}>( ?)</{tag}>', '\1', 'g'), '<{tag}>( ?)([^<]*?)( ?)</{tag}>', '\1{mark}\2{mark}\3', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''"), ("&amp;", "&")):
+        x = f"replace({x}, '{entity}', '{char}')"
+    return f"trim({x}, ' ')"
+
+
+_BULLETS = r"regexp_replace(flat, '(^|[\n ]|<[^>]*>)[•●○ഠം◦■▪▫–—-]( )', '\1\2', 'g')"
+
+#: Each page's rule and what its blocks give, in order; a paragraph that goes on is followed at once by one that comes next.
+_PAGED = rf""", im AS (SELECT *, {_inline_md(_MERGE.format(f"CASE WHEN block_type = 'ListItem' THEN {_BULLETS} ELSE flat END"))} AS md, block_type = 'Text' AND conf % 5 = 0 AS on_,
+  replace(regexp_replace(translate(text, E'|\n', '  '), '^{_SPACE}|{_SPACE}$', '', 'g'), '$', '\$') AS cell FROM bm),
+it AS (SELECT *, CASE WHEN lag(pos) OVER g IS NULL THEN '' WHEN conf % 2 = 1 OR lag(conf) OVER g % 2 = 1 THEN chr(10) || chr(10) ELSE chr(10) END || rtrim('- ' || md, ' ') AS item FROM im WHERE block_type = 'ListItem' WINDOW g AS (PARTITION BY doc_id, page_id, group_id ORDER BY pos)),
+pc AS (SELECT doc_id, page_id, -1 AS pos, '' AS block_id, '{{' || page_id || '}}' || repeat('-', 48) AS md, false AS on_, false AS para FROM pages_
+  UNION ALL SELECT doc_id, page_id, min(pos), group_id, string_agg(item, '' ORDER BY pos), false, true FROM it GROUP BY doc_id, page_id, group_id
+  UNION ALL SELECT doc_id, page_id, pos, block_id, CASE WHEN block_type IN ('PageHeader', 'PageFooter') THEN '' WHEN block_type = 'Picture' THEN '![](' || replace(block_id, '/', '_') || '.jpeg)'
+    WHEN block_type = 'Table' THEN CASE WHEN cell = '' THEN '|--|' ELSE '| ' || cell || ' |' || repeat(chr(10) || '|' || repeat('-', length(cell) + 2) || '|', 2) END
+    WHEN md = '' THEN '' WHEN block_type = 'SectionHeader' THEN repeat('#', heading_level::INT) || ' ' || regexp_replace(md, ' +', ' ', 'g')
+    ELSE CASE WHEN block_type = 'Text' AND conf % 7 = 0 THEN '> ' ELSE '' END || CASE WHEN NOT on_ THEN md WHEN regexp_matches(md, '[\p{{Ll}}\p{{Nd}}|][-—¬]$') THEN left(md, -1) ELSE md || ' ' END END,
+    on_, block_type = 'Picture' OR block_type IN ('Text', 'Caption', 'Footnote') AND NOT (block_type = 'Text' AND conf % 7 = 0) FROM im WHERE block_type <> 'ListItem'),
+sq AS (SELECT *, lead(para) OVER (PARTITION BY doc_id ORDER BY page_id, pos, block_id) AS next_para FROM pc WHERE md <> ''),
+mk AS (SELECT doc_id, list_sort(list(DISTINCT page_id)) AS pages, string_agg(CASE WHEN next_para IS NULL THEN rtrim(md, ' ') WHEN on_ AND next_para THEN md ELSE rtrim(md, ' ') || chr(10) || chr(10) END, '' ORDER BY page_id, pos, block_id) AS md FROM sq GROUP BY 1)
+SELECT doc_id, pages, md5(chr(10) || chr(10) || md || CASE WHEN ends_with(md, repeat('-', 48)) THEN chr(10) || chr(10) ELSE '' END) AS markdown FROM mk"""
+
+
+@_query("m4_paginate", _TREE + _PAGED, "blocks")
 def _m4(s, d):
-    """The numbers of the rules in a paginated document, read back from its markdown."""
+    """Whole paginated documents, and the numbers of their rules as read back from the markdown."""
     pages = blocks(s, d).select("doc_id", "page_id").distinct()
     md = M.render_markdown(tree(s, d), paginate=True, pages=pages)
     rule = r"\n\n\{(\d+)\}-{48}(?=\n\n)"
-    return md.select("doc_id", F.transform(F.regexp_extract_all("markdown", F.lit(rule), F.lit(1)), lambda x: x.cast("int")).alias("pages"))
+    return md.select("doc_id", F.transform(F.regexp_extract_all("markdown", F.lit(rule), F.lit(1)), lambda x: x.cast("int")).alias("pages"), F.md5("markdown").alias("markdown"))
 
 
 @_query(

@@ -1,8 +1,9 @@
 """The renderers' shared step: what it shuffles, and lines whose ends hang on the next one."""
 
+import __spark_entry__ as entry
+from oracle import SF, connect
 from quire.operators import render as M
 from quire.plans.queries_render import tree
-from oracle import SF
 
 
 def test_nodes_are_shuffled_once(spark):
@@ -23,3 +24,12 @@ def test_ends_of_lines(spark):
     made = {r.block_id: r.html for r in M.assemble(nodes).collect()}
     assert made["b"] == "<p block-type='Text'>An example that goes on to here</p>"
     assert [made[f"c{k}"] for k in range(4)] == ["An exam", "ple that goes on", "<p block-type='Text'>x</p>", "last"]
+
+
+def test_pagination_is_held_whole(spark):
+    """m4_paginate gives the digest of the whole paginated markdown, not its page numbers alone; its SQL gives the same one."""
+    rows = {r.doc_id: r for r in entry.queries()["m4_paginate"](spark, SF).collect()}
+    cur = connect(SF).execute(entry.oracle_sql()["m4_paginate"])
+    at = [c[0] for c in cur.description].index("markdown")
+    assert {r[0]: r[at] for r in cur.fetchall()} == {k: r["markdown"] for k, r in rows.items()}
+    assert len({r["markdown"] for r in rows.values()}) > len({tuple(r["pages"]) for r in rows.values()})
