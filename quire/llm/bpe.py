@@ -22,6 +22,7 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -76,7 +77,7 @@ class PairTree:
 
 
 class WordBpe:
-    """Encoder and decoder of one vocabulary file; lives in a Python worker."""
+    """Encoder of one vocabulary file; lives in a Python worker."""
 
     _open: dict[str, WordBpe] = {}
 
@@ -93,7 +94,6 @@ class WordBpe:
         v: dict[str, int] = model["vocab"]
         end: str = model["end_of_word_suffix"] or ""
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.by_id = {i: t for t, i in {**v, **self.special}.items()}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         #: (left id, right id) as one integer -> (rank, merged id)
         self.merge = {(v[a] << 24) | v[b]: (rank, v[a + b]) for rank, (a, b) in enumerate(pairs)}
@@ -255,10 +255,18 @@ class WordBpe:
                 held, chars = [], 0
         return out[: len(texts)]
 
-    def decode(self, ids: bytes) -> str:
-        """Tokens with one space between, as a vocabulary without a decoder is decoded."""
-        by_id = self.by_id
-        return " ".join([by_id[i] for i in memoryview(ids).cast("I")])
+
+@lru_cache(maxsize=2)
+def tokens_of(path: str) -> dict[int, str]:
+    """Tokens by id; a worker that decodes alone holds nothing else of the file."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    return {i: t for t, i in {**spec["model"]["vocab"], **{x["content"]: x["id"] for x in spec["added_tokens"]}}.items()}
+
+
+def decode_ids(ids: bytes, tokens: dict[int, str]) -> str:
+    """Tokens with one space between, as a vocabulary without a decoder is decoded."""
+    return " ".join([tokens[i] for i in memoryview(ids).cast("I")])
 
 
 def bpe_encode(text: Column, path: str) -> Column:
@@ -279,9 +287,9 @@ def bpe_decode(ids: Column, path: str) -> Column:
 
     @F.pandas_udf(T.StringType())
     def decode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = WordBpe.of(path)
+        tokens = tokens_of(path)
         for s in parts:
-            yield pd.Series([None if b is None else bpe.decode(b) for b in s], dtype=object)
+            yield pd.Series([None if b is None else decode_ids(b, tokens) for b in s], dtype=object)
 
     bounded_batches()
     return decode(ids)

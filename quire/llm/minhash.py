@@ -45,6 +45,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -113,16 +114,27 @@ def signature(shingles: np.ndarray) -> bytes:
 _SKETCH = T.StructType([T.StructField("n", T.LongType()), T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("sig", T.BinaryType())])
 
 
+def sketches(parts: Iterator[pd.Series], k: int) -> Iterator[pd.DataFrame]:
+    for s in parts:
+        rows = []
+        for t in s:
+            h = shingle_hashes(t, k)
+            d = hashlib.blake2b(h.tobytes(), digest_size=16).digest()
+            rows.append((len(h), int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), signature(h) if len(h) else None))
+        yield pd.DataFrame(rows, columns=["n", "k1", "k2", "sig"])
+    forget()
+
+
+def forget() -> None:
+    """Words are remembered within a task, or a batch of pairs: later stages of the worker need the room."""
+    _words.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def _sketch(text: Column, k: int) -> Column:
     @F.pandas_udf(_SKETCH)
     def sketch(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in parts:
-            rows = []
-            for t in s:
-                h = shingle_hashes(t, k)
-                d = hashlib.blake2b(h.tobytes(), digest_size=16).digest()
-                rows.append((len(h), int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True), signature(h) if len(h) else None))
-            yield pd.DataFrame(rows, columns=["n", "k1", "k2", "sig"])
+        yield from sketches(parts, k)
 
     return sketch(text)
 
@@ -177,6 +189,7 @@ def _linked(k: int, percent: int):
             h = shingle_hashes(x, k)
             both = len(np.intersect1d(h, kept, assume_unique=True))
             out.append(both > 0 and 100 * both >= percent * (len(h) + len(kept) - both))
+        forget()
         return pd.Series(out, dtype=bool)
 
     return linked
@@ -195,6 +208,7 @@ def _in_pivot(k: int):
             has = np.isin(kept, shingle_hashes(x, k), assume_unique=True)
             raw = np.packbits(has).tobytes()
             out.append((int(has.sum()), np.frombuffer(raw.ljust(-(-len(raw) // 8) * 8, b"\0"), dtype=np.int64)))
+        forget()
         return pd.DataFrame(out, columns=["inside", "bits"])
 
     return marked
@@ -205,6 +219,7 @@ def _all_shingles(text: Column, k: int) -> Column:
     def shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:
             yield pd.Series([shingle_hashes(t, k).astype(np.int64) for t in s], dtype=object)
+        forget()
 
     return shingles(text)
 

@@ -63,3 +63,15 @@ def test_query_over_the_whole_table(spark):
 def test_empty_and_repeated(documents, rows):
     out = documents(rows, extra=True).select("doc_id", bpe_encode(F.col("text"), PATH).alias("out")).collect()
     assert len(out) == len(rows) and len({bytes(r.out) for r in out}) <= 1
+
+
+def test_decoding_loads_tokens_alone(spark):
+    """A worker that decodes holds no encoder (its merges and words)."""
+    ids = spark.range(1, numPartitions=1).select(F.expr("unhex('0500000006000000')").alias("ids"))
+    library = Tokenizer.from_file(PATH)
+    made = ids.select(bpe_decode(F.col("ids"), PATH).alias("back")).collect()[0].back
+    assert made == library.decode([5, 6], skip_special_tokens=False)
+    from quire.llm import bpe
+
+    bpe.tokens_of.cache_clear()
+    assert bpe.decode_ids(bytes.fromhex("0500000006000000"), bpe.tokens_of(PATH)) == made and PATH not in WordBpe._open

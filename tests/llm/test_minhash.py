@@ -1,7 +1,9 @@
 import random
 
+import pandas as pd
 import pytest
 
+from quire.llm import minhash
 from quire.llm.components import connected_components
 from quire.llm.minhash import least_matches, minhash_groups
 from quire.session import Scratch
@@ -72,3 +74,10 @@ def test_components_of_chains(spark):
     df = connected_components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "t"))
     got = {r.node: r.component for r in df.collect()}
     assert {got[i] for i in range(61)} == {0} and {got[i] for i in (90, 95, 100)} == {90} and len(got) == 64
+
+
+def test_sketches_leave_no_words_behind():
+    """Words remembered while sketching are gone when the task ends, so that a later stage of the same worker has their room."""
+    made = list(minhash.sketches(iter([pd.Series(["a b c d", None, ""], dtype=object)]), 3))
+    assert made[0]["n"].tolist() == [2, 0, 0]
+    assert not minhash._words
