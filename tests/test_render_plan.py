@@ -1,9 +1,14 @@
 """The renderers' shared step: what it shuffles, and lines whose ends hang on the next one."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 from oracle import SF, connect
+from quire.functions.markup import html_to_markdown
 from quire.operators import render as M
+from quire.operators import rules as R
 from quire.plans.queries_render import tree
+from quire.session import Scratch
 
 
 def test_nodes_are_shuffled_once(spark):
@@ -33,3 +38,25 @@ def test_pagination_is_held_whole(spark):
     at = [c[0] for c in cur.description].index("markdown")
     assert {r[0]: r[at] for r in cur.fetchall()} == {k: r["markdown"] for k, r in rows.items()}
     assert len({r["markdown"] for r in rows.values()}) > len({tuple(r["pages"]) for r in rows.values()})
+
+
+def test_cycles_are_not_broadcast(spark):
+    """The rounds of v32 join tables as large as the edges: none goes through the driver."""
+    seen = []
+
+    class Seen(Scratch):
+        def keep(self, df, name):
+            seen.append(df._jdf.queryExecution().executedPlan().toString())
+            return super().keep(df, name)
+
+    edges = spark.createDataFrame([("p", "prerequisite", a, b) for a, b in [("x", "y"), ("y", "x"), ("y", "z")]] + [("q", "prerequisite", "x", "y")], "package_id string, relation_type string, source_id string, target_id string")
+    assert [r.package_id for r in R.prerequisite_cycles(edges, Seen(spark, "seen")).collect()] == ["p"]
+    assert any("Join" in x for x in seen) and not any("Broadcast" in x for x in seen)
+
+
+def test_markup_comes_in_bounded_batches(spark):
+    """Whole texts go to Python at most 1,000 at a time."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, 10_000)
+    html_to_markdown(F.lit("<p>a</p>"))
+    assert int(spark.conf.get(key)) == 1000
