@@ -89,7 +89,7 @@ def unwrap_math(text: Column) -> Column:
 
 def dehyphenate(line: Column, following: Column) -> Column:
     """Drop the last hyphen if the line ends in one and the next starts in lower case."""
-    broken = line.rlike(rf"(?s).*[{HYPHENS}]\s?$") & F.coalesce(following, F.lit("")).rlike(r"^\s?\p{Ll}")
+    broken = line.rlike(rf"[{HYPHENS}]\s?$") & F.coalesce(following, F.lit("")).rlike(r"^\s?\p{Ll}")
     return F.when(broken, F.regexp_replace(line, rf"[{HYPHENS}](\s?)$", "$1")).otherwise(line)
 
 

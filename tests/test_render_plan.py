@@ -1,10 +1,13 @@
 """The renderers' shared step: what it shuffles, and lines whose ends hang on the next one."""
 
+import time
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle import SF, connect
 from quire.functions.markup import html_to_markdown
+from quire.functions.text import dehyphenate
 from quire.operators import render as M
 from quire.operators import rules as R
 from quire.plans.queries_render import tree
@@ -60,3 +63,13 @@ def test_markup_comes_in_bounded_batches(spark):
     spark.conf.set(key, 10_000)
     html_to_markdown(F.lit("<p>a</p>"))
     assert int(spark.conf.get(key)) == 1000
+
+
+def test_hyphens_at_the_end_of_long_lines(spark):
+    """One pass over a line, however long: a pattern tried again from each of its characters takes the square of its length."""
+    rows = [("ab " * 100_000, "x"), ("ab " * 100_000 + "ab-", "x"), ("a-\n", " x"), ("a-", "X"), ("a\nb\u2014 ", "x"), (None, "x"), ("a-", None)]
+    df = spark.createDataFrame(rows, "line string, after string")
+    began = time.perf_counter()
+    out = [r.v for r in df.select(dehyphenate(F.col("line"), F.col("after")).alias("v")).collect()]
+    assert out == [rows[0][0], rows[1][0][:-1], "a\n", "a-", "a\nb ", None, "a-"]
+    assert time.perf_counter() - began < 10
