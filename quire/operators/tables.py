@@ -10,12 +10,12 @@ from html import escape
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from quire.functions.text import CELL_PATTERNS
+from quire.functions.text import CELL_PATTERNS, bind
 from quire.operators.blocks import PAGE
 from quire.operators.streams import Columns, Groups, solve_groups
 
@@ -41,28 +41,35 @@ def table_tokens(lines: DataFrame, tables: DataFrame) -> DataFrame:
     ``lines``: doc_id, page_id, line_idx, box, spans (array of text, x0, y0, x1, y1, chars: array of c, x0, y0, x1, y1); ``tables``:
     doc_id, page_id, pos, box. Characters whose centre is inside count; a gap of over half a character's height starts a new
     token in a span; a line without any characters gives its spans. Tokens of leaders alone go.
+
+    A line's tokens are made in its row, so that nothing but ``lines`` itself is shuffled, and not that where it comes dealt by page: the
+    tables are hashed, and the lines, whose characters are many times their text, neither sorted nor read twice.
     """
     apart = (F.col("l.x1") < F.col("t.x0")) | (F.col("l.x0") > F.col("t.x1")) | (F.col("l.y1") < F.col("t.y0")) | (F.col("l.y0") > F.col("t.y1"))
-    met = lines.alias("l").join(tables.alias("t"), (F.col("l.doc_id") == F.col("t.doc_id")) & (F.col("l.page_id") == F.col("t.page_id")) & ~apart)
-    met = met.select("t.doc_id", "t.page_id", "t.pos", F.struct("t.x0", "t.y0", "t.x1", "t.y1").alias("box"), "l.line_idx", F.round("l.y0", 1).alias("ly0"), F.round("l.y1", 1).alias("ly1"), "l.spans")
-    inside = lambda c: ((c["x0"] + c["x1"]) / 2).between(F.col("box.x0"), F.col("box.x1")) & ((c["y0"] + c["y1"]) / 2).between(F.col("box.y0"), F.col("box.y1"))
-    met = met.withColumn("has_chars", F.exists("spans", lambda s: F.coalesce(F.size(s["chars"]), F.lit(0)) > 0))
-    span = met.select(*TABLE, "box", "line_idx", "ly0", "ly1", "has_chars", F.posexplode("spans").alias("span", "s"))
-    span = span.withColumn("cs", F.when(F.col("has_chars"), F.filter("s.chars", inside)).when(inside(F.col("s")), F.array()))
-    # a token starts at each character behind a gap: texts are parted there by a character that texts don't hold
-    cs = F.col("cs")
+    met = lines.alias("l").join(tables.hint("shuffle_hash").alias("t"), (F.col("l.doc_id") == F.col("t.doc_id")) & (F.col("l.page_id") == F.col("t.page_id")) & ~apart)
+    twice = {c: 2 * F.col(f"t.{c}") for c in ("x0", "y0", "x1", "y1")}  # sums are compared, as there are many characters to halve
+    inside = lambda c: (c["x0"] + c["x1"]).between(twice["x0"], twice["x1"]) & (c["y0"] + c["y1"]).between(twice["y0"], twice["y1"])
     gap = lambda c, before: F.coalesce(c["x0"] - before["x1"] > 0.5 * F.greatest(c["y1"] - c["y0"], F.lit(1.0)), F.lit(True))
-    span = span.withColumn("fresh", F.transform(cs, lambda c, i: gap(c, F.get(cs, i - 1))))
-    text = F.array_join(F.zip_with(cs, "fresh", lambda c, f: F.concat(F.when(f, "\0").otherwise(""), c["c"])), "")
-    starts = F.filter(F.transform(cs, lambda c, i: F.when(F.get("fresh", i), c["x0"])), lambda x: x.isNotNull())
-    ends = F.filter(F.transform(cs, lambda c, i: F.when(F.coalesce(F.get("fresh", i + 1), F.lit(True)), c["x1"])), lambda x: x.isNotNull())
-    words = F.arrays_zip(F.split(F.expr("substr(text, 2)"), "\0").alias("text"), "x0", "x1")
-    split = span.where(F.size("cs") > 0).select(*TABLE, "line_idx", "ly0", "ly1", "span", text.alias("text"), starts.alias("x0"), ends.alias("x1"))
-    split = split.select(*TABLE, "line_idx", "ly0", "ly1", "span", F.posexplode(words).alias("token", "w")).select(*TABLE, "line_idx", "ly0", "ly1", "span", "token", "w.text", "w.x0", "w.x1")
-    whole = span.where(~F.col("has_chars") & F.col("cs").isNotNull()).select(*TABLE, "line_idx", "ly0", "ly1", "span", F.lit(0).alias("token"), "s.text", "s.x0", "s.x1")
-    tokens = split.unionByName(whole).withColumn("text", F.regexp_replace("text", r"^\s+|\s+$", "")).where((F.col("text") != "") & ~F.col("text").rlike(LEADERS))
-    seq = F.row_number().over(W.partitionBy(*TABLE, "line_idx").orderBy("span", "token")) - 1
-    return tokens.select(*TABLE, "line_idx", seq.alias("seq"), "text", F.round("x0", 1).alias("x0"), F.round("x1", 1).alias("x1"), F.col("ly0").alias("y0"), F.col("ly1").alias("y1"))
+    trimmed = lambda text: F.regexp_replace(text, r"^\s+|\s+$", "")
+
+    def token(cs: Column, first: Column, end: Column) -> Column:
+        text = F.array_join(F.transform(F.slice(cs, first + 1, end - first), lambda c: c["c"]), "")
+        return F.struct(trimmed(text).alias("text"), F.get(cs, first)["x0"].alias("x0"), F.get(cs, end - 1)["x1"].alias("x1"))
+
+    def cut(cs: Column) -> Column:
+        places = F.transform(cs, lambda c, i: F.when(gap(c, F.get(cs, i - 1)), i))
+        return bind(F.filter(places, lambda i: i.isNotNull()), lambda starts: F.transform(starts, lambda first, j: token(cs, first, F.coalesce(F.get(starts, j + 1), F.size(cs)))))
+
+    def tokens(spans: Column) -> Column:
+        of_chars = F.transform(spans, lambda s: bind(F.filter(F.coalesce(s["chars"], F.array()), inside), cut))
+        whole = F.transform(F.filter(spans, inside), lambda s: F.array(F.struct(trimmed(s["text"]).alias("text"), s["x0"].alias("x0"), s["x1"].alias("x1"))))
+        made = F.when(F.exists(spans, lambda s: F.coalesce(F.size(s["chars"]), F.lit(0)) > 0), of_chars).otherwise(whole)
+        return F.filter(F.flatten(made), lambda w: (w["text"] != "") & ~w["text"].rlike(LEADERS))
+
+    found = met.select("t.doc_id", "t.page_id", "t.pos", "l.line_idx", F.round("l.y0", 1).alias("y0"), F.round("l.y1", 1).alias("y1"), bind(F.col("l.spans"), tokens).alias("tokens"))
+    # the outer form keeps the optimizer from making the tokens a second time, in a filter of its own
+    out = found.select(*TABLE, "line_idx", F.posexplode_outer("tokens").alias("seq", "w"), "y0", "y1").where("seq is not null")
+    return out.select(*TABLE, "line_idx", "seq", "w.text", F.round("w.x0", 1).alias("x0"), F.round("w.x1", 1).alias("x1"), "y0", "y1")
 
 
 @lru_cache(1 << 16)

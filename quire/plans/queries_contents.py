@@ -122,11 +122,12 @@ SELECT doc_id, page_id, line_idx, row_number() OVER (PARTITION BY doc_id, line_i
 def _r1(s, d):
     """Lines of characters without the spaces between them, every seventh without characters, and a table over part of each page."""
     li = lines_boxed(s, d)
+    dealt = li.repartition("doc_id", "page_id")  # before the characters are made, which take many times the text's room
     char = lambda c, i: F.struct(c.alias("c"), (C("x0") + 10 * i).alias("x0"), C("y0").alias("y0"), (C("x0") + 10 * i + 9.5).alias("x1"), C("y1").alias("y1"))
     chars = F.filter(F.transform(F.split(F.when(C("line_idx") % 7 == 0, "").otherwise(C("text")), ""), char), lambda x: (x["c"] != " ") & (x["c"] != ""))
     span = F.struct(C("text"), C("x0"), C("y0"), C("x1"), C("y1"), chars.alias("chars"))
     wide = C("x1") + 10 * F.char_length("text")
-    lines = li.select("doc_id", "page_id", "line_idx", "x0", "y0", wide.alias("x1"), "y1", F.array(span).alias("spans"))
+    lines = dealt.select("doc_id", "page_id", "line_idx", "x0", "y0", wide.alias("x1"), "y1", F.array(span).alias("spans"))
     tables = li.select("doc_id", "page_id").distinct().select("*", F.lit(0).alias("pos"), F.lit(60.0).alias("x0"), F.lit(0.0).alias("y0"), F.lit(900.0).alias("x1"), F.lit(500.0).alias("y1"))
     return T.table_tokens(lines, tables).select("doc_id", "page_id", "line_idx", "seq", "text", "x0", "x1", "y0")
 

@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as entry
 from oracle import SF
 from quire.operators.contents import least_cost
-from quire.operators.tables import reconstruct
+from quire.operators.tables import reconstruct, table_tokens
 from quire.plans.fixtures import lines_boxed
 from quire.plans.queries_contents import columns, spread
 
@@ -150,3 +150,22 @@ def test_reconstructed_pages(spark):
 def test_no_call_for_each_page(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "FlatMapGroups" not in plan
+
+
+def test_characters_of_tables_are_made_once(spark):
+    """Behind the shuffle by page, and neither sorted nor exploded."""
+    plan = entry.queries()["r1_table_tokens"](spark, SF)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("split(CASE") == 1 and "ShuffledHashJoin" in plan and "Window" not in plan and "Union" not in plan
+
+
+def test_tokens_of_several_spans(spark):
+    char = lambda c, x: (c, float(x), 0.0, x + 9.0, 10.0)
+    span = lambda text, x0, x1, chars: (text, float(x0), 0.0, float(x1), 10.0, chars)
+    lines = [
+        (1, 0, 0, 0.0, 0.0, 300.0, 10.0, [span("", 0, 20, []), span("abcd", 0, 90, [char("a", -20), char("b", 0), char("c", 10), char("\0", 20), char(".", 60), char("d", 80)]), span("ef", 100, 120, [char("e", 100), char(" ", 110), char("f", 300)])]),
+        (1, 0, 1, 0.0, 0.0, 300.0, 10.0, [span(" whole ", 0, 40, None), span("...", 50, 60, []), span("far", 290, 400, []), span("end", 100, 140, None)]), (1, 1, 0, 0.0, 0.0, 300.0, 10.0, [span("x", 0, 9, [])]), (1, 0, 2, 400.0, 0.0, 500.0, 10.0, [span("y", 0, 9, [])]),
+    ]
+    df = spark.createDataFrame(lines, "doc_id long, page_id int, line_idx int, x0 double, y0 double, x1 double, y1 double, spans array<struct<text:string,x0:double,y0:double,x1:double,y1:double,chars:array<struct<c:string,x0:double,y0:double,x1:double,y1:double>>>>")
+    tables = spark.createDataFrame([(1, 0, 3, 0.0, 0.0, 200.0, 20.0), (1, 0, 4, 95.0, 0.0, 200.0, 20.0)], "doc_id long, page_id int, pos int, x0 double, y0 double, x1 double, y1 double")
+    got = sorted((r.pos, r.line_idx, r.seq, r.text, r.x0, r.x1) for r in table_tokens(df, tables).collect())
+    assert got == [(3, 0, 0, "bc\0", 0.0, 29.0), (3, 0, 1, "d", 80.0, 89.0), (3, 0, 2, "e", 100.0, 119.0), (3, 1, 0, "whole", 0.0, 40.0), (3, 1, 1, "end", 100.0, 140.0), (4, 0, 0, "e", 100.0, 119.0), (4, 1, 0, "end", 100.0, 140.0)]
