@@ -59,14 +59,22 @@ def page_map(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     return out.select(*PAGE, F.coalesce("folio", inferred).alias("printed_page"), source.alias("printed_source"), "page_offset", F.coalesce("samples", F.lit(0)).alias("samples"), "agreement")
 
 
+def profile_columns() -> list[Column]:
+    """Aggregates of blocks: images, text and headings."""
+    text = ~F.col("block_type").isin("Picture", "PageHeader", "PageFooter")
+    return [
+        F.count_if(F.col("block_type") == "Picture").alias("images"), F.sum(F.when(text, F.length("text")).otherwise(0)).alias("text_chars"), F.count_if(text).alias("text_blocks"),
+        F.count_if(F.col("block_type") == "SectionHeader").alias("headings"),
+    ]
+
+
+def density(chars: Column, low: int = 1000, high: int = 2500) -> Column:
+    return F.when(chars <= low, "low").when(chars >= high, "high").otherwise("medium")
+
+
 def material_profile(blocks: DataFrame, keys: list[str], low: int = 1000, high: int = 2500) -> DataFrame:
     """Images, text, headings of each lesson and its density."""
-    text = ~F.col("block_type").isin("Picture", "PageHeader", "PageFooter")
-    out = blocks.groupBy(*keys).agg(
-        F.count_distinct("page_id").alias("pages"), F.count_if(F.col("block_type") == "Picture").alias("images"), F.sum(F.when(text, F.length("text")).otherwise(0)).alias("text_chars"),
-        F.count_if(text).alias("text_blocks"), F.count_if(F.col("block_type") == "SectionHeader").alias("headings"),
-    )
-    return out.withColumn("density", F.when(F.col("text_chars") <= low, "low").when(F.col("text_chars") >= high, "high").otherwise("medium"))
+    return blocks.groupBy(*keys).agg(F.count_distinct("page_id").alias("pages"), *profile_columns()).withColumn("density", density(F.col("text_chars"), low, high))
 
 
 def table_shape(cells: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -13,10 +15,10 @@ from quire.operators.aggregates import table_shape
 from quire.operators.blocks import PAGE
 
 
-def lesson_pages(lessons: DataFrame, pages: DataFrame) -> DataFrame:
-    """Pages of each lesson: an interval join inside the book. ``lessons``: doc_id, id, first_page, last_page."""
+def lesson_pages(lessons: DataFrame, pages: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Pages of each lesson, with the pages' columns ``more``: an interval join inside the book. ``lessons``: doc_id, id, first_page, last_page."""
     j = lessons.alias("l").join(pages.alias("p"), (F.col("l.doc_id") == F.col("p.doc_id")) & F.col("p.page_key").between(F.col("l.first_page"), F.col("l.last_page")))
-    return j.select("l.doc_id", F.col("l.id").alias("lesson_id"), "p.page_key")
+    return j.select("l.doc_id", F.col("l.id").alias("lesson_id"), "p.page_key", *[f"p.{c}" for c in more])
 
 
 def blocks_to_sections(blocks: DataFrame, starts: DataFrame) -> DataFrame:
@@ -88,13 +90,17 @@ def toc_columns(lines: DataFrame, wide: float = 0.6, gap: float = 0.02) -> DataF
     return j.groupBy(*PAGE, "line_idx").agg(F.min(F.struct(away.alias("d"), F.col("col"))).alias("m")).select(*PAGE, "line_idx", F.col("m.col").alias("column"))
 
 
-def lesson_opening(blocks: DataFrame, most: int = 80) -> DataFrame:
-    """Title of a page: the only short block that isn't a bare number, else the first heading, else none."""
+def opening_title(most: int = 80) -> Column:
+    """Aggregate of a page's blocks: the only short block that isn't a bare number, else the first heading, else none."""
     text = F.btrim("text")
     short = (F.length(text) <= most) & (F.length(text) > 0) & ~text.rlike(r"^\p{Nd}+$")
-    return blocks.groupBy(*PAGE).agg(
-        F.count_if(short).alias("n"), F.min(F.when(short, F.struct("pos", text.alias("t")))).alias("only"), F.min(F.when(F.col("block_type") == "SectionHeader", F.struct("pos", text.alias("t")))).alias("head"),
-    ).select(*PAGE, F.when(F.col("n") == 1, F.col("only.t")).otherwise(F.col("head.t")).alias("title"))
+    first = lambda which: F.min(F.when(which, F.struct("pos", text.alias("t"))))["t"]
+    return F.when(F.count_if(short) == 1, first(short)).otherwise(first(F.col("block_type") == "SectionHeader"))
+
+
+def lesson_opening(blocks: DataFrame, most: int = 80) -> DataFrame:
+    """Title of a page: the only short block that isn't a bare number, else the first heading, else none."""
+    return blocks.groupBy(*PAGE).agg(opening_title(most).alias("title"))
 
 
 def number_anchors(lines: DataFrame, least: float = 3.0) -> DataFrame:

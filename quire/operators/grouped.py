@@ -255,10 +255,9 @@ def number_lessons(printed: list[int | None]) -> list[int]:
 def lesson_numbers(lessons: DataFrame) -> DataFrame:
     """Printed number if it is still free in the book, else the lowest free one, in page order (first_page, id)."""
 
-    def number(book: pd.DataFrame) -> pd.DataFrame:
-        book = book.sort_values(["first_page", "id", "printed"], na_position="first", kind="stable")
-        printed = [None if pd.isna(x) else int(x) for x in book["printed"]]
-        return book[["package_id", "id"]].assign(number=number_lessons(printed))
+    def number(columns: Columns, books: Groups) -> tuple[np.ndarray, dict[str, list[int]]]:
+        printed = [None if pd.isna(x) else int(x) for x in columns["printed"].tolist()]
+        return np.arange(len(printed)), {"number": [n for start, stop in books for n in number_lessons(printed[start:stop])]}
 
-    schema = T.StructType([lessons.schema["package_id"], lessons.schema["id"], T.StructField("number", T.IntegerType())])
-    return lessons.select("package_id", "id", "first_page", "printed").groupBy("package_id").applyInPandas(number, schema)
+    rows = lessons.select("package_id", "id", "first_page", "printed")
+    return solve_groups(rows, ["package_id"], ["first_page", "id", "printed"], ["package_id", "id"], {"number": T.IntegerType()}, number)

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from quire.functions.text import ordinal_id
-from quire.operators.aggregates import material_profile
-from quire.operators.books import lesson_opening, lesson_pages
+from quire.operators.aggregates import density, profile_columns
+from quire.operators.blocks import PAGE
+from quire.operators.books import lesson_pages, opening_title
 from quire.operators.grouped import lesson_numbers
+from quire.session import Scratch
+
 
 def lesson_bounds(toc: DataFrame, pages: DataFrame) -> DataFrame:
     """Contents rows with ``first_page`` and ``last_page``: a lesson runs to the page before the next one's, the last to the end of the book."""
@@ -29,24 +32,30 @@ def lesson_title(toc_title: Column, approximate: Column, opening: Column, printe
     return F.when(has_toc, make(toc_title, "toc", approximate)).otherwise(out) if verbatim else out
 
 
+def page_content(blocks: DataFrame, short: int) -> DataFrame:
+    """A row a page: its blocks in order (``listed``), the ``profile`` of its material, and its ``opening``."""
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("pos", "block_id"))), lambda x: x["block_id"])
+    return blocks.groupBy(*PAGE).agg(listed.alias("listed"), F.struct(*profile_columns()).alias("profile"), opening_title(short).alias("opening"))
+
+
 def segment_lessons(toc: DataFrame, blocks: DataFrame, verbatim: bool = False, short: int = 80) -> DataFrame:
     """Lessons of each book: id, number, title and where it comes from, pages, blocks in order, and the profile of their material.
 
     ``toc``: doc_id, seq, printed_page, printed (the number the book prints, or null), title, approximate. A lesson without a page is left out.
     """
-    pages = blocks.select("doc_id", "page_id").distinct()
+    kept = Scratch(blocks.sparkSession, "lessons").keep(page_content(blocks, short), "pages")  # blocks are read once, lessons are made of whole pages
+    pages = kept.select("doc_id", "page_id")
     bounds = lesson_bounds(toc, pages).withColumn("key", F.col("seq").cast("string"))
-    held = lesson_pages(bounds.select("doc_id", F.col("key").alias("id"), "first_page", "last_page"), pages.select("doc_id", F.col("page_id").alias("page_key")))
-    held = held.select("doc_id", F.col("lesson_id").alias("key"), F.col("page_key").alias("page_id"))
-    span = held.groupBy("doc_id", "key").agg(F.min("page_id").alias("pdf_start"), F.max("page_id").alias("pdf_end"))
-    placed = blocks.join(held, ["doc_id", "page_id"])
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("page_id", "pos", "block_id"))), lambda x: x["block_id"])
-    ids = placed.groupBy("doc_id", "key").agg(listed.alias("block_ids"))
-    profile = material_profile(placed, ["doc_id", "key"])
-    opening = lesson_opening(blocks, short).select("doc_id", F.col("page_id").alias("pdf_start"), F.col("title").alias("opening"))
+    held = lesson_pages(bounds.select("doc_id", F.col("key").alias("id"), "first_page", "last_page"), kept.withColumnRenamed("page_id", "page_key"), ["listed", "profile"])
+    held = held.withColumnsRenamed({"lesson_id": "key", "page_key": "page_id"})
+    sums = [F.sum(f"profile.{c}").alias(c) for c in ("images", "text_chars", "text_blocks", "headings")]
+    listed = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("page_id", "listed"))), lambda x: x["listed"]))
+    span = held.groupBy("doc_id", "key").agg(F.min("page_id").alias("pdf_start"), F.max("page_id").alias("pdf_end"), listed.alias("block_ids"), F.count_distinct("page_id").alias("pages"), *sums)
+    span = span.withColumn("density", density(F.col("text_chars")))
+    opening = kept.select("doc_id", F.col("page_id").alias("pdf_start"), "opening")
     j = bounds.join(span, ["doc_id", "key"]).join(opening, ["doc_id", "pdf_start"], "left")
     numbers = lesson_numbers(j.select(F.col("doc_id").alias("package_id"), F.col("key").alias("id"), "first_page", "printed")).select(F.col("package_id").alias("doc_id"), F.col("id").alias("key"), "number")
-    j = j.join(numbers, ["doc_id", "key"]).join(ids, ["doc_id", "key"]).join(profile, ["doc_id", "key"])
+    j = j.join(numbers, ["doc_id", "key"])
     j = j.withColumn("t", lesson_title(F.col("title"), F.coalesce("approximate", F.lit(False)), F.col("opening"), F.col("printed"), verbatim))
     lesson_id = ordinal_id(F.col("doc_id").cast("string"), "lesson", F.col("number"))
     return j.select("doc_id", lesson_id.alias("id"), "number", "t.title", F.col("t.source").alias("title_source"), "t.approximate", "first_page", "last_page", "pdf_start", "pdf_end", "block_ids", "pages", "images", "text_chars", "text_blocks", "headings", "density")

@@ -150,3 +150,9 @@ def test_cells_take_free_places(spark):
     got = sorted((r.row_id, r.col_id, r.text, r.first) for r in place_cells(cells, ["k"]).collect())
     assert got == [(0, 0, "a", True), (0, 1, "b", True), (0, 2, "", False), (1, 0, "", False), (1, 1, "c", True), (1, 2, "", True)]
     assert cells_to_html(cells, ["k"]).first().html.startswith("<table><tbody><tr><td rowspan=2>a</td><td colspan=2>b</td></tr>")
+
+
+def test_lessons_are_numbered_many_books_a_call(spark):
+    """And blocks are read for their pages once, not for each of what a lesson tells."""
+    plan = entry.queries()["c7_segment_lessons"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroups" not in plan and "PageHeader" not in plan
