@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from quire.functions.text import make_id
-from quire.operators.claims import check_wording, claim_confidence, flag_duplicates, review_reasons, verify_claims
-from quire.operators.steps import admit_objectives
+from quire.operators.claims import check_wording, claim_confidence, claim_levels, first_twin, review_reasons, weigh_citations
 
 
 def admit_concepts(proposals: DataFrame, citations: DataFrame, unit_blocks: DataFrame) -> DataFrame:
@@ -24,9 +23,9 @@ def admit_concepts(proposals: DataFrame, citations: DataFrame, unit_blocks: Data
     return g.select("package_id", "id", outcome.alias("outcome"), (F.col("cited") - F.col("kept")).cast("int").alias("dropped"))
 
 
-def _grounded(claims: DataFrame, citations: DataFrame, words: DataFrame | None, lesson_words: DataFrame | None, kind: str, label: Column) -> DataFrame:
-    """Claims with level, confidence, reasons, foreign words and the id made from their label."""
-    scored = review_reasons(claim_confidence(verify_claims(claims, citations)))
+def _grounded(claims: DataFrame, words: DataFrame | None, lesson_words: DataFrame | None, kind: str, label: Column) -> DataFrame:
+    """Claims and their evidence with level, confidence, reasons, foreign words and the id made from their label."""
+    scored = review_reasons(claim_confidence(claim_levels(claims)))
     if words is not None and lesson_words is not None:
         foreign = check_wording(words, lesson_words).groupBy("lesson_id", F.col("claim_id").alias("id")).agg(F.sort_array(F.collect_set("word")).alias("foreign_words"))
         scored = scored.join(foreign, ["lesson_id", "id"], "left")
@@ -40,11 +39,10 @@ def ground_concepts(proposals: DataFrame, citations: DataFrame, unit_blocks: Dat
     ``proposals``: package_id, lesson_id, id, label, claimed_level, model_confidence, density, a row each; ``citations``: package_id, id, block_id, matched,
     method, asset_id; ``words`` and ``lesson_words`` as in ``check_wording``.
     """
-    good = admit_concepts(proposals, citations, unit_blocks).where("outcome = 'accepted'").select("package_id", "id", "dropped")
-    own = citations.join(unit_blocks.select("package_id", "block_id").distinct(), ["package_id", "block_id"], "left_semi")
-    out = _grounded(proposals.join(good, ["package_id", "id"]), own, words, lesson_words, "concept", F.col("label"))
-    twins = flag_duplicates(out.select("package_id", "lesson_id", "id", "label"), 1.0).groupBy("package_id", F.col("id_b").alias("id")).agg(F.min("id_a").alias("duplicate_of"))
-    return out.join(twins, ["package_id", "id"], "left")
+    own = unit_blocks.select("package_id", "block_id", F.lit(True).alias("own")).distinct()
+    weighed = weigh_citations(citations.join(own, ["package_id", "block_id"], "left")).where("kept > 0").withColumn("dropped", (F.col("cited") - F.col("kept")).cast("int"))
+    admitted = proposals.where(F.length(F.btrim("label")) > 0).join(weighed, ["package_id", "id"])  # what admit_concepts accepts
+    return first_twin(_grounded(admitted, words, lesson_words, "concept", F.col("label"))).drop("cited", "kept")
 
 
 def ground_objectives(proposals: DataFrame, concepts: DataFrame, citations: DataFrame, words: DataFrame | None = None, lesson_words: DataFrame | None = None, most: int = 3) -> DataFrame:
@@ -52,8 +50,9 @@ def ground_objectives(proposals: DataFrame, concepts: DataFrame, citations: Data
 
     ``proposals`` as above with concept_id and statement; ``concepts``: package_id, concept_id, block_id.
     """
-    good = admit_objectives(proposals, concepts, citations).where("outcome = 'accepted'").select("package_id", "id").distinct()
-    allowed = proposals.select("package_id", "id", "concept_id").join(concepts.select("package_id", "concept_id", "block_id").distinct(), ["package_id", "concept_id"]).select("package_id", "id", "block_id")
-    own = citations.join(allowed, ["package_id", "id", "block_id"], "left_semi")
-    out = _grounded(proposals.join(good, ["package_id", "id"]), own, words, lesson_words, "objective", F.col("statement"))
+    allowed = concepts.select("package_id", "concept_id", "block_id", F.lit(True).alias("own")).distinct()
+    cited = citations.join(proposals.select("package_id", "id", "concept_id"), ["package_id", "id"])
+    weighed = weigh_citations(cited.join(allowed, ["package_id", "concept_id", "block_id"]), "concept_id").drop("cited", "kept")
+    admitted = proposals.where(F.length(F.btrim("statement")) > 0).join(weighed, ["package_id", "id"])  # what admit_objectives accepts
+    out = _grounded(admitted, words, lesson_words, "objective", F.col("statement"))
     return out.withColumn("crowded", F.count("*").over(W.partitionBy("package_id", "concept_id")) > most)

@@ -113,3 +113,34 @@ def test_block_json_keeps_the_markup_of_each_type(spark, tmp_path):
     level = 1 + len("it's <b> & \"x\"") % 4
     assert got["SectionHeader"] == md5(f"<h{level}>it&#x27;s &lt;b&gt; &amp; &quot;x&quot;</h{level}>")
     assert got["ListItem"] == md5("<li>item</li>") and got["Picture"] == md5("") and got["Caption"] == md5("<p block-type='Caption'>cap</p>")
+
+
+@pytest.mark.parametrize(("name", "reads"), [("c17_ground_concepts", 3), ("c17_ground_objectives", 4)])
+def test_grounding_reads_each_table_once(spark, name, reads):
+    """Proposals, citations and blocks; objectives join their proposals to the citations and again to what these weigh."""
+    plan = entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == reads
+
+
+def test_first_twin_is_the_first_duplicate(spark):
+    import random
+
+    from quire.operators.claims import first_twin, flag_duplicates
+
+    r = random.Random(7)
+    rows = [("p", r.choice(["l", "m", None]), f"c{i:03d}", r.choice([None, "", " "] + [" ".join(r.choices("abc", k=r.randint(1, 3))) for _ in range(9)])) for i in range(120)]
+    df = spark.createDataFrame(rows, "package_id string, lesson_id string, id string, label string")
+    want: dict[str, str] = {}
+    for x in flag_duplicates(df, 1.0).collect():
+        want[x.id_b] = min(want.get(x.id_b, x.id_a), x.id_a)
+    assert {x.id: x.duplicate_of for x in first_twin(df).collect()} == {row[2]: want.get(row[2]) for row in rows} and len(want) > 20
+
+
+def test_foreign_citations_weigh_nothing(spark):
+    from quire.operators.ground import ground_concepts
+
+    proposals = spark.createDataFrame([("p", "l", "c1", "a b", "explicit", 0.5, "high"), ("p", "l", "c2", "B  a", "explicit", 0.5, "low"), ("p", "l", "c3", "x", "explicit", 0.5, "high"), ("p", "l", "c4", " ", "explicit", 0.5, "high"), ("p", "l", "c5", "y", "explicit", 0.5, "high")], "package_id string, lesson_id string, id string, label string, claimed_level string, model_confidence double, density string")
+    cites = [("c1", "b1", True, "exact", None), ("c1", "b1", False, "exact", None), ("c1", "z1", True, "exact", None), ("c1", "z1", True, "exact", None), ("c1", None, True, "exact", None), ("c2", "b2", True, "token_overlap", "i"), ("c2", "z2", True, "exact", None), ("c3", "z1", True, "exact", None), ("c4", "b1", True, "exact", None)]
+    citations = spark.createDataFrame([("p", *c) for c in cites], "package_id string, id string, block_id string, matched boolean, method string, asset_id string")
+    got = {r.id: (r.level, r.n_evidence, r.n_verified, r.exact, r.dropped, r.duplicate_of) for r in ground_concepts(proposals, citations, spark.createDataFrame([("p", "b1"), ("p", "b2"), ("p", "b2"), ("q", "z1")], "package_id string, block_id string")).collect()}
+    assert got == {"c1": ("explicit", 2, 1, True, 2, None), "c2": ("needs_visual_review", 1, 1, False, 1, "c1")}
