@@ -240,26 +240,31 @@ def ordinal_to_int(text: Column) -> Column:
     return F.element_at(known, compact(text))
 
 
-def unit_heading(title: Column, most: int = 8) -> Column:
+#: Characters of a unit's word, at most.
+UNIT_WORD = 8
+
+
+def unit_heading(title: Column, most: int = UNIT_WORD) -> Column:
     """(word, index) that a contents row declares, or nulls: a word and an ordinal, a word and a numeral, or a leading index.
 
     Read on the compact title; of several ordinals the earliest counts, then the longest.
     """
+    return bind(compact(title), lambda t: compact_heading(t, most))
 
+
+def compact_heading(t: Column, most: int = UNIT_WORD) -> Column:
+    """The same of a title that is compact already."""
     known = ordinals()
     # the shortest lead, then the longest word, as alternatives are tried in order
     ordinal = rf"^(.{{1,{most}}}?)({'|'.join(sorted(known, key=len, reverse=True))})"
     value = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
     numeral, leading = rf"^([^0-9]{{1,{most}}})([0-9]{{1,2}})(?![0-9])", r"^([0-9]{1,2})(?![0-9])"
 
-    def read(t: Column) -> Column:
-        return (
-            F.when(t.rlike(ordinal), F.struct(F.regexp_extract(t, ordinal, 1).alias("word"), F.element_at(value, F.regexp_extract(t, ordinal, 2)).cast("int").alias("index")))
-            .when(t.rlike(numeral), F.struct(F.regexp_extract(t, numeral, 1).alias("word"), F.regexp_extract(t, numeral, 2).cast("int").alias("index")))
-            .when(t.rlike(leading), F.struct(F.lit("").alias("word"), F.regexp_extract(t, leading, 1).cast("int").alias("index")))
-        )
-
-    return bind(compact(title), read)
+    return (
+        F.when(t.rlike(ordinal), F.struct(F.regexp_extract(t, ordinal, 1).alias("word"), F.element_at(value, F.regexp_extract(t, ordinal, 2)).cast("int").alias("index")))
+        .when(t.rlike(numeral), F.struct(F.regexp_extract(t, numeral, 1).alias("word"), F.regexp_extract(t, numeral, 2).cast("int").alias("index")))
+        .when(t.rlike(leading), F.struct(F.lit("").alias("word"), F.regexp_extract(t, leading, 1).cast("int").alias("index")))
+    )
 
 
 def id_slug(text: Column) -> Column:

@@ -7,13 +7,13 @@ numbers) are small helpers over a page's items.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from quire.functions import geometry as G
-from quire.functions.text import compact, digits_to_int, split_trailing_page, unit_heading
+from quire.functions.text import UNIT_WORD, bind, compact, compact_heading, digits_to_int, split_trailing_page
 from quire.operators.blocks import PAGE
 from quire.operators.books import number_anchors, toc_columns
 from quire.operators.grouped import rtl_reading_order
@@ -121,19 +121,22 @@ def label_units(rows: DataFrame, least: float = 0.5) -> DataFrame:
     A row that starts with a word the page's other units have is a unit without an index. A unit without a page takes that of the next
     row down in its column, unless that is a unit. ``rows``: doc_id, page_id, row_id, title, printed_page, x0, x1.
     """
-    m = rows.withColumns({"m": unit_heading(F.col("title")), "plain": compact(F.col("title"))})
-    known = m.where("m.word <> ''").select(*PAGE, F.col("m.word").alias("known")).distinct().groupBy(*PAGE).agg(F.collect_set("known").alias("known"))
-    m = m.join(known, PAGE, "left")
-    starts = F.filter(F.coalesce("known", F.array().cast("array<string>")), lambda w: F.col("plain").startswith(w) & (F.char_length("plain") > F.char_length(w)))
+    page = W.partitionBy(*PAGE)
+    read = bind(compact(F.col("title")), lambda t: F.struct(compact_heading(t).alias("m"), F.substring(t, 1, UNIT_WORD + 1).alias("plain")))  # a title is read once
+    m = rows.withColumn("read", read).select(*rows.columns, "read.m", "read.plain")
+    m = m.withColumn("known", F.collect_set(F.when(F.col("m.word") != "", F.col("m.word"))).over(page))
+    starts = F.filter("known", lambda w: F.col("plain").startswith(w) & (F.char_length("plain") > F.char_length(w)))
     longest = F.array_max(F.transform(starts, lambda w: F.struct(F.char_length(w).alias("n"), w.alias("w"))))["w"]
     m = m.withColumns({"unit_word": F.coalesce(F.col("m.word"), longest), "unit_index": F.col("m.index")}).drop("m", "plain", "known")
-    need = m.where("unit_word is not null and printed_page is null").alias("u")
-    common = F.least("u.x1", "f.x1") - F.greatest("u.x0", "f.x0")
-    narrow = F.least(F.col("u.x1") - F.col("u.x0"), F.col("f.x1") - F.col("f.x0"))
-    below = (F.col("u.doc_id") == F.col("f.doc_id")) & (F.col("u.page_id") == F.col("f.page_id")) & (F.col("f.row_id") > F.col("u.row_id")) & (common > 0) & (narrow > 0) & (common / narrow >= least)
-    follower = need.join(m.alias("f"), below).groupBy("u.doc_id", "u.page_id", "u.row_id").agg(F.min(F.struct("f.row_id", "f.unit_word", "f.printed_page")).alias("f"))
-    carried = follower.select(*PAGE, "row_id", F.when(F.col("f.unit_word").isNull(), F.col("f.printed_page")).alias("carried"))
-    return m.join(carried, [*PAGE, "row_id"], "left").withColumn("printed_page", F.coalesce("printed_page", "carried")).drop("carried")
+
+    def below(f: Column) -> Column:
+        common, narrow = F.least("x1", f["x1"]) - F.greatest("x0", f["x0"]), F.least(F.col("x1") - F.col("x0"), f["x1"] - f["x0"])
+        return (f["row_id"] > F.col("row_id")) & (common > 0) & (narrow > 0) & (common / narrow >= least)
+
+    m = m.withColumn("others", F.collect_list(F.struct("row_id", "unit_word", "printed_page", "x0", "x1")).over(page))
+    next_row = F.array_min(F.filter("others", below))
+    carried = F.when(F.col("unit_word").isNotNull() & F.col("printed_page").isNull(), bind(next_row, lambda f: F.when(f["unit_word"].isNull(), f["printed_page"])))
+    return m.withColumn("printed_page", F.coalesce("printed_page", carried)).drop("others")
 
 
 def plain_toc(labelled: DataFrame, counts: DataFrame, least: int = 5, distinct: float = 0.9, reach: float = 0.4) -> DataFrame:
@@ -142,9 +145,10 @@ def plain_toc(labelled: DataFrame, counts: DataFrame, least: int = 5, distinct:
     ``counts``: doc_id, page_count.
     """
     rows = labelled.join(counts, "doc_id").where("unit_word is not null and printed_page > 0 and printed_page <= page_count")
-    g = rows.groupBy(*PAGE).agg(F.count("*").alias("n"), F.count_distinct("printed_page").alias("d"), F.max("printed_page").alias("top"), F.max("page_count").alias("pages"))
-    good = g.where((F.col("n") >= least) & (F.col("d") >= distinct * F.col("n")) & (F.col("top") >= reach * F.col("pages"))).select(*PAGE)
-    return rows.join(good, PAGE, "left_semi").select(*PAGE, "row_id", "title", "printed_page", F.col("unit_index").alias("number"))
+    page = W.partitionBy(*PAGE)
+    g = rows.withColumns({"n": F.count("*").over(page), "d": F.size(F.collect_set("printed_page").over(page)), "top": F.max("printed_page").over(page), "pages": F.max("page_count").over(page)})
+    good = (F.col("n") >= least) & (F.col("d") >= distinct * F.col("n")) & (F.col("top") >= reach * F.col("pages"))
+    return g.where(good).select(*PAGE, "row_id", "title", "printed_page", F.col("unit_index").alias("number"))
 
 
 def choose_toc(decorative: DataFrame, plain: DataFrame) -> DataFrame:

@@ -169,3 +169,9 @@ def test_tokens_of_several_spans(spark):
     tables = spark.createDataFrame([(1, 0, 3, 0.0, 0.0, 200.0, 20.0), (1, 0, 4, 95.0, 0.0, 200.0, 20.0)], "doc_id long, page_id int, pos int, x0 double, y0 double, x1 double, y1 double")
     got = sorted((r.pos, r.line_idx, r.seq, r.text, r.x0, r.x1) for r in table_tokens(df, tables).collect())
     assert got == [(3, 0, 0, "bc\0", 0.0, 29.0), (3, 0, 1, "d", 80.0, 89.0), (3, 0, 2, "e", 100.0, 119.0), (3, 1, 0, "whole", 0.0, 40.0), (3, 1, 1, "end", 100.0, 140.0), (4, 0, 0, "e", 100.0, 119.0), (4, 1, 0, "end", 100.0, 140.0)]
+
+
+def test_titles_are_read_once(spark):
+    """One pass makes the units, and their pages judge them by windows: no row meets another by a join."""
+    plan = entry.queries()["c6_plain_toc"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # rows, and the pages of their books
