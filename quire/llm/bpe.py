@@ -13,6 +13,9 @@ root holds no mergeable pair.
 * Special tokens written in a text become their ids, as the library does by default.
 * Words are remembered between texts in a table of bounded size (``MEMO`` and the words of one run),
   emptied when full. New short words are encoded together, their trees stepping side by side in numpy.
+* Of a batch a stretch of texts (``TOGETHER`` code points and what the last text goes beyond them) is held as words at a
+  time, and its results are returned before the next. ``bpe_round_trip`` encodes and decodes a stretch in one worker:
+  ``bpe_decode`` of ``bpe_encode`` takes two for each task, with a copy of the libraries in each.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ from quire.session import bounded_batches
 #: Entries of a Python worker's table of words.
 MEMO = 200_000
 #: Bytes of a word that shares its steps with others, words that do at a time, code points of text between two such runs.
-SHORT, LANES, TOGETHER = 64, 8192, 2_000_000
+SHORT, LANES, TOGETHER = 64, 8192, 500_000
 #: str.split() also splits at these, \s of the pattern doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
 
@@ -228,12 +231,11 @@ class WordBpe:
         text = text.lower()
         return [c for c in regex.split(r"\s+", text) if c] if _ODD.search(text) else text.split()
 
-    def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
+    def encode_stretches(self, texts: list[str | None]) -> Iterator[list[bytes]]:
+        """Ids of each text as little-endian unsigned 32-bit integers, in order, a stretch of texts at a time."""
         held: list[list[list[str] | bytes]] = []
         chars = 0
-        for text in [*texts, None]:
+        for at, text in enumerate(texts, 1):
             parts: list[list[str] | bytes] = []
             if text:
                 if self.specials is not None and any(s in text for s in self.special):
@@ -242,7 +244,7 @@ class WordBpe:
                     parts = [self._chunks(text)]
             held.append(parts)
             chars += len(text or "")
-            if chars > TOGETHER or len(out) + len(held) == len(texts) + 1:
+            if chars > TOGETHER or at == len(texts):
                 if len(self.memo) >= MEMO:
                     self.memo.clear()
                 seen: set[str] = set()
@@ -251,9 +253,9 @@ class WordBpe:
                         if isinstance(x, list):
                             seen.update(x)
                 memo = self._learn(seen.difference(self.memo)).__getitem__
-                out += [b"".join([x if isinstance(x, bytes) else b"".join(map(memo, x)) for x in ps]) for ps in held]
-                held, chars = [], 0
-        return out[: len(texts)]
+                out = [b"".join([x if isinstance(x, bytes) else b"".join(map(memo, x)) for x in ps]) for ps in held]
+                held, chars, seen = [], 0, set()
+                yield out
 
 
 @lru_cache(maxsize=2)
@@ -276,7 +278,8 @@ def bpe_encode(text: Column, path: str) -> Column:
     def encode(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = WordBpe.of(path)
         for s in parts:
-            yield pd.Series(bpe.encode_all(s.tolist()), dtype=object)
+            for ids in bpe.encode_stretches(s.tolist()):
+                yield pd.Series(ids, dtype=object)
 
     bounded_batches()
     return encode(text)
@@ -293,3 +296,20 @@ def bpe_decode(ids: Column, path: str) -> Column:
 
     bounded_batches()
     return decode(ids)
+
+
+_ROUND_TRIP = T.StructType([T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
+
+
+def bpe_round_trip(text: Column, path: str) -> Column:
+    """Struct column: ``ids`` as of ``bpe_encode``, and ``decoded``, what ``bpe_decode`` makes of these ids."""
+
+    @F.pandas_udf(_ROUND_TRIP)
+    def round_trip(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bpe, tokens = WordBpe.of(path), tokens_of(path)
+        for s in parts:
+            for ids in bpe.encode_stretches(s.tolist()):
+                yield pd.DataFrame({"ids": ids, "decoded": [decode_ids(b, tokens) for b in ids]}, dtype=object)
+
+    bounded_batches()
+    return round_trip(text)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from oracle import SF
-from quire.llm.bpe import PairTree, WordBpe, bpe_decode, bpe_encode
+from quire.llm.bpe import PairTree, WordBpe, bpe_decode, bpe_encode, bpe_round_trip
 from quire.llm.queries import TOKENIZERS, op8_bpe
 
 PATH = os.path.join(TOKENIZERS, "word_bpe_49k.json")
@@ -75,3 +75,33 @@ def test_decoding_loads_tokens_alone(spark):
 
     bpe.tokens_of.cache_clear()
     assert bpe.decode_ids(bytes.fromhex("0500000006000000"), bpe.tokens_of(PATH)) == made and PATH not in WordBpe._open
+
+
+def test_round_trip_is_encoding_then_decoding(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(CASES)], "id int, text string")
+    apart = df.select("id", bpe_encode(F.col("text"), PATH).alias("ids")).select("*", bpe_decode(F.col("ids"), PATH).alias("decoded"))
+    assert df.select("id", bpe_round_trip(F.col("text"), PATH).alias("m")).select("id", "m.*").collect() == apart.collect()
+
+
+def test_round_trip_of_long_and_empty_texts(spark, documents):
+    """More than one stretch of a batch comes back in order, a text longer than a stretch is whole."""
+    rows = [(0, None), (1, "abc def " * 100_000), (2, ""), *((i, f"text {i} " * 20_000) for i in range(3, 9)), (9, "end")]
+    library = Tokenizer.from_file(PATH)
+    got = documents(rows).coalesce(1).select("doc_id", bpe_round_trip(F.col("text"), PATH).alias("m")).select("doc_id", "m.*").collect()
+    assert [r.doc_id for r in got] == [i for i, _ in rows]
+    for (_, text), r in zip(rows, got, strict=True):
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        assert list(memoryview(bytes(r.ids)).cast("I")) == ids
+        assert r.decoded == library.decode(ids, skip_special_tokens=False)
+
+
+def test_stretches_are_bounded():
+    """Of a large batch, words and results of some half a million code points are held at a time."""
+    texts = ["some words of a text " * 5_000] * 20  # 105,000 code points each
+    assert [len(x) for x in WordBpe(PATH).encode_stretches(texts)] == [5, 5, 5, 5]
+    assert list(WordBpe(PATH).encode_stretches([])) == [] and list(WordBpe(PATH).encode_stretches([None])) == [[b""]]
+
+
+def test_a_task_takes_one_worker(spark):
+    """Encoding and decoding in two Python steps kept two workers a task, which took the executor's memory."""
+    assert op8_bpe(spark, SF)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1

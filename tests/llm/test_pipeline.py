@@ -95,3 +95,9 @@ def test_lines_keep_every_row(spark, documents):
     docs = documents([*copies, (20, "a clean text\nand one of its own"), (21, ""), (22, None)])
     got = {r.doc_id: (r.text, r.n_chars) for r in cp.stage_lines(spark, docs, SF).collect()}
     assert got == {**{i: ("", 0) for i, _ in copies}, 20: ("and one of its own", 18), 21: ("", 0), 22: ("", 0)}
+
+
+def test_bpe_takes_one_worker_a_task(spark):
+    """Two Python steps keep two workers for each task, which took the executor beyond its memory."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    assert cp.STAGES[-1][1](spark, docs, SF)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
