@@ -11,8 +11,9 @@ root holds no mergeable pair.
 * Of pairs with one rank the leftmost merges first. Repeated rows return alike; an empty table returns no rows; the
   functions are columns, so other columns of a table, whatever their names, have no say.
 * Special tokens written in a text become their ids, as the library does by default.
-* Words are remembered between texts in a table of bounded size (``MEMO`` and the words of one run),
-  emptied when full. New short words are encoded together, their trees stepping side by side in numpy.
+* Words are remembered between texts in two tables of bounded bytes (``MEMO`` each and the words of one stretch): when the newer is full it
+  becomes the older, from which words that come again are taken over; words of over ``KEEP`` code points go with their stretch.
+  New short words are encoded together, their trees stepping side by side in numpy.
 * Of a batch a stretch of texts (``TOGETHER`` code points and what the last text goes beyond them) is held as words at a
   time, and its results are returned before the next. ``bpe_round_trip`` encodes and decodes a stretch in one worker:
   ``bpe_decode`` of ``bpe_encode`` takes two for each task, with a copy of the libraries in each.
@@ -20,15 +21,18 @@ root holds no mergeable pair.
 
 from __future__ import annotations
 
+import ctypes
 import json
 import re
 import struct
+import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,12 +40,14 @@ from pyspark.sql import types as T
 
 from quire.session import bounded_batches
 
-#: Entries of a Python worker's table of words.
-MEMO = 200_000
+#: Bytes of a table of words, of which a Python worker has two, and bytes of an entry besides its word and ids; code points of a word to remember.
+MEMO, ENTRY, KEEP = 12 << 20, 100, 64
 #: Bytes of a word that shares its steps with others, words that do at a time, code points of text between two such runs.
 SHORT, LANES, TOGETHER = 64, 8192, 500_000
 #: str.split() also splits at these, \s of the pattern doesn't.
 _ODD = re.compile("[\x1c-\x1f]")
+#: glibc's own; other C libraries have none.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def _byte_chars() -> list[str]:
@@ -98,11 +104,11 @@ class WordBpe:
         end: str = model["end_of_word_suffix"] or ""
         self.special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        #: (left id, right id) as one integer -> (rank, merged id)
-        self.merge = {(v[a] << 24) | v[b]: (rank, v[a + b]) for rank, (a, b) in enumerate(pairs)}
-        order = sorted(self.merge)
+        #: (left id, right id) as one integer -> rank
+        self.rank = {(v[a] << 24) | v[b]: rank for rank, (a, b) in enumerate(pairs)}
+        order = sorted(self.rank)
         self.pair_key = np.array([*order, 1 << 62], dtype=np.int64)
-        self.pair_rank = np.array([*(self.merge[k][0] for k in order), 0], dtype=np.int64)
+        self.pair_rank = np.array([*(self.rank[k] for k in order), 0], dtype=np.int64)
         self.merged = np.array([v[a + b] for a, b in pairs], dtype=np.int32)
         chars = _byte_chars()
         self.inner = [v[c] for c in chars]
@@ -112,30 +118,32 @@ class WordBpe:
         self.words = regex.compile(pattern)
         self.specials = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def encode_word(self, word: bytes) -> bytes:
         """Ids of one pre-token, by its tree."""
-        ids, merge = [*(self.inner[b] for b in word[:-1]), self.last[word[-1]]], self.merge
+        ids, rank = [*(self.inner[b] for b in word[:-1]), self.last[word[-1]]], self.rank
         n = len(ids)
         if n > 1:
-            tree = PairTree([merge.get((ids[i] << 24) | ids[i + 1], (-1,))[0] for i in range(n - 1)])
+            tree = PairTree([rank.get((ids[i] << 24) | ids[i + 1], -1) for i in range(n - 1)])
             before, after = list(range(-1, n - 1)), list(range(1, n + 1))
             while (best := tree.node[1]) < tree.NONE:
                 i = best & 0xFFFFFFFF
                 j = after[i]
-                ids[i] = merge[(ids[i] << 24) | ids[j]][1]
+                ids[i] = int(self.merged[best >> 32])
                 ids[j] = -1
                 k = after[i] = after[j]
                 if j < n - 1:
                     tree.put(j, -1)
                 if k < n:
                     before[k] = i
-                    tree.put(i, merge.get((ids[i] << 24) | ids[k], (-1,))[0])
+                    tree.put(i, rank.get((ids[i] << 24) | ids[k], -1))
                 else:
                     tree.put(i, -1)
                 p = before[i]
                 if p >= 0:
-                    tree.put(p, merge.get((ids[p] << 24) | ids[i], (-1,))[0])
+                    tree.put(p, rank.get((ids[p] << 24) | ids[i], -1))
             ids = [x for x in ids if x >= 0]
         return struct.pack(f"<{len(ids)}I", *ids)
 
@@ -214,16 +222,32 @@ class WordBpe:
             return [chunk[:-1], chunk[-1]]
         return self.words.findall(chunk)
 
-    def _learn(self, chunks: set[str]) -> dict[str, bytes]:
-        """Put chunks that aren't remembered yet into the table; the table."""
+    def _learn(self, chunks: set[str]) -> Iterator[tuple[str, bytes]]:
+        """Chunks with their ids."""
         parts = {c: self._split(c) for c in chunks}
         new = list({w for ws in parts.values() for w in ws})
         raw = [w.encode("utf-8") for w in new]
         short = [i for i, r in enumerate(raw) if len(r) <= SHORT]
         words = {w: b"" if len(r) <= SHORT else self.encode_word(r) for w, r in zip(new, raw, strict=True)}
         words.update(zip([new[i] for i in short], self.encode_short([raw[i] for i in short]), strict=True))
-        self.memo.update((c, words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])) for c, ws in parts.items())
-        return self.memo
+        return ((c, words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws])) for c, ws in parts.items())
+
+    def _known(self, chunks: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Tables that hold the ids of all these chunks: the remembered ones, and those that are forgotten behind the stretch."""
+        if self.held > MEMO:
+            self.older, self.memo, self.held = self.memo, {}, 0
+        chunks.difference_update(self.memo)
+        again = chunks.intersection(self.older)
+        chunks -= again
+        once: dict[str, bytes] = {}
+        for found in (((c, self.older.pop(c)) for c in again), self._learn(chunks)):
+            for c, ids in found:
+                if len(c) <= KEEP:
+                    self.memo[c] = ids
+                    self.held += sys.getsizeof(c) + sys.getsizeof(ids) + ENTRY
+                else:
+                    once[c] = ids
+        return self.memo, once
 
     def _chunks(self, text: str) -> list[str]:
         if not text.isascii():
@@ -245,16 +269,15 @@ class WordBpe:
             held.append(parts)
             chars += len(text or "")
             if chars > TOGETHER or at == len(texts):
-                if len(self.memo) >= MEMO:
-                    self.memo.clear()
                 seen: set[str] = set()
                 for ps in held:
                     for x in ps:
                         if isinstance(x, list):
                             seen.update(x)
-                memo = self._learn(seen.difference(self.memo)).__getitem__
-                out = [b"".join([x if isinstance(x, bytes) else b"".join(map(memo, x)) for x in ps]) for ps in held]
-                held, chars, seen = [], 0, set()
+                memo, once = self._known(seen)
+                ids_of = (lambda c: memo[c] if len(c) <= KEEP else once[c]) if once else memo.__getitem__
+                out = [b"".join([x if isinstance(x, bytes) else b"".join(map(ids_of, x)) for x in ps]) for ps in held]
+                held, chars, memo, once = [], 0, {}, {}
                 yield out
 
 
@@ -271,6 +294,13 @@ def decode_ids(ids: bytes, tokens: dict[int, str]) -> str:
     return " ".join([tokens[i] for i in memoryview(ids).cast("I")])
 
 
+def give_back() -> None:
+    """Room that a batch took and that its allocators keep goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def bpe_encode(text: Column, path: str) -> Column:
     """Binary column: the ids of each text, little-endian unsigned 32-bit."""
 
@@ -280,6 +310,7 @@ def bpe_encode(text: Column, path: str) -> Column:
         for s in parts:
             for ids in bpe.encode_stretches(s.tolist()):
                 yield pd.Series(ids, dtype=object)
+            give_back()
 
     bounded_batches()
     return encode(text)
@@ -310,6 +341,7 @@ def bpe_round_trip(text: Column, path: str) -> Column:
         for s in parts:
             for ids in bpe.encode_stretches(s.tolist()):
                 yield pd.DataFrame({"ids": ids, "decoded": [decode_ids(b, tokens) for b in ids]}, dtype=object)
+            give_back()
 
     bounded_batches()
     return round_trip(text)

@@ -1,6 +1,7 @@
 import hashlib
 import os
 import random
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +106,25 @@ def test_stretches_are_bounded():
 def test_a_task_takes_one_worker(spark):
     """Encoding and decoding in two Python steps kept two workers a task, which took the executor's memory."""
     assert op8_bpe(spark, SF)._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_remembered_words_are_bounded_in_bytes(monkeypatch):
+    """However long its words, a worker remembers some bytes of them; a word that comes again and again is learned once, and ids stay the library's."""
+    from quire.llm import bpe as B
+
+    monkeypatch.setattr(B, "MEMO", 1 << 16)
+    monkeypatch.setattr(B, "TOGETHER", 10_000)
+    bpe, library, learned = WordBpe(PATH), Tokenizer.from_file(PATH), []
+    r = random.Random(7)
+    letters = lambda n: "".join(r.choices("aeinorstlu", k=n))
+    texts = ["again " + " ".join([letters(12) for _ in range(200)] + [letters(300) for _ in range(25)]) for _ in range(60)]
+    learn = bpe._learn
+    monkeypatch.setattr(bpe, "_learn", lambda chunks: learned.extend(chunks) or learn(chunks))
+    most, at = 0, 0
+    for ids in bpe.encode_stretches(texts):
+        for x in ids:
+            assert list(memoryview(x).cast("I")) == library.encode(texts[at], add_special_tokens=False).ids
+            at += 1
+        most = max(most, sum(sys.getsizeof(k) + sys.getsizeof(v) for t in (bpe.memo, getattr(bpe, "older", {})) for k, v in t.items()))
+    assert at == len(texts) and learned.count("again") == 1
+    assert most < 3 * (1 << 16)
