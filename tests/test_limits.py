@@ -103,6 +103,26 @@ def test_duplicates_of_common_words(spark):
     assert flag_duplicates(apart, 0.9).count() == 0
 
 
+def test_duplicates_of_small_lessons_are_shuffled_once(spark):
+    """Labels of small lessons are gathered by one shuffle, and no word is a row; small and large lessons give all their pairs, repeated and empty rows too."""
+    import random
+
+    from quire.operators.claims import IN_ROW, flag_duplicates
+
+    r = random.Random(3)
+    sizes = {f"l{i}": n for i, n in enumerate([1, 2, 5, IN_ROW - 1, IN_ROW, IN_ROW + 1, 2 * IN_ROW])}
+    rows = [(p, l, f"c{r.randrange(3 * n):03d}", r.choice([None, "", "unit"] + [" ".join(r.choices("abcd", k=r.randint(1, 4))) for _ in range(9)])) for p in "pq" for l, n in sizes.items() for _ in range(n)]
+    rows += [("p", "l2", None, "a"), ("p", None, "c1", "a"), ("p", None, "c2", "a"), (None, "l2", "c1", "a"), (None, "l2", "c2", "a")]
+    schema = "package_id string, lesson_id string, id string, label string"
+    whole, small = spark.createDataFrame(rows, schema), spark.createDataFrame([x for x in rows if sizes.get(x[1], 0) <= IN_ROW], schema)
+    words = lambda t: set((t or "").split())
+    for least in (0.5, 0.75, 1.0):
+        want = {(*a[:3], b[2]) for a in rows for b in rows if None not in (*a[:3], *b[:3]) and a[:2] == b[:2] and a[2] < b[2] for x, y in [(words(a[3]), words(b[3]))] if x & y and len(x & y) / len(x | y) >= least}
+        assert sorted(map(tuple, flag_duplicates(whole, least).collect())) == sorted(want)
+    plan = flag_duplicates(small, 0.5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_block_json_keeps_the_markup_of_each_type(spark, tmp_path):
     import hashlib
 
