@@ -13,8 +13,8 @@ from pyspark.sql.window import Window as W
 
 _NUMBER = "_number"
 
-#: Columns of a batch by name, and its groups as (first row, row behind the last).
-Columns = dict[str, np.ndarray]
+#: Columns of a batch by name (arrays of arrays as Arrow has them), and its groups as (first row, row behind the last).
+Columns = dict[str, np.ndarray | pa.ChunkedArray]
 Groups = list[tuple[int, int]]
 #: Gives the row of the batch that each row of the result is for, and the result's new columns.
 Solve = Callable[[Columns, Groups], tuple[np.ndarray, dict[str, list | np.ndarray]]]
@@ -52,7 +52,7 @@ def solve_groups(df: DataFrame, keys: list[str], order: list[str], carried: list
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, groups in whole_groups(batches, _NUMBER):
-            columns = {c: table[c].to_numpy() for c in table.column_names}
+            columns = {c: table[c] if pa.types.is_list(table[c].type) else table[c].to_numpy() for c in table.column_names}
             rows, new = solve(columns, groups)
             if len(rows):
                 out = table.select(carried).take(pa.array(rows, pa.int64()))

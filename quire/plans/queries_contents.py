@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -134,13 +134,21 @@ def _r1(s, d):
 
 def word_tables(s, d) -> DataFrame:
     """A table a page from all its words, four to a row, with their lengths as numbers between."""
-    words = doc_lines(s, d).select("doc_id", "page_id", "line_idx", F.posexplode(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("i", "word"))
-    cell = words.select("doc_id", "page_id", F.lit(0).alias("pos"), (C("line_idx") * 10000 + F.expr("i div 4")).cast("int").alias("line_idx"), F.explode(F.array(F.struct((C("i") % 4 * 2).alias("seq"), C("word").alias("text")), F.struct((C("i") % 4 * 2 + 1).alias("seq"), F.char_length("word").cast("string").alias("text")))).alias("c"))
-    left = 72 + 70 * C("c.seq") + F.char_length("c.text") % 3
-    row = F.dense_rank().over(W.partitionBy("doc_id", "page_id").orderBy("line_idx"))
-    return cell.select("doc_id", "page_id", "pos", "line_idx", "c.seq", "c.text", left.cast("double").alias("x0"), (left + 4 * F.char_length("c.text")).cast("double").alias("x1"), (12.0 * row).alias("y0"))
+    words = doc_lines(s, d).select("doc_id", "page_id", "line_idx", F.array_remove(F.split("text", r"\s+"), "").alias("words")).where(F.size("words") > 0)
+    fours = F.transform(F.sequence(F.lit(0), F.expr("(size(words) - 1) div 4").cast("int")), lambda k: F.slice("words", 4 * k + 1, 4))
+    rows = words.select("doc_id", "page_id", F.lit(0).alias("pos"), "line_idx", F.posexplode(fours).alias("k", "four")).withColumn("line_idx", (C("line_idx") * 10000 + C("k")).cast("int"))
+    row = F.dense_rank().over(W.partitionBy(*T.TABLE).orderBy("line_idx"))  # as the rows go to their tables
+    top = rows.select(*T.TABLE, "line_idx", "four", (12.0 * row).alias("y0"))
+
+    def token(seq: int, text: Column) -> Column:
+        left = 72 + 70 * seq + F.char_length(text) % 3
+        return F.struct(F.lit(seq).alias("seq"), text.alias("text"), left.cast("double").alias("x0"), (left + 4 * F.char_length(text)).cast("double").alias("x1"))
+
+    word = lambda i: F.get("four", F.lit(i))
+    eight = F.array(*[token(2 * i + j, text) for i in range(4) for j, text in enumerate((word(i), F.char_length(word(i)).cast("string")))])
+    return top.select(*T.TABLE, "line_idx", "y0", F.slice(eight, 1, 2 * F.size("four")).alias("tokens"))
 
 
 @_query("r3_reconstruct_table")
 def _r3(s, d):
-    return T.reconstruct_tables(word_tables(s, d)).select("doc_id", "page_id", F.md5("html").alias("html"), F.round("score", 6).alias("score"))
+    return T.reconstruct_lines(word_tables(s, d)).select("doc_id", "page_id", F.md5("html").alias("html"), F.round("score", 6).alias("score"))

@@ -8,11 +8,12 @@ import re
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from oracle import SF
 from quire.operators.contents import least_cost
-from quire.operators.tables import reconstruct, table_tokens
+from quire.operators.tables import reconstruct, reconstruct_lines, table_tokens
 from quire.plans.fixtures import lines_boxed
 from quire.plans.queries_contents import columns, spread
 
@@ -146,6 +147,31 @@ def test_reconstructed_pages(spark):
     assert len(rows) > 100 and all(0 <= r.score <= 1 for r in rows)
 
 
+def test_tables_by_lines_and_by_tokens(spark):
+    """Rows of several tokens give what single tokens give, also of a document that comes twice, and go to their tables by one shuffle and one sort."""
+    from quire.operators.tables import reconstruct_tables
+    from quire.plans.queries_contents import word_tables
+
+    lines = word_tables(spark, SF)
+    lines = lines.union(lines.where("doc_id % 5 = 0"))
+    single = lines.select("doc_id", "page_id", "pos", "line_idx", "y0", F.explode("tokens").alias("t")).select("*", "t.*").drop("t")
+    got, want = reconstruct_lines(lines), reconstruct_tables(single)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() > 100
+    plan = entry.queries()["r3_reconstruct_table"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1
+
+
+def test_score_of_a_grid_of_equal_columns_is_not_taken_twice(monkeypatch):
+    """Ways to cut that deal the tokens alike are judged once, and a grid's texts are put together for the chosen one."""
+    from quire.operators import tables
+
+    made = []
+    score = tables.Grid.score
+    monkeypatch.setattr(tables.Grid, "score", lambda self, n: made.append(1) or score(self, n))
+    assert reconstruct(_tokens([_row((0, "a"), (100, "b")), _row((0, "c"), (100, "d")), _row((0, "e"), (100, "f"))])) is not None
+    assert len(made) == 1
+
+
 @pytest.mark.parametrize("name", ["c2_assign_numbers", "c3_decorative_toc", "c4_contents_rows", "r3_reconstruct_table", "w3_rtl_reading_order", "w17_merge_math_lines"])
 def test_no_call_for_each_page(spark, name):
     plan = entry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
